@@ -170,7 +170,7 @@ def best_fit(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tup
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int, *, rounds: int = 400, rate: float = 0.1, most_solves: int = 3) -> list[tuple[list[tuple[int, int]], int]]:
+def plan(histogram: dict[int, int], capacity: int, *, rounds: int = 200, rate: float = 0.1, most_solves: int = 2) -> list[tuple[list[tuple[int, int]], int]]:
     """[(pairs of length and count in one sequence, number of such sequences)] that serve the histogram exactly."""
     lengths = np.array(sorted(histogram), np.int64)
     demand = np.array([histogram[int(n)] for n in lengths], np.int64)
