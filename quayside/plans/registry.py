@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+import importlib
+
+MODULES = ("market_plans", "table_plans", "clean_plans")
+
+
+def _all(which: str) -> dict:
+    out: dict = {}
+    for name in MODULES:
+        out |= getattr(importlib.import_module(f"{__package__}.{name}"), which)
+    return out
+
 
 def queries() -> dict:
-    return {}
+    return _all("Q")
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: statement for name, statement in _all("S").items() if statement}
