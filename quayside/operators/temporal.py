@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 def asof_join(left: DataFrame, right: DataFrame, key: str | list[str], left_time: str, right_time: str, columns: list[str], *, tolerance_days: int | None = None, matched_time: str | None = None) -> DataFrame:
     """The newest right row at or before each left row's time, by key; never a later one. One shuffle on the key.
 
-    `tolerance_days` drops matches that are older. The right side must be unique by key and time.
+    `tolerance_days` drops matches that are older. The right side must be unique by key and time; its columns replace
+    left columns of the same name.
     """
     keys = [key] if isinstance(key, str) else key
     r = F.struct(F.col(right_time).alias("_at"), *columns)
@@ -24,7 +25,8 @@ def asof_join(left: DataFrame, right: DataFrame, key: str | list[str], left_time
     near = F.lit(True) if tolerance_days is None else F.datediff("_time", "_found._at") <= tolerance_days
     picked = [F.when(near, F.col(f"_found.{c}")).alias(c) for c in columns]
     more = [F.when(near, F.col("_found._at")).alias(matched_time)] if matched_time else []
-    return found.select("_left.*", *picked, *more)
+    made = {*columns, matched_time}
+    return found.select(*[F.col(f"_left.{c}").alias(c) for c in left.columns if c not in made], *picked, *more)
 
 
 def nearest_join(left: DataFrame, right: DataFrame, key: str, left_id: str, left_time: str, right_time: str, columns: list[str], tolerance: float) -> DataFrame:
