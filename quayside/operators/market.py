@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from .temporal import asof_join, dense_grid, filled, full_mean, horizon_prices, running_product
 
-BY_SYMBOL = Window.partitionBy("symbol").orderBy("date")
+def by_symbol():
+    return Window.partitionBy("symbol").orderBy("date")
 
 
 def price_grid(bars: DataFrame, limit: int = 20) -> DataFrame:
@@ -23,18 +24,18 @@ def price_grid(bars: DataFrame, limit: int = 20) -> DataFrame:
 def breadth(bars: DataFrame, means: tuple[int, ...] = (20, 50, 200), year: int = 250, least: int = 120) -> DataFrame:
     """Per session: advances and declines against the last traded close, share above moving averages, yearly extremes.
 
-    Moving averages need a full window; yearly extremes need `least` prices. The advance-decline line sums over days.
+    Moving averages need a full window, and a price above one is so by more than rounding; yearly extremes need `least` prices. The advance-decline line sums over days.
     """
-    before = F.last("close", ignorenulls=True).over(BY_SYMBOL.rowsBetween(Window.unboundedPreceding, -1))
-    span = BY_SYMBOL.rowsBetween(-(year - 1), 0)
-    seen = price_grid(bars).select("*", before.alias("prev"), *[full_mean("px", BY_SYMBOL, n).alias(f"ma{n}") for n in means], F.count("px").over(span).alias("n52"), F.max("px").over(span).alias("hi"), F.min("px").over(span).alias("lo"))
+    before = F.last("close", ignorenulls=True).over(by_symbol().rowsBetween(Window.unboundedPreceding, -1))
+    span = by_symbol().rowsBetween(-(year - 1), 0)
+    seen = price_grid(bars).select("*", before.alias("prev"), *[full_mean("px", by_symbol(), n).alias(f"ma{n}") for n in means], F.count("px").over(span).alias("n52"), F.max("px").over(span).alias("hi"), F.min("px").over(span).alias("lo"))
     enough = F.col("n52") >= least
     daily = seen.groupBy("date").agg(
         F.count_if(F.col("close") > F.col("prev")).alias("adv"),
         F.count_if(F.col("close") < F.col("prev")).alias("decl"),
         F.count_if(F.col("close") == F.col("prev")).alias("unch"),
         F.count("close").alias("traded"),
-        *[F.count_if(F.col("px") > F.col(f"ma{n}")).alias(f"above{n}") for n in means],
+        *[F.count_if(F.col("px") > F.col(f"ma{n}") * (1 + 1e-9)).alias(f"above{n}") for n in means],
         F.count_if(enough & (F.col("px") >= F.col("hi"))).alias("highs"),
         F.count_if(enough & (F.col("px") <= F.col("lo"))).alias("lows"),
     )
@@ -44,13 +45,13 @@ def breadth(bars: DataFrame, means: tuple[int, ...] = (20, 50, 200), year: int =
 
 
 def moving_averages(bars: DataFrame, means: tuple[int, ...], volume_rows: int = 20) -> DataFrame:
-    sums = F.sum("volume").over(BY_SYMBOL.rowsBetween(-(volume_rows - 1), 0))
-    return bars.select("*", *[full_mean("close", BY_SYMBOL, n).alias(f"ma{n}") for n in means], sums.alias(f"volume{volume_rows}"))
+    sums = F.sum("volume").over(by_symbol().rowsBetween(-(volume_rows - 1), 0))
+    return bars.select("*", *[full_mean("close", by_symbol(), n).alias(f"ma{n}") for n in means], sums.alias(f"volume{volume_rows}"))
 
 
 def year_range(bars: DataFrame, rows: int = 250, least: int = 120) -> DataFrame:
     """Highest and lowest close of the last `rows` trades, null with fewer than `least`."""
-    span = BY_SYMBOL.rowsBetween(-(rows - 1), 0)
+    span = by_symbol().rowsBetween(-(rows - 1), 0)
     enough = F.count("close").over(span) >= least
     return bars.select("*", F.when(enough, F.max("close").over(span)).alias("high52"), F.when(enough, F.min("close").over(span)).alias("low52"))
 
@@ -85,8 +86,8 @@ def chained_ex_group(bars: DataFrame, instruments: DataFrame, group_sector: str)
 
 def back_adjusted(bars: DataFrame, cut: float = 0.95, every: int = 7) -> DataFrame:
     """Closes times the product of the later event factors. Events here are days whose volume divides by `every`."""
-    event = F.when((F.col("volume") % every == 0) & F.lag("close").over(BY_SYMBOL).isNotNull(), F.lit(cut)).otherwise(F.lit(1.0))
-    later = BY_SYMBOL.rowsBetween(1, Window.unboundedFollowing)
+    event = F.when((F.col("volume") % every == 0) & F.lag("close").over(by_symbol()).isNotNull(), F.lit(cut)).otherwise(F.lit(1.0))
+    later = by_symbol().rowsBetween(1, Window.unboundedFollowing)
     marked = bars.withColumn("event", event)
     factor = F.exp(F.coalesce(F.sum(F.log("event")).over(later), F.lit(0.0)))
     return marked.withColumn("factor", factor).withColumn("adjusted", F.col("close") * F.col("factor"))
@@ -94,14 +95,14 @@ def back_adjusted(bars: DataFrame, cut: float = 0.95, every: int = 7) -> DataFra
 
 def rolling_z(bars: DataFrame, rows: int) -> DataFrame:
     """(close - mean) / sample deviation of the last `rows` closes, once there are so many."""
-    span = BY_SYMBOL.rowsBetween(-(rows - 1), 0)
+    span = by_symbol().rowsBetween(-(rows - 1), 0)
     z = F.try_divide(F.col("close") - F.avg("close").over(span), F.stddev_samp("close").over(span))
     return bars.withColumn("z", F.when(F.count("close").over(span) == rows, z))
 
 
 def signals(bars: DataFrame, rows: int) -> DataFrame:
     """Bands of the z value, a quiet-volume flag and entry tiers."""
-    scored = rolling_z(bars, rows).withColumn("v20", F.avg("volume").over(BY_SYMBOL.rowsBetween(-19, 0))).where("z IS NOT NULL")
+    scored = rolling_z(bars, rows).withColumn("v20", F.avg("volume").over(by_symbol().rowsBetween(-19, 0))).where("z IS NOT NULL")
     quiet = F.col("volume") < F.col("v20")
     tier = F.when((F.col("z") <= -1.5) & quiet, 2).when(F.col("z") <= -1, 1).otherwise(0)
     band = F.when(F.col("z") <= -2, "deep").when(F.col("z") <= -1, "low").when(F.col("z") >= 2, "high").otherwise("mid")
@@ -110,7 +111,7 @@ def signals(bars: DataFrame, rows: int) -> DataFrame:
 
 def trailing_stop(bars: DataFrame, limit: float, tight: float, gain: float) -> DataFrame:
     """First session at which the close is `limit` below its peak; `tight` once the peak is `gain` above the entry."""
-    upto = BY_SYMBOL.rowsBetween(Window.unboundedPreceding, 0)
+    upto = by_symbol().rowsBetween(Window.unboundedPreceding, 0)
     marked = bars.select("symbol", "date", "close", F.max("close").over(upto).alias("peak"), F.first("close").over(upto).alias("entry_close"))
     allowed = F.when(F.col("peak") / F.col("entry_close") >= 1 + gain, tight).otherwise(limit)
     out = F.col("close") / F.col("peak") - 1 <= -allowed
@@ -124,7 +125,7 @@ def latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 def basket_profit(bars: DataFrame, lots: int = 10) -> DataFrame:
     """Per lot and day: sum of price over entry price of its tranches, and its running peak."""
-    relative = F.col("close") / F.first("close").over(BY_SYMBOL)
+    relative = F.col("close") / F.first("close").over(by_symbol())
     worth = bars.select((F.col("symbol") % lots).alias("lot"), "date", relative.alias("rel")).groupBy("lot", "date").agg(F.sum("rel").alias("worth"))
     upto = Window.partitionBy("lot").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     return worth.withColumn("peak", F.max("worth").over(upto))
@@ -216,7 +217,7 @@ def cap_weighted_returns(bars: DataFrame, instruments: DataFrame, as_of: str) ->
 
 def heatmap(bars: DataFrame, instruments: DataFrame, rows: int, n: int) -> DataFrame:
     """The n largest names with their change over `rows` trades."""
-    lagged = bars.withColumn("before", F.lag("close", rows).over(BY_SYMBOL))
+    lagged = bars.withColumn("before", F.lag("close", rows).over(by_symbol()))
     now = latest(lagged, ["symbol"], "date").join(instruments, "symbol")
     cap = F.col("close") * F.col("shares")
     return now.select("symbol", "sector", cap.alias("cap"), (F.col("close") / F.col("before") - 1).alias("change")).orderBy(F.desc("cap"), "symbol").limit(n)

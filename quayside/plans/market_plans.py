@@ -37,7 +37,7 @@ add("win1_breadth", win1, sql(
     f"SELECT date, adv, decl, unch, traded, {rsql('100.0 * adv / NULLIF(traded, 0)')} AS pct_adv, CAST(SUM(adv - decl) OVER (ORDER BY date ROWS UNBOUNDED PRECEDING) AS BIGINT) AS ad_line, above20, above50, above200, highs, lows FROM daily",
     **GRID,
     seen=f"SELECT *, LAST_VALUE(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev, {MA}, COUNT(px) OVER y AS n52, MAX(px) OVER y AS hi, MIN(px) OVER y AS lo FROM filled WINDOW y AS (PARTITION BY symbol ORDER BY date ROWS 249 PRECEDING)",
-    daily="SELECT date, COUNT(*) FILTER (WHERE close > prev) AS adv, COUNT(*) FILTER (WHERE close < prev) AS decl, COUNT(*) FILTER (WHERE close = prev) AS unch, COUNT(close) AS traded, COUNT(*) FILTER (WHERE px > ma20) AS above20, COUNT(*) FILTER (WHERE px > ma50) AS above50, COUNT(*) FILTER (WHERE px > ma200) AS above200, COUNT(*) FILTER (WHERE n52 >= 120 AND px >= hi) AS highs, COUNT(*) FILTER (WHERE n52 >= 120 AND px <= lo) AS lows FROM seen GROUP BY date",
+    daily="SELECT date, COUNT(*) FILTER (WHERE close > prev) AS adv, COUNT(*) FILTER (WHERE close < prev) AS decl, COUNT(*) FILTER (WHERE close = prev) AS unch, COUNT(close) AS traded, COUNT(*) FILTER (WHERE px > ma20 * (1 + 1e-9)) AS above20, COUNT(*) FILTER (WHERE px > ma50 * (1 + 1e-9)) AS above50, COUNT(*) FILTER (WHERE px > ma200 * (1 + 1e-9)) AS above200, COUNT(*) FILTER (WHERE n52 >= 120 AND px >= hi) AS highs, COUNT(*) FILTER (WHERE n52 >= 120 AND px <= lo) AS lows FROM seen GROUP BY date",
 ))
 
 
@@ -179,19 +179,19 @@ add("agg4_ratio_pivot", agg4, sql(
 
 
 def agg5(s, d):
-    return M.ex_group_valuation(bars(s, d), instruments(s, d), "CHINA").select("date", rounded("cap").alias("cap"), rounded("cap_ex").alias("cap_ex"), rounded("share_ex").alias("share_ex"))
+    return M.ex_group_valuation(bars(s, d), instruments(s, d), "CHINA").select("date", rounded(F.col("cap") / 1e6).alias("cap"), rounded(F.col("cap_ex") / 1e6).alias("cap_ex"), rounded("share_ex").alias("share_ex"))
 
 
 add("agg5_ex_group", agg5, sql(
-    f"SELECT date, {rsql('cap')} AS cap, {rsql('cap - COALESCE(grp, 0)')} AS cap_ex, {rsql('(cap - COALESCE(grp, 0)) / cap')} AS share_ex FROM day",
+    f"SELECT date, {rsql('cap / 1e6')} AS cap, {rsql('(cap - COALESCE(grp, 0)) / 1e6')} AS cap_ex, {rsql('(cap - COALESCE(grp, 0)) / cap')} AS share_ex FROM day",
     day="SELECT b.date, SUM(b.close * i.shares) AS cap, SUM(CASE WHEN i.sector = 'CHINA' THEN b.close * i.shares END) AS grp FROM bars b JOIN instruments i USING (symbol) GROUP BY b.date"))
 
 
 def agg6(s, d):
-    return M.market_cap_filled(bars(s, d), instruments(s, d)).select("date", "members", rounded("cap", 2).alias("cap"))
+    return M.market_cap_filled(bars(s, d), instruments(s, d)).select("date", "members", rounded(F.col("cap") / 1e6).alias("cap"))
 
 
-add("agg6_market_per_share", agg6, sql(f"SELECT date, COUNT(px) AS members, {rsql('SUM(px * shares)', 2)} AS cap FROM filled JOIN instruments USING (symbol) GROUP BY date", **GRID))
+add("agg6_market_per_share", agg6, sql(f"SELECT date, COUNT(px) AS members, {rsql('SUM(px * shares) / 1e6')} AS cap FROM filled JOIN instruments USING (symbol) GROUP BY date", **GRID))
 
 
 def agg7(s, d):
@@ -229,11 +229,11 @@ add("agg9_cap_weighted_returns", agg9, sql(
 
 
 def agg10(s, d):
-    return M.heatmap(bars(s, d), instruments(s, d), 5, 30).select("symbol", "sector", rounded("cap").alias("cap"), rounded("change", 6).alias("change"))
+    return M.heatmap(bars(s, d), instruments(s, d), 5, 30).select("symbol", "sector", rounded(F.col("cap") / 1e6).alias("cap"), rounded("change", 6).alias("change"))
 
 
 add("agg10_heatmap", agg10, sql(
-    f"SELECT symbol, sector, {rsql('cap')} AS cap, {rsql('close / before - 1', 6)} AS change FROM m ORDER BY m.cap DESC, symbol LIMIT 30",
+    f"SELECT symbol, sector, {rsql('cap / 1e6')} AS cap, {rsql('close / before - 1', 6)} AS change FROM m ORDER BY m.cap DESC, symbol LIMIT 30",
     l="SELECT *, LAG(close, 5) OVER (PARTITION BY symbol ORDER BY date) AS before FROM bars",
     m="SELECT symbol, sector, close * shares AS cap, close, before FROM l JOIN instruments USING (symbol) QUALIFY ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY date DESC) = 1"))
 

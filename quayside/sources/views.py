@@ -107,4 +107,5 @@ def rounded(column, places: int = 4):
 
 
 def rsql(expression: str, places: int = 4) -> str:
-    return f"ROUND(({expression}) + 1e-9, {places})"
+    value = f"ROUND(({expression}) + 1e-9, {places})"
+    return f"COALESCE(NULLIF({value}, 0), CASE WHEN ({expression}) IS NOT NULL THEN 0.0 END)"  # no negative zero
