@@ -86,7 +86,7 @@ def sector_curves(yields: DataFrame, as_of: str, look_backs: dict[str, int], win
     spark = yields.sparkSession
     ends = spark.createDataFrame(list(look_backs.items()), "look_back string, days int").withColumn("end", F.date_sub(F.lit(as_of).cast("date"), F.col("days")))
     inside = yields.where("ytm IS NOT NULL").join(F.broadcast(ends), (F.col("date") <= F.col("end")) & (F.col("date") > F.date_sub("end", window_days)))
-    last = inside.groupBy("look_back", "lot").agg(F.max_by(F.struct("sector", "years", "ytm", "traded"), F.struct("date", "line")).alias("r")).select("look_back", "lot", "r.*")
+    last = inside.groupBy("look_back", "lot").agg(F.max_by(F.struct("sector", "years", "ytm", "traded"), F.struct("date", "line", "price", "traded")).alias("r")).select("look_back", "lot", "r.*")
     bucketed = last.withColumn("bucket", tenor_bucket(F.col("years")))
     kept = trimmed(bucketed, ["look_back", "sector", "bucket"], "ytm")
     weight = F.sum("traded")

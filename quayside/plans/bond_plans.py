@@ -73,9 +73,9 @@ def curves(s, d):
     return O.sector_curves(yields, "1998-06-30", {"now": 0, "3m": 91, "1y": 365})
 
 
-CURVES = f"""y AS (SELECT lot, line, date, traded, years, 's' || CAST(issuer % 3 AS VARCHAR) AS sector, (lo + hi) / 2 AS ytm FROM b WHERE i = 60),
+CURVES = f"""y AS (SELECT lot, line, date, price, traded, years, 's' || CAST(issuer % 3 AS VARCHAR) AS sector, (lo + hi) / 2 AS ytm FROM b WHERE i = 60),
 e AS (SELECT * FROM (VALUES ('now', DATE '1998-06-30'), ('3m', DATE '1998-03-31'), ('1y', DATE '1997-06-30')) v(look_back, ed)),
-lastt AS (SELECT * FROM y JOIN e ON date <= ed AND date > ed - 90 QUALIFY ROW_NUMBER() OVER (PARTITION BY look_back, lot ORDER BY date DESC, line DESC) = 1),
+lastt AS (SELECT * FROM y JOIN e ON date <= ed AND date > ed - 90 QUALIFY ROW_NUMBER() OVER (PARTITION BY look_back, lot ORDER BY date DESC, line DESC, price DESC, traded DESC) = 1),
 bk AS (SELECT *, CASE WHEN years < 1 THEN '<1' WHEN years < 2 THEN '1-2' WHEN years < 3 THEN '2-3' WHEN years < 5 THEN '3-5' ELSE '5+' END AS bucket FROM lastt),
 q AS (SELECT look_back, sector, bucket, QUANTILE_CONT(ytm, 0.25) AS q1, QUANTILE_CONT(ytm, 0.75) AS q3, COUNT(*) AS c FROM bk GROUP BY ALL),
 k AS (SELECT bk.*, c < 5 OR ytm BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside FROM bk JOIN q USING (look_back, sector, bucket)),

@@ -34,10 +34,10 @@ def ticks(s, d):
     return events(s, d).where(F.col("event_type").isin("click", "purchase")).select(F.col("user_id").alias("symbol"), "ts", F.col("value").alias("price"))
 
 
-@add("str1_demultiplexed", sql("SELECT user_id AS symbol, " + rsql("value") + " AS price, CASE WHEN event_id % 10 <> 0 THEN event_id WHEN event_id <= 1000 THEN event_id * 9007199254740 END AS volume FROM events WHERE event_type IN ('click', 'purchase')"))
+@add("str1_demultiplexed", sql("SELECT user_id AS symbol, " + rsql("value", 2) + " AS price, CASE WHEN event_id % 10 <> 0 THEN event_id WHEN event_id <= 1000 THEN event_id * 9007199254740 END AS volume FROM events WHERE event_type IN ('click', 'purchase')"))
 def str1(s, d):
     out = L.replay(L.demultiplexed(messages(s, d), "tick"), "append")
-    return out.select("symbol", rounded("price").alias("price"), "volume")
+    return out.select("symbol", rounded("price", 2).alias("price"), "volume")
 
 
 @add("str2_micro_batch_upsert", sql("SELECT user_id AS symbol, event_type, MAX(event_id) AS event_id, MAX_BY(value, event_id) AS value FROM events GROUP BY ALL"))
