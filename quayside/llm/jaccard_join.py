@@ -3,10 +3,12 @@
 A document is the set of its distinct word shingles, as 64-bit hashes. Documents with the same set are one node. Two
 nodes link when their sets' Jaccard similarity reaches the threshold t.
 
-1. Every (shingle, node) goes through one exchange that keeps the shingles of two nodes or more, with their number of
-   nodes (the rarity that orders shingles). Linked sets share at least t of either's shingles, so a node stays only if
-   at least t of its shingles are such. For most corpora nearly all nodes end here.
-2. Shingles of the nodes that stayed are ordered by rarity; those of one node alone come first, and their number is
+1. In any order of all shingles, the first n - o + l of two linked nodes share at least l, where o = ceil(t n) and n is a
+   set's size. With the order of the hashes and l = n / 10, these prefixes (a fifth of all shingles for t = 0.9) go
+   through one exchange that finds those which another node of a size within t has too; a node with fewer of them than
+   l is out. For most corpora nearly all nodes end here. The texts of the others are fetched again by their first ids.
+2. All shingles of the nodes that stayed are looked at in the same way; as linked sets share at least t of either's
+   shingles, a node needs as many that another of like size has. They are ordered by rarity; those of one node alone come first, and their number is
    known without listing them. With overlap bound o = ceil(t n), the first n - o + l shingles of two linked nodes share
    at least l, for any l. Each node chooses the l that makes its estimated cost least: postings it scans, plus
    candidates to verify, of which each needs l postings. A pair needs min(l) shared prefix shingles.
@@ -15,7 +17,7 @@ nodes link when their sets' Jaccard similarity reaches the threshold t.
    components are made - under the length and position bounds, in the numbers of shared prefix shingles required - and
    verified exactly. No pair is dropped that could join two components.
 
-Null ids and repeated ids are possible: an id's component is that of each of its rows. Null, empty and blank texts have
+Ids may repeat: a row's component follows from its text. Rows without an id have no component and link nothing. Null, empty and blank texts have
 no shingles and link with nothing: each such row is its own component. A text of fewer words than a shingle has, is one
 shingle. Repeated rows link with each other. An empty table gives an empty result; further columns are ignored.
 """
@@ -81,23 +83,42 @@ def rows_with_nodes(rows: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(sized, f"doc_id {dict(rows.dtypes)['doc_id']}, n_shingles long, node long")
 
 
-def postings(rows: DataFrame, width: int) -> DataFrame:
-    """`shingle, node`; a task gives a node's shingles once, however many copies it sees (of the last million nodes)."""
+def first_matches(n: int) -> int:
+    """How many matches the prefixes in hash order are made for; grows with n."""
+    return (n + 9) // 10
+
+
+def postings(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """`shingle, node, n` of prefixes in hash order; a task gives a node once, however many copies it sees (of a million)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = WordHashes(), set()
         for batch in batches:
-            found, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            sets = []
             for text in utf8(batch, "text"):
                 own = shingles(text, width, known)
                 if len(own) and (node := node_of(own)) not in seen:
                     if len(seen) >= 1_000_000:
                         seen.clear()
                     seen.add(node)
-                    found.append(own), nodes.append(np.full(len(own), node, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(nodes))], ["shingle", "node"])
+                    sets.append((node, len(own), own[: len(own) - (len(own) * percent + 99) // 100 + first_matches(len(own))]))
+            yield listed(sets)
+
+    return rows.select("text").mapInArrow(each, "shingle long, node long, n long")
+
 
-    return rows.select("text").mapInArrow(each, "shingle long, node long")
+def listed(sets: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+    """Rows of (node, n, shingles)."""
+    times = [len(s) for _, _, s in sets]
+    columns = [np.concatenate([np.zeros(0, np.int64), *[s for _, _, s in sets]]), *[np.repeat(np.array([x[k] for x in sets], np.int64), times) for k in (0, 1)]]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shingle", "node", "n"])
+
+
+def of_like_size(dealt: DataFrame, percent: int) -> DataFrame:
+    """The rows (shingle, node, n) whose shingle another node has that is small and large enough to link."""
+    w = Window.partitionBy("shingle").orderBy("n")
+    smaller, larger = 100 * F.lag("n").over(w) >= percent * F.col("n"), 100 * F.col("n") >= percent * F.lead("n").over(w)
+    return dealt.withColumn("_near", F.coalesce(smaller, F.lit(False)) | F.coalesce(larger, F.lit(False))).where("_near").drop("_near")
 
 
 def overlap_of(n: Column, percent: int) -> Column:
@@ -105,18 +126,31 @@ def overlap_of(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100)
 
 
-def survivors(rows: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
+def members(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """`shingle, node, n` of the wanted nodes (node, first_id), from the text of the row with that id."""
+    texts = rows.join(wanted.select("node", F.col("first_id").alias("doc_id")), "doc_id").select("node", "text")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            pairs = zip(batch.column(0).to_pylist(), utf8(batch, "text"), strict=True)
+            sets = [(node, len(own), own) for node, own in ((node, shingles(text, width, known)) for node, text in pairs) if node_of(own) == node]
+            yield listed(sets)  # an id that repeats may have other texts, which aren't listed
+
+    return texts.mapInArrow(each, "shingle long, node long, n long")
+
+
+def survivors(rows: DataFrame, sized: DataFrame, width: int, percent: int) -> DataFrame:
     """`node, n, shared: array of (df, shingle) by rarity` of the nodes that can link at all."""
     n_tasks = shuffle_width(rows.sparkSession)
-    dealt = postings(rows, width).repartition(n_tasks, "shingle").dropDuplicates(["shingle", "node"])
-    counted = dealt.withColumn("df", F.count("*").over(Window.partitionBy("shingle"))).where("df > 1")
-    listed = counted.groupBy("node").agg(F.collect_list(F.struct("df", "shingle")).alias("shared"))
-    kept = listed.join(sizes, "node").where(F.size("shared") >= overlap_of(F.col("n"), percent))
-    kept = durable(kept.select("node", "n", "shared"))
-    # Rarity among the survivors is what counts from here: shingles shared with nodes that are out are as good as unique.
-    again = kept.select("node", "n", F.explode("shared").alias("s")).select("node", "n", "s.shingle")
-    rare = again.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    listed = again.join(rare, "shingle").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
+    dealt = postings(rows, width, percent).repartition(n_tasks, "shingle").dropDuplicates(["shingle", "node", "n"])
+    # A partner may be smaller, and then asks for the fewer matches of its own size.
+    least = F.floor((overlap_of(F.col("n"), percent) + 9) / 10)
+    matched = of_like_size(dealt, percent).groupBy("node", "n").agg(F.count("*").alias("matches")).where(F.col("matches") >= least)
+    wanted = durable(matched.select("node").join(sized.select("node", "first_id"), "node"))
+    whole = members(rows, wanted, width).repartition(n_tasks, "shingle").dropDuplicates(["shingle", "node", "n"])
+    counted = of_like_size(whole, percent).withColumn("df", F.count("*").over(Window.partitionBy("shingle")))
+    listed = counted.groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
     return durable(listed.where(F.size("shared") >= overlap_of(F.col("n"), percent)))
 
 
@@ -173,9 +207,9 @@ def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80, mo
     """`doc_id, n_shingles, component_id` per row: the smallest id that links reach, over similarity percent / 100."""
     rows = pick(docs, doc_id=id_col, text=text_col)
     nodes = durable(rows_with_nodes(rows, width))
-    sized = nodes.where("node IS NOT NULL").groupBy("node").agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("first_id"))
+    sized = nodes.where("node IS NOT NULL").groupBy("node").agg(F.max("n_shingles").alias("n"), F.min("doc_id").alias("first_id"))
     sized = durable(sized)
-    kept = survivors(rows, sized.select("node", "n"), width, percent)
+    kept = survivors(rows, sized, width, percent)
     linked = components(links(kept, percent, most_matches)).join(sized, "node")
     least = linked.groupBy("component").agg(F.min("first_id").alias("least_id"))
     moved = linked.join(least, "component").select("node", "least_id")
