@@ -18,9 +18,11 @@ are ordered by id and text checksum, an empty table gives an empty result, furth
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,9 @@ from pyspark.sql import functions as F
 
 from .common import durable, pick, shuffle_width, utf8
 
-#: Before these places the byte-level pre-tokeniser always starts a new pre-token.
+#: Fixed pattern of the byte-level pre-tokeniser.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Before these places it always starts a new pre-token.
 BREAKS = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -42,39 +46,80 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@functools.lru_cache(maxsize=2)
+def _ranked(path: str):
+    """The file's merges as ranks for tiktoken, if its ids number bytes and merges in that order; else None."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    ids = model["vocab"]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    if any(ids.get(a + b) != 256 + k for k, (a, b) in enumerate(merges)):
+        return None
+    # The byte-level alphabet: printable Latin-1 characters stand for themselves, the other bytes follow from 256 on.
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    byte_of = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in own)}
+    ranks = {bytes(byte_of[c] for c in s): i for s, i in ids.items() if i < 256 + len(merges)}
+    return tiktoken.Encoding("merges", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes, by way of recurring chunks.
 
-    A byte-level pre-token holds a space only as its first character, so a text may be cut before every lone space that
-    stands between two other characters; texts with runs of white space are cut by `BREAKS`, which is that rule exactly.
+    A byte-level pre-token holds a space only as its first character, and a lone line feed between other characters is
+    one of its own. So a text may be cut around such line feeds, and before every lone space between other characters;
+    texts with other white space in a row are cut by `BREAKS`, which is the rule for spaces exactly. Known chunks stay
+    for the worker's life, until there are `most` of them.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
-        self.tok, self.most, self.known = _tokenizer(path), most, {}
+    def __init__(self, path: str, most: int = 700_000):
+        self.tok, self.most = _tokenizer(path), most
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.first: dict[str, bytes | None] = {}  # chunks at the start of a line
+        self.later: dict[str, bytes | None] = {}  # chunks after a space, without it; None: white space at an end
+        self.feed = self.ids(["\n"])[0]
+        self.ranked = _ranked(path)
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def chunks(self, text: str) -> list[str]:
-        if any(s in text for s in self.special):
-            return [text]
-        parts = text.split(" ")
-        if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
-            return parts[:1] + [" " + p for p in parts[1:]]
-        return BREAKS.split(text)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        known, out = self.known, []
-        for text in texts:
-            chunks = self.chunks(text)
-            if missing := list({c for c in chunks if c not in known}):
-                if len(known) + len(missing) > self.most:
-                    known.clear()
-                    missing = list(set(chunks))
-                known.update(zip(missing, self.ids(missing), strict=True))
-            out.append(b"".join([known[c] for c in chunks]))
-        return out
+        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def chunk_ids(self, chunk: str) -> bytes:
+        """Short Latin chunks by the same merges as ranks, which costs less per call; others by the tokenizer itself."""
+        if self.ranked and max(chunk) < "\u0250":
+            return array("I", self.ranked.encode_ordinary(chunk)).tobytes()
+        return self.ids([chunk])[0]
+
+    def learn(self, table: dict[str, bytes | None], space: str, chunks: list[str]) -> None:
+        new = [c for c in set(chunks) if c not in table]
+        whole = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
+        table.update(dict.fromkeys(new))
+        table.update((c, self.chunk_ids(space + c)) for c in whole)
+
+    def line(self, text: str) -> bytes:
+        chunks = text.split(" ")
+        try:
+            return b"".join([self.first[chunks[0]], *map(self.later.__getitem__, chunks[1:])])
+        except KeyError:
+            self.learn(self.first, "", chunks[:1])
+            self.learn(self.later, " ", chunks[1:])
+            return b"".join([self.first[chunks[0]], *map(self.later.__getitem__, chunks[1:])])
+
+    def encode(self, text: str) -> bytes:
+        if len(self.first) + len(self.later) > self.most:
+            self.first.clear()
+            self.later.clear()
+        if not text or any(s in text for s in self.special):
+            return self.ids([text])[0]
+        try:
+            return self.feed.join([self.line(x) for x in text.split("\n")])
+        except TypeError:  # a chunk is None: white space in a row
+            return b"".join(self.ids(BREAKS.split(text)))
+
+
+@functools.lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -84,11 +129,11 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048,
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = _encoder(tokenizer_path)
         for batch in batches:
             at, piece, start, length, crc, kept = [], [], [], [], [], []
             for row, text in enumerate(utf8(batch, "text")):
-                ids = encoder.encode([text.decode()])[0] + end
+                ids = encoder.encode(text.decode()) + end
                 n = len(ids) // 4
                 head = (n - 1) % capacity + 1
                 for k, s in enumerate([0, *range(head, n, capacity)]):
