@@ -1,0 +1,496 @@
+"""The training-data operators against brute force, on the smallest tables and on fixtures of awkward rows."""
+
+import hashlib
+import re
+import struct
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quayside.llm import components, decontamination, jaccard_join, language_id, media, packing, quality, queries, secret_scan, token_counts, url_filters, warc_zip, webp
+from quayside.llm.queries import tokenizer_path
+
+LOWER = str.maketrans({chr(65 + k): chr(97 + k) for k in range(26)})
+LONG = "Long words and more words. " * 4000
+AWKWARD = [(1, None), (2, ""), (3, " \n\t "), (4, "Hello  world x\x1c İß ﬁ 中文 😀"), (5, LONG), (6, "same text here twice"), (6, "same text here twice"), (None, "same text here twice"), (7, "<|endoftext|> a<|endoftext|>"), (8, "don't we'll 12345 ....")]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    """Extra columns clash with names that the operators use."""
+    rows = [(i, t, "en", "s", 0, "x", 1, 2, 3) for i, t in AWKWARD]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, node string, piece int, length int, rank int")
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+def pairs(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def texts_of(df):
+    return [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
+
+
+# --- 1: token counts
+
+
+def test_token_counts(spark, docs, awkward):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    for table in (docs, awkward):
+        expected = Counter((i, len(t.encode()), len(tok.encode(t, add_special_tokens=False).ids)) for i, t in texts_of(table))
+        got = token_counts.count_tokens(table, path)
+        assert Counter((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in got.collect()) == expected
+        assert all(r["over_limit"] == (r["n_tokens"] > 2048) for r in got.collect())
+    assert token_counts.count_tokens(docs.limit(0), path).count() == 0
+
+
+def test_whole_tokens_are_proved(spark):
+    path = tokenizer_path("word_bpe_49k.json")
+    whole, tok = token_counts.whole_tokens(path), token_counts._tokenizer(path)
+    assert all(len(tok.model.tokenize(p)) == 1 for p in whole) and 10_000 < len(whole) <= tok.get_vocab_size()
+
+
+# --- 2: url filters
+
+RULES = queries.URL_RULES
+
+
+def brute_rule(host, path):
+    best = None
+    for rule, verdict in RULES:
+        h, _, p = rule.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and (best is None or len(rule) > len(best[0])):
+            best = (rule, verdict)
+    return best
+
+
+def test_url_rules_against_a_loop(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    odd = spark.createDataFrame([(900, None, None), (901, "", ""), (902, "no-scheme.net/x", "<p>"), (903, "HTTP://A.EXAMPLE.NET/en/?q#f", None), (904, "http://net/", None), (905, "http://xnet/a", None)], "page_id long, url string, html string")
+    for table in (pages, odd, pages.limit(0)):
+        for r, url in zip(*[iter_ for iter_ in (url_filters.judge(table, RULES).orderBy("page_id").collect(), [x["url"] for x in table.orderBy("page_id").collect()])], strict=True):
+            m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
+            host, path = (m[1].translate(LOWER), m[2]) if m else ("", "")
+            rule = brute_rule(host, path)
+            assert (r["host"], r["path"]) == (host, path)
+            assert (r["rule"], r["verdict"]) == (rule or (None, "allow"))
+
+
+def test_blocks_follow_aliases_and_allow_comes_first(spark):
+    link, jump = '<link href="{}" rel="canonical">', '<meta http-equiv="refresh" content="0; url={}">'
+    pages = spark.createDataFrame(
+        [
+            (1, "http://a.test/1", link.format("http://bad.net/x")),
+            (2, "http://b.test/2", jump.format("http://a.test/1")),
+            (3, "http://c.test/3", link.format("/other")),
+            (4, "http://d.test/4", link.format("http://sub.example.net/en/a")),
+            (5, "http://e.test/5", jump.format("http://d.test/4")),
+            (6, "http://f.net/", link.format("http://e.test/5")),
+        ],
+        "page_id long, url string, html string",
+    )
+    got = {r["page_id"]: r["verdict"] for r in url_filters.judge(pages, RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "block"}
+
+
+def test_components_of_chain_star_and_cycle(spark):
+    edges = [(k, k + 1) for k in range(100, 160)] + [(1, k) for k in range(2, 30)] + [(50, 51), (51, 52), (52, 50), (7, 7)]
+    got = dict(pairs(components.components(spark.createDataFrame(edges, "a long, b long"))))
+    assert all(got[k] == 100 for k in range(100, 161)) and all(got[k] == 1 for k in range(1, 30)) and {got[k] for k in (50, 51, 52)} == {50}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# --- 3: packing
+
+
+def check_packing(table, got):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    expected = Counter()
+    for i, t in texts_of(table):
+        ids = [*tok.encode(t, add_special_tokens=False).ids, 0]
+        head = (len(ids) - 1) % 2048 + 1
+        starts = [0, *range(head, len(ids), 2048)]
+        for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
+            expected[i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == expected
+    groups = {}
+    for r in got:
+        groups.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in groups.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))] and sum(n for _, n in own) <= 2048
+    assert len(groups) <= -(-sum(r["length"] for r in got) // 2048) * 1.02 + 1
+
+
+def test_packing(spark, docs, awkward):
+    path = tokenizer_path("byte_bpe_50k.json")
+    for table in (docs, awkward):
+        check_packing(table, packing.pack(packing.token_pieces(table, path)).collect())
+    assert packing.pack(packing.token_pieces(docs.limit(0), path)).count() == 0
+
+
+def test_sequences_hold_the_ids(spark, awkward):
+    pieces = packing.token_pieces(awkward.where("doc_id IN (2, 5, 8)"), tokenizer_path("byte_bpe_50k.json"), with_ids=True)
+    packed = packing.pack(pieces.drop("ids"))
+    lengths = dict(pairs(packed.groupBy("sequence_id").agg(F.sum("length"))))
+    assert {r["sequence_id"]: len(r["input_ids"]) for r in packing.sequences(packed, pieces).collect()} == lengths
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_plans_serve_every_length(seed):
+    rng = np.random.default_rng(seed)
+    histogram = {int(n): int(c) for n, c in zip(rng.choice(np.arange(1, 129), 40, replace=False), rng.integers(1, 300, 40))}
+    plan = packing.plan(histogram, 128, rounds=60)
+    served = Counter()
+    for items, times in plan:
+        assert sum(n * c for n, c in items) <= 128
+        for n, c in items:
+            served[n] += c * times
+    assert served == histogram
+
+
+# --- 4: decontamination
+
+
+def brute_windows(table, items):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = {}
+    for i, t in items:
+        w = word.findall((t or "").translate(LOWER))
+        for s in range(max(1, len(w) - 9)) if w and i is not None else ():
+            windows.setdefault(tuple(w[s : s + 10]), set()).add(str(i))
+    out = Counter()
+    for i, t in texts_of(table):
+        w, hit, own = word.findall(t.translate(LOWER)), set(), set()
+        for n in {len(k) for k in windows}:
+            for s in range(len(w) - n + 1):
+                if (found := windows.get(tuple(w[s : s + n]))) is not None:
+                    hit.update(range(s, s + n))
+                    own |= found
+        out[i, len(w), len(hit), len(own), hashlib.sha256(",".join(sorted(own)).encode()).hexdigest(), bool(hit)] += 1
+    return out
+
+
+def test_decontamination(spark, sf, docs, awkward):
+    items = spark.read.parquet(f"{sf}/benchmark.parquet")
+    short = spark.createDataFrame([(1, "same text"), (2, "WORLD"), (3, None), (None, "hello"), (1, "words and more words long words and more words long words"), (4, "...")], "item_id long, text string")
+    for table, bench in ((docs, items), (awkward, short), (docs, items.limit(0)), (docs.limit(0), items)):
+        expected = brute_windows(table, [(r["item_id"], r["text"]) for r in bench.collect()])
+        assert Counter(pairs(decontamination.contamination(table, bench))) == expected
+    # Several blocks of windows give what one gives.
+    assert Counter(pairs(decontamination.contamination(awkward, short, block_windows=2))) == brute_windows(awkward, [(r["item_id"], r["text"]) for r in short.collect()])
+
+
+# --- 5: media
+
+
+def test_media_round_trip(spark, docs, awkward):
+    for table in (docs, awkward):
+        rows = media.media_columns(table, keep_media=True, keep_pixels=True).collect()
+        assert Counter((r["doc_id"], r["n_bytes"]) for r in rows) == Counter((i, len(t.encode())) for i, t in texts_of(table))
+        texts = Counter((i, media.padded(t.encode())) for i, t in texts_of(table))
+        assert Counter((r["doc_id"], bytes(r["pixels"])) for r in rows) == texts
+        for r in rows:
+            payload = bytes(r["pixels"])
+            assert len(payload) % 576 == 0 and r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["tail_crc32"] == zlib.crc32(payload[-32:])
+            assert r["media_bytes"] == len(r["media"]) and r["media_sha256"] == hashlib.sha256(r["media"]).hexdigest()
+
+
+@pytest.mark.parametrize("seed", range(24))
+def test_webp_features_round_trip(seed):
+    rng = np.random.default_rng(seed)
+    h, w = rng.integers(1, 40, 2)
+    picture = rng.integers(0, rng.choice([2, 4, 16, 60, 256]), (h, w, 4)).astype(np.uint8)
+    if seed % 3 == 0:
+        picture = np.repeat(picture[:, :1], w, 1)
+    options = {"predictor": [None, -1, seed % 14][seed % 3], "cross_colour": [None, (3, -100, 77)][seed % 2], "subtract_green": seed % 4 == 1, "cache_bits": [0, 1, 5, 11][seed % 4], "references": seed % 5 == 1, "fixed": seed % 2 == 1, "block": 2 + seed % 4}
+    if seed % 6 == 0:
+        picture[:, :, 1:] = picture[:, :, 1:] % 2
+        picture[:, :, 0] = 255
+        options = {"palette": True, "cache_bits": options["cache_bits"]}
+    (out,) = webp.decode(webp.encode(picture, **options))
+    assert (out == picture).all()
+
+
+def test_webp_entropy_image_with_two_groups():
+    """A hand-made stream: blocks of 4 pixels take turns between two groups of single-symbol codes."""
+    out = webp.BitWriter()
+    out.put(0x2F, 8)
+    out.puts(np.array([7, 3, 0, 0]), np.array([14, 14, 1, 3]))
+    out.put(0, 1)  # no transform
+    out.put(0, 1)  # no colour cache
+    out.put(1, 1)  # entropy image
+    out.put(0, 3)  # blocks of 4
+    webp._write_image(out, np.array([[255, 0, 0, 0], [255, 0, 1, 0]], np.uint8), False)
+    for colour in (10, 200):
+        for value in (colour, colour + 1, colour + 2, 255, 0):
+            out.puts(np.array([1, 0, 1, value]), np.array([1, 1, 1, 8]))
+    picture = webp.decode_stream(out.bytes())
+    assert picture.shape == (4, 8, 4) and (picture[:, :4] == [255, 11, 10, 12]).all() and (picture[:, 4:] == [255, 201, 200, 202]).all()
+
+
+def test_webp_refuses_damage():
+    data = webp.encode(np.random.default_rng(1).integers(0, 255, (9, 9, 4)).astype(np.uint8), palette=False)
+    for cut in (11, 40, len(data) // 2):
+        with pytest.raises(Exception):
+            webp.decode(data[:4] + struct.pack("<I", cut) + data[8 : 8 + cut])
+
+
+# --- 6: Jaccard join
+
+
+def brute_components(rows, width, percent):
+    def shingles(t):
+        w = t.encode().lower().split()
+        return frozenset(zip(*[w[k:] for k in range(width)])) if len(w) >= width else frozenset([tuple(w)]) if w else frozenset()
+
+    sets = [(i, shingles(t)) for i, t in rows]
+    label = list(range(len(rows)))
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            x, y = sets[a][1], sets[b][1]
+            if x and y and sets[a][0] is not None and sets[b][0] is not None and 100 * len(x & y) >= percent * len(x | y):
+                label[find(a)] = find(b)
+    least = {}
+    for k, (i, _) in enumerate(sets):
+        if i is not None:
+            least[find(k)] = min(least.get(find(k), i), i)
+    return Counter((i, len(s), least.get(find(k)) if i is not None else "any") for k, (i, s) in enumerate(sets))
+
+
+def near_copies(n=140, words=60):
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(words)]
+    out = []
+    for i in range(n):
+        own = list(base)
+        for at in rng.integers(0, words, rng.integers(0, 3)):
+            own[at] = f"x{i}_{at}"
+        if i % 7 == 0:
+            own = own[: words - int(rng.integers(0, 6))]
+        out.append((1000 + i, " ".join(own)))
+    return out + [(2000 + i, f"short {i % 5} one") for i in range(20)] + [(3000 + i, "a b") for i in range(3)]
+
+
+@pytest.mark.parametrize(("width", "percent"), [(3, 90), (2, 50)])
+def test_jaccard_components(spark, docs, awkward, width, percent):
+    """One table holds near copies, awkward rows and real documents at once: each run is many small jobs."""
+    near = spark.createDataFrame(near_copies(80), "doc_id long, text string")
+    for table in (near.unionByName(awkward.select("doc_id", "text")).unionByName(docs.select(F.col("doc_id") + 10_000, "text").toDF("doc_id", "text")),):
+        got = Counter((r["doc_id"], r["n_shingles"], "any" if r["doc_id"] is None else r["component_id"]) for r in jaccard_join.jaccard_components(table, width=width, percent=percent).collect())
+        assert got == brute_components(texts_of(table), width, percent)
+
+
+def test_jaccard_of_an_empty_table(spark, docs):
+    assert jaccard_join.jaccard_components(docs.limit(0)).count() == 0
+    kept = jaccard_join.one_of_each(spark.createDataFrame([(3, "a b c d e f"), (1, "a b c d e f"), (2, None)], "doc_id long, text string"))
+    assert sorted(pairs(kept)) == [(1, "a b c d e f"), (2, None)]
+
+
+# --- 7: secrets
+
+
+def brute_secrets(text):
+    kinds = [(re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 8), (re.compile("AKIA[A-Z0-9]+"), 0, 16), (re.compile("[0-9a-f]+"), 0, 32)]
+    return sorted((m.start(), k, m.end()) for k, (p, g, least) in enumerate(kinds) for m in p.finditer(text) if len(m[g]) >= least)
+
+
+SECRETS = ["é password: token : abcdefgh API_KEY=abcdefgh", "secret='x' token=abc token=AKIAABCDEFGHIJKL9", "AKIA AKIAAKIAAKIAAKIA0 " + "0a" * 40, "😀 " + "deadbeef" * 4 + "g" + "f" * 31, "tokentoken==password==========", "Zx9Qw7Er5Ty3Ui1Op0As2Df4Gh6Jk8 and 123e4567-e89b-12d3-a456-426614174000"]
+
+
+def test_secret_spans(spark, docs, awkward):
+    more = spark.createDataFrame(list(enumerate(SECRETS)), "doc_id long, text string")
+    names = ("assign", "access", "hex")
+    for table in (docs, awkward, more):
+        got = Counter((r["doc_id"], r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in secret_scan.secrets(table).collect())
+        expected = Counter()
+        for i, t in texts_of(table):
+            found = brute_secrets(t)
+            joined = ",".join(f"{names[k]}:{s}:{e}" for s, k, e in found)
+            expected[i, *[sum(k == x for _, k, _ in found) for x in range(3)], hashlib.sha256(joined.encode()).hexdigest()] += 1
+        assert got == expected
+    spans = {r["doc_id"]: r["spans"] for r in secret_scan.secrets(more).collect()}
+    assert spans[5] == "entropy:0:30"
+    assert secret_scan.secrets(docs.limit(0)).count() == 0
+
+
+def test_entropy_windows_against_a_loop(spark):
+    values = ["aB3dE6gH9jK2mN5pQ8sT1vW4", "a" * 25, "abababababababababababab1", "0123456789abcdef0123456789"]
+    got = [r["e"] for r in spark.createDataFrame([(v,) for v in values], "v string").select(secret_scan.window_entropy(F.col("v"), 20).alias("e")).collect()]
+    for value, e in zip(values, got):
+        each = [-sum(c / 20 * np.log2(c / 20) for c in Counter(value[k : k + 20]).values()) for k in range(len(value) - 19)]
+        assert e == pytest.approx(max(each))
+
+
+def test_redaction(spark):
+    rows = spark.createDataFrame([(1, "x password=abcdefgh1 y"), (2, None), (3, "clean"), (4, "token=" + "0a" * 20)], "doc_id long, text string")
+    assert dict(pairs(secret_scan.redacted(rows))) == {1: "x [secret] y", 2: None, 3: "clean", 4: "[secret]"}
+
+
+# --- 8: languages
+
+
+def test_language_accuracy_on_held_out_rows(spark, docs):
+    model = language_id.model_of(docs)
+    got = language_id.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where(language_id.held_out(F.col("doc_id"))).collect()
+    assert len(got) > 20 and sum(r["lang_pred"] == r["lang"] for r in got) >= 0.95 * len(got)
+    assert all((zlib.crc32(str(i).encode()) % 4 == 2) == h for i, h in pairs(docs.select("doc_id", language_id.held_out(F.col("doc_id")))))
+
+
+def test_language_of_awkward_rows_and_spans(spark, docs, awkward):
+    model = language_id.model_of(docs)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(awkward, model).collect()}
+    assert all(got[k] == ("und", 0.0) for k in (1, 2, 3)) and all(0 <= s <= 1 for _, s in got.values())
+    by_lang = {r["lang"]: r["text"] for r in docs.where("lang IS NOT NULL").orderBy("n_chars").collect() if len(r["text"].split()) > 60}
+    one, two = sorted(by_lang)[:2]
+    mixed = " ".join(by_lang[one].split()[:60] + by_lang[two].split()[:60])
+    spans = language_id.identify(spark.createDataFrame([(1, mixed)], "doc_id long, text string"), model, with_spans=True).first()["spans"]
+    assert [s["lang"] for s in spans] == [one, two] and abs(spans[0]["end"] - 60) <= 6
+    nothing = language_id.model_of(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {r["lang_pred"] for r in language_id.identify(docs, nothing).collect()} == {"und"}
+
+
+def test_viterbi_against_all_paths():
+    from itertools import product
+
+    rng = np.random.default_rng(2)
+    scores = rng.normal(size=(3, 6, 3)).astype(np.float32)
+    labels = language_id.viterbi(scores, np.array([6, 6, 6]), 0.7)
+    for k in range(3):
+        value = lambda path: sum(scores[k, t, s] for t, s in enumerate(path)) - 0.7 * sum(a != b for a, b in zip(path, path[1:]))
+        assert value(tuple(labels[k])) == pytest.approx(max(map(value, product(range(3), repeat=6))), abs=1e-5)
+
+
+# --- 9: archives
+
+
+def brute_archive(rows):
+    out, best = Counter(), {}
+    for i, h in rows:
+        data = (h or "").encode()
+        if len(data) >= 1000 and i is not None:
+            best[data] = max(best.get(data, i), i)
+    for i, h in rows:
+        data = (h or "").encode()
+        first = best.get(data)
+        revisit = first is not None and i != first
+        out[i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", first if revisit else None] += 1
+    return out
+
+
+def test_archives(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    big = "é" * 600
+    odd = spark.createDataFrame([(1, None, None), (2, "http://a/\r\nx y", ""), (3, "u", big), (5, "u", big), (4, "u", big), (6, "v", "é" * 400), (7, "v", "é" * 400), (None, "w", big)], "page_id long, url string, html string")
+    for table in (pages, odd, pages.limit(0)):
+        rows = [(r["page_id"], r["html"]) for r in table.collect()]
+        assert Counter(pairs(warc_zip.archived(table))) == brute_archive(rows)
+
+
+def zip64(members):
+    """A package whose directory and sizes are all in ZIP64 fields."""
+    body, central = b"", b""
+    for name, data in members:
+        start, crc = len(body), zlib.crc32(data)
+        extra = struct.pack("<HHQQ", 1, 16, len(data), len(data))
+        body += struct.pack("<4sHHHHHIIIHH", b"PK\3\4", 45, 0, 0, 0, 0, crc, 0xFFFFFFFF, 0xFFFFFFFF, len(name), len(extra)) + name + extra + data
+        extra = struct.pack("<HHQQQ", 1, 24, len(data), len(data), start)
+        central += struct.pack("<4sHHHHHHIIIHHHHHII", b"PK\1\2", 45, 45, 0, 0, 0, 0, crc, 0xFFFFFFFF, 0xFFFFFFFF, len(name), len(extra), 0, 0, 0, 0, 0xFFFFFFFF) + name + extra
+    at = len(body)
+    end64 = struct.pack("<4sQHHIIQQQQ", b"PK\6\6", 44, 45, 45, 0, 0, len(members), len(members), len(central), at)
+    locator = struct.pack("<4sIQI", b"PK\6\7", 0, at + len(central), 1)
+    return body + central + end64 + locator + struct.pack("<4sHHHHIIH", b"PK\5\6", 0, 0, 0xFFFF, 0xFFFF, 0xFFFFFFFF, 0xFFFFFFFF, 3) + b"end"
+
+
+def test_zip64_directory_and_range_reads():
+    data = zip64([(b"one", b"first member"), (b"two", b"x" * 100)])
+    asked = []
+
+    def fetch(at, n):
+        asked.append(n)
+        return data[at : at + n]
+
+    directory = warc_zip.ZipDirectory(fetch, len(data))
+    assert {m.name: m.size for m in directory.members.values()} == {"one": 12, "two": 100}
+    assert directory.read("one") == b"first member"
+    with pytest.raises(ValueError):
+        warc_zip.ZipDirectory(lambda at, n: data[: len(data) // 2][at : at + n], len(data) // 2)
+
+
+# --- 10: quality
+
+
+def test_quality_against_labels(spark, sf, docs):
+    got = quality.classify(docs).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    good, bad = [r["keep"] for r in got if r["quality"] == 1], [r["keep"] for r in got if r["quality"] == 0]
+    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.2 * len(bad)
+
+
+def test_quality_of_awkward_rows(spark, docs, awkward):
+    got = quality.classify(awkward)
+    assert got.count() == len(AWKWARD) and {r["keep"] for r in got.where("doc_id <= 3").collect()} == {False}
+    assert quality.classify(docs.limit(0)).count() == 0
+
+
+def test_estimation_recovers_accuracies():
+    rng = np.random.default_rng(3)
+    truth = rng.random(20_000) < 0.8
+    accuracy = np.array([0.9, 0.8, 0.75, 0.95])
+    votes = np.where(rng.random((20_000, 4)) < accuracy, truth[:, None], ~truth[:, None]).astype(int)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    p = quality.estimate(patterns, counts.astype(float))
+    by = {tuple(v): x for v, x in zip(patterns.tolist(), p)}
+    guess = np.array([by[tuple(v)] for v in votes.tolist()]) > 0.5
+    assert (guess == truth).mean() > 0.95
+
+
+# --- pipeline and registration
+
+
+def test_pipeline_against_plain_steps(spark, sf, docs):
+    import corpus_pipeline
+
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "jaccard_join", "decontamination", "secret_scan", "best_fit_packing"]
+    got = corpus_pipeline.run(spark, sf).collect()
+    model = language_id.model_of(docs)
+    known = {r["doc_id"] for r in language_id.identify(docs, model).collect() if r["lang_pred"] != "und" and r["score"] >= 0.5}
+    rows = [(i, t) for i, t in texts_of(docs) if i in known]
+    firsts = {c for _, _, c in brute_components(rows, 5, 80)}
+    rows = [(i, t) for i, t in rows if i in firsts]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    clean = {i for i, *_, hit in brute_windows(table, items) if not hit}
+    assert {r["doc_id"] for r in got} == clean
+    check_packing(secret_scan.redacted(table.where(F.col("doc_id").isin(list(clean)))), got)
+
+
+def test_stages_keep_the_columns(spark, sf, docs):
+    import corpus_pipeline
+
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        assert stage(spark, docs, sf).columns == docs.columns
+
+
+def test_sql_of_the_two_that_have_it(spark, sf):
+    from compare import database, rows
+
+    for name, statement in queries.oracle_sql().items():
+        assert rows(queries.queries()[name](spark, sf).toPandas()) == rows(database(sf).sql(statement).df())
