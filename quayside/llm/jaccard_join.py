@@ -13,9 +13,11 @@ nodes link when their sets' Jaccard similarity reaches the threshold t.
    at least l, for any l. Each node chooses the l that makes its estimated cost least: postings it scans, plus
    candidates to verify, of which each needs l postings. A pair needs min(l) shared prefix shingles.
 3. Prefix postings are first linked to one pivot per shingle, which joins the bulk of any group of near copies with one
-   row per posting. Shingles whose nodes are all in one component are then done. For the others all pairs of different
-   components are made - under the length and position bounds, in the numbers of shared prefix shingles required - and
-   verified exactly. No pair is dropped that could join two components.
+   row per posting. Shingles whose nodes are all in one component are then done. For the others pairs of different
+   components are made, in the numbers of shared prefix shingles required, and verified exactly. Three bounds keep the
+   join from giving out pairs that can't link: the sizes, the matches before a shingle plus the room behind it, and the
+   sum of the smaller counts of a histogram of either set, by hash, which is never less than the overlap. No pair is
+   dropped that could join two components.
 
 Ids may repeat: a row's component follows from its text. Rows without an id have no component and link nothing. Null, empty and blank texts have
 no shingles and link with nothing: each such row is its own component. A text of fewer words than a shingle has, is one
@@ -35,6 +37,9 @@ from pyspark.sql import functions as F
 from .common import durable, pick, shuffle_width, utf8
 from .components import components
 
+#: Counts in the histogram of a set; a power of two.
+PROFILE = 64
+
 #: Odd multipliers that mix the hashes of a shingle's words.
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
@@ -155,7 +160,7 @@ def survivors(rows: DataFrame, sized: DataFrame, width: int, percent: int) -> Da
 
 
 def prefixes(kept: DataFrame, percent: int, most: int) -> DataFrame:
-    """`node, n, l, own: (df, shingle, place)` with each node's own l, at most `most`."""
+    """`node, n, l, place, rank, shingle` with each node's own l, at most `most`; rank leaves out the shingles that no other node has."""
     alone = F.col("n") - F.size("shared")
 
     def length(l: Column) -> Column:
@@ -168,7 +173,7 @@ def prefixes(kept: DataFrame, percent: int, most: int) -> DataFrame:
     chosen = kept.withColumn("l", F.least(F.array_min(F.transform(F.sequence(F.lit(1), F.lit(most)), cost))["l"], overlap_of(F.col("n"), percent)))
     first = F.slice("shared", F.lit(1), F.greatest(length(F.col("l")), F.lit(0)).cast("int"))
     placed = chosen.select("node", "n", "l", alone.alias("alone"), F.posexplode(first).alias("k", "s"))
-    return placed.select("node", "n", "l", (F.col("alone") + F.col("k")).alias("place"), "s.shingle")
+    return placed.select("node", "n", "l", (F.col("alone") + F.col("k")).alias("place"), F.col("k").alias("rank"), "s.shingle")
 
 
 def verified(pairs: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
@@ -179,6 +184,17 @@ def verified(pairs: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)).select("a", "b")
 
 
+def profiles(kept: DataFrame) -> DataFrame:
+    """`node, profile`: how many of a node's shared shingles have each value of their last bits."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [np.bincount(np.asarray(own.as_py(), np.int64) & (PROFILE - 1), minlength=PROFILE).tolist() for own in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.list_(pa.int32()))], ["node", "profile"])
+
+    return kept.select("node", F.transform("shared", lambda s: s["shingle"]).alias("own")).mapInArrow(each, "node long, profile array<int>")
+
+
 def links(kept: DataFrame, percent: int, most: int) -> DataFrame:
     """Edges that have the same components as all links between nodes."""
     lists = durable(prefixes(kept, percent, most))
@@ -190,14 +206,16 @@ def links(kept: DataFrame, percent: int, most: int) -> DataFrame:
     labelled = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = durable(labelled)
     unlike = labelled.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("shingle")
-    open_ = durable(labelled.join(unlike, "shingle", "left_semi"))
+    open_ = labelled.join(unlike, "shingle", "left_semi")
+    open_ = durable(open_.join(profiles(kept.join(open_.select("node").distinct(), "node", "left_semi")), "node"))
     a, b = open_.alias("a"), open_.alias("b")
     least_overlap = F.ceil((F.col("a.n") + F.col("b.n")) * percent / (100.0 + percent) - 1e-9)
     room = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
     near = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
     near &= (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
-    # With l matches required, the l-th of them still has to leave room for the rest of the overlap.
-    near &= room + F.least("a.l", "b.l") - 1 >= least_overlap
+    # Of the first l matches, each has at most l - 1 before it, and no more than its ranks say; behind it must be room for the rest of the overlap.
+    near &= room + F.least(F.col("a.l") - 1, F.col("b.l") - 1, "a.rank", "b.rank") >= least_overlap
+    near &= F.aggregate(F.zip_with("a.profile", "b.profile", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y) >= least_overlap
     matched = a.join(b, near).groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b")).agg(F.count("*").alias("matches"), F.first(F.least("a.l", "b.l")).alias("need"))
     rest = matched.where("matches >= need").select("a", "b")
     return edges.unionByName(durable(verified(rest, kept, percent)))
