@@ -299,6 +299,22 @@ def test_jaccard_components(spark, docs, awkward, width, percent):
         assert got == brute_components(texts_of(table), width, percent)
 
 
+def test_jaccard_of_copies_that_mostly_do_not_link(spark):
+    """Copies of one text with several changes each: prefixes meet, but most pairs fail, in many components."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(60):
+        own = [f"w{k}" for k in range(150)]
+        for at in rng.choice(150, int(rng.integers(1, 5)), replace=False):
+            own[at] = f"x{int(rng.integers(0, 12))}_{at}"
+        rows.append((i, " ".join(own[: 150 - int(rng.integers(0, 4))])))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(pairs(jaccard_join.jaccard_components(table, width=5, percent=90)))
+    expected = brute_components(rows, 5, 90)
+    assert len({c for _, _, c in expected}) > 10
+    assert got == expected
+
+
 def test_jaccard_of_an_empty_table(spark, docs):
     assert jaccard_join.jaccard_components(docs.limit(0)).count() == 0
     kept = jaccard_join.one_of_each(spark.createDataFrame([(3, "a b c d e f"), (1, "a b c d e f"), (2, None)], "doc_id long, text string"))
