@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
 from .common import pick, utf8
 
@@ -160,13 +161,19 @@ def rarity(rows: DataFrame, block: Block) -> dict[tuple[int, int], int]:
     return {(r["size"], r["code"]): r["n"] for r in counts.collect()}
 
 
-def find_windows(docs: DataFrame, items: DataFrame, *, width: int = 10, shingle: int = 3, block_windows: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def find_windows(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """`doc_id, n_words, spans, items` per document: merged word spans [start, end) that are hit, and the items found."""
-    rows = pick(docs, doc_id=id_col, text=text_col)
-    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, text string, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+    return searched(pick(docs, doc_id=id_col, text=text_col), items, **options).drop("text")
+
+
+def searched(rows: DataFrame, items: DataFrame, *, width: int = 10, shingle: int = 3, block_windows: int = 200_000, item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows, of any first column and `text`, with `n_words, spans, items`: what is found stays with its row."""
+    first = rows.columns[0]
+    span = StructType().add("start", LongType()).add("end", LongType())
+    schema = StructType(list(rows.schema)).add("n_words", LongType()).add("spans", ArrayType(span)).add("items", ArrayType(StringType()))
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"), F.array().cast("array<string>").alias("items")
-    out = rows.select("doc_id", "text", F.lit(0).cast("long").alias("n_words"), *none)
+    out = rows.select(first, "text", F.lit(0).cast("long").alias("n_words"), *none)
     blocks = batched(item_windows(items, width, item_id_col, item_text_col), block_windows)
     for windows in list(blocks) or [()]:
         block = Block(list(windows), shingle)
@@ -195,10 +202,10 @@ def find_windows(docs: DataFrame, items: DataFrame, *, width: int = 10, shingle:
                     else:
                         own = []
                     n_words.append(len(ids)), spans.append(own), items.append(sorted(found))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(spans, spans_type), pa.array(items, pa.list_(pa.string()))], ["doc_id", "text", "n_words", "spans", "items"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(spans, spans_type), pa.array(items, pa.list_(pa.string()))], [first, "text", "n_words", "spans", "items"])
 
         out = out.mapInArrow(search, schema)
-    return out.drop("text")
+    return out
 
 
 def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
@@ -208,7 +215,9 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents, all their columns, in which no window of any item occurs."""
-    flagged = contamination(docs, items, id_col=id_col, **options).where("contaminated").select(F.col("doc_id").alias("_flagged_id")).distinct()
-    return docs.join(flagged, docs[id_col].eqNullSafe(flagged["_flagged_id"]), "left_anti")
+def drop_contaminated(docs: DataFrame, items: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
+    """The documents, all their columns, in which no window of any item occurs; each row is judged by its own text, whatever its id."""
+    others = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*[docs[c] for c in others]).alias("others"), docs[text_col].alias("text"))
+    clean = searched(rows, items, **options).where(F.size("spans") == 0)
+    return clean.select(*[F.col("text").alias(c) if c == text_col else F.col("others")[c].alias(c) for c in docs.columns])

@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import durable, pick, shuffle_width, utf8
 from .components import components
@@ -85,7 +86,7 @@ def rows_with_nodes(rows: DataFrame, width: int) -> DataFrame:
             nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), nodes], ["doc_id", "n_shingles", "node"])
 
-    return rows.mapInArrow(sized, f"doc_id {dict(rows.dtypes)['doc_id']}, n_shingles long, node long")
+    return rows.mapInArrow(sized, StructType([rows.schema["doc_id"]]).add("n_shingles", "long").add("node", "long"))
 
 
 def first_matches(n: int) -> int:
@@ -136,11 +137,17 @@ def members(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     texts = rows.join(wanted.select("node", F.col("first_id").alias("doc_id")), "doc_id").select("node", "text")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, seen = WordHashes(), set()
         for batch in batches:
-            pairs = zip(batch.column(0).to_pylist(), utf8(batch, "text"), strict=True)
-            sets = [(node, len(own), own) for node, own in ((node, shingles(text, width, known)) for node, text in pairs) if node_of(own) == node]
-            yield listed(sets)  # an id that repeats may have other texts, which aren't listed
+            sets = []
+            for node, text in zip(batch.column(0).to_pylist(), utf8(batch, "text"), strict=True):
+                # An id that repeats may have other texts, which aren't listed, or the same again, listed once (of a million).
+                if node not in seen and node_of(own := shingles(text, width, known)) == node:
+                    if len(seen) >= 1_000_000:
+                        seen.clear()
+                    seen.add(node)
+                    sets.append((node, len(own), own))
+            yield listed(sets)
 
     return texts.mapInArrow(each, "shingle long, node long, n long")
 
@@ -235,8 +242,20 @@ def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80, mo
     return nodes.join(first, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents, all their columns, without those whose component has a smaller id."""
-    groups = jaccard_components(docs, id_col=id_col, **options)
-    out = groups.where("component_id != doc_id").select(F.col("doc_id").alias("_copy_id")).distinct()
-    return docs.join(out, docs[id_col] == out["_copy_id"], "left_anti")
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents, all their columns, one row of each group of copies: one of its smallest id, a null id only if there is no other.
+
+    Rows are told apart by id and text, so a row goes by its own text only; those equal in both are aggregated to one.
+    Rows without shingles are copies of nothing and stay.
+    """
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+    keyed = docs.select(key.alias("_key"), *[docs[c] for c in docs.columns])
+    groups = jaccard_components(keyed, id_col="_key", text_col=text_col, **options).where("n_shingles > 0")
+    fates = groups.groupBy(F.col("doc_id").alias("_key")).agg(F.bool_or(F.col("component_id") != F.col("doc_id")).alias("_copy"), F.count("*").alias("_times"))
+    fates = durable(fates.where("_copy OR _times > 1"))
+    kept = keyed.join(fates, "_key", "left_anti").select(*docs.columns)
+    repeated = fates.where("NOT _copy").select("_key")
+    if repeated.isEmpty():
+        return kept
+    once = keyed.join(repeated, "_key", "left_semi").groupBy("_key").agg(F.first(F.struct(*docs.columns)).alias("row"))
+    return kept.unionByName(once.select("row.*"))

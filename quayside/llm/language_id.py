@@ -205,6 +205,20 @@ def label_texts(texts: list[str], known: WordScores, penalty: float, cells: int
     return out
 
 
+def predictions(texts: list[str], model: Model, known: WordScores, penalty: float) -> tuple[list[str], list[float], list[list[dict]]]:
+    """Language, score and spans of each text."""
+    langs, scores, spans = [], [], []
+    found = label_texts(texts, known, penalty) if model.languages else [(np.zeros(0, np.int64),) * 2] * len(texts)
+    for labels, letters in found:
+        by_language = np.bincount(labels, letters, len(model.languages)) if len(labels) else np.zeros(1)
+        total = by_language.sum()
+        langs.append(model.languages[by_language.argmax()] if total else "und")
+        scores.append(float(by_language.max() / total) if total else 0.0)
+        cuts = [0, *(np.diff(labels).nonzero()[0] + 1).tolist(), len(labels)] if total else [0]
+        spans.append([{"start": s, "end": e, "lang": model.languages[labels[s]]} for s, e in zip(cuts, cuts[1:], strict=False)])
+    return langs, scores, spans
+
+
 def identify(docs: DataFrame, model: Model, *, penalty: float = 12.0, id_col: str = "doc_id", text_col: str = "text", with_spans: bool = False) -> DataFrame:
     """`doc_id, lang_pred, score` and, with_spans, `spans` of (first word, end word, lang); words are split at white space."""
     rows = pick(docs, doc_id=id_col, text=text_col)
@@ -218,16 +232,7 @@ def identify(docs: DataFrame, model: Model, *, penalty: float = 12.0, id_col: st
         for whole in batches:
             for first in range(0, whole.num_rows, 1000):
                 batch = whole.slice(first, 1000)
-                texts = [t.decode() for t in utf8(batch, "text")]
-                langs, scores, spans = [], [], []
-                found = label_texts(texts, known, penalty) if model.languages else [(np.zeros(0, np.int64),) * 2] * len(texts)
-                for labels, letters in found:
-                    by_language = np.bincount(labels, letters, len(model.languages)) if len(labels) else np.zeros(1)
-                    total = by_language.sum()
-                    langs.append(model.languages[by_language.argmax()] if total else "und")
-                    scores.append(float(by_language.max() / total) if total else 0.0)
-                    cuts = [0, *(np.diff(labels).nonzero()[0] + 1).tolist(), len(labels)] if total else [0]
-                    spans.append([{"start": s, "end": e, "lang": model.languages[labels[s]]} for s, e in zip(cuts, cuts[1:], strict=False)])
+                langs, scores, spans = predictions([t.decode() for t in utf8(batch, "text")], model, known, penalty)
                 columns = [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(spans, spans_type)] * with_spans, names)
 
@@ -245,8 +250,17 @@ def model_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return train(docs.where(~held_out(docs[id_col])).select(docs[text_col].alias("text"), docs[lang_col].alias("lang")))
 
 
-def known_language_only(docs: DataFrame, model: Model, *, least_score: float = 0.5, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents, all their columns, whose language is known with `least_score`."""
-    found = identify(docs, model, id_col=id_col, **options)
-    out = found.where((F.col("lang_pred") == "und") | (F.col("score") < least_score)).select(F.col("doc_id").alias("_rejected_id")).distinct()
-    return docs.join(out, docs[id_col].eqNullSafe(out["_rejected_id"]), "left_anti")
+def known_language_only(docs: DataFrame, model: Model, *, least_score: float = 0.5, penalty: float = 12.0, text_col: str = "text") -> DataFrame:
+    """The documents, all their columns, whose language is known with `least_score`; each row is judged by its own text, whatever its id."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        known = WordScores(model)
+        for whole in batches:
+            for first in range(0, whole.num_rows, 1000):
+                batch = whole.slice(first, 1000)
+                langs, scores, _ = predictions([t.decode() for t in utf8(batch, text_col)], model, known, penalty)
+                yield batch.filter(pa.array([lang != "und" and score >= least_score for lang, score in zip(langs, scores, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

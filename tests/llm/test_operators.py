@@ -505,6 +505,25 @@ def test_stages_keep_the_columns(spark, sf, docs):
         assert stage(spark, docs, sf).columns == docs.columns
 
 
+def test_stages_judge_rows_not_ids(spark, docs):
+    """Ids repeat or are null: a row goes for its own text, and one row of each group stays."""
+    model = language_id.model_of(docs)
+    known = [r["text"] for r in language_id.known_language_only(docs.where("n_chars > 300"), model).orderBy("doc_id").limit(2).collect()]
+    rows = spark.createDataFrame([(1, known[0], 1), (1, "...", 2), (None, known[1], 3), (None, None, 4), (2, "", 5)], "doc_id long, text string, k int")
+    assert sorted(r["k"] for r in language_id.known_language_only(rows, model).collect()) == [1, 3]
+
+    bench = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
+    rows = spark.createDataFrame([(1, "x one two three four", 1), (1, "clean", 2), (None, "one two three four", 3), (None, "clean too", 4), (None, None, 5)], "doc_id long, text string, k int")
+    assert sorted(r["k"] for r in decontamination.drop_contaminated(rows, bench).collect()) == [2, 4, 5]
+
+    a, b, c, d = ([f"{x}{k}" for k in range(60)] for x in "abcd")
+    near = b[:59] + ["changed"]
+    made = [(5, a, 1), (3, a, 2), (3, a, 3), (3, b, 4), (7, near, 5), (None, near, 6), (None, c, 7), (None, c, 8), (None, c[:59] + ["changed"], 9), (5, d, 10), (8, [], 11), (8, [], 12), (None, [], 13)]
+    kept = jaccard_join.one_of_each(spark.createDataFrame([(i, " ".join(w), k) for i, w, k in made], "doc_id long, text string, k int")).collect()
+    found = sorted(r["k"] for r in kept)
+    assert len(found) == 7 and found[0] in (2, 3) and found[1] == 4 and found[2] in (7, 8, 9) and found[3:] == [10, 11, 12, 13]
+
+
 def test_sql_of_the_two_that_have_it(spark, sf):
     from compare import database, rows
 
