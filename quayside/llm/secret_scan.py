@@ -7,8 +7,10 @@ lengths gives the places, without markers in the text and in time linear in the
 The entropy kind looks at candidate strings: runs of base64 or URL-safe characters of at least `window` characters that
 hold a letter and a digit. A window slides over the candidate; the counts of its characters and the sum of c log2 c are
 kept up to date by the character that enters and the one that leaves, so each step costs the same. The limit depends on
-the character class (hexadecimal digits, one case with digits, or mixed). A candidate is reported whole if a window
-reaches its class's limit, unless the allow-list suppresses it or a pattern span overlaps it.
+the character class (hexadecimal digits, one case with digits, or mixed). Pattern spans are cut out of a candidate
+first; each part that is left and still is a candidate is reported whole if a window reaches its class's limit. The
+allow-list takes out a part only as a whole; its words (example, ...) take out the windows that touch them, so what stands
+beside such a word is looked at like any part.
 
 Null and empty texts have no spans; ids may be null or repeat; repeated rows repeat; tables may be empty; further
 columns are ignored. Everything is per row: there is no shuffle, so no key can be hot.
@@ -30,12 +32,14 @@ KINDS = (*BASE_KINDS, "entropy")
 #: Least entropy in bits per character of a window of 20, by class of the candidate's characters.
 LIMITS = {"hex": 3.1, "one_case": 3.6, "mixed": 3.9}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
-#: What looks random and is none: hyphenated ids, example keys, runs of one or two characters, integrity hashes.
-ALLOWED = r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|example|sample|placeholder|^(.{1,2})\2+$|^sha(1|256|384|512)-"
+#: What looks random and is none, as a whole: hyphenated ids, runs of one or two characters, integrity hashes of their lengths.
+ALLOWED = r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^(.{1,2})\2+$|^sha(1-.{27}|256-.{43}|384-.{64}|512-.{86})={0,2}$"
+#: Words of example keys; no window that touches one counts.
+EXAMPLE = r"(?i)(example|sample|placeholder)"
 
 
-def located(text: Column, pattern: str) -> Column:
-    """Array of (start, end, value) of all matches; `pattern` has one group, whose text is the value."""
+def located(text: Column, pattern: str, first: Column | None = None) -> Column:
+    """Array of (start, end, value) of all matches; `pattern` has one group, whose text is the value; places count from `first`, else 0."""
     whole = r"\G(?s:(.*?))(" + pattern + ")"
     gaps, found, values = (F.regexp_extract_all(text, F.lit(whole), F.lit(k)) for k in (1, 2, 3))
     parts = F.arrays_zip(gaps.alias("gap"), found.alias("match"), values.alias("value"))
@@ -46,7 +50,7 @@ def located(text: Column, pattern: str) -> Column:
         end = start + F.char_length(part["match"])
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(start.alias("start"), end.alias("end"), part["value"].alias("value")))).alias("out"))
 
-    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("out")), step)["out"]
+    return F.aggregate(parts, F.struct((F.lit(0) if first is None else first).alias("at"), empty.alias("out")), step)["out"]
 
 
 def none_of(kind_type: str = "array<struct<start:int,end:int,value:string>>") -> Column:
@@ -86,18 +90,43 @@ def window_entropy(value: Column, window: int) -> Column:
     return F.log2(F.lit(float(window))) - smallest / window
 
 
+def parts_beside(run: Column, taken: Column, least: int) -> Column:
+    """What is left of a run (start, end, value) beside the `taken` spans, in parts of `least` characters or more."""
+
+    def part(start: Column, end: Column) -> Column:
+        value = F.substring(run["value"], start - run["start"] + 1, end - start)
+        return F.when(end - start >= least, F.array(F.struct(start.alias("start"), end.alias("end"), value.alias("value")))).otherwise(none_of())
+
+    def step(state: Column, t: Column) -> Column:
+        return F.struct(F.greatest(state["at"], t["end"]).alias("at"), F.concat(state["out"], part(state["at"], t["start"])).alias("out"))
+
+    touching = F.filter(taken, lambda t: (t["start"] < run["end"]) & (t["end"] > run["start"]))
+    begin = F.struct(run["start"].alias("at"), none_of().alias("out"))
+    cut = F.aggregate(F.array_sort(touching), begin, step, lambda state: F.concat(state["out"], part(state["at"], run["end"])))
+    return F.when(F.size(touching) == 0, F.array(run)).otherwise(cut)
+
+
 def entropy_spans(text: Column, taken: Column, window: int) -> Column:
-    """Candidates with a window at their class's limit, neither allowed nor overlapping `taken` spans."""
+    """Candidates beside the `taken` spans, not allowed, with a window at their class's limit that touches no word of examples."""
     run = rf"([A-Za-z0-9+/_=-]{{{window},}})"
-    both = F.filter(located(text, run), lambda m: m["value"].rlike("[0-9]") & m["value"].rlike("[A-Za-z]"))
-    free = F.filter(both, lambda m: ~F.exists(taken, lambda t: (t["start"] < m["end"]) & (t["end"] > m["start"])))
-    fit = F.filter(free, lambda m: ~m["value"].rlike(ALLOWED))
+
+    def candidate(value: Column) -> Column:
+        return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & ~value.rlike(ALLOWED)
+
+    free = F.flatten(F.transform(located(text, run), lambda m: parts_beside(m, taken, window)))
+    fit = F.filter(free, lambda m: candidate(m["value"]))
 
     def limit(value: Column) -> Column:
         one_case = value.rlike("^[^a-z]*$") | value.rlike("^[^A-Z]*$")
         return F.when(value.rlike("^[0-9a-fA-F]+$"), LIMITS["hex"]).when(one_case, LIMITS["one_case"]).otherwise(LIMITS["mixed"])
 
-    return F.filter(fit, lambda m: window_entropy(m["value"], window) >= limit(m["value"]))
+    def random(value: Column) -> Column:
+        return candidate(value) & (window_entropy(value, window) >= limit(value))
+
+    def random_beside_words(m: Column) -> Column:
+        return F.exists(parts_beside(m, located(m["value"], EXAMPLE, m["start"]), window), lambda p: random(p["value"]))
+
+    return F.filter(fit, lambda m: F.when(m["value"].rlike(EXAMPLE), random_beside_words(m)).otherwise(random(m["value"])))
 
 
 def spans_of(text: Column, window: int = 20) -> dict[str, Column]:
