@@ -1,7 +1,7 @@
 """URL filters: host and path rules, and block decisions that follow redirects and canonical links to aliases.
 
 DataFrame functions only. Every url is split into host and path and judged by the longest rule that fits. Pages name
-aliases of themselves by canonical links and by immediate redirects in their html; urls and aliases are the nodes, those
+aliases of themselves by all canonical links and timed redirects in their html, of any length; urls and aliases are the nodes, those
 links the edges, and the connected components are found by distributed contraction. In a component, an explicit allow
 of any member comes before a block of any member, and decides for the members that have no rule of their own; without
 either, the verdict is allow. A page's own rule always stands.
@@ -20,8 +20,10 @@ from .components import components
 
 #: Rules are an argument and part of the plan; this is their bound.
 MOST_RULES = 1000
-CANONICAL = r"""(?is)<link\b(?=[^>]{0,2000}\brel\s{0,9}=\s{0,9}["']?canonical\b)[^>]{0,2000}?\bhref\s{0,9}=\s{0,9}["']?([^"'\s>]+)"""
-REDIRECT = r"""(?is)<meta\b(?=[^>]{0,2000}\bhttp-equiv\s{0,9}=\s{0,9}["']?refresh\b)[^>]{0,2000}?\bcontent\s{0,9}=\s{0,9}["']?\s{0,9}\d+\s{0,9};\s{0,9}url\s{0,9}=\s{0,9}["']?([^"'\s>]+)"""
+#: Whole tags of a page; values in quotes may hold ">".
+TAGS = r"""(?is)<((?:link|meta)\b(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>"""
+#: The time and the address of a refresh.
+REFRESH = r"""(?is)^\s*+(?=[\d.])\d*+(?:\.[\d.]*+)?(?:\s*+[;,]|\s)\s*+(?:url\s*+=\s*+)?["']?\s*+([^"'\s>]+)"""
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
 
 
@@ -49,24 +51,60 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Co
     return F.when(F.size(fits) > 0, F.struct(best["rule"].alias("rule"), best["verdict"].alias("verdict")))
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute, in quotes or without; empty if there is none."""
+    before = r"""(?is)^[a-z]++(?:[\s/]++(?!NAME\s*+=)[^\s=>/"']++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+[\s/]++NAME\s*+=\s*+"""
+    value = r"""(?:"([^"]*+)"|'([^']*+)'|["']?([^\s"'>]++))"""
+    pattern = before.replace("NAME", name) + value
+    return F.trim(F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)]))
+
+
+def without_dots(path: Column) -> Column:
+    """A path without "." and ".." segments."""
+    parts = F.split(path, "/")
+
+    def step(kept: Column, part: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1)))
+        return F.when(part == ".", kept).when(part == "..", up).otherwise(F.concat(kept, F.array(part)))
+
+    whole = F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
+    whole = F.when(path.rlike(r"(?s)/\.{1,2}$"), F.concat(whole, F.lit("/"))).otherwise(whole)
+    return F.when(path.rlike(r"(?s)/\.{1,2}(/|$)"), whole).otherwise(path)
+
+
 def absolute(link: Column, url: Column) -> Column:
     """A link of a page as a whole url."""
     scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
     site = F.concat(scheme, F.lit("://"), host_of(url))
     folder = F.regexp_extract(path_of(url), r"(?s)^(.*/)[^/]*$", 1)
+    bare, rest = F.regexp_extract(link, r"(?s)^([^?#]*)", 1), F.regexp_extract(link, r"(?s)^[^?#]*(.*)$", 1)
+    below = F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), bare)
     return (
-        F.when(link.contains("://"), link)
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(site, link))
-        .otherwise(F.concat(site, F.when(folder == "", F.lit("/")).otherwise(folder), link))
+        .when(link.startswith("/"), F.concat(site, without_dots(bare), rest))
+        .when(link.startswith("?"), F.concat(site, path_of(url), link))
+        .when(link.startswith("#"), F.concat(site, path_of(url), F.regexp_extract(url, PARTS, 3)))
+        .otherwise(F.concat(site, without_dots(below), rest))
     )
 
 
+def links_of(html: Column) -> Column:
+    """All canonical links and refresh addresses of a page."""
+
+    def link(tag: Column) -> Column:
+        is_link = tag.rlike("(?i)^link")
+        canonical = F.when(F.array_contains(F.split(F.lower(attribute(tag, "rel")), r"\s+"), "canonical"), attribute(tag, "href"))
+        refresh = F.when(F.lower(attribute(tag, "http-equiv")) == "refresh", F.regexp_extract(attribute(tag, "content"), REFRESH, 1))
+        return F.when(is_link, canonical).otherwise(refresh)
+
+    return F.filter(F.transform(F.regexp_extract_all(html, F.lit(TAGS), F.lit(1)), link), lambda t: t != "")
+
+
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Distinct `a, b` node pairs that pages name as the same content."""
-    targets = F.array(*[F.regexp_extract(html, pattern, 1) for pattern in (CANONICAL, REDIRECT)])
     hinted = pages.where(F.col(html).rlike("(?i)canonical|refresh") & F.col(url).contains("://"))
-    named = hinted.select(F.col(url).alias("url"), F.explode(F.filter(targets, lambda t: t != "")).alias("link"))
+    named = hinted.select(F.col(url).alias("url"), F.explode(links_of(F.col(html))).alias("link"))
     pairs = named.select(node_of(F.col("url")).alias("a"), node_of(absolute(F.col("link"), F.col("url"))).alias("b"))
     return pairs.where("a IS NOT NULL AND b IS NOT NULL AND a != b").distinct()
 

@@ -103,6 +103,23 @@ def test_blocks_follow_aliases_and_allow_comes_first(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "block"}
 
 
+def test_aliases_without_bounds(spark):
+    """Long tags, several links of a page, forms of refresh, and relative links all give edges."""
+    long = "x" * 5000
+    made = [
+        (f'<link data-x="{long}" rel = "canonical"            href="/far">', {"a.test/far"}),
+        ('<link rel=canonical href=/one><LINK href="/two" rel="canonical">', {"a.test/one", "a.test/two"}),
+        ('<meta http-equiv="refresh" content="0.5; url=/half">', {"a.test/half"}),
+        ("<meta content='0, URL=/comma' http-equiv=Refresh>", {"a.test/comma"}),
+        ('<link rel="canonical" href="../up">', {"a.test/d/up"}),
+        ('<link rel="canonical" href="./here"><link rel="canonical" href="?q=1">', {"a.test/d/e/here", "a.test/d/e/p?q=1"}),
+        ('<link rel="stylesheet" href="/s"><meta http-equiv="refresh" content="30"><meta http-equiv="refresh" content="30s">', set()),
+        ("<meta name=a content=it's><link title='a>b' rel=canonical href=/quoted> 's", {"a.test/quoted"}),
+    ]
+    pages = spark.createDataFrame([("http://a.test/d/e/p", h) for h, _ in made], "url string, html string")
+    assert {r["b"] for r in url_filters.alias_edges(pages).collect()} == set().union(*[e for _, e in made])
+
+
 def test_components_of_chain_star_and_cycle(spark):
     edges = [(k, k + 1) for k in range(100, 160)] + [(1, k) for k in range(2, 30)] + [(50, 51), (51, 52), (52, 50), (7, 7)]
     got = dict(pairs(components.components(spark.createDataFrame(edges, "a long, b long"))))
