@@ -8,12 +8,14 @@ Texts are split at ASCII white space first: the normaliser and the pre-tokeniser
 text is the sum over its white-space-free chunks, and chunks that recur are counted once per worker.
 
 Null text counts as empty (0 bytes, 0 tokens); a null id stays null; repeated rows give repeated results; an empty table
-gives an empty table; further columns of the input are ignored.
+gives an empty table; further columns of the input are ignored. A very long text is counted whole, chunk by chunk; only a
+chunk without any white space is held (and merged) at once, and long chunks aren't remembered. There are no ties.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -23,8 +25,12 @@ from pyspark.sql import DataFrame
 
 from .common import pick, utf8
 
-#: Fixed pattern of the vocabulary file's pre-tokeniser, for texts of ASCII characters only.
+#: Fixed values of the vocabulary file: its normaliser and pre-tokeniser, on which the splitting at white space rests.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same pattern for lower-case printable ASCII, whose characters the byte-level alphabet spells as themselves.
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+PRINTABLE = bytes(range(33, 127))
 
 
 @functools.lru_cache(maxsize=4)
@@ -35,6 +41,18 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@functools.lru_cache(maxsize=4)
+def checked(path: str) -> str:
+    """The path, if its file splits and normalises as this module takes for granted."""
+    with open(path, encoding="utf-8") as file:
+        said = json.load(file)
+    split, spelled = (said["pre_tokenizer"] or {}).get("pretokenizers", [{}, {}])[:2]
+    known = said["normalizer"] == NORMALIZER and split.get("pattern") == {"Regex": PIECES} and split.get("invert") and split.get("behavior") == "Removed"
+    if not known or spelled.get("type") != "ByteLevel" or spelled.get("use_regex") or spelled.get("add_prefix_space"):
+        raise ValueError(f"{path} doesn't split texts at white space in the known way")
+    return path
+
+
 def whole_tokens(path: str) -> frozenset[str]:
     """The pre-tokens that the merges turn into one token, out of all vocabulary strings that end a word.
 
@@ -52,14 +70,14 @@ def whole_tokens(path: str) -> frozenset[str]:
 
 
 class ChunkCounts(dict):
-    """Tokens of a chunk without white space, kept until `most` chunks are known (then it starts anew)."""
+    """Tokens of a chunk without white space; chunks of up to `longest` bytes are kept until there are `most` of them."""
 
-    def __init__(self, path: str, whole: frozenset[str], most: int = 400_000):
+    def __init__(self, path: str, whole: frozenset[str], most: int = 400_000, longest: int = 64):
         super().__init__()
-        self.tok, self.whole, self.most = _tokenizer(path), whole, most
+        self.tok, self.whole, self.most, self.longest = _tokenizer(path), whole, most, longest
 
     def pieces(self, chunk: bytes) -> list[str]:
-        if chunk.isascii():
+        if not chunk.translate(None, PRINTABLE):
             return ASCII_PIECES.findall(chunk.decode().lower())
         text = self.tok.normalizer.normalize_str(chunk.decode())
         return [piece for piece, _ in self.tok.pre_tokenizer.pre_tokenize_str(text)]
@@ -68,9 +86,10 @@ class ChunkCounts(dict):
         tokens = 0
         for piece in self.pieces(chunk):
             tokens += 1 if piece in self.whole else len(self.tok.model.tokenize(piece))
-        if len(self) >= self.most:
-            self.clear()
-        self[chunk] = tokens
+        if len(chunk) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[chunk] = tokens
         return tokens
 
 
@@ -78,15 +97,16 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     """`doc_id, n_bytes, n_tokens, over_limit` of every text; special strings in a text count as their one token."""
     spark = docs.sparkSession
     rows = pick(docs, doc_id=id_col, text=text_col)
-    whole = spark.sparkContext.broadcast(whole_tokens(tokenizer_path))
-    special = re.compile(b"|".join(re.escape(t.content.encode()) for t in _tokenizer(tokenizer_path).get_added_tokens_decoder().values()) or rb"(?!)")
+    whole = spark.sparkContext.broadcast(whole_tokens(checked(tokenizer_path)))
+    added = [t.content.encode() for t in _tokenizer(tokenizer_path).get_added_tokens_decoder().values()]
+    special = re.compile(b"|".join(map(re.escape, sorted(added, key=len, reverse=True))) or rb"(?!)")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = ChunkCounts(tokenizer_path, whole.value)
         for batch in batches:
             sizes, tokens = [], []
             for text in utf8(batch, "text"):
-                specials = len(special.findall(text)) if b"<|" in text else 0
+                specials = len(special.findall(text)) if any(a in text for a in added) else 0
                 parts = special.split(text) if specials else (text,)
                 sizes.append(len(text))
                 tokens.append(specials + sum(counts[chunk] for part in parts for chunk in part.split()))
