@@ -1,11 +1,12 @@
 """Secret scans with DataFrame functions only: fixed patterns, and windows of high entropy in candidate strings.
 
 Pattern matches are leftmost and non-overlapping per kind, with their places in code points. An expression that is
-anchored where the last match ended takes the text up to the next match as one group and the match as another; summing
-lengths gives the places, without markers in the text and in time linear in the text.
+anchored where the last match ended takes the text up to the next match as one group and the match as another; running
+sums of the lengths give the places. No array or string grows by appending, so the time is linear in the text, but for a
+logarithm of the number of matches.
 
 The entropy kind looks at candidate strings: runs of base64 or URL-safe characters of at least `window` characters that
-hold a letter and a digit. A window slides over the candidate; the counts of its characters and the sum of c log2 c are
+hold a letter and a digit. A window slides over the candidate; the sum of c log2 c over the counts of its characters is
 kept up to date by the character that enters and the one that leaves, so each step costs the same. The limit depends on
 the character class (hexadecimal digits, one case with digits, or mixed). Pattern spans are cut out of a candidate
 first; each part that is left and still is a candidate is reported whole if a window reaches its class's limit. The
@@ -13,11 +14,16 @@ allow-list takes out a part only as a whole; its words (example, ...) take out t
 beside such a word is looked at like any part.
 
 Null and empty texts have no spans; ids may be null or repeat; repeated rows repeat; tables may be empty; further
-columns are ignored. Everything is per row: there is no shuffle, so no key can be hot.
+columns are ignored, whatever their names. Texts and candidates may be of any length. Kinds that start at one place come
+in the order of `KINDS`. Everything is per row: there is no shuffle, so no key can be hot.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from itertools import pairwise
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,26 +37,37 @@ BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "entropy")
 #: Least entropy in bits per character of a window of 20, by class of the candidate's characters.
 LIMITS = {"hex": 3.1, "one_case": 3.6, "mixed": 3.9}
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 #: What looks random and is none, as a whole: hyphenated ids, runs of one or two characters, integrity hashes of their lengths.
 ALLOWED = r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^(.{1,2})\2+$|^sha(1-.{27}|256-.{43}|384-.{64}|512-.{86})={0,2}$"
 #: Words of example keys; no window that touches one counts.
 EXAMPLE = r"(?i)(example|sample|placeholder)"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, by an array of one."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def scanned(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """Running results of an associative `op` over an array, by doubling: n log n steps, and no array grows by appending."""
+
+    def doubled(done: Column, k: Column) -> Column:
+        ahead = F.concat(F.slice(done, 1, F.least(k, F.size(done))), F.zip_with(F.slice(done, 1, F.greatest(F.size(done) - k, F.lit(0))), F.slice(done, k + 1, F.size(done)), op))
+        return ahead
+
+    steps = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")), lambda k: F.pow(F.lit(2.0), k).cast("int"))
+    return F.when(F.size(values) < 2, values).otherwise(F.aggregate(steps, values, doubled))
+
+
 def located(text: Column, pattern: str, first: Column | None = None) -> Column:
     """Array of (start, end, value) of all matches; `pattern` has one group, whose text is the value; places count from `first`, else 0."""
     whole = r"\G(?s:(.*?))(" + pattern + ")"
     gaps, found, values = (F.regexp_extract_all(text, F.lit(whole), F.lit(k)) for k in (1, 2, 3))
-    parts = F.arrays_zip(gaps.alias("gap"), found.alias("match"), values.alias("value"))
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-
-    def step(state: Column, part: Column) -> Column:
-        start = state["at"] + F.char_length(part["gap"])
-        end = start + F.char_length(part["match"])
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(start.alias("start"), end.alias("end"), part["value"].alias("value")))).alias("out"))
-
-    return F.aggregate(parts, F.struct((F.lit(0) if first is None else first).alias("at"), empty.alias("out")), step)["out"]
+    first = F.lit(0) if first is None else first
+    sizes = F.zip_with(gaps, found, lambda gap, match: F.char_length(gap) + F.char_length(match))
+    ends = scanned(sizes, lambda a, b: a + b)
+    parts = F.arrays_zip(ends.alias("end"), found.alias("match"), values.alias("value"))
+    return F.transform(parts, lambda p: F.struct((first + p["end"] - F.char_length(p["match"])).alias("start"), (first + p["end"]).alias("end"), p["value"].alias("value")))
 
 
 def none_of(kind_type: str = "array<struct<start:int,end:int,value:string>>") -> Column:
@@ -63,47 +80,72 @@ def pattern_spans(text: Column, pattern: str, least: int, hint: Column) -> Colum
     return F.when(hint, long_enough).otherwise(none_of())
 
 
+def pieces_of(value: Column, size: int, overlap: int) -> Column:
+    """An ASCII string in pieces of up to `size` characters, each with the last `overlap` ones before it."""
+    step = size - overlap
+    data = F.encode(value, "UTF-8")
+    starts = F.sequence(F.lit(0), F.greatest(F.char_length(value) - overlap - 1, F.lit(0)), F.lit(step))
+    return bound(data, lambda d: F.transform(starts, lambda at: F.decode(F.substring(d, at + 1, F.lit(size)), "UTF-8")))
+
+
 def window_entropy(value: Column, window: int) -> Column:
-    """The largest Shannon entropy, in bits per character, of `window` characters in a row."""
+    """The largest Shannon entropy, in bits per character, of `window` characters in a row of an ASCII string of as many.
+
+    With c of a character among the others of a window, the sum of c log2 c grows by a fixed value as it enters and falls
+    by one as it leaves; c is counted in the characters that stay. Values are whole numbers of 1e-12, so every order of
+    adding gives the same sum. Pieces of the value keep each look at a character short.
+    """
+    terms = [round(1e12 * c * math.log2(c)) if c else 0 for c in range(window + 2)]
+    change = F.array(*[F.lit(b - a) for a, b in pairwise(terms)])
+
+    def least_sum(piece: Column) -> Column:
+        def times(char: Column, among: Column) -> Column:
+            return F.char_length(among) - F.char_length(F.replace(among, char, F.lit("")))
+
+        def moved(at: Column) -> Column:
+            begin = F.greatest(at - window + 1, F.lit(1))
+            stay, enter = F.substring(piece, begin, at - begin), F.substring(piece, at, F.lit(1))
+            gain = bound(stay, lambda s: F.element_at(change, times(enter, s) + 1) - F.when(at > window, F.element_at(change, times(F.substring(piece, at - window, F.lit(1)), s) + 1)).otherwise(F.lit(0)))
+            return gain
 
-    def term(c: Column) -> Column:
-        return F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
+        def step(state: Column, at: Column) -> Column:
+            return bound(state["sum"] + moved(at), lambda total: F.struct(total.alias("sum"), F.when(at >= window, F.least(state["least"], total)).otherwise(state["least"]).alias("least")))
 
-    def changed(state: Column, place: Column, by: int) -> Column:
-        count = F.element_at(state["counts"], place)
-        counts = F.transform(state["counts"], lambda c, k: F.when(k == place - 1, c + by).otherwise(c))
-        return F.struct(counts.alias("counts"), (state["sum"] - term(count) + term(count + by)).alias("sum"), state["least"].alias("least"))
+        start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(1 << 62).alias("least"))
+        return F.aggregate(F.sequence(F.lit(1), F.char_length(piece)), start, step, lambda state: state["least"])
 
-    def slot(at: Column) -> Column:
-        return F.instr(F.lit(ALPHABET), F.substring(value, at, F.lit(1)))
+    smallest = F.array_min(F.transform(pieces_of(value, 12 * window, window - 1), least_sum))
+    return F.log2(F.lit(float(window))) - smallest / (1e12 * window)
 
-    def entered(state: Column, at: Column) -> Column:
-        with_new = changed(state, slot(at), 1)
-        return F.when(at > window, changed(with_new, slot(at - window), -1)).otherwise(with_new)
 
-    def step(state: Column, at: Column) -> Column:
-        # An array of one struct binds the new state, so that it is computed once.
-        return F.transform(F.array(entered(state, at)), lambda s: F.struct(s["counts"].alias("counts"), s["sum"].alias("sum"), F.when(at >= window, F.least(s["least"], s["sum"])).otherwise(s["least"]).alias("least")))[0]
+def free_places(spans: Column, first: Column, last: Column) -> Column:
+    """(start, end) of what lies between first and last and beside the spans (start, end, ...), in order; empty where spans touch."""
 
-    start = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(1e9).alias("least"))
-    smallest = F.aggregate(F.sequence(F.lit(1), F.char_length(value)), start, step)["least"]
-    return F.log2(F.lit(float(window))) - smallest / window
+    def cut(own: Column) -> Column:
+        reach = scanned(F.transform(own, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        ends = F.concat(F.array(first), reach)
+        starts = F.concat(F.transform(own, lambda s: s["start"]), F.array(last))
+        gaps = F.zip_with(ends, starts, lambda e, s: F.struct(e.alias("start"), s.alias("end")))
+        return F.filter(gaps, lambda g: g["end"] >= g["start"])
 
+    return bound(F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))), cut)
 
-def parts_beside(run: Column, taken: Column, least: int) -> Column:
-    """What is left of a run (start, end, value) beside the `taken` spans, in parts of `least` characters or more."""
 
-    def part(start: Column, end: Column) -> Column:
-        value = F.substring(run["value"], start - run["start"] + 1, end - start)
-        return F.when(end - start >= least, F.array(F.struct(start.alias("start"), end.alias("end"), value.alias("value")))).otherwise(none_of())
+def texts_at(text: Column, places: Column, first: Column) -> Column:
+    """(start, end, value) of places in a text that begins at `first`. Four bytes a character make every look equally cheap."""
 
-    def step(state: Column, t: Column) -> Column:
-        return F.struct(F.greatest(state["at"], t["end"]).alias("at"), F.concat(state["out"], part(state["at"], t["start"])).alias("out"))
+    def read(wide: Column) -> Column:
+        return F.transform(places, lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), F.decode(F.substring(wide, 4 * (p["start"] - first) + 1, 4 * (p["end"] - p["start"])), "UTF-32").alias("value")))
 
-    touching = F.filter(taken, lambda t: (t["start"] < run["end"]) & (t["end"] > run["start"]))
-    begin = F.struct(run["start"].alias("at"), none_of().alias("out"))
-    cut = F.aggregate(F.array_sort(touching), begin, step, lambda state: F.concat(state["out"], part(state["at"], run["end"])))
-    return F.when(F.size(touching) == 0, F.array(run)).otherwise(cut)
+    return bound(F.encode(text, "UTF-32"), read)
+
+
+def parts_beside(text: Column, spans: Column, first: Column, least: int) -> Column:
+    """(start, end, value) of the parts of a text, which begins at `first`, beside the spans, of `least` characters or more."""
+    last = first + F.char_length(text)
+    whole = F.array(F.struct(first.alias("start"), last.alias("end"), text.alias("value")))
+    long_enough = F.filter(free_places(spans, first, last), lambda p: p["end"] - p["start"] >= least)
+    return F.when(F.size(spans) == 0, whole).otherwise(texts_at(text, long_enough, first))
 
 
 def entropy_spans(text: Column, taken: Column, window: int) -> Column:
@@ -113,7 +155,7 @@ def entropy_spans(text: Column, taken: Column, window: int) -> Column:
     def candidate(value: Column) -> Column:
         return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & ~value.rlike(ALLOWED)
 
-    free = F.flatten(F.transform(located(text, run), lambda m: parts_beside(m, taken, window)))
+    free = F.flatten(F.transform(parts_beside(text, taken, F.lit(0), window), lambda p: located(p["value"], run, p["start"])))
     fit = F.filter(free, lambda m: candidate(m["value"]))
 
     def limit(value: Column) -> Column:
@@ -124,7 +166,7 @@ def entropy_spans(text: Column, taken: Column, window: int) -> Column:
         return candidate(value) & (window_entropy(value, window) >= limit(value))
 
     def random_beside_words(m: Column) -> Column:
-        return F.exists(parts_beside(m, located(m["value"], EXAMPLE, m["start"]), window), lambda p: random(p["value"]))
+        return F.exists(parts_beside(m["value"], located(m["value"], EXAMPLE, m["start"]), m["start"], window), lambda p: (F.char_length(p["value"]) >= window) & random(p["value"]))
 
     return F.filter(fit, lambda m: F.when(m["value"].rlike(EXAMPLE), random_beside_words(m)).otherwise(random(m["value"])))
 
@@ -168,23 +210,15 @@ def secrets(docs: DataFrame, **options) -> DataFrame:
 
 
 def redacted(docs: DataFrame, *, window: int = 20, text_col: str = "text", mask: str = "[secret]") -> DataFrame:
-    """The documents, all their columns, with every span of any kind masked in the text; overlapping spans are one."""
-    names = {kind: f"_span_{kind}" for kind in KINDS}
+    """The documents, all their columns, with every span of any kind masked in the text; spans that overlap are one."""
     text = F.coalesce(docs[text_col], F.lit(""))
     by_kind = spans_of(text, window)
-    found = docs.withColumns({names[kind]: by_kind[kind] for kind in BASE_KINDS})
-    taken = F.concat(*[F.col(names[kind]) for kind in BASE_KINDS])
-    runs = F.when(text.rlike(rf"[A-Za-z0-9+/_=-]{{{window}}}"), entropy_spans(text, taken, window)).otherwise(none_of())
-    found = found.withColumn(names["entropy"], runs)
-    every = F.array_sort(F.transform(F.concat(*[F.col(n) for n in names.values()]), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, span: Column) -> Column:
-        kept = F.concat(state["out"], F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0))), F.when(span["end"] > state["at"], F.lit(mask)).otherwise(F.lit("")))
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), kept.alias("out"))
-
-    def rest(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(text, state["at"] + 1, F.char_length(text)))
-
-    masked = F.when(F.size(every) > 0, F.aggregate(every, start, step, rest)).otherwise(F.col(text_col))
-    return found.withColumn(text_col, masked).select(*docs.columns)
+
+    def masked(spans: Column) -> Column:
+        kept = texts_at(text, free_places(spans, F.lit(0), F.char_length(text)), F.lit(0))
+        return F.when(F.size(spans) > 0, F.array_join(F.transform(kept, lambda p: p["value"]), mask)).otherwise(docs[text_col])
+
+    runs = text.rlike(rf"[A-Za-z0-9+/_=-]{{{window}}}")
+    base = F.concat(*[by_kind[kind] for kind in BASE_KINDS])
+    hidden = bound(base, lambda taken: bound(F.when(runs, F.concat(taken, entropy_spans(text, taken, window))).otherwise(taken), masked))
+    return docs.select(*[hidden.alias(c) if c == text_col else docs[c] for c in docs.columns])
