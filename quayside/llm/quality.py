@@ -1,12 +1,14 @@
 """Quality classifier from weak labels.
 
-Eight heuristics vote good, bad or nothing on every document. Documents with the same votes are one pattern (3^8 at
-most), so one aggregation over all documents gives all that expectation-maximisation needs; it estimates how often each
+Eight heuristics vote good, bad or neither on every document, or are unable to. Documents with the same votes are one
+pattern (4^8 at most), so one aggregation over all documents gives all that expectation-maximisation needs; it estimates how often each
 heuristic votes what for either class, and the posterior of every pattern. The posteriors then are the labels of a
-hashed linear scorer, fitted on a bounded sample of documents (`fit_rows`, by a hash of the id), which scores all texts.
+hashed linear scorer, fitted on a bounded sample of documents (`fit_rows` at most, by a hash of the id), which scores all
+texts.
 
-Nulls and empty texts get no votes and score 0 (not kept). Ids may be null or repeat; tables may be empty; columns other
-than id and text are ignored.
+Nulls and empty texts get no votes and score 0 (not kept). Ids may be null or repeat; repeated rows score alike; tables
+may be empty; columns other than id and text are ignored. Very long texts are read whole. A score equal to the threshold
+is kept.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import pick, utf8
 
-GOOD, BAD, NONE = 1, 0, 2
+BAD, GOOD, NONE, UNABLE = range(4)
 BITS = 16
 LETTERS = re.compile(rb"[A-Za-z\x80-\xff]+")
 LABELLERS = ("symbols", "capitals", "variety", "repeats", "stops", "lines", "lengths", "shape")
@@ -42,11 +44,11 @@ def between(value: float, bad_below: float, good_from: float, good_to: float, ba
 
 
 def votes(text: bytes) -> list[int]:
-    """One vote per labeller; texts of fewer than eight words get none from those that need words."""
+    """One vote per labeller; those that need words are unable to on texts of fewer than eight."""
     words = text.split()
     n = len(words)
     if not n:
-        return [NONE] * len(LABELLERS)
+        return [UNABLE] * len(LABELLERS)
     upper, lower = share_of(text, UPPER), share_of(text, LOWER)
     lines = [x for x in text.split(b"\n") if x]
     enough = n >= 8
@@ -55,22 +57,22 @@ def votes(text: bytes) -> list[int]:
     return [
         between(share_of(text, ODD), 0, 0, 0.01, 0.05),
         between(upper / max(upper + lower, 1e-9), 0, 0, 0.15, 0.4),
-        between(len(set(words)) / n, 0.3 if n < 2000 else 0.1, 0.45, 1, 1) if enough else NONE,
-        between(repeats, 0, 0, 0.02, 0.1) if enough else NONE,
-        between(ends, 0.01, 0.03, 0.35, 0.6) if enough else NONE,
-        between(len(set(lines)) / len(lines), 0.5, 0.9, 1, 1) if len(lines) > 2 else NONE,
-        between(len(text) / n, 3, 4, 9, 14) if enough else NONE,
-        between(sum(w.isalpha() or w[:-1].isalpha() or not w.isascii() for w in words) / n, 0.5, 0.9, 1, 1) if enough else NONE,
+        between(len(set(words)) / n, 0.3 if n < 2000 else 0.1, 0.45, 1, 1) if enough else UNABLE,
+        between(repeats, 0, 0, 0.02, 0.1) if enough else UNABLE,
+        between(ends, 0.01, 0.03, 0.35, 0.6) if enough else UNABLE,
+        between(len(set(lines)) / len(lines), 0.5, 0.9, 1, 1) if len(lines) > 2 else UNABLE,
+        between(len(text) / n, 3, 4, 9, 14) if enough else UNABLE,
+        between(sum(w.isalpha() or w[:-1].isalpha() or not w.isascii() for w in words) / n, 0.5, 0.9, 1, 1) if enough else UNABLE,
     ]
 
 
 def pattern_of(own: list[int]) -> int:
-    return sum(v * 3**k for k, v in enumerate(own))
+    return sum(v << 2 * k for k, v in enumerate(own))
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> np.ndarray:
     """Posterior of good for each pattern, by expectation-maximisation over (patterns, labellers) votes."""
-    voted = patterns != NONE
+    voted = patterns < NONE
     # To begin with, the share of good votes; better-than-chance labellers keep the classes from changing places.
     p = np.where(voted.any(axis=1), ((patterns == GOOD).sum(axis=1) + 1) / (voted.sum(axis=1) + 2), 0.5)
     for _ in range(rounds):
@@ -78,7 +80,8 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> np.
         logs = np.zeros((2, len(patterns)))
         for k, weight in ((GOOD, p), (BAD, 1 - p)):
             table = np.stack([((counts * weight)[:, None] * (patterns == v)).sum(axis=0) for v in (BAD, GOOD, NONE)]) + 1.0
-            table /= table.sum(axis=0)
+            # Who can't vote says nothing: short texts, on which few can, aren't bad for that.
+            table = np.concatenate([table / table.sum(axis=0), np.ones((1, patterns.shape[1]))])
             logs[k] = np.log(table)[patterns, np.arange(patterns.shape[1])].sum(axis=1) + np.log(max(prior if k == GOOD else 1 - prior, 1e-9))
         new = 1 / (1 + np.exp(np.clip(logs[BAD] - logs[GOOD], -50, 50)))
         if np.abs(new - p).max() < 1e-9:
@@ -122,12 +125,12 @@ def voted(rows: DataFrame) -> DataFrame:
 
 
 def posteriors(rows: DataFrame) -> tuple[dict[int, float], int]:
-    """Posterior by vote pattern, and the number of rows; 3^8 sums at most reach the driver."""
+    """Posterior by vote pattern, and the number of rows; 4^8 sums at most reach the driver."""
     sums = {r["pattern"]: r["n"] for r in voted(rows).groupBy("pattern").agg(F.count("*").alias("n")).collect()}
     if not sums:
         return {}, 0
     codes = np.array(sorted(sums))
-    patterns = codes[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
+    patterns = codes[:, None] >> 2 * np.arange(len(LABELLERS)) & 3
     counts = np.array([sums[int(c)] for c in codes], float)
     return dict(zip(codes.tolist(), estimate(patterns, counts).tolist(), strict=True)), int(counts.sum())
 
@@ -147,17 +150,24 @@ def fit(sample: list[tuple[np.ndarray, np.ndarray]], targets: np.ndarray, *, epo
 
 
 def sampled(rows: DataFrame, by_pattern: dict[int, float], total: int, fit_rows: int) -> tuple[list, np.ndarray]:
-    """Features and posteriors of about `fit_rows` documents, chosen by a hash of their ids and texts' lengths."""
-    share = min(1.0, fit_rows / max(1, total))
-    picked = rows.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_003)) < F.lit(int(1_000_003 * share) + 1))
+    """Features and posteriors of `fit_rows` documents at most: those of the smallest hashes of id and length.
+
+    A first cut at twice the share asked for keeps the rows that are looked at few; the limit then holds exactly, also
+    where a third of all rows have one hash. Every task gives its `fit_rows` smallest at most.
+    """
+    h = F.xxhash64("doc_id", F.length("text")).bitwiseAND(F.lit((1 << 63) - 1))
+    share = min(1.0, 2 * fit_rows / max(1, total))
+    picked = rows.withColumn("hash", h).where(F.col("hash") <= F.lit(int(share * ((1 << 63) - 1)) if share < 1 else (1 << 63) - 1))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = Slots()
         for batch in batches:
             made = [(pattern_of(votes(t)), *features(t, slots)) for t in utf8(batch, "text")]
-            yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int32()), pa.array([m[1].astype(np.int32) for m in made], pa.list_(pa.int32())), pa.array([m[2] for m in made], pa.list_(pa.float32()))], ["pattern", "at", "value"])
+            columns = [batch.column(0), pa.array([m[0] for m in made], pa.int32()), pa.array([m[1].astype(np.int32) for m in made], pa.list_(pa.int32())), pa.array([m[2] for m in made], pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["hash", "pattern", "at", "value"])
 
-    found = sorted((r["pattern"], tuple(r["at"]), tuple(r["value"])) for r in picked.mapInArrow(each, "pattern int, at array<int>, value array<float>").toLocalIterator())
+    made = picked.select("hash", "text").mapInArrow(each, "hash long, pattern int, at array<int>, value array<float>")
+    found = sorted((r["pattern"], tuple(r["at"]), tuple(r["value"])) for r in made.orderBy("hash", "pattern", "at").limit(fit_rows).collect())
     return [(np.array(at, np.int64), np.array(value, np.float32)) for _, at, value in found], np.array([by_pattern.get(p, 0.5) for p, _, _ in found])
 
 
