@@ -15,13 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see. Only a session that names none (a test on one machine) gets a temporary one."""
+    """The folder that all executors see. A session that names none gets a temporary one if it is on one machine, else an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path and (set_before := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
         path = set_before.get()
+    if not path and spark.sparkContext.master.partition("[")[0] != "local":
+        raise RuntimeError("a cluster needs a folder that all executors see: set spark.checkpoint.dir")
     return path or "file://" + tempfile.mkdtemp(prefix="quayside-")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote and no frame reads any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder and read from there, so lost executors cost no recomputation."""
     sc = df.sparkSession.sparkContext
