@@ -62,7 +62,7 @@ def votes(text: bytes) -> list[int]:
         between(ends, 0.01, 0.03, 0.35, 0.6) if enough else UNABLE,
         between(len(set(lines)) / len(lines), 0.5, 0.9, 1, 1) if len(lines) > 2 else UNABLE,
         between(len(text) / n, 3, 4, 9, 14) if enough else UNABLE,
-        between(sum(w.isalpha() or w[:-1].isalpha() or not w.isascii() for w in words) / n, 0.5, 0.9, 1, 1) if enough else UNABLE,
+        between(sum(w.isalpha() or w[:-1].isalpha() or not w.isascii() for w in words) / n, 0.7, 0.9, 1, 1) if enough else UNABLE,
     ]
 
 
