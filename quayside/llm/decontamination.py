@@ -4,22 +4,22 @@ A window is `width` consecutive words of an item (all its words if it has fewer)
 window occurs in a document only if all its shingles do, so one shingle is a sufficient prefix; the rarest is taken.
 
 1. Windows are made per item and numbered over their distinct words; windows are handled in blocks of at most
-   `block_windows`, so what is broadcast is bounded whatever the benchmark's size.
+   `block_windows`, one at a time, so what the driver holds and broadcasts is bounded whatever the benchmark's size.
 2. One pass over all documents counts in how many of them each shingle of a block occurs (partial sums, one row per
    shingle). Shingles are ordered by that rarity, and each window keeps its rarest with the shingle's position in it.
 3. A second pass finds the prefix shingles in every whole document. A hit at word p of a shingle at position o asks for
    a window starting at p - o: positions before the start or beyond the end are out (position and length bound), and
    the rest is verified word by word over the item-sized window.
 
-Each block is one narrow pass after the other over the documents: nothing of a document is shuffled.
-
 Null texts have no words; an item without words has no windows; items with a null id are left out; an item id that
 occurs again adds its windows to the id; repeated documents give repeated rows; empty tables give no hits or no rows;
-the input's further columns are ignored.
+the input's further columns are ignored. Very long texts are searched whole. Of a window's shingles that are equally rare
+the one with the smallest code is its prefix.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from itertools import batched
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from .common import pick, utf8
+from .common import durable, pick, utf8
 
 #: Bytes that belong to words stay (A-Z in lower case); all others become blanks.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -134,7 +134,7 @@ def item_windows(items: DataFrame, width: int, id_col: str, text_col: str) -> It
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(out, pa.binary())], ["item", "window"])
 
     rows = items.select(items[id_col].cast("string").alias("item"), items[text_col].alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
-    made = rows.mapInArrow(cut, "item string, window binary").distinct().orderBy("item", "window")
+    made = durable(rows.mapInArrow(cut, "item string, window binary").distinct().orderBy("item", "window"))
     for row in made.toLocalIterator():
         yield row["item"], tuple(bytes(row["window"]).split())
 
@@ -157,8 +157,12 @@ def rarity(rows: DataFrame, block: Block) -> dict[tuple[int, int], int]:
             seen = np.flatnonzero(totals[size])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), size), pa.int32()), pa.array(codes[seen]), pa.array(totals[size][seen])], ["size", "code", "n"])
 
+    if not block.windows:
+        return {}
     counts = rows.select("text").mapInArrow(count, "size int, code long, n long").groupBy("size", "code").agg(F.sum("n").alias("n"))
-    return {(r["size"], r["code"]): r["n"] for r in counts.collect()}
+    found = {(r["size"], r["code"]): r["n"] for r in counts.collect()}
+    shared.destroy()
+    return found
 
 
 def find_windows(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -166,46 +170,85 @@ def find_windows(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
     return searched(pick(docs, doc_id=id_col, text=text_col), items, **options).drop("text")
 
 
-def searched(rows: DataFrame, items: DataFrame, *, width: int = 10, shingle: int = 3, block_windows: int = 200_000, item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows, of any first column and `text`, with `n_words, spans, items`: what is found stays with its row."""
+SPANS = ArrayType(StructType().add("start", LongType()).add("end", LongType()))
+SPANS_ARROW = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def merged(n_words: int, found: Iterator[tuple[np.ndarray, np.ndarray]]) -> list[dict]:
+    """Word spans [start, end) of a document that any of the found (starts, ends) cover."""
+    edges = np.zeros(n_words + 1, np.int64)
+    for starts, ends in found:
+        np.add.at(edges, starts, 1)
+        np.add.at(edges, ends, -1)
+    hit = np.diff(np.concatenate([[0], (np.cumsum(edges) > 0).astype(np.int8), [0]]))
+    return [{"start": s, "end": e} for s, e in zip(np.flatnonzero(hit == 1).tolist(), np.flatnonzero(hit == -1).tolist(), strict=True)]
+
+
+def search_block(rows: DataFrame, prefixes, *, only_hits: bool) -> DataFrame:
+    """The rows, of any first column and `text`, with `n_words, spans, items` of one block (a broadcast); `only_hits` gives only rows with spans, without texts."""
     first = rows.columns[0]
-    span = StructType().add("start", LongType()).add("end", LongType())
-    schema = StructType(list(rows.schema)).add("n_words", LongType()).add("spans", ArrayType(span)).add("items", ArrayType(StringType()))
-    spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"), F.array().cast("array<string>").alias("items")
-    out = rows.select(first, "text", F.lit(0).cast("long").alias("n_words"), *none)
+    fields = [rows.schema[first]] if only_hits else list(rows.schema)
+    schema = StructType(list(fields)).add("n_words", LongType()).add("spans", SPANS).add("items", ArrayType(StringType()))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = prefixes.value
+        for batch in batches:
+            n_words, spans, items = [], [], []
+            for text in utf8(batch, "text"):
+                ids = own.block.document(text)
+                found = list(own.occurrences(ids)) if ids.any() else []
+                n_words.append(len(ids))
+                spans.append(merged(len(ids), ((starts, starts + n) for _, starts, n in found)) if found else [])
+                items.append(sorted({item for w, _, _ in found for item in own.block.owners[w]}))
+            columns = [pa.array(n_words, pa.int64()), pa.array(spans, SPANS_ARROW), pa.array(items, pa.list_(pa.string()))]
+            made = pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], *columns], schema.names)
+            yield made.filter(pa.array([bool(s) for s in spans], pa.bool_())) if only_hits else made
+
+    return rows.mapInArrow(search, schema)
+
+
+def combined(hits: DataFrame) -> DataFrame:
+    """One row per key of the hits of several blocks: a row per block at most, so groups are small."""
+    listed = hits.groupBy("key").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = []
+            for n, own in zip(batch.column("n_words").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                spans.append(merged(n, [(np.array([s["start"] for s in own]), np.array([s["end"] for s in own]))]))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(spans, SPANS_ARROW), batch.column("items")], ["key", "spans", "items"])
+
+    return listed.mapInArrow(join, StructType([listed.schema["key"]]).add("spans", SPANS).add("items", ArrayType(StringType())))
+
+
+def searched(rows: DataFrame, items: DataFrame, *, width: int = 10, shingle: int = 3, block_windows: int = 100_000, item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows, of any first column and `text`, with `n_words, spans, items`: what is found stays with its row.
+
+    A benchmark of one block is one pass, and nothing of a document is shuffled. With more blocks the texts that a block
+    hits (by a hash of the text, so ids don't matter) are written to the shared folder before the next block is made and
+    this one is dropped everywhere; they are joined to the rows in the end.
+    """
+    spark, first = rows.sparkSession, rows.columns[0]
     blocks = batched(item_windows(items, width, item_id_col, item_text_col), block_windows)
-    for windows in list(blocks) or [()]:
+    key = F.sha2(F.coalesce("text", F.lit("")), 256).alias("key")
+    hits, windows = [], next(blocks, ())
+    while True:
+        following = next(blocks, None)
         block = Block(list(windows), shingle)
-        shared = rows.sparkSession.sparkContext.broadcast(Prefixes(block, rarity(rows, block)))
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            prefixes = shared.value
-            for batch in batches:
-                n_words, spans, items = [], [], []
-                before = zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
-                for text, (old_spans, old_items) in zip(utf8(batch, "text"), before, strict=True):
-                    ids = prefixes.block.document(text)
-                    edges = np.zeros(len(ids) + 1, np.int64)
-                    found: set[str] = set(old_items)
-                    for s in old_spans:
-                        edges[s["start"]] += 1
-                        edges[s["end"]] -= 1
-                    if ids.any():
-                        for w, starts, n in prefixes.occurrences(ids):
-                            np.add.at(edges, starts, 1)
-                            np.add.at(edges, starts + n, -1)
-                            found.update(prefixes.block.owners[w])
-                    if found:
-                        hit = np.diff(np.concatenate([[0], (np.cumsum(edges) > 0).astype(np.int8), [0]]))
-                        own = [{"start": s, "end": e} for s, e in zip(np.flatnonzero(hit == 1).tolist(), np.flatnonzero(hit == -1).tolist(), strict=True)]
-                    else:
-                        own = []
-                    n_words.append(len(ids)), spans.append(own), items.append(sorted(found))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(spans, spans_type), pa.array(items, pa.list_(pa.string()))], [first, "text", "n_words", "spans", "items"])
-
-        out = out.mapInArrow(search, schema)
-    return out
+        shared = spark.sparkContext.broadcast(Prefixes(block, rarity(rows, block)))
+        if following is None and not hits:
+            return search_block(rows, shared, only_hits=False)
+        hits.append(durable(search_block(rows.select(key, "text").where("text IS NOT NULL"), shared, only_hits=True).dropDuplicates(["key"])))
+        shared.destroy()
+        if following is None:
+            break
+        windows = following
+    found = combined(functools.reduce(DataFrame.unionByName, hits))
+    empty = spark.sparkContext.broadcast(Prefixes(Block([], shingle), {}))
+    counted = search_block(rows, empty, only_hits=False).drop("spans", "items").withColumn("key", key)
+    joined = counted.join(found, "key", "left")
+    none = F.array().cast(SPANS), F.array().cast("array<string>")
+    return joined.select(first, "text", "n_words", F.coalesce("spans", none[0]).alias("spans"), F.coalesce("items", none[1]).alias("items"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
