@@ -8,7 +8,8 @@ trigrams' log probabilities; a Viterbi pass over the words, with a penalty for s
 mixed texts fall into spans. A document's language is the one that most of its letters got, its score their share.
 
 Null texts and texts without a letter are `und` with score 0, as is everything if no row has a language. Ties go to the
-language that sorts first. Ids may be null or repeat, tables may be empty, further columns are ignored.
+language that sorts first. Ids may be null or repeat, repeated rows get equal results, tables may be empty, further
+columns are ignored. Very long texts are read whole; a task holds one text's scores, languages times words, at a time.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, utf8
+from .common import durable, pick, utf8
 
 #: First code points of the scripts told apart; each reaches to the next entry. Fixed values.
 SCRIPTS = (
@@ -105,15 +106,15 @@ def counts_of(rows: DataFrame, most_words: int = 300_000) -> DataFrame:
 
 def train(rows: DataFrame, *, most_languages: int = 256, script_share: float = 0.01) -> Model:
     """A model of rows `text, lang`. At most languages x (buckets + scripts) counts reach the driver."""
-    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
-    found = [(r["lang"], r["kind"], r["slot"], r["n"]) for r in counts_of(rows).toLocalIterator()]
-    languages = sorted({r[0] for r in found})
+    counts = durable(counts_of(rows.where("text IS NOT NULL AND lang IS NOT NULL")))
+    languages = sorted(r["lang"] for r in counts.select("lang").distinct().limit(most_languages + 1).collect())
     if len(languages) > most_languages:
-        raise ValueError(f"{len(languages)} languages; the bound is {most_languages}")
+        raise ValueError(f"more than {most_languages} languages")
     grams, scripts = np.zeros((BUCKETS, len(languages))), np.zeros((len(SCRIPT_NAMES), len(languages)))
     at = {lang: i for i, lang in enumerate(languages)}
-    for lang, kind, slot, n in found:
-        (grams if kind == "t" else scripts)[slot, at[lang]] = n
+    # Row after row into the arrays, which are all that the driver holds.
+    for r in counts.toLocalIterator():
+        (grams if r["kind"] == "t" else scripts)[r["slot"], at[r["lang"]]] = r["n"]
     smooth = 0.5
     logs = np.log((grams + smooth) / (grams.sum(axis=0) + smooth * BUCKETS)).astype(np.float32)
     allowed = scripts >= script_share * np.maximum(scripts.sum(axis=0), 1)
