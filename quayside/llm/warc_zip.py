@@ -10,7 +10,8 @@ on any store and survives lost executors, and a package never exceeds `package_b
 Of pages with equal payloads of at least `least_bytes`, the one with the largest id is the response and the others
 revisit it; rows that repeat that id with the same payload are responses too. Null html is an empty payload, null urls
 have no target header, null ids never win over others (and are responses where no id is known); empty tables give
-empty results; further columns are ignored.
+empty results; further columns are ignored. Very long payloads are one record each, held by one task. Equal ids with
+unlike payloads are judged row by row.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, shared_dir
+from .common import durable, pick, shared_dir
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PAGE_URN = "urn:page:"
@@ -178,14 +179,26 @@ def parse_record(data: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
 # --- jobs -------------------------------------------------------------------------------------------------------------
 
 
-def decisions(rows: DataFrame, least_bytes: int) -> DataFrame:
-    """The rows with `payload_bytes, payload_digest, refers_to`; only groups of equal payloads are joined back."""
+#: Up to so many shared digests (some 100 bytes each in memory) are broadcast; beyond, the large payloads are shuffled by digest.
+MOST_BROADCAST = 300_000
+
+
+def decisions(rows: DataFrame, least_bytes: int, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """The rows with `payload_bytes, payload_digest, refers_to`.
+
+    Digests and ids alone are shuffled to find which payloads recur; where their number is small enough, counted first,
+    the payloads themselves stay where they are.
+    """
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = rows.withColumn("payload_bytes", F.length(payload).cast("long")).withColumn("payload_digest", F.sha1(payload))
-    shared = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    joined = rows.join(shared.select("payload_digest", "first"), "payload_digest", "left")
-    revisits = (F.col("payload_bytes") >= least_bytes) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return joined.withColumn("refers_to", F.when(revisits, F.col("first"))).drop("first")
+    large = F.col("payload_bytes") >= least_bytes
+    shared = durable(rows.where(large).groupBy("payload_digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("payload_digest", "first"))
+    refers_to = F.when(large & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to")
+    if shared.count() <= most_broadcast:
+        joined = rows.join(F.broadcast(shared), "payload_digest", "left")
+    else:  # small payloads, which recur most, have no key here
+        joined = rows.where(large).join(shared, "payload_digest", "left").unionByName(rows.where(~large), allowMissingColumns=True)
+    return joined.select(*rows.columns, refers_to)
 
 
 def write_packages(pages: DataFrame, path: str, *, least_bytes: int = 1000, package_bytes: int = 8 << 20, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
