@@ -6,24 +6,28 @@
 3. Over the histogram, the configuration linear program (a configuration is a multiset of lengths that fits) is solved by
    multiplicative weights: lengths whose demand is behind get larger weights, a knapsack dynamic program prices the best
    configuration, and configurations are mixed in.
-4. The fractional plan is rounded down, and the demand left over is solved again until a plan rounds to nothing; best
-   fit, largest lengths first, packs what then remains.
+4. The fractional plan is rounded down, and the demand left over is solved again until little is left or a plan rounds
+   to nothing; best fit, longest first, packs what then remains. The programme's dual bounds the number of sequences from
+   below (`Plan.lower_bound`).
 5. The pieces of a length are numbered 0, 1, ... by salted ranks (no task holds a whole length), and a number's place
    follows from the plan's slots.
 
 Null text is an empty document: one piece with the end id alone. Repeated rows are packed as often as they occur, ties
-are ordered by id and text checksum, an empty table gives an empty result, further input columns are ignored.
+are ordered by id and text checksum, an empty table gives an empty result, further input columns are ignored. A very long
+text is encoded whole and becomes many pieces, which a task holds at once.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import math
 import os
 import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +65,11 @@ def _ranked(path: str):
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     byte_of = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in own)}
     ranks = {bytes(byte_of[c] for c in s): i for s, i in ids.items() if i < 256 + len(merges)}
+    # Ranks join any two neighbours that spell a vocabulary string, the file only listed pairs. Both do the same if every
+    # string encodes alone as itself: in its place only its own listed pair can then come to stand side by side.
+    model_of_file = _tokenizer(path).model
+    if any([t.id for t in model_of_file.tokenize(s)] != [i] for s, i in ids.items() if i < 256 + len(merges)):
+        return None
     return tiktoken.Encoding("merges", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
 
@@ -148,8 +157,11 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048,
     return rows.mapInArrow(cut, f"doc_id {dict(rows.dtypes)['doc_id']}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
-def price(weight: np.ndarray, demand: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Counts per length of the configuration of largest total weight (a knapsack by dynamic programming)."""
+def price(weight: np.ndarray, demand: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:
+    """Counts per length of the configuration of largest total weight (a knapsack by dynamic programming), and that weight.
+
+    The counts are cut to the demand; the weight is of the uncut configuration, so no configuration has more.
+    """
     value = np.full(capacity + 1, -np.inf)
     value[lengths] = weight
     best, last = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
@@ -168,20 +180,24 @@ def price(weight: np.ndarray, demand: np.ndarray, lengths: np.ndarray, capacity:
             room -= int(last[room])
         else:
             room -= 1
-    return np.minimum(counts, demand)
+    return np.minimum(counts, demand), float(best[capacity])
 
 
-def fractional_plan(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, rate: float) -> dict[tuple[int, ...], float]:
-    """How often to use which configuration (counts per length), by multiplicative weights.
+def fractional_plan(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, rate: float) -> tuple[dict[tuple[int, ...], float], float]:
+    """How often to use which configuration (counts per length), by multiplicative weights, and a lower bound of the programme.
 
     The weights start at each length's share of the capacity. A round prices one configuration and uses it as often as
     raises no length's served share by more than `rate`; a length's weight then falls by its served share. The mix is
-    scaled so that on average the demand is met once.
+    scaled so that on average the demand is met once. The weights over the best configuration's weight are a solution of
+    the dual, so in every round the demand's weight over it bounds the number of sequences from below; the largest counts.
     """
+    bound = float((demand * lengths).sum()) / capacity
     served, weight = np.zeros(len(lengths)), lengths / capacity
     uses: dict[tuple[int, ...], float] = {}
     for _ in range(rounds):
-        counts = price(weight * np.exp(-(served - served.min())), demand, lengths, capacity)
+        own = weight * np.exp(-(served - served.min()))
+        counts, most = price(own, demand, lengths, capacity)
+        bound = max(bound, float((own * demand).sum()) / most) if most > 0 else bound
         used = counts > 0
         if not used.any():
             break
@@ -189,10 +205,10 @@ def fractional_plan(lengths: np.ndarray, demand: np.ndarray, capacity: int, roun
         served += times * counts / demand
         uses[tuple(counts)] = uses.get(tuple(counts), 0.0) + times
     total = float((served * demand * lengths).sum() / (demand * lengths).sum()) or 1.0
-    return {counts: times / total for counts, times in uses.items()}
+    return {counts: times / total for counts, times in uses.items()}, bound
 
 
-def best_fit(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+def best_fit_longest_first(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
     """(counts by length index, times) for what rounding left: longest first, filled up with the longest that fit.
 
     Equal fillings are made at once, so the work follows the number of lengths and not of pieces.
@@ -215,20 +231,41 @@ def best_fit(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tup
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int, *, rounds: int = 200, rate: float = 0.1, most_solves: int = 2) -> list[tuple[list[tuple[int, int]], int]]:
-    """[(pairs of length and count in one sequence, number of such sequences)] that serve the histogram exactly."""
+@dataclass
+class Plan:
+    """`rows`: (pairs of length and count in one sequence, number of such sequences), which serve the histogram exactly.
+
+    No packing of the histogram has fewer than `lower_bound` sequences; `by_best_fit` of them were left by rounding.
+    """
+
+    rows: list[tuple[list[tuple[int, int]], int]]
+    lower_bound: int
+    by_best_fit: int
+
+    @property
+    def sequences(self) -> int:
+        return sum(times for _, times in self.rows)
+
+
+def planned(histogram: dict[int, int], capacity: int, *, rounds: int = 200, rate: float = 0.1, most_solves: int = 2, tolerance: float = 0.002) -> Plan:
+    """The plan of a histogram of lengths. It is solved again for what rounding left until that is below `tolerance` of all sequences, at most `most_solves` times."""
     lengths = np.array(sorted(histogram), np.int64)
     demand = np.array([histogram[int(n)] for n in lengths], np.int64)
     out: list[tuple[dict[int, int], int]] = []
+    full, bound = 0, 0.0
     if lengths.size and lengths[-1] == capacity:
-        out.append(({len(lengths) - 1: 1}, int(demand[-1])))
+        full = int(demand[-1])
+        out.append(({len(lengths) - 1: 1}, full))
         demand[-1] = 0
-    for _ in range(most_solves):
+    for solve in range(most_solves):
         live = np.flatnonzero(demand)
         if live.size < 2:
             break
+        if solve and (demand * lengths).sum() < tolerance * capacity * (full + bound):
+            break
         rounded = 0
-        uses = fractional_plan(lengths[live], demand[live], capacity, rounds, rate)
+        uses, least = fractional_plan(lengths[live], demand[live], capacity, rounds, rate)
+        bound = bound or least
         for counts, times in sorted(uses.items(), key=lambda x: -x[1]):
             used = {int(live[i]): n for i, n in enumerate(counts) if n}
             # A configuration with more room left than the shortest length is left to best fit.
@@ -243,9 +280,15 @@ def plan(histogram: dict[int, int], capacity: int, *, rounds: int = 200, rate: f
         if not rounded:
             break
     live = np.flatnonzero(demand)
-    if live.size:
-        out += [({int(live[i]): n for i, n in counts.items()}, times) for counts, times in best_fit(lengths[live], demand[live], capacity)]
-    return [([(int(lengths[i]), int(n)) for i, n in sorted(counts.items(), reverse=True)], int(times)) for counts, times in out]
+    bound = bound or float((demand * lengths).sum()) / capacity
+    rest = best_fit_longest_first(lengths[live], demand[live], capacity) if live.size else []
+    out += [({int(live[i]): n for i, n in counts.items()}, times) for counts, times in rest]
+    rows = [([(int(lengths[i]), int(n)) for i, n in sorted(counts.items(), reverse=True)], int(times)) for counts, times in out]
+    return Plan(rows, full + math.ceil(bound - 1e-6), sum(times for _, times in rest))
+
+
+def plan(histogram: dict[int, int], capacity: int, **options) -> list[tuple[list[tuple[int, int]], int]]:
+    return planned(histogram, capacity, **options).rows
 
 
 def ranked(pieces: DataFrame, salts: int) -> DataFrame:
