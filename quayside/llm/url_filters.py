@@ -8,6 +8,7 @@ either, the verdict is allow. A page's own rule always stands.
 
 Null urls, and urls without "://", have empty host and path, no rule and no aliases; null html names no alias; ids may
 be null or repeat; rows that repeat are judged alike; an empty table gives an empty result; further columns are ignored.
+Very long pages are read whole; tags inside comments and scripts count like others. Ties of rules: see `best_of`.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from .common import durable, lower_ascii, pick
 from .components import components
 
-#: Rules are an argument and part of the plan; this is their bound.
-MOST_RULES = 1000
+#: Up to so many rules are a literal of the plan; more are a table.
+FEW_RULES = 100
 #: Whole tags of a page; values in quotes may hold ">".
 TAGS = r"""(?is)<((?:link|meta)\b(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>"""
 #: The time and the address of a refresh.
@@ -41,14 +42,52 @@ def node_of(url: Column) -> Column:
     return F.when(host_of(url) != "", node)
 
 
-def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
-    """Struct of `rule` and `verdict`, null if none fits. A rule is "host/path" and fits the host and its subdomains."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
-    table = F.array(*[F.struct(F.lit(len(r)).alias("size"), F.lit(r.partition("/")[0].lower()).alias("host"), F.lit("/" + r.partition("/")[2]).alias("path"), F.lit(r).alias("rule"), F.lit(v).alias("verdict")) for r, v in rules])
-    fits = F.filter(table, lambda r: ((host == r["host"]) | host.endswith(F.concat(F.lit("."), r["host"]))) & path.startswith(r["path"]))
+def parsed_rules(rules: list[tuple[str, str]]) -> list[tuple[int, str, str, bool, str]]:
+    """(length, host, path, whether it allows, rule) of "host/path" rules, in the order in which later ones win."""
+    made = [(len(r), r.partition("/")[0].lower(), "/" + r.partition("/")[2], verdict == "allow", r) for r, verdict in rules]
+    if any(verdict not in ("allow", "block") for _, verdict in rules):
+        raise ValueError("a rule's verdict is allow or block")
+    return sorted(made)
+
+
+RULE = "array<struct<size:int,host:string,path:string,allows:boolean,rule:string>>"
+
+
+def best_of(candidates: Column, host: Column, path: Column) -> Column:
+    """Struct of `rule` and `verdict` of the longest candidate that fits, null if none does.
+
+    Of equally long ones the one whose host, then path sorts last wins; of one rule with both verdicts, allow.
+    """
+    fits = F.filter(candidates, lambda r: ((host == r["host"]) | host.endswith(F.concat(F.lit("."), r["host"]))) & path.startswith(r["path"]))
     best = F.array_max(fits)
-    return F.when(F.size(fits) > 0, F.struct(best["rule"].alias("rule"), best["verdict"].alias("verdict")))
+    return F.when(F.size(fits) > 0, F.struct(best["rule"].alias("rule"), F.when(best["allows"], "allow").otherwise("block").alias("verdict")))
+
+
+def with_rule(rows: DataFrame, rules: list[tuple[str, str]], name: str) -> DataFrame:
+    """Rows of `host, path, ...` with the struct `name` of the longest rule that fits the host or one it is below.
+
+    A few rules are a literal that every row looks through. More of them are a table that is joined by host: every
+    distinct host looks up itself and the hosts above it, so a row meets only the rules of those.
+    """
+    made = parsed_rules(rules)
+    if len(made) <= FEW_RULES:
+        literal = F.array(*[F.struct(F.lit(n).alias("size"), F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(a).alias("allows"), F.lit(r).alias("rule")) for n, h, p, a, r in made])
+        return rows.withColumn(name, best_of(literal.cast(RULE), F.col("host"), F.col("path")))
+    given = rows.sparkSession.createDataFrame(made, "size int, rule_host string, path string, allows boolean, rule string")
+    per_host = given.groupBy("rule_host").agg(F.collect_list(F.struct("size", F.col("rule_host").alias("host"), "path", "allows", "rule")).alias("some"))
+    parts = F.split("host", r"\.")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
+    hosts = rows.select("host").distinct().withColumn("rule_host", F.explode(above))
+    known = hosts.join(per_host, "rule_host").groupBy("host").agg(F.flatten(F.collect_list("some")).alias("candidates"))
+    joined = rows.join(known, "host", "left")
+    return joined.withColumn(name, best_of(F.coalesce("candidates", F.array().cast(RULE)), F.col("host"), F.col("path"))).drop("candidates")
+
+
+def plain(value: Column) -> Column:
+    """An attribute's value with its character references resolved: those that urls in html hold."""
+    for reference, char in (("&quot;|&#34;|&#x22;", '"'), ("&#39;|&#x27;|&apos;", "'"), ("&lt;|&#60;|&#x3c;", "<"), ("&gt;|&#62;|&#x3e;", ">"), ("&amp;|&#38;|&#x26;", "&")):
+        value = F.regexp_replace(value, f"(?i){reference}", char)
+    return value
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -56,7 +95,7 @@ def attribute(tag: Column, name: str) -> Column:
     before = r"""(?is)^[a-z]++(?:[\s/]++(?!NAME\s*+=)[^\s=>/"']++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+[\s/]++NAME\s*+=\s*+"""
     value = r"""(?:"([^"]*+)"|'([^']*+)'|["']?([^\s"'>]++))"""
     pattern = before.replace("NAME", name) + value
-    return F.trim(F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)]))
+    return plain(F.trim(F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)])))
 
 
 def without_dots(path: Column) -> Column:
@@ -113,8 +152,8 @@ def verdicts_of_aliases(edges: DataFrame, rules: list[tuple[str, str]]) -> DataF
     """`node, verdict` of every node in a component with a decision."""
     labels = components(edges)
     url = F.concat(F.lit("://"), F.col("node"))
-    judged = labels.withColumn("own", longest_rule(host_of(url), path_of(url), rules)["verdict"])
-    decided = judged.groupBy("component").agg(F.bool_or(F.col("own") == "allow").alias("allowed"), F.bool_or(F.col("own") == "block").alias("blocked"))
+    judged = with_rule(labels.select("component", host_of(url).alias("host"), path_of(url).alias("path")), rules, "own")
+    decided = judged.groupBy("component").agg(F.bool_or(F.col("own.verdict") == "allow").alias("allowed"), F.bool_or(F.col("own.verdict") == "block").alias("blocked"))
     said = decided.select("component", F.when(F.col("allowed"), "allow").when(F.col("blocked"), "block").alias("verdict")).where("verdict IS NOT NULL")
     return labels.join(said, "component").select("node", "verdict")
 
@@ -125,6 +164,6 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], *, id_col: str = "page
     aliases = durable(verdicts_of_aliases(alias_edges(rows), rules))
     url = F.col("url")
     judged = rows.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), node_of(url).alias("node"))
-    judged = judged.withColumn("fit", longest_rule(F.col("host"), F.col("path"), rules))
+    judged = with_rule(judged, rules, "fit")
     spread = judged.join(aliases, "node", "left")
     return spread.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", "verdict", F.lit("allow")).alias("verdict"))
