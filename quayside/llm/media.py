@@ -1,11 +1,12 @@
 """Media columns: payloads stored as lossless WebP pictures, read back, and described by features of their pixels.
 
 A payload is the text's UTF-8 bytes, filled up with bytes 255 to a positive multiple of 576. A picture row is 192 opaque
-pixels of three bytes, so a payload is a whole number of rows; payloads of more than 16384 rows become several WebP files
-one after the other (the format's largest side), so texts of any length are stored whole.
+pixels of three bytes, so a payload is a whole number of rows; every `PICTURE_ROWS` rows are a WebP file, the payload's
+files follow one another, and texts of any length are stored whole. Files are made and read by `webp_batch`, many at once.
 
-Null text is an empty payload of 576 bytes 255; ids may be null or repeat; an empty table gives an empty table; further
-input columns are ignored. The work is per row: no shuffle, and one row's pixels are the most a task holds at a time.
+Null text is an empty payload of 576 bytes 255; ids may be null or repeat; repeated texts give equal values; an empty
+table gives an empty table; further input columns are ignored. The work is per row: no shuffle, and a task holds one row's
+bytes and the arrays of `BATCH_PIXELS` pixels at a time.
 """
 
 from __future__ import annotations
@@ -16,29 +17,50 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 
-from . import webp
+from . import webp, webp_batch
 from .common import pick, utf8
 
 UNIT, ROW_PIXELS = 576, 192
+PICTURE_ROWS = webp_batch.MOST_PIXELS // ROW_PIXELS
+#: Pixels, and pictures, that are coded together at most.
+BATCH_PIXELS, BATCH_PICTURES = 500_000, 2000
 
 
 def padded(data: bytes) -> bytes:
     return data + b"\xff" * (UNIT - len(data) % UNIT if len(data) % UNIT or not data else 0)
 
 
-def to_media(payload: bytes, **options) -> bytes:
-    """A payload, whole rows long, as WebP files."""
-    colours = np.frombuffer(payload, np.uint8).reshape(-1, ROW_PIXELS, 3)
-    pixels = np.full((len(colours), ROW_PIXELS, 4), 255, np.uint8)
-    pixels[:, :, 1:] = colours
-    return b"".join(webp.encode(pixels[y : y + webp.MOST_SIDE], fixed=True, **options) for y in range(0, len(pixels), webp.MOST_SIDE))
+def batches_of(pictures: list[tuple[int, object]]) -> Iterator[list]:
+    """(pixels, picture) pairs in groups of bounded size, pictures of like size together: they take as many steps."""
+    group, pixels = [], 0
+    for n, picture in pictures:
+        if group and (pixels + n > BATCH_PIXELS or len(group) == BATCH_PICTURES):
+            yield group
+            group, pixels = [], 0
+        group.append(picture)
+        pixels += n
+    if group:
+        yield group
 
 
-def from_media(media: bytes) -> np.ndarray:
-    """The pixel array (rows, 192, 3) of the stored files."""
-    return np.concatenate([picture[:, :, 1:] for picture in webp.decode(media)])
+def to_media(payloads: list[bytes]) -> list[bytes]:
+    """Payloads, whole rows long, as WebP files."""
+    rows = [np.frombuffer(p, np.uint8).reshape(-1, ROW_PIXELS, 3) for p in payloads]
+    every = [r[y : y + PICTURE_ROWS] for r in rows for y in range(0, len(r), PICTURE_ROWS)]
+    made = iter([file for group in batches_of([(len(p) * ROW_PIXELS, p) for p in every]) for file in webp_batch.encode_many(group)])
+    return [b"".join(next(made) for _ in range(0, len(r), PICTURE_ROWS)) for r in rows]
+
+
+def from_media(media: list[bytes]) -> list[np.ndarray]:
+    """The pixel arrays (rows, 192, 3) of stored files."""
+    files = [[webp.wrapped(s) for s in webp.streams(m)] for m in media]
+    # How many pixels a file has is known when it is read; here its bytes tell well enough.
+    every = [(min(PICTURE_ROWS * ROW_PIXELS, 4 * len(f)), f) for own in files for f in own]
+    read = iter([picture for group in batches_of(every) for picture in webp_batch.decode_many(group)])
+    return [np.concatenate([next(read)[:, :, 1:] for _ in own]) for own in files]
 
 
 def features(pixels: np.ndarray) -> str:
@@ -49,6 +71,18 @@ def features(pixels: np.ndarray) -> str:
     return f"{pixels.shape[1]}x{pixels.shape[0]};" + ",".join(map(str, means)) + ";" + "".join(f"{c:03x}" for c in classes)
 
 
+def groups_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows again, in slices of about as many bytes as one batch of pictures has."""
+    for batch in batches:
+        first, size = 0, 0
+        for k, n in enumerate(pa.compute.binary_length(batch.column(1)).fill_null(0).to_pylist()):
+            if k > first and size + n > 3 * BATCH_PIXELS:
+                yield batch.slice(first, k - first)
+                first, size = k, 0
+            size += max(n, UNIT)
+        yield batch.slice(first)
+
+
 def media_columns(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep_media: bool = False, keep_pixels: bool = False) -> DataFrame:
     """Sizes, hashes and features of each stored text; `media` and `pixels` (row-major bytes) on request."""
     rows = pick(docs, doc_id=id_col, text=text_col)
@@ -56,11 +90,11 @@ def media_columns(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     extra = ["media"] * keep_media + ["pixels"] * keep_pixels
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in groups_of(batches):
             made = []
-            for text in utf8(batch, "text"):
-                media = to_media(padded(text))
-                pixels = from_media(media)
+            texts = list(utf8(batch, "text"))
+            stored = to_media([padded(text) for text in texts])
+            for text, media, pixels in zip(texts, stored, from_media(stored), strict=True):
                 payload = pixels.tobytes()
                 made.append((len(text), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), features(pixels), *[media] * keep_media, *[payload] * keep_pixels))
             types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), *[pa.binary()] * len(extra)]

@@ -205,13 +205,18 @@ def _shared_code(lengths: bytes) -> PrefixCode:
 
 
 def _read_code(bits: Bits, alphabet: int) -> PrefixCode:
-    lengths = np.zeros(alphabet, np.int64)
+    return _shared_code(read_lengths(bits, alphabet))
+
+
+def read_lengths(bits: Bits, alphabet: int) -> bytes:
+    """The code lengths of an alphabet's symbols, as far as they are stored."""
     if bits.read(1):
+        lengths = bytearray(alphabet)
         n = bits.read(1) + 1
         lengths[bits.read(8 if bits.read(1) else 1)] = 1
         if n == 2:
             lengths[bits.read(8)] = 1
-        return _shared_code(lengths.astype(np.uint8).tobytes())
+        return bytes(lengths)
     own = np.zeros(19, np.int64)
     for k in range(bits.read(4) + 4):
         own[CODE_LENGTH_ORDER[k]] = bits.read(3)
@@ -239,7 +244,7 @@ def _read_code(bits: Bits, alphabet: int) -> PrefixCode:
     bits.at = place
     if len(found) > alphabet or place > bits.end:
         raise ValueError("code lengths overrun")
-    return _shared_code(bytes(found))
+    return bytes(found)
 
 
 def _prefixed(symbol: int, bits: Bits) -> int:
@@ -461,6 +466,14 @@ def _predict(mode: int, a: list[int], t: list[int], tr: list[int], tl: list[int]
 def _each_prediction(pixels: np.ndarray, width: int, modes: np.ndarray, block: int, sign: int) -> np.ndarray:
     """Add (sign 1, to decode) or subtract (sign -1, to encode) the predictions."""
     height = len(pixels) // width
+    if sign > 0 and (modes == modes.flat[0]).all() and modes.flat[0] in (1, 2):
+        # Sums along the first row and column, then along all rows (left) or columns (top).
+        out = pixels.reshape(height, width, 4).copy()
+        out[0, 0, 0] += 255
+        first, second = (1, 0) if modes.flat[0] == 2 else (0, 1)
+        edge = (slice(0, 1), slice(None)) if first == 1 else (slice(None), slice(0, 1))
+        out[edge] = np.cumsum(out[edge], axis=first, dtype=np.uint8)
+        return np.cumsum(out, axis=second, dtype=np.uint8).reshape(-1, 4)
     source = pixels.tolist()
     known: list[list[int]] = [] if sign > 0 else source
     out: list[list[int]] = known if sign > 0 else []
@@ -498,8 +511,8 @@ def _bundled(colours: int) -> int:
     return 3 if colours <= 2 else 2 if colours <= 4 else 1 if colours <= 16 else 0
 
 
-def decode_stream(data: bytes) -> np.ndarray:
-    bits = Bits(data)
+def read_head(bits: Bits) -> tuple[int, int, int, list[tuple]]:
+    """Width, height, width of the main image, and the transforms to undo, of a stream up to its main image."""
     if bits.read(8) != 0x2F:
         raise ValueError("no lossless signature")
     width, height = bits.read(14) + 1, bits.read(14) + 1
@@ -523,7 +536,11 @@ def decode_stream(data: bytes) -> np.ndarray:
             across = (across + (1 << _bundled(n)) - 1) >> _bundled(n)
         else:
             undo.append((kind, across, 0, None))
-    pixels = _image(bits, across, height, True)
+    return width, height, across, undo
+
+
+def undone(pixels: np.ndarray, height: int, undo: list[tuple]) -> np.ndarray:
+    """The picture (height, width, 4) of a main image, by its transforms, the last one first."""
     for kind, w, n, more in reversed(undo):
         if kind == PREDICTOR:
             pixels = _each_prediction(pixels, w, more[:, :, 2] & 15, n, 1)
@@ -540,11 +557,17 @@ def decode_stream(data: bytes) -> np.ndarray:
             full = np.zeros((256, 4), np.uint8)
             full[: len(more)] = more
             pixels = full[index.reshape(-1)]
-    return pixels.reshape(height, width, 4)
+    return pixels.reshape(height, -1, 4)
 
 
-def decode(data: bytes) -> list[np.ndarray]:
-    """All pictures of one or more WebP files, one after the other."""
+def decode_stream(data: bytes) -> np.ndarray:
+    bits = Bits(data)
+    width, height, across, undo = read_head(bits)
+    return undone(_image(bits, across, height, True), height, undo)
+
+
+def streams(data: bytes) -> list[bytes]:
+    """The lossless streams of one or more WebP files, one after the other."""
     out, at = [], 0
     while at < len(data):
         riff, size, webp = struct.unpack_from("<4sI4s", data, at)
@@ -557,7 +580,7 @@ def decode(data: bytes) -> list[np.ndarray]:
             if at + 8 + n > end:
                 raise ValueError("a chunk ends beyond its file")
             if kind == b"VP8L":
-                out.append(decode_stream(data[at + 8 : at + 8 + n]))
+                out.append(data[at + 8 : at + 8 + n])
             at += 8 + n + (n & 1)
         if len(out) == found:
             raise ValueError("no lossless picture")
@@ -565,6 +588,17 @@ def decode(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def decode(data: bytes) -> list[np.ndarray]:
+    """All pictures of one or more WebP files, one after the other."""
+    return [decode_stream(stream) for stream in streams(data)]
+
+
+def wrapped(stream: bytes) -> bytes:
+    """A lossless stream as a WebP file."""
+    body = b"VP8L" + struct.pack("<I", len(stream)) + stream + bytes(len(stream) & 1)
+    return b"RIFF" + struct.pack("<I", 4 + len(body)) + b"WEBP" + body
+
+
 # --- encoding ---------------------------------------------------------------------------------------------------------
 
 #: Lengths that the encoder gives the code-length symbols: 0-9 and 16-18 in four bits, 10-15 in five.
@@ -770,6 +804,4 @@ def encode(picture: np.ndarray, *, predictor: int | None = None, cross_colour: t
         pixels = _each_prediction(pixels, w, modes, block, -1)
     out.put(0, 1)
     _write_image(out, pixels, True, cache_bits, references, fixed)
-    data = out.bytes()
-    body = b"VP8L" + struct.pack("<I", len(data)) + data + bytes(len(data) & 1)
-    return b"RIFF" + struct.pack("<I", 4 + len(body)) + b"WEBP" + body
+    return wrapped(out.bytes())

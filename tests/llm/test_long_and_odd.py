@@ -104,3 +104,126 @@ def test_running_results_by_doubling(spark, n):
     values = [RND.randrange(-9, 9) for _ in range(n)]
     row = spark.createDataFrame([(values,)], "v array<int>").select(secret_scan.scanned(F.col("v"), lambda a, b: a + b).alias("sums"), secret_scan.scanned(F.col("v"), lambda a, b: F.greatest(a, b)).alias("most")).first()
     assert row["sums"] == list(itertools.accumulate(values)) and row["most"] == list(itertools.accumulate(values, max))
+
+
+# --- media
+
+
+def known_alpha(path):
+    """The alpha plane of an 8-bit palette, grey-alpha or RGBA picture file, by plain loops over its filtered rows."""
+    import zlib
+
+    data, at, packed, table = path.read_bytes(), 8, b"", b""
+    while at < len(data):
+        n, kind = int.from_bytes(data[at : at + 4], "big"), data[at + 4 : at + 8]
+        body = data[at + 8 : at + 8 + n]
+        if kind == b"IHDR":
+            width, height, depth, colour = int.from_bytes(body[:4], "big"), int.from_bytes(body[4:8], "big"), body[8], body[9]
+        packed += body if kind == b"IDAT" else b""
+        table = body if kind == b"tRNS" else table
+        at += 12 + n
+    channels = {3: 1, 4: 2, 6: 4}[colour]
+    size = max(1, channels * depth // 8)
+    raw, row, rows = zlib.decompress(packed), bytes((width * channels * depth + 7) // 8), []
+    for y in range(height):
+        way, line = raw[y * (len(row) + 1)], bytearray(raw[y * (len(row) + 1) + 1 : (y + 1) * (len(row) + 1)])
+        for x in range(len(line)):
+            a, b, c = line[x - size] if x >= size else 0, row[x], row[x - size] if x >= size else 0
+            p = a + b - c
+            paeth = min((a, b, c), key=lambda v: abs(p - v))
+            line[x] = (line[x] + [0, a, b, (a + b) // 2, paeth][way]) & 255
+        row = bytes(line)
+        values = [row[x * depth // 8] >> 8 - depth - x * depth % 8 & (1 << depth) - 1 for x in range(width * channels)] if depth < 8 else list(row)
+        rows.append([table[v] if v < len(table) else 255 for v in values] if colour == 3 else values[channels - 1 :: channels])
+    return rows
+
+
+def test_a_picture_made_elsewhere():
+    """The standard library's sample files: one picture, whose alpha plane one of them holds as a lossless stream."""
+    import pathlib
+    import test
+
+    from quayside.llm import webp
+
+    folders = [f for f in (pathlib.Path(test.__file__).parent / "test_email" / "data", pathlib.Path(test.__file__).parent / "imghdrdata") if (f / "python.webp").exists()]
+    if not folders:
+        pytest.skip("this Python comes without its test files")
+    data = (folders[0] / "python.webp").read_bytes()
+    at = data.index(b"ALPH")
+    chunk = data[at + 8 : at + 8 + int.from_bytes(data[at + 4 : at + 8], "little")]
+    assert chunk[0] & 15 == 1  # lossless, without a filter
+    head = 0x2F | 15 << 8 | 15 << 22
+    picture = webp.decode_stream(head.to_bytes(5, "little") + chunk[1:])
+    assert picture[:, :, 2].tolist() == known_alpha(folders[0] / "python.png")
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_batches_of_pictures(seed):
+    """What a batch stores, either decoder reads; what the other encoder stores, the batch reads."""
+    import numpy as np
+
+    from quayside.llm import webp, webp_batch
+
+    rng = np.random.default_rng(seed)
+    pictures = []
+    for k in range(40):
+        h, w = rng.integers(1, 22), rng.choice([1, 2, 7, 40, 192])
+        made = rng.integers(0, rng.choice([2, 3, 17, 60, 256]), (h, w, 3))
+        if k % 5 == 1:
+            made = np.cumsum(made % 3, axis=k % 2)  # smooth: predictors
+        elif k % 5 == 2:
+            made[:, :, 0], made[:, :, 2] = made[:, :, 1] // 2, made[:, :, 1] * 3  # cross-colour
+        elif k % 5 == 3:
+            made = np.tile(made[:1, : max(1, w // 3)], (h, 4, 1))[:, :w]  # repeats
+        pictures.append((made % 256).astype(np.uint8))
+    files = webp_batch.encode_many(pictures)
+    for read in (webp_batch.decode_many(files), [webp.decode(f)[0] for f in files]):
+        assert all((r[:, :, 1:] == p).all() and (r[:, :, 0] == 255).all() for r, p in zip(read, pictures))
+    others = [np.concatenate([np.full((*p.shape[:2], 1), 255 if k % 7 else k, np.uint8), p], 2) for k, p in enumerate(pictures)]
+    options = [{"predictor": int(k % 14), "cache_bits": k % 12} if k % 3 == 0 else {"references": True, "cache_bits": k % 11, "subtract_green": k % 2 == 1} if k % 3 == 1 else {"cross_colour": (3, -100, 77)} for k in range(40)]
+    read = webp_batch.decode_many([webp.encode(p, **o) for p, o in zip(others, options)])
+    assert all((r == p).all() for r, p in zip(read, others))
+
+
+def test_the_stored_pictures_use_the_whole_method():
+    """Of texts: prefix codes of several lengths, references, caches, and transforms where they pay."""
+    import numpy as np
+
+    from quayside.llm import media, webp, webp_batch
+
+    texts = [some_text(60).encode() for _ in range(60)] + [b"", b"a short one", b"same line again, and more of it\n" * 300, bytes(range(128)) * 40, b"".join(bytes([k % 97 + 30] * 3) for k in range(4000))]
+    stored = media.to_media([media.padded(t) for t in texts])
+    assert [p.tobytes() for p in media.from_media(stored)] == [media.padded(t) for t in texts]
+    parsed = [webp_batch.Parsed(s) for m in stored for s in webp.streams(m)]
+    assert sum(len(set(p.lengths[0]) - {0}) > 2 for p in parsed) > 60
+    assert any(p.cache_bits for p in parsed) and any(max(p.lengths[4]) > 0 for p in parsed)
+    assert {kind for p in parsed for kind, *_ in p.undo} >= {webp.PREDICTOR, webp.COLOUR_INDEXING}
+
+
+def test_batches_refuse_damage():
+    import numpy as np
+
+    from quayside.llm import webp, webp_batch
+
+    (file,) = webp_batch.encode_many([np.random.default_rng(1).integers(0, 255, (9, 40, 3)).astype(np.uint8)])
+    (stream,) = webp.streams(file)
+    for cut in (11, 40, len(stream) // 2, len(stream) - 3):
+        with pytest.raises(Exception):
+            webp_batch.decode_many([webp.wrapped(stream[:cut])])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_huffman_lengths_are_the_best(seed):
+    """Against merging by a heap, wherever that needs no more bits a code than allowed."""
+    import numpy as np
+
+    from quayside.llm import webp, webp_batch
+
+    rng = np.random.default_rng(seed)
+    counts = (rng.integers(0, rng.choice([2, 9, 200], (60, 1)), (60, 50)) * (rng.random((60, 50)) < rng.random((60, 1)))).astype(np.int64)
+    counts[0], counts[1, 1:] = 0, 0
+    for own, lengths in zip(counts, webp_batch.huffman_lengths(counts)):
+        best = webp.code_lengths(own, 15)
+        assert lengths.max() <= webp_batch.MOST_BITS and ((lengths > 0) == (own > 0)).all()
+        if best.max() <= webp_batch.MOST_BITS:
+            assert (own * lengths).sum() == (own * best).sum()
