@@ -204,6 +204,15 @@ def _shared_code(lengths: bytes) -> PrefixCode:
     return PrefixCode(np.frombuffer(lengths, np.uint8).astype(np.int64))
 
 
+@functools.lru_cache(maxsize=512)
+def _length_code(stored: int, n: int) -> PrefixCode:
+    """The code for code lengths, from the three bits of each of its first n lengths."""
+    own = bytearray(19)
+    for k in range(n):
+        own[CODE_LENGTH_ORDER[k]] = stored >> 3 * k & 7
+    return _shared_code(bytes(own))
+
+
 def _read_code(bits: Bits, alphabet: int) -> PrefixCode:
     return _shared_code(read_lengths(bits, alphabet))
 
@@ -217,10 +226,9 @@ def read_lengths(bits: Bits, alphabet: int) -> bytes:
         if n == 2:
             lengths[bits.read(8)] = 1
         return bytes(lengths)
-    own = np.zeros(19, np.int64)
-    for k in range(bits.read(4) + 4):
-        own[CODE_LENGTH_ORDER[k]] = bits.read(3)
-    code = _shared_code(own.astype(np.uint8).tobytes())
+    n = bits.read(4) + 4
+    code = _length_code(bits.peek(3 * n), n)
+    bits.at += 3 * n
     left = alphabet
     if bits.read(1):
         left = 2 + bits.read(2 + 2 * bits.read(3))

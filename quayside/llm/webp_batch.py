@@ -17,7 +17,7 @@ from . import webp
 from .webp import CACHE_FACTOR, COLOUR_INDEXING, CROSS_COLOUR, PREDICTOR, SUBTRACT_GREEN
 
 #: Pixels of a picture at most, so that one reference can span it, and bits of a code at most.
-MOST_PIXELS, MOST_BITS = 4096, 11
+MOST_PIXELS, MOST_BITS = 4096, 10
 #: Bits of the encoder's colour cache, and all symbols of the green alphabet with it.
 CACHE_BITS = 6
 LITERALS, LENGTHS, DISTANCES = 256, 24, 40
@@ -41,7 +41,7 @@ def _prefix_table(most: int) -> np.ndarray:
 
 PREFIXES = _prefix_table(MOST_PIXELS + len(webp.NEIGHBOURS))
 #: Of each length or distance symbol: its further bits, and the value of the symbol without them, from 1.
-MORE_BITS = np.array([0] * 4 + [s - 2 >> 1 for s in range(4, DISTANCES)], np.uint64)
+MORE_BITS = np.array([0] * 4 + [s - 2 >> 1 for s in range(4, DISTANCES)], np.int64)
 FIRST_VALUE = np.array([1, 2, 3, 4] + [(2 + (s & 1) << (s - 2 >> 1)) + 1 for s in range(4, DISTANCES)], np.int64)
 
 
@@ -134,23 +134,33 @@ class Flat:
 
     def __init__(self, images: list[np.ndarray], widths: np.ndarray):
         self.n = np.array([len(i) for i in images])
-        self.value = np.concatenate(images).astype(np.int64)
-        self.picture = np.repeat(np.arange(len(images)), self.n)
+        self.value = np.concatenate(images).astype(np.int32)
+        self.picture = np.repeat(np.arange(len(images), dtype=np.int32), self.n)
         self.first = np.cumsum(self.n) - self.n
-        self.own = np.arange(len(self.value)) - self.first[self.picture]
-        self.width = widths[self.picture]
+        self.own = np.arange(len(self.value), dtype=np.int32) - np.repeat(self.first, self.n).astype(np.int32)
+        self.widths = widths
 
     def counts(self, channel: np.ndarray) -> np.ndarray:
         return np.bincount(self.picture << 8 | channel, minlength=len(self.n) << 8).reshape(-1, 256)
 
-    def before(self, left: bool) -> np.ndarray:
-        """Index of the pixel that predicts each one; -1 for a picture's first."""
-        column, row = self.own % self.width, self.own // self.width
-        here = np.arange(len(self.own))
-        across, down = here - 1, here - self.width
-        at = np.where(column > 0, across, down) if left else np.where(row > 0, down, across)
-        at[self.first] = -1
-        return at
+    def left(self, channel: np.ndarray) -> np.ndarray:
+        """What is left of a channel after prediction from the left, in a first column from the top."""
+        out = channel.copy()
+        out[1:] -= channel[:-1]
+        at = np.concatenate([np.arange(f, f + n, w) for f, n, w in zip(self.first.tolist(), self.n.tolist(), self.widths.tolist())])
+        width = self.widths[self.picture[at]]
+        out[at] = channel[at] - np.where(self.own[at] > 0, channel[at - width], 0).astype(np.uint8)
+        return out
+
+    def top(self, channel: np.ndarray) -> np.ndarray:
+        """What is left of a channel after prediction from the top, in a first row from the left."""
+        out = channel.copy()
+        for w in np.unique(self.widths).tolist():
+            out[w:] = np.where(self.widths[self.picture[w:]] == w, channel[w:] - channel[:-w], out[w:]) if len(np.unique(self.widths)) > 1 else channel[w:] - channel[:-w]
+        size = np.minimum(self.widths, self.n)
+        at = np.repeat(self.first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        out[at] = channel[at] - np.where(self.own[at] > 0, channel[at - 1], 0).astype(np.uint8)
+        return out
 
 
 @functools.lru_cache(maxsize=1 << 12)
@@ -164,31 +174,29 @@ def _transform_head(kind: int, argb: tuple[int, int, int, int] | None) -> tuple[
     return np.concatenate(out.values), np.concatenate(out.sizes)
 
 
-def _signed(channel: np.ndarray) -> np.ndarray:
-    return channel.astype(np.uint8).astype(np.int8).astype(np.int64)
-
-
-def transformed(flat: Flat, fixed: np.ndarray) -> tuple[np.ndarray, list[list[tuple[np.ndarray, np.ndarray]]], np.ndarray]:
+def transformed(flat: Flat, fixed: np.ndarray) -> tuple[list[np.ndarray], list[list[tuple[np.ndarray, np.ndarray]]], np.ndarray]:
     """(red, green, blue) of all pixels after the transform chosen for each picture, its bits, and the alpha value left.
 
     `fixed` pictures (palettes) keep their pixels.
     """
-    red, green, blue = flat.value >> 16 & 255, flat.value >> 8 & 255, flat.value & 255
-    sums = functools.partial(np.bincount, flat.picture, minlength=len(flat.n))
-    g, r, b = _signed(green), _signed(red), _signed(blue)
-    mean = sums(g) / flat.n
-    spread = np.maximum(sums(g * g) - flat.n * mean * mean, 1)
-    to_red, to_blue = (np.clip(np.rint(32 * (sums(g * c) - mean * sums(c)) / spread), -128, 127).astype(np.int64) for c in (r, b))
-    options = [(red, green, blue), ((red - green) & 255, green, (blue - green) & 255)]
-    for left in (True, False):
-        at = flat.before(left)
-        options.append(tuple((c - np.where(at >= 0, c[at], 0)) & 255 for c in (red, green, blue)))
-    options.append(((red - (to_red[flat.picture] * g >> 5)) & 255, green, (blue - (to_blue[flat.picture] * g >> 5)) & 255))
+    red, green, blue = ((flat.value >> k).astype(np.uint8) for k in (16, 8, 0))
+    g, r, b = (c.view(np.int8).astype(np.float64) for c in (green, red, blue))
+    mean = np.add.reduceat(g, flat.first) / flat.n
+    spread = np.maximum(np.add.reduceat(g * g, flat.first) - flat.n * mean * mean, 1)
+    to_red, to_blue = (np.clip(np.rint(32 * (np.add.reduceat(g * c, flat.first) - mean * np.add.reduceat(c, flat.first)) / spread), -128, 127).astype(np.int16) for c in (r, b))
+    part = green.view(np.int8).astype(np.int16)
+    crossed = [(c - (np.repeat(to, flat.n) * part >> 5).astype(np.uint8)) for c, to in ((red, to_red), (blue, to_blue))]
+    options = [(red, green, blue), (red - green, green, blue - green), tuple(map(flat.left, (red, green, blue))), tuple(map(flat.top, (red, green, blue))), (crossed[0], green, crossed[1])]
     heads = [0, 3, 110, 110, 130]
-    cost = np.stack([sum(bits_of(flat.counts(c)) for c in three) + head for three, head in zip(options, heads)])
+    known: dict[int, np.ndarray] = {}
+    cost = np.stack([sum(known[id(c)] if id(c) in known else known.setdefault(id(c), bits_of(flat.counts(c))) for c in three) + head for three, head in zip(options, heads)])
     chosen = np.where(fixed, 0, cost.argmin(axis=0))
-    per_pixel = chosen[flat.picture]
-    out = np.stack([np.choose(per_pixel, [three[k] for three in options]) for k in range(3)])
+    out = [c.copy() for c in options[0]]
+    for way in range(1, len(options)):
+        if (chosen == way).any():
+            here = np.repeat(chosen == way, flat.n)
+            for k in range(3):
+                np.copyto(out[k], options[way][k], where=here)
     bits: list[list[tuple[np.ndarray, np.ndarray]]] = []
     for k, way in enumerate(chosen.tolist()):
         if way == 1:
@@ -218,8 +226,9 @@ def references(value: np.ndarray, flat: Flat) -> tuple[np.ndarray, np.ndarray, n
     if n < 3:
         return none, none, none
     three = [value[:-2], value[1:-1], value[2:]]
-    mixed = three[0] * 0x9E3779B1 ^ three[1] * 0x85EBCA77 ^ three[2] * 0xC2B2AE3D
-    before = _last_alike((mixed ^ mixed >> 17 ^ mixed >> 34).astype(np.uint16), flat.picture[:-2])
+    own = value.view(np.uint32)
+    mixed = own[:-2] * np.uint32(0x9E3779B1) ^ own[1:-1] * np.uint32(0x85EBCA77) ^ own[2:] * np.uint32(0xC2B2AE3D)
+    before = _last_alike((mixed ^ mixed >> np.uint32(15)).astype(np.uint16), flat.picture[:-2])
     whole = flat.own[:-2] + 2 < flat.n[flat.picture[:-2]]
     good = (before >= 0) & whole
     for part in three:
@@ -285,14 +294,15 @@ def packed(picture: np.ndarray, value: np.ndarray, size: np.ndarray, pictures: i
     first = np.cumsum(n_bytes) - n_bytes
     start = np.cumsum(size) - size
     start += (8 * first - (np.cumsum(bits) - bits))[picture]
-    value, byte = value << (start & 7), start >> 3
-    total = int(n_bytes.sum())
-    out = np.zeros(total + 8, np.uint8)
-    for k in range((int(size.max(initial=0)) + 14) // 8):
-        # Values don't overlap, so a byte is the sum of what each adds to it.
-        part = value >> 8 * k & 255
-        some = np.flatnonzero(part)
-        out[: total + 8] += np.bincount(byte[some] + k, part[some], total + 8).astype(np.uint8)
+    word, shift, total = start >> 5, start & 31, int(n_bytes.sum())
+    words = total // 4 + 4
+    # Values don't overlap, so a word of 32 bits is the sum of what each value adds to it, exactly.
+    out = np.bincount(word, value << shift & 0xFFFFFFFF, words)
+    high = value >> 32 - shift
+    out[1:] += np.bincount(word, high & 0xFFFFFFFF, words)[:-1]
+    if len(far := np.flatnonzero(high >> 32)):
+        out[2:] += np.bincount(word[far], high[far] >> 32, words)[:-2]
+    out = out.astype(np.uint32).astype("<u4").view(np.uint8)
     data = out[:total].tobytes()
     return [data[a : a + n] for a, n in zip(first.tolist(), n_bytes.tolist())]
 
@@ -333,13 +343,13 @@ def encode_many(pictures: list[np.ndarray]) -> list[bytes]:
     flat = Flat(images, np.array(widths))
     count = len(pictures)
     (red, green, blue), transforms, alpha = transformed(flat, np.array([p is not None for p in palettes]))
-    value = red << 16 | green << 8 | blue
+    value = red.astype(np.int32) << 16 | green.astype(np.int32) << 8 | blue
     start, length, distance = references(value, flat)
-    covered = np.zeros(len(value) + 1, np.int64)
+    covered = np.zeros(len(value) + 1, np.int8)
     np.add.at(covered, start, 1)
     np.add.at(covered, start + length, -1)
-    literal = np.cumsum(covered[:-1]) == 0
-    slot = slots_of(alpha[flat.picture] << 24 | value, CACHE_BITS).astype(np.int64)
+    literal = np.cumsum(covered[:-1], dtype=np.int8) == 0
+    slot = slots_of(np.repeat(alpha.astype(np.uint32) << np.uint32(24), flat.n) | value.view(np.uint32), CACHE_BITS).astype(np.int64)
     before = _last_alike(slot.astype(np.uint8), flat.picture)
     hit = literal & (before >= 0) & (value[before] == value)
     lengths, distances = PREFIXES[:, length], PREFIXES[:, distance + len(webp.NEIGHBOURS)]
@@ -350,12 +360,10 @@ def encode_many(pictures: list[np.ndarray]) -> list[bytes]:
 
     referred = histogram(starts_of, LITERALS + lengths[0], GREENS)
 
-    def all_counts(shown: np.ndarray, cached: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at, of_cache = flat.picture[shown], flat.picture[cached]
-        greens = referred + histogram(at, green[shown], GREENS) + histogram(of_cache, LITERALS + LENGTHS + slot[cached], GREENS)
-        return greens, histogram(at, red[shown], 256), histogram(at, blue[shown], 256)
-
-    plain, mixed = all_counts(literal, np.zeros(len(hit), bool)), all_counts(literal & ~hit, hit)
+    at = flat.picture[literal]
+    plain = (referred + histogram(at, green[literal], GREENS), histogram(at, red[literal], 256), histogram(at, blue[literal], 256))
+    at = flat.picture[hit]
+    mixed = (plain[0] - histogram(at, green[hit], GREENS) + histogram(at, LITERALS + LENGTHS + slot[hit], GREENS), plain[1] - histogram(at, red[hit], 256), plain[2] - histogram(at, blue[hit], 256))
     # A symbol in use costs about five bits in the head of a picture.
     cost = [sum(bits_of(c) + 5 * (c > 0).sum(axis=1) for c in three) for three in (plain, mixed)]
     cached = cost[1] + 20 < cost[0]
@@ -469,12 +477,12 @@ def _main_images(parsed: list[Parsed], data: list[bytes]) -> list[np.ndarray]:
     n = np.array([p.across * p.height for p in parsed])
     first = np.cumsum(n) - n
     joined = np.frombuffer(b"".join(data) + bytes(64), np.uint8)
-    words = np.ndarray(len(joined) - 8, "<u8", joined, strides=(1,))
+    words = np.ndarray(len(joined) - 8, "<i8", joined, strides=(1,))
     begin = 8 * (np.cumsum([len(d) for d in data]) - [len(d) for d in data])
     alphabet = max(len(p.lengths[0]) for p in parsed)
     tables = np.concatenate([_tables([p.lengths[c] for p in parsed], size) for c, size in ((0, max(alphabet, LITERALS + LENGTHS)), (1, 256), (2, 256), (4, DISTANCES))]).reshape(-1)
     step = len(parsed) << MOST_BITS
-    mask = np.uint64((1 << MOST_BITS) - 1)
+    mask = (1 << MOST_BITS) - 1
     alpha = np.array([p.alpha for p in parsed], np.int64) << 24
     value, slot, source = np.zeros(int(n.sum()), np.int64), np.zeros(int(n.sum()), np.int16), np.arange(int(n.sum()))
     lane = np.arange(len(parsed))
@@ -482,16 +490,17 @@ def _main_images(parsed: list[Parsed], data: list[bytes]) -> list[np.ndarray]:
     at, end, base = first.copy(), first + n, lane << MOST_BITS
     refs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     while len(lane):
-        ahead = words[bit >> 3] >> (bit & 7).astype(np.uint64)
-        green = tables[base + (ahead & mask).astype(np.int64)].astype(np.int64)
+        # At most 57 of the bits are used, so what a shift brings in from above doesn't matter.
+        ahead = words[bit >> 3] >> (bit & 7)
+        green = tables.take(base + (ahead & mask))
         used = green & 15
-        ahead >>= used.astype(np.uint64)
-        symbol = green >> 4
-        red = tables[step + base + (ahead & mask).astype(np.int64)].astype(np.int64)
-        after = ahead >> (red & 15).astype(np.uint64)
-        blue = tables[2 * step + base + (after & mask).astype(np.int64)].astype(np.int64)
-        value[at] = alpha[lane] | red >> 4 << 16 | symbol << 8 | blue >> 4
-        more = (red & 15) + (blue & 15)
+        ahead >>= used
+        symbol = (green >> 4).astype(np.int64)
+        red = tables.take(step + base + (ahead & mask))
+        after = ahead >> (red & 15)
+        blue = tables.take(2 * step + base + (after & mask))
+        value[at] = alpha[lane] | (red >> 4).astype(np.int64) << 16 | symbol << 8 | blue >> 4
+        more = ((red & 15) + (blue & 15)).astype(np.int64)
         moved = np.ones(len(lane), np.int64)
         if (other := np.flatnonzero(symbol >= LITERALS)).size:
             more[other] = 0
@@ -502,25 +511,25 @@ def _main_images(parsed: list[Parsed], data: list[bytes]) -> list[np.ndarray]:
             if back.size:
                 kind, rest = kind[~by_cache], ahead[back]
                 own_bits = MORE_BITS[kind]
-                length = FIRST_VALUE[kind] + (rest & (np.uint64(1) << own_bits) - np.uint64(1)).astype(np.int64)
+                length = FIRST_VALUE[kind] + (rest & (1 << own_bits) - 1)
                 rest >>= own_bits
-                code = tables[3 * step + base[back] + (rest & mask).astype(np.int64)].astype(np.int64)
-                rest >>= (code & 15).astype(np.uint64)
+                code = tables[3 * step + base[back] + (rest & mask)].astype(np.int64)
+                rest >>= code & 15
                 far_bits = MORE_BITS[code >> 4]
-                far = FIRST_VALUE[code >> 4] + (rest & (np.uint64(1) << far_bits) - np.uint64(1)).astype(np.int64)
+                far = FIRST_VALUE[code >> 4] + (rest & (1 << far_bits) - 1)
                 near = np.flatnonzero(far <= len(webp.NEIGHBOURS))
                 far -= len(webp.NEIGHBOURS)
                 for i in near.tolist():
                     far[i] = webp._distance(int(far[i]) + len(webp.NEIGHBOURS), parsed[int(lane[back[i]])].across)
                 if (far > at[back] - first[lane[back]]).any() or (at[back] + length > end[back]).any():
                     raise ValueError("back-reference out of the image")
-                more[back] = own_bits.astype(np.int64) + (code & 15) + far_bits.astype(np.int64)
+                more[back] = own_bits + (code & 15) + far_bits
                 moved[back] = length
                 refs.append((at[back], length, far))
         bit = bit + used + more
         at = at + moved
         live = at < end
-        if not live.all() or (bit > stop).any():
+        if not live.all():
             if (bit > stop).any():
                 raise ValueError("bit stream ends early")
             lane, bit, stop, at, end, base = (x[live] for x in (lane, bit, stop, at, end, base))
