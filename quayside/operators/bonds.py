@@ -1,11 +1,13 @@
 """Bond operators: lot facts, issuer roll-ups, maturity wall, yields by bisection, sector curves.
 
-Lots are (lot, issuer, issue, months, coupon, amount), trades (lot, line, date, price, traded). The yield of a trade is
-an expression over its own schedule, so a table of trades of any size is one projection without a shuffle of its own.
+Lots are (lot, issuer, issue, months, coupon, amount), trades (lot, line, date, price, traded). The yield of a trade
+follows from its own schedule, so a table of trades of any size is one narrow pass without a shuffle of its own.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,25 +58,36 @@ def cash_flows(lots_trades: DataFrame, every: int = 6) -> Column:
     return F.transform(left, lambda d: F.struct((F.datediff(d["day"], F.col("date")) / 365.0).alias("t"), (coupon + F.when(d["k"] == last, 100.0).otherwise(0.0)).alias("cf")))
 
 
-def present_value(flows: Column, rate: Column) -> Column:
-    return F.aggregate(flows, F.lit(0.0), lambda total, f: total + f["cf"] / F.pow(1 + rate, f["t"]))
-
-
 def with_yields(lots: DataFrame, trades: DataFrame, steps: int = 60, low: float = -0.5, high: float = 2.0) -> DataFrame:
-    """Every trade with its yield to maturity by bisection; null if the bracket holds no root."""
+    """Every trade with its yield to maturity by bisection; null if the bracket holds no root.
+
+    A batch's schedules are one array, and all its trades are halved together: nested column functions would be
+    interpreted for every flow at every step.
+    """
+
+    @F.pandas_udf("double")
+    def solved(times: pd.Series, amounts: pd.Series, price: pd.Series) -> pd.Series:
+        sizes = times.map(len).to_numpy()
+        inside = np.arange(sizes.max(initial=1))[None, :] < sizes[:, None]
+        t, cf, asked = np.zeros(inside.shape), np.zeros(inside.shape), price.to_numpy(np.float64)
+        if len(times):
+            t[inside], cf[inside] = np.concatenate(times.to_numpy()), np.concatenate(amounts.to_numpy())
+
+        def worth(rate: np.ndarray) -> np.ndarray:
+            return (cf * np.exp(-t * np.log1p(rate)[:, None])).sum(axis=1)
+
+        lo, hi = np.full(len(asked), low), np.full(len(asked), high)
+        rooted = (worth(lo) >= asked) & (worth(hi) <= asked)
+        for _ in range(steps):
+            middle = (lo + hi) / 2
+            above = worth(middle) > asked
+            lo, hi = np.where(above, middle, lo), np.where(above, hi, middle)
+        return pd.Series(np.where(rooted, (lo + hi) / 2, np.nan))  # not a number becomes null
+
     joined = trades.join(lots, "lot")
     flows = joined.withColumn("flows", cash_flows(joined)).where(F.size("flows") > 0)
-    price = F.col("price")
-
-    def halve(state: Column, _: Column) -> Column:
-        # The middle is bound once by an array of one.
-        return F.transform(F.array((state["lo"] + state["hi"]) / 2), lambda mid: F.when(present_value(F.col("flows"), mid) > price, F.struct(mid.alias("lo"), state["hi"].alias("hi"))).otherwise(F.struct(state["lo"].alias("lo"), mid.alias("hi"))))[0]
-
-    start = F.struct(F.lit(low).alias("lo"), F.lit(high).alias("hi"))
-    root = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)
-    inside = (present_value(F.col("flows"), F.lit(low)) >= price) & (present_value(F.col("flows"), F.lit(high)) <= price)
     years = F.element_at("flows", -1)["t"]
-    return flows.withColumns({"ytm": F.when(inside, (root["lo"] + root["hi"]) / 2), "years": years}).drop("flows")
+    return flows.withColumns({"ytm": solved(F.col("flows.t"), F.col("flows.cf"), F.col("price").cast("double")), "years": years}).drop("flows")
 
 
 def tenor_bucket(years: Column) -> Column:

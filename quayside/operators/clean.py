@@ -107,7 +107,7 @@ def formula_checks(facts: DataFrame, formulas: DataFrame, keys: list[str], item:
     terms = F.expr(r"regexp_extract_all(formula, '(^|[=+-])\\s*([^=+-]+)', 0)")
     parsed = formulas.select("formula", F.posexplode(terms).alias("k", "term"))
     parsed = parsed.select("formula", "k", F.trim(F.regexp_replace("term", "^[=+-]", "")).alias(item), F.when(F.col("term").startswith("-"), -1).otherwise(1).alias("sign"))
-    joined = facts.join(F.broadcast(parsed), item)  # formulas are a handful of rule rows
+    joined = facts.join(parsed, item)
     stated, computed = F.sum(F.when(F.col("k") == 0, F.col(value))), F.sum(F.when(F.col("k") > 0, F.col("sign") * F.col(value)))
     out = joined.groupBy("formula", *keys).agg(stated.alias("stated"), computed.alias("computed"))
     return out.withColumn("matches", F.abs(F.col("stated") - F.col("computed")) <= 0.005 * F.abs("stated"))

@@ -122,11 +122,13 @@ def overridden(rows: DataFrame, manual: DataFrame, key: str, columns: list[str],
 def canonical_names(names: DataFrame, aliases: DataFrame, least: float = 0.86) -> DataFrame:
     """Canonical form of each distinct name: an alias contained in it, else the most similar alias.
 
-    `aliases` (alias, canonical) is a rule table; each name is compared with all of it, in a stated block of rules.
+    `aliases` (alias, canonical) is a rule table; in a few blocks, so no row holds all of them. Every name
+    is looked up in every block: the best of all rules is asked for.
     """
-    rules = aliases.agg(F.collect_list(F.struct("alias", "canonical")).alias("rules"))
-    rows = names.select("name").distinct().join(F.broadcast(rules))
+    blocks = aliases.groupBy(F.pmod(F.xxhash64("alias"), F.lit(64)).alias("block")).agg(F.collect_list(F.struct("alias", "canonical")).alias("rules"))
+    rows = names.select("name").distinct().crossJoin(blocks)
     contained = F.filter("rules", lambda r: F.contains("name", r["alias"]))
     longest = F.array_max(F.transform(contained, lambda r: F.struct(F.length(r["alias"]).alias("n"), r["canonical"].alias("canonical"))))
     best = F.array_max(F.transform("rules", lambda r: F.struct(similarity(F.col("name"), r["alias"]).alias("score"), r["canonical"].alias("canonical"))))
-    return rows.select("name", F.when(F.size(contained) > 0, longest["canonical"]).when(best["score"] >= least, best["canonical"]).alias("canonical"))
+    found = rows.select("name", longest.alias("longest"), best.alias("best")).groupBy("name").agg(F.max("longest").alias("longest"), F.max("best").alias("best"))
+    return found.select("name", F.when(F.col("longest").isNotNull(), F.col("longest.canonical")).when(F.col("best.score") >= least, F.col("best.canonical")).alias("canonical"))

@@ -15,8 +15,9 @@ def derived(series: DataFrame, formulas: dict[str, tuple[str, str]], limit: int
     """
     import re
 
-    known = {r["series_id"] for r in series.select("series_id").distinct().limit(10_000).collect()}
-    inputs = sorted({name for main, f in formulas.values() for name in [main, *re.findall(r"\b[A-Za-z_]\w*\b", f)] if name in known})
+    # Names in the formulas that aren't called are series; one that has no rows is a column of nulls.
+    words = {"and", "or", "not", "case", "when", "then", "else", "end", "is", "null", "between", "in"}
+    inputs = sorted({name for main, f in formulas.values() for name in [main, *re.findall(r"\b[A-Za-z_]\w*\b(?!\s*\()", f)] if name.lower() not in words})
     wide = series.where(F.col("series_id").isin(inputs)).groupBy("date").pivot("series_id", inputs).agg(F.max("value"))
     steps = wide.withColumn("step", F.row_number().over(Window.orderBy("date"))).withColumn("k", F.lit(1))
     both = steps.select("date", *[F.col(c).alias(f"raw_{c}") for c in inputs], *[filled(c, "k", "step", limit).alias(c) for c in inputs])

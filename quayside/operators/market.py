@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .temporal import asof_join, dense_grid, filled, full_mean, horizon_prices, running_product
+from .temporal import asof_join, dense_grid, filled, full_mean, horizon_prices, running_product, with_range, with_running_means
+
 
 def by_symbol():
     return Window.partitionBy("symbol").orderBy("date")
@@ -27,8 +28,8 @@ def breadth(bars: DataFrame, means: tuple[int, ...] = (20, 50, 200), year: int =
     Moving averages need a full window, and a price above one is so by more than rounding; yearly extremes need `least` prices. The advance-decline line sums over days.
     """
     before = F.last("close", ignorenulls=True).over(by_symbol().rowsBetween(Window.unboundedPreceding, -1))
-    span = by_symbol().rowsBetween(-(year - 1), 0)
-    seen = price_grid(bars).select("*", before.alias("prev"), *[full_mean("px", by_symbol(), n).alias(f"ma{n}") for n in means], F.count("px").over(span).alias("n52"), F.max("px").over(span).alias("hi"), F.min("px").over(span).alias("lo"))
+    averaged = with_running_means(price_grid(bars).select("symbol", "date", "close", "px", before.alias("prev")), "px", "symbol", "date", {f"ma{n}": n for n in means})
+    seen = with_range(averaged, "px", "symbol", "date", year, "lo", "hi", "n52")
     enough = F.col("n52") >= least
     daily = seen.groupBy("date").agg(
         F.count_if(F.col("close") > F.col("prev")).alias("adv"),
@@ -51,9 +52,8 @@ def moving_averages(bars: DataFrame, means: tuple[int, ...], volume_rows: int =
 
 def year_range(bars: DataFrame, rows: int = 250, least: int = 120) -> DataFrame:
     """Highest and lowest close of the last `rows` trades, null with fewer than `least`."""
-    span = by_symbol().rowsBetween(-(rows - 1), 0)
-    enough = F.count("close").over(span) >= least
-    return bars.select("*", F.when(enough, F.max("close").over(span)).alias("high52"), F.when(enough, F.min("close").over(span)).alias("low52"))
+    enough = F.col("_n") >= least
+    return with_range(bars, "close", "symbol", "date", rows, "_lo", "_hi", "_n").select(*bars.columns, F.when(enough, F.col("_hi")).alias("high52"), F.when(enough, F.col("_lo")).alias("low52"))
 
 
 def calendar_yoy(bars: DataFrame) -> DataFrame:
@@ -132,12 +132,12 @@ def basket_profit(bars: DataFrame, lots: int = 10) -> DataFrame:
 
 
 def valuation(bars: DataFrame, instruments: DataFrame) -> DataFrame:
-    """symbol, sector, exchange, cap at the last close, with earnings and book (some missing, some losses)."""
+    """symbol, sector, exchange, close, cap at the last close, with earnings, book, dividends and expected earnings (some missing, some losses)."""
     last = bars.groupBy("symbol").agg(F.max_by("close", "date").alias("close"))
     s = F.col("symbol")
     earnings = F.when(s % 9 != 0, (s % 13 - 3) * F.lit(1e6))
     book = F.when(s % 8 != 0, (s % 11 + 1) * F.lit(1e7))
-    return instruments.join(last, "symbol").select("symbol", "sector", "exchange", (F.col("close") * F.col("shares")).alias("cap"), earnings.alias("earnings"), book.alias("book"))
+    return instruments.join(last, "symbol").select("symbol", "sector", "exchange", "close", (F.col("close") * F.col("shares")).alias("cap"), earnings.alias("earnings"), book.alias("book"), F.when(s % 5 != 0, (s % 7) * F.lit(1e5)).alias("dividends"), F.when(s % 4 != 0, (s % 17 - 2) * F.lit(1e6)).alias("expected"))
 
 
 def same_members(value: str):
@@ -156,24 +156,25 @@ def aggregate_pe(valued: DataFrame) -> DataFrame:
 
 
 def snapshot(bars: DataFrame, instruments: DataFrame) -> DataFrame:
-    """Per sector: price-earnings, price-book, cap-weighted return on equity and coverage."""
+    """Per sector: price-earnings, price-book, expected price-earnings, dividend yield, cap-weighted return on equity and coverage."""
     has = F.col("earnings").isNotNull()
     both = (F.col("book") > 0) & has
     roe = F.sum(F.when(both, F.col("earnings") / F.col("book") * F.col("cap"))) / F.sum(F.when(both, F.col("cap")))
     coverage = F.sum(F.when(has, F.col("cap")).otherwise(0.0)) / F.sum("cap")
-    return valuation(bars, instruments).groupBy("sector").agg(F.count("*").alias("members"), same_members("earnings").alias("pe"), same_members("book").alias("pb"), roe.alias("roe"), coverage.alias("coverage"))
+    return valuation(bars, instruments).groupBy("sector").agg(F.count("*").alias("members"), same_members("earnings").alias("pe"), same_members("book").alias("pb"), same_members("expected").alias("forward_pe"), F.try_divide(F.sum("dividends"), F.sum(F.when(F.col("dividends").isNotNull(), F.col("cap")))).alias("dividend_yield"), roe.alias("roe"), coverage.alias("coverage"))
 
 
 def ratios_long(valued: DataFrame) -> DataFrame:
     """symbol, ratio, value rows; ratios that can't be computed have none."""
-    wide = valued.select("symbol", F.try_divide(F.col("cap"), F.col("earnings")).alias("pe"), F.try_divide(F.col("cap"), F.col("book")).alias("pb"))
-    return wide.unpivot(["symbol"], ["pe", "pb"], "ratio", "value").where("value IS NOT NULL")
+    wide = valued.select("symbol", "cap", "close", F.try_divide(F.col("cap"), F.col("earnings")).alias("pe"), F.try_divide(F.col("cap"), F.col("book")).alias("pb"))
+    return wide.unpivot(["symbol"], ["cap", "close", "pe", "pb"], "ratio", "value").where("value IS NOT NULL")
 
 
 def ratio_pivot(long: DataFrame) -> DataFrame:
-    """Ratios side by side with what they imply."""
-    wide = long.groupBy("symbol").pivot("ratio", ["pe", "pb"]).agg(F.max("value"))
-    return wide.withColumns({"roe": F.col("pb") / F.col("pe"), "earnings_yield": 1 / F.col("pe")})
+    """Ratios side by side with what they imply: trailing earnings, equity, return, earnings yield and earnings at the price level."""
+    wide = long.groupBy("symbol").pivot("ratio", ["cap", "close", "pe", "pb"]).agg(F.max("value"))
+    implied = {"ln_ttm": F.col("cap") / F.col("pe"), "gtss": F.col("cap") / F.col("pb"), "roe": F.col("pb") / F.col("pe"), "earnings_yield": 1 / F.col("pe"), "eps_index": F.col("close") / F.col("pe")}
+    return wide.withColumns(implied)
 
 
 def ex_group_valuation(bars: DataFrame, instruments: DataFrame, group_sector: str) -> DataFrame:
@@ -196,8 +197,8 @@ def sector_index(bars: DataFrame, instruments: DataFrame, since: str, end: str)
     """Sector capitalisation rebased to 100, of the members that have a price at both ends of the period."""
     inside = price_grid(bars).where(F.col("date").between(F.lit(since).cast("date"), F.lit(end).cast("date"))).join(instruments, "symbol")
     ends = inside.agg(F.min("date").alias("d0"), F.max("date").alias("d1"))
-    at_ends = inside.join(F.broadcast(ends), (F.col("date") == F.col("d0")) | (F.col("date") == F.col("d1"))).where("px IS NOT NULL")
-    fixed = at_ends.groupBy("symbol").count().where("count = 2").select("symbol")
+    priced_at = [F.count_if((F.col("date") == F.col(d)) & F.col("px").isNotNull()) for d in ("d0", "d1")]
+    fixed = inside.join(F.broadcast(ends)).groupBy("symbol").agg(*[n.alias(f"n{k}") for k, n in enumerate(priced_at)]).where("n0 > 0 AND n1 > 0").select("symbol")
     daily = inside.join(fixed, "symbol", "left_semi").groupBy("sector", "date").agg(F.count("px").alias("members"), F.sum(F.col("px") * F.col("shares")).alias("cap"))
     return daily.withColumn("idx", 100 * F.col("cap") / F.first("cap").over(Window.partitionBy("sector").orderBy("date")))
 
@@ -205,7 +206,8 @@ def sector_index(bars: DataFrame, instruments: DataFrame, since: str, end: str)
 def cap_weighted_returns(bars: DataFrame, instruments: DataFrame, as_of: str) -> DataFrame:
     """Returns of sectors over several horizons, weighted by capitalisation at the start."""
     day = F.lit(as_of).cast("date")
-    cuts = {"1M": F.add_months(day, -1), "1Y": F.add_months(day, -12), "3Y": F.add_months(day, -36), "YTD": F.date_sub(F.trunc(day, "year"), 1)}
+    months = {"1M": 1, "3M": 3, "6M": 6, "1Y": 12, "2Y": 24, "3Y": 36, "5Y": 60}
+    cuts = {"1D": F.date_sub(day, 1), "1W": F.date_sub(day, 7), **{k: F.add_months(day, -n) for k, n in months.items()}, "YTD": F.date_sub(F.trunc(day, "year"), 1)}
     spark = bars.sparkSession
     horizons = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(k).alias("horizon"), v.alias("cutoff")) for k, v in cuts.items()])).alias("h")).select("h.*")
     start = horizon_prices(bars, horizons).withColumnRenamed("price", "p0")

@@ -1,7 +1,7 @@
 """Port operators: calls from events, berth visits, stops and legs, lanes, rotations, volume models.
 
-Events are (event_id, ship_key, ts, section, place_from, place_to, dwt). Pairing is a small state machine per ship; it
-runs as a grouped job over ships, of which each has few events, and as a stateful stream in `streaming.live`.
+Events are (event_id, ship_key, ts, section, place_from, place_to, dwt). Calls are found by windows over a ship's events
+and one aggregation per call, so a busy ship is sorted, not held; its stateful stream is in `streaming.live`.
 """
 
 from __future__ import annotations
@@ -13,64 +13,104 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 REVISION_DAYS, MOST_DAYS = 3, 45
-CALL_SCHEMA = "ship_key long, arrival timestamp, departure timestamp, first_berth int, n_shifts int, status string, n_revisions int"
+SECTIONS = ("arrive", "shift", "depart")
+CALL_COLUMNS = ("ship_key", "arrival", "origin", "first_berth", "berths", "last_berth", "n_shifts", "departure", "destination", "hours_in_port", "status", "n_revisions")
+CALL_SCHEMA = "ship_key long, arrival timestamp, origin int, first_berth int, berths string, last_berth int, n_shifts int, departure timestamp, destination int, hours_in_port double, status string, n_revisions int"
 
 
 class Pairing:
-    """State of one ship: the open call, and the calls that are done.
+    """State of one ship in a stream: the open call, and the calls that are done.
 
-    An arrival within REVISION_DAYS of the open one replaces its date; a later arrival closes it without a departure. A
-    departure closes the open call; without one it is an orphan. A call open for more than MOST_DAYS expires. Shifts
-    count towards the open call; a shift without one opens a call that has only shifts.
+    An arrival from the same origin at the same berth within REVISION_DAYS of the open one, before any shift, replaces
+    its date; any other closes the open call. A shift or departure more than MOST_DAYS after the arrival closes the call
+    too, and belongs to a call without arrival, as one without an open call does. A departure closes its call.
     """
 
-    def __init__(self, ship: int, state: tuple | None = None):
-        self.ship, self.open = ship, list(state) if state else None
+    FIELDS = ("arrival", "origin", "berths", "shifts", "revisions")
 
-    def close(self, departure) -> tuple:
-        arrival, berth, shifts, revisions, since = self.open
-        self.open = None
-        status = "shift_only" if arrival is None and departure is None else "no_arrival" if arrival is None else "no_departure" if departure is None else "complete"
-        return (self.ship, arrival, departure, berth, shifts, status, revisions)
+    def __init__(self, ship: int, state: dict | None = None):
+        self.ship, self.open = ship, state
 
-    def expired(self, now) -> Iterator[tuple]:
-        if self.open and now - self.open[4] > pd.Timedelta(days=MOST_DAYS):
-            yield self.close(None)
+    def close(self, departure=None, destination: int | None = None, last: bool = False) -> tuple:
+        call, self.open = self.open, None
+        arrival, berths = call["arrival"], call["berths"]
+        status = ("complete" if arrival is not None else "no_arrival") if departure is not None else "shift_only" if arrival is None and last else "no_departure"
+        hours = round((departure - arrival).total_seconds() / 3600, 1) if departure is not None and arrival is not None else None
+        return (self.ship, arrival, call["origin"], berths[0], "|".join(map(str, berths)), berths[-1], call["shifts"], departure, destination, hours, status, call["revisions"])
 
-    def take(self, ts, section: str, berth: int) -> Iterator[tuple]:
-        yield from self.expired(ts)
+    def begin(self, arrival, origin: int | None, berth: int) -> None:
+        self.open = {"arrival": arrival, "origin": origin, "berths": [berth], "shifts": 0, "revisions": 0}
+
+    def touch(self, berth: int) -> None:
+        if berth not in self.open["berths"]:
+            self.open["berths"].append(berth)
+
+    def take(self, ts, section: str, place_from: int, place_to: int) -> Iterator[tuple]:
+        now, since = self.open, self.open and self.open["arrival"]
         if section == "arrive":
-            if self.open and self.open[0] is not None and ts - self.open[0] <= pd.Timedelta(days=REVISION_DAYS):
-                self.open[0], self.open[1], self.open[3], self.open[4] = ts, berth, self.open[3] + 1, ts
+            again = now and since is not None and not now["shifts"] and (now["origin"], now["berths"][0]) == (place_from, place_to) and (ts - since).days <= REVISION_DAYS
+            if again:
+                now["arrival"], now["revisions"] = ts, now["revisions"] + 1
                 return
-            if self.open:
-                yield self.close(None)
-            self.open = [ts, berth, 0, 0, ts]
-        elif section == "shift":
-            if not self.open:
-                self.open = [None, berth, 0, 0, ts]
-            self.open[2] += 1
-        elif section == "depart":
-            if self.open:
-                yield self.close(ts)
-            else:
-                yield (self.ship, None, ts, berth, 0, "no_arrival", 0)
+            if now:
+                yield self.close()
+            self.begin(ts, place_from, place_to)
+            return
+        if now and since is not None and (ts - since).days > MOST_DAYS:
+            yield self.close()
+        if not self.open:
+            self.begin(None, None, place_from)
+        if section == "shift":
+            self.open["shifts"] += 1
+            self.touch(place_to)
+        else:
+            self.touch(place_from)
+            yield self.close(ts, place_to)
+
+
+def whole_days(later: Column, earlier: Column) -> Column:
+    return F.floor((F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(86_400_000_000))
 
 
 def calls_from_events(events: DataFrame) -> DataFrame:
-    """Calls per ship from its events in time order (ties by event id)."""
+    """Calls per ship from its events in time order (ties: arrivals, shifts, departures, then event id).
 
-    def pair(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        ship = Pairing(int(key[0]))
-        out = []
-        for ts, section, berth in rows.sort_values(["ts", "event_id"])[["ts", "section", "place_to"]].itertuples(index=False):
-            out += ship.take(ts, section, int(berth))
-        if ship.open:
-            out.append(ship.close(None))
-        return pd.DataFrame(out, columns=["ship_key", "arrival", "departure", "first_berth", "n_shifts", "status", "n_revisions"])
-
-    used = events.where("section <> 'pass'").select("event_id", "ship_key", F.col("ts").cast("timestamp").alias("ts"), "section", "place_to").dropDuplicates(["ship_key", "ts", "section", "place_to"])
-    return used.groupBy("ship_key").applyInPandas(pair, CALL_SCHEMA)
+    A call begins after a departure, and at an arrival that doesn't revise the one just before it: same origin and berth,
+    within REVISION_DAYS. What follows an arrival by more than MOST_DAYS is a call of its own, without arrival. Two
+    windows over a ship and one aggregation per call; nothing of a ship is held at once.
+    """
+    rank = F.array_position(F.array(*[F.lit(x) for x in SECTIONS]), F.col("section"))
+    used = events.where(F.col("section").isin(*SECTIONS)).groupBy("ship_key", F.col("ts").cast("timestamp").alias("ts"), "section", "place_from", "place_to").agg(F.min("event_id").alias("event_id"))
+    w = Window.partitionBy("ship_key").orderBy("ts", rank, "event_id")
+    before = {c: F.lag(c).over(w) for c in ("section", "place_from", "place_to", "ts")}
+    revises = (before["section"] == "arrive") & (before["place_from"] == F.col("place_from")) & (before["place_to"] == F.col("place_to")) & (whole_days(F.col("ts"), before["ts"]) <= REVISION_DAYS)
+    arrives = F.col("section") == "arrive"
+    opens = before["section"].isNull() | (before["section"] == "depart") | (arrives & ~F.coalesce(revises, F.lit(False)))
+    marked = used.select("*", rank.alias("rank"), opens.cast("int").alias("opens"), F.lead("ts").over(w).isNull().alias("last"))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = marked.withColumn("part", F.sum("opens").over(upto))
+    # The arrivals of a part are its first events, so the newest one so far is the part's.
+    since = F.max(F.when(arrives, F.col("ts"))).over(Window.partitionBy("ship_key", "part").orderBy("ts", "rank", "event_id").rowsBetween(Window.unboundedPreceding, 0))
+    split = numbered.withColumn("late", F.coalesce(~arrives & (whole_days(F.col("ts"), since) > MOST_DAYS), F.lit(False)))
+    first = F.struct("ts", "rank", "event_id")
+    touched = F.array_sort(F.collect_list(F.struct("ts", "rank", "event_id", F.when(F.col("section") == "depart", F.col("place_from")).otherwise(F.col("place_to")).alias("place"))))
+    calls = split.groupBy("ship_key", "part", "late").agg(
+        F.max(F.when(arrives, F.col("ts"))).alias("arrival"),
+        F.max(F.when(arrives, F.col("place_from"))).alias("origin"),
+        F.min_by(F.when(arrives, F.col("place_to")).otherwise(F.col("place_from")), first).alias("first_berth"),
+        F.transform(touched, lambda t: t["place"]).alias("touched"),
+        F.count_if(F.col("section") == "shift").cast("int").alias("n_shifts"),
+        F.max(F.when(F.col("section") == "depart", F.col("ts"))).alias("departure"),
+        F.max(F.when(F.col("section") == "depart", F.col("place_to"))).alias("destination"),
+        F.greatest(F.count_if(arrives) - 1, F.lit(0)).cast("int").alias("n_revisions"),
+        F.bool_or("last").alias("last"),
+    )
+    berths = F.array_distinct(F.concat(F.array("first_berth"), F.col("touched")))
+    arrived, left = F.col("arrival").isNotNull(), F.col("departure").isNotNull()
+    status = F.when(arrived & left, "complete").when(left, "no_arrival").when(~arrived & F.col("last"), "shift_only").otherwise("no_departure")
+    hours = F.round((F.unix_micros("departure") - F.unix_micros("arrival")) / 3.6e9, 1)
+    out = calls.withColumns({"berths": berths, "status": status, "hours_in_port": hours})
+    return out.withColumns({"last_berth": F.element_at("berths", -1), "berths": F.array_join(F.transform("berths", lambda b: b.cast("string")), "|")}).select(*CALL_COLUMNS)
 
 
 def calls_by_id(events: DataFrame, call: str) -> DataFrame:
@@ -194,7 +234,8 @@ def from_cumulative(df: DataFrame, keys: list[str], month_no: str, value: str) -
     """Monthly values as differences of cumulative ones of adjacent months within a year; never negative."""
     w = Window.partitionBy(*keys, "year").orderBy(month_no)
     before = F.when(F.lag(month_no).over(w) == F.col(month_no) - 1, F.lag(value).over(w)).when(F.col(month_no) == 1, 0.0)
-    return df.withColumn("monthly", F.greatest(F.col(value) - before, F.lit(0.0)))
+    step = F.col(value) - before
+    return df.withColumn("monthly", F.when(step.isNotNull(), F.greatest(step, F.lit(0.0))))
 
 
 def seasonality(monthly: DataFrame, key: str, value: str) -> DataFrame:

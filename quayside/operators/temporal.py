@@ -30,10 +30,17 @@ def asof_join(left: DataFrame, right: DataFrame, key: str | list[str], left_time
 
 
 def nearest_join(left: DataFrame, right: DataFrame, key: str, left_id: str, left_time: str, right_time: str, columns: list[str], tolerance: float) -> DataFrame:
-    """The right row nearest in time within `tolerance` days on either side, one per left row; ties go to the earlier."""
-    r = right.select(key, F.col(right_time).alias("_rt"), *columns)
-    gap = (F.unix_timestamp("_rt") - F.unix_timestamp(left_time)) / 86400.0
-    near = left.join(r, key).withColumn("_gap", F.abs(gap)).where(F.col("_gap") <= tolerance)
+    """The right row nearest in time within `tolerance` days on either side, one per left row; ties go to the earlier.
+
+    Rows meet by key and slots of time as long as the tolerance: a right row in its own, a left row in that and both
+    next to it. So a key's rows are spread, and only rows within two tolerances of each other are compared.
+    """
+    seconds = max(1, int(tolerance * 86400))
+    r = right.select(key, F.col(right_time).alias("_rt"), F.floor(F.unix_timestamp(right_time) / seconds).alias("_slot"), *columns)
+    own = F.floor(F.unix_timestamp(left_time) / seconds)
+    asked = left.select(left_id, key, F.col(left_time).alias("_lt"), F.explode(F.array(own - 1, own, own + 1)).alias("_slot"))
+    gap = F.abs(F.unix_timestamp("_rt") - F.unix_timestamp("_lt")) / 86400.0
+    near = asked.join(r, [key, "_slot"]).withColumn("_gap", gap).where(F.col("_gap") <= tolerance)
     best = near.groupBy(left_id).agg(F.min_by(F.struct("_rt", "_gap", *columns), F.struct("_gap", "_rt", *columns)).alias("_b"))
     return left.join(best, left_id, "left").select(*left.columns, F.col("_b._rt").alias("matched_at"), F.col("_b._gap").alias("gap_days"), *[F.col(f"_b.{c}").alias(c) for c in columns])
 
@@ -68,6 +75,31 @@ def full_mean(value: str, w, n: int) -> Column:
     return F.when(F.count(value).over(frame) == n, F.avg(value).over(frame))
 
 
+def with_running_means(df: DataFrame, value: str, key: str, order: str, means: dict[str, int]) -> DataFrame:
+    """Means of the last n rows, null until there are n values; from running sums, so a long window costs no more than a short one."""
+    w = Window.partitionBy(key).orderBy(order)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    summed = df.select("*", F.sum(value).over(upto).alias("_s"), F.count(value).over(upto).alias("_c"))
+    past = {n: (F.coalesce(F.lag("_s", n).over(w), F.lit(0.0)), F.coalesce(F.lag("_c", n).over(w), F.lit(0))) for n in means.values()}
+    out = {name: F.when(F.col("_c") - past[n][1] == n, (F.col("_s") - past[n][0]) / n) for name, n in means.items()}
+    return summed.select(*df.columns, *[c.alias(name) for name, c in out.items()])
+
+
+def with_range(df: DataFrame, value: str, key: str, order: str, rows: int, low: str, high: str, count: str) -> DataFrame:
+    """Smallest and largest value, and number of values, of the last `rows` rows.
+
+    Rows are cut into blocks of that many: a window is the end of one block and the beginning of the next, so running
+    extremes from both ends of each block give those of every window.
+    """
+    w = Window.partitionBy(key).orderBy(order)
+    cut = df.select("*", F.floor((F.row_number().over(w) - 1) / rows).alias("_b"), F.count(value).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_c"))
+    ahead = Window.partitionBy(key, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy(key, "_b").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    both = cut.select("*", F.min(value).over(ahead).alias("_pl"), F.max(value).over(ahead).alias("_ph")).select("*", F.min(value).over(back).alias("_sl"), F.max(value).over(back).alias("_sh"))
+    before = {c: F.lag(c, rows - 1).over(w) for c in ("_sl", "_sh")}
+    return both.select(*df.columns, F.least("_pl", before["_sl"]).alias(low), F.greatest("_ph", before["_sh"]).alias(high), (F.col("_c") - F.coalesce(F.lag("_c", rows).over(w), F.lit(0))).alias(count))
+
+
 def guarded_lag(value: str, keys: list[str], t: str, n: int) -> Column:
     """The value of period t - n, null unless that period is exactly n rows back."""
     w = Window.partitionBy(*keys).orderBy(t)

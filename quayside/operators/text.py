@@ -48,41 +48,83 @@ def title_key(title: Column, length: int = 90) -> Column:
     return F.sha1(F.substring(key(title), 1, length))
 
 
-def near_duplicates(articles: DataFrame, hours: int = 36, least: float = 0.86, blocks: int = 3) -> DataFrame:
+#: Length of the character runs by which similar titles meet.
+RUN = 3
+
+
+def near_duplicates(articles: DataFrame, hours: int = 36, least: float = 0.86) -> DataFrame:
     """Group id per article: the smallest id reachable by titles of similarity `least` within `hours`.
 
-    Candidates share a whole word and a time window of twice `hours`; of each title the `blocks` rarest words are used,
-    which a similar title keeps at least one of. Labels spread by repeated minima until nothing changes.
+    Equal titles of one slot of `hours` are one node with its first and last hour; nodes of a slot are in reach of each
+    other, nodes of neighbouring slots if the last hour of one and the first of the other are. Two titles of at most n
+    characters differ by k = (1 - least) n edits at most, and an edit changes `RUN` of a title's character runs. So of any
+    k RUN + 1 runs of a title one is in the other too, no more than k places off: the rarest are taken, and titles meet by
+    slot, run and place; what meets is compared exactly. No pair is lost. Articles without title are their own group.
     """
-    # Each title is used once: equal titles at the same hour would only repeat the work.
-    words = articles.select("doc_id", "hour_no", key(F.col("title")).alias("k")).withColumn("w", F.explode(F.array_distinct(F.split("k", " "))))
-    rarity = words.groupBy("w").agg(F.count("*").alias("df"))
-    ranked = words.join(rarity, "w").withColumn("r", F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "w"))).where(F.col("r") <= blocks)
-    slot = F.explode(F.array(F.floor(F.col("hour_no") / hours), F.floor(F.col("hour_no") / hours) + 1))
-    a = ranked.select("w", "doc_id", "hour_no", "k", slot.alias("slot"))
-    b = a.select("w", "slot", F.col("doc_id").alias("other"), F.col("hour_no").alias("h2"), F.col("k").alias("k2"))
-    near = a.join(b, ["w", "slot"]).where((F.col("doc_id") < F.col("other")) & (F.abs(F.col("hour_no") - F.col("h2")) <= hours))
-    pairs = near.select("doc_id", "other", "k", "k2").distinct().where(similarity(F.col("k"), F.col("k2")) >= least).select("doc_id", "other")
-    return smallest_label(articles.select("doc_id"), pairs)
-
-
-def smallest_label(nodes: DataFrame, pairs: DataFrame, most_rounds: int = 20) -> DataFrame:
-    """Smallest reachable id; a pair's ends take each other's label until no label changes. Lineage is cut each round."""
-    spark = nodes.sparkSession
+    slot = F.floor(F.col("hour_no") / hours)
+    keyed = articles.select("doc_id", "hour_no", key(F.col("title")).alias("k")).withColumn("slot", slot)
+    nodes = keyed.where(F.length("k") > 0).groupBy("k", "slot").agg(F.min("doc_id").alias("node"), F.min("hour_no").alias("first"), F.max("hour_no").alias("last"))
+    nodes = checkpointed(nodes.withColumn("n", F.length("k")))
+    own = Window.partitionBy("k").orderBy("slot")
+    same = nodes.select("node", F.lag("node").over(own).alias("other"), (F.col("first") - F.lag("last").over(own)).alias("gap")).where(F.col("gap") <= hours).select("node", "other")
+
+    places = F.sequence(F.lit(1), F.greatest(F.col("n") - RUN + 1, F.lit(1)))
+    runs = nodes.where(F.col("n") >= RUN).withColumn("p", F.explode(places)).withColumn("run", F.substr("k", F.col("p"), F.lit(RUN)))
+    rarity = runs.groupBy("run").agg(F.count("*").alias("df"))
+    # The longer of two similar titles has at most n / least characters; rounding may not take an edit away.
+    edits = F.floor((1 - least) * F.col("n") / least + 1e-9)
+    rank = F.rank().over(Window.partitionBy("node").orderBy("df", "run"))  # a run that is in is so wherever it stands
+    rare = runs.join(rarity, "run").withColumn("edits", edits).withColumn("r", rank).where(F.col("r") <= F.col("edits") * RUN + 1)
+    # Titles meet by the class of the longer one's length; in buckets of places as wide as the edits that class allows.
+    banded = rare.select("node", "slot", "first", "last", "k", "n", "run", "p", "edits", F.floor(F.log2("n")).cast("int").alias("class"))
+    met = F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("meet")
+    a = banded.select("*", met).withColumn("_slot", F.explode(F.array(F.col("slot"), F.col("slot") + 1)))
+    wide = F.greatest(F.ceil((1 - least) * F.pow(F.lit(2.0), F.col("meet") + 1) / least) + 1, F.lit(1))
+    a = a.withColumn("bucket", F.floor(F.col("p") / wide))
+    b = a.select("run", "_slot", "meet", F.col("bucket").alias("b2"), *[F.col(c).alias(f"{c}2") for c in ("node", "slot", "first", "last", "k", "n", "p", "edits", "class")])
+    a = a.withColumn("b2", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)))
+    once = (F.col("meet") == F.greatest("class", "class2")) & (F.col("_slot") == F.greatest("slot", "slot2"))
+    close = once & (F.col("node") < F.col("node2")) & (F.col("k") != F.col("k2")) & (F.abs(F.col("p") - F.col("p2")) <= F.greatest("edits", "edits2")) & (F.abs(F.col("n") - F.col("n2")) <= (1 - least) * F.greatest("n", "n2") + 1e-9)
+    reach = (F.col("slot") == F.col("slot2")) | ((F.col("slot2") == F.col("slot") + 1) & (F.col("first2") - F.col("last") <= hours)) | ((F.col("slot") == F.col("slot2") + 1) & (F.col("first") - F.col("last2") <= hours))
+    pairs = a.join(b, ["run", "_slot", "meet", "b2"]).where(close & reach).select("node", F.col("node2").alias("other"), "k", "k2").distinct()
+    similar = pairs.where(similarity(F.col("k"), F.col("k2")) >= least).select("node", "other")
+    labels = smallest_label(nodes.select("node"), same.unionByName(similar))
+    grouped = keyed.join(nodes.select("k", "slot", "node"), ["k", "slot"], "left").join(labels, "node", "left")
+    return grouped.select("doc_id", F.coalesce("grp", "doc_id").alias("grp"))
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         from ..sources.files import shared_path
 
-        spark.sparkContext.setCheckpointDir(shared_path(spark, "labels"))
-    both = pairs.toDF("a", "b").unionByName(pairs.toDF("b", "a")).checkpoint()
-    labels = nodes.select("doc_id", F.col("doc_id").alias("label"))
-    linked = both.select(F.col("a").alias("doc_id")).distinct().select("doc_id", F.col("doc_id").alias("label")).checkpoint()
-    for _ in range(most_rounds):
-        offered = both.join(linked.toDF("b", "offer"), "b").groupBy(F.col("a").alias("doc_id")).agg(F.min("offer").alias("offer"))
-        step = linked.join(offered, "doc_id").select("doc_id", F.least("label", "offer").alias("label"), (F.col("offer") < F.col("label")).alias("moved")).checkpoint()
-        linked = step.select("doc_id", "label")
-        if step.where("moved").isEmpty():
-            break
-    return labels.join(linked.withColumnRenamed("label", "low"), "doc_id", "left").select("doc_id", F.coalesce("low", "label").alias("grp"))
+        spark.sparkContext.setCheckpointDir(shared_path(spark, "steps"))
+    return df.checkpoint()
+
+
+def smallest_label(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """`node, grp`: the smallest node reachable by pairs, whatever the length of a chain.
+
+    Each round gives every node the smallest of itself and its neighbours, follows these steps to their ends by doubling,
+    and moves the pairs to where their nodes went; pairs within one group go. At least half of the nodes with pairs go
+    in a round.
+    """
+    pairs = pairs.toDF("a", "b")
+    grown = nodes.select("node", F.col("node").alias("grp"))
+    edges = checkpointed(pairs.where("a != b").distinct())
+    while not edges.isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        to = checkpointed(both.groupBy("a").agg(F.least("a", F.min("b")).alias("to")))
+        while True:
+            after = to.select(F.col("a").alias("to"), F.col("to").alias("end"))
+            jumped = checkpointed(to.join(after, "to").select("a", F.col("end").alias("to"), (F.col("end") != F.col("to")).alias("moved")))
+            to = jumped.select("a", "to")
+            if jumped.where("moved").isEmpty():
+                break
+        moved = edges.join(to, "a").select(F.col("to").alias("a"), "b").join(to.select(F.col("a").alias("b"), F.col("to").alias("to_b")), "b").select("a", F.col("to_b").alias("b"))
+        edges = checkpointed(moved.where("a != b").distinct())
+        grown = checkpointed(grown.join(to.select(F.col("a").alias("grp"), "to"), "grp", "left").select("node", F.coalesce("to", "grp").alias("grp")))
+    return grown
 
 
 def attention(articles: DataFrame, group: str) -> DataFrame:
@@ -143,11 +185,6 @@ def port_clusters(sets: DataFrame, least: float) -> DataFrame:
     A set's only possible leaders are similar sets before it. Leaders are found in rounds: a set all of whose earlier
     similar sets are followers is a leader; one with an earlier leader is a follower. Sets are distinct, so few.
     """
-    spark = sets.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        from ..sources.files import shared_path
-
-        spark.sparkContext.setCheckpointDir(shared_path(spark, "clusters"))
     distinct = sets.groupBy("ports").agg(F.count("*").alias("freq")).withColumn("size", F.size(F.split("ports", r"\|")))
     distinct = distinct.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("freq"), "ports"))).checkpoint()
     postings = distinct.select("rank", "size", F.explode(F.array_distinct(F.split("ports", r"\|"))).alias("port"))

@@ -24,16 +24,16 @@ def agg19(s, d):
     return out.withColumns({c: rounded(c) for c in ("amount", "outstanding", "last_year", "coupon")})
 
 
-@add("agg20_buybacks", sql(f"SELECT lot, {rsql('SUM(traded)')} AS total, COUNT(*) AS n, MAX(date) AS last_date FROM trades WHERE line <= 2 GROUP BY lot"))
+@add("agg20_buybacks", sql(f"SELECT lot, {rsql('SUM(traded)')} AS total, COUNT(*) AS n, MAX(date) AS last_date FROM trades WHERE price < 100 GROUP BY lot"))
 def agg20(s, d):
-    return O.bought_back(trades(s, d).where("line <= 2")).withColumn("total", rounded("total"))
+    return O.bought_back(trades(s, d).where("price < 100")).withColumn("total", rounded("total"))
 
 
-@add("agg21_lot_facts", sql(f"SELECT lot, issuer, sector, COALESCE(events, 0) AS events, {rsql('GREATEST(amount - COALESCE(total, 0), 0)')} AS remaining FROM lots LEFT JOIN (SELECT c_custkey AS issuer, c_mktsegment AS sector FROM customer) USING (issuer) LEFT JOIN (SELECT user_id AS issuer, COUNT(*) AS events FROM events WHERE event_type = 'purchase' GROUP BY 1) USING (issuer) LEFT JOIN (SELECT lot, SUM(traded) AS total FROM trades WHERE line <= 2 GROUP BY lot) USING (lot)"))
+@add("agg21_lot_facts", sql(f"SELECT lot, issuer, sector, COALESCE(events, 0) AS events, {rsql('GREATEST(amount - COALESCE(total, 0), 0)')} AS remaining FROM lots LEFT JOIN (SELECT c_custkey AS issuer, c_mktsegment AS sector FROM customer) USING (issuer) LEFT JOIN (SELECT user_id AS issuer, COUNT(*) AS events FROM events WHERE event_type = 'purchase' GROUP BY 1) USING (issuer) LEFT JOIN (SELECT lot, SUM(traded) AS total FROM trades WHERE price < 100 GROUP BY lot) USING (lot)"))
 def agg21(s, d):
     parents = table(s, d, "customer").select(F.col("c_custkey").alias("issuer"), F.col("c_mktsegment").alias("sector"))
     events = table(s, d, "events").where("event_type = 'purchase'").select(F.col("user_id").alias("issuer"))
-    out = O.lot_facts(lots(s, d), parents, events, O.bought_back(trades(s, d).where("line <= 2")).select("lot", "total"))
+    out = O.lot_facts(lots(s, d), parents, events, O.bought_back(trades(s, d).where("price < 100")).select("lot", "total"))
     return out.select("lot", "issuer", "sector", "events", rounded("remaining").alias("remaining"))
 
 

@@ -144,18 +144,20 @@ def jn13(s, d):
     return O.renamed(f.unionByName(f.where("ticker % 6 = 0").withColumn("ticker", F.col("ticker") + 100)), "ticker", ["item", "t"], "value")
 
 
-@add("jn14_overlay", sql("SELECT item, t, " + rsql("COALESCE(o.v, z.v)") + " AS value, CASE WHEN o.v IS NOT NULL THEN 'official' ELSE 'second' END AS origin FROM (SELECT item, t, SUM(value) AS v FROM facts WHERE ticker = 1 GROUP BY ALL) o FULL JOIN (SELECT item, t, SUM(value) AS v FROM facts WHERE ticker = 2 GROUP BY ALL) z USING (item, t)"))
+@add("jn14_overlay", sql("SELECT item, t, " + rsql("COALESCE(o.v, z.v)") + " AS value, CASE WHEN o.v IS NOT NULL THEN 'official' ELSE 'second' END AS origin FROM (SELECT item, t, SUM(value) AS v FROM facts WHERE quarter IN (2, 4) GROUP BY ALL) o FULL JOIN (SELECT item, t, 2 * SUM(value) AS v FROM facts GROUP BY ALL) z USING (item, t)"))
 def jn14(s, d):
+    """The official source has every second quarter, the other all."""
     f = facts(s, d)
-    one, two = (f.where(f"ticker = {k}").groupBy("item", "t").agg(F.sum("value").alias("value")) for k in (1, 2))
-    return O.overlay(one, two, ["item", "t"], "value").withColumn("value", rounded("value"))
+    official = f.where("quarter IN (2, 4)").groupBy("item", "t").agg(F.sum("value").alias("value"))
+    return O.overlay(official, f.groupBy("item", "t").agg((2 * F.sum("value")).alias("value")), ["item", "t"], "value").withColumn("value", rounded("value"))
 
 
-@add("jn15_mean_and_deviation", sql("SELECT COALESCE(a.date, b.date) AS date, " + rsql("a.m") + " AS m, " + rsql("b.dev") + " AS dev FROM (SELECT date, AVG(close) AS m FROM bars WHERE symbol % 2 = 0 GROUP BY 1) a FULL JOIN (SELECT date, MAX(close) - MIN(close) AS dev FROM bars WHERE symbol % 3 = 0 GROUP BY 1) b ON a.date = b.date"))
+@add("jn15_mean_and_deviation", sql("SELECT COALESCE(a.date, b.date) AS date, " + rsql("a.m") + " AS m, " + rsql("b.dev") + " AS dev FROM (SELECT date, AVG(close) AS m FROM bars WHERE DAYOFWEEK(date) <> 1 GROUP BY 1) a FULL JOIN (SELECT date, MAX(close) - MIN(close) AS dev FROM bars WHERE DAYOFWEEK(date) <> 5 GROUP BY 1) b ON a.date = b.date"))
 def jn15(s, d):
+    """One feed has no Mondays, the other no Fridays."""
     b = bars(s, d)
-    m = b.where("symbol % 2 = 0").groupBy("date").agg(rounded(F.avg("close")).alias("m"))
-    return m.join(b.where("symbol % 3 = 0").groupBy("date").agg(rounded(F.max("close") - F.min("close")).alias("dev")), "date", "full_outer")
+    m = b.where(F.dayofweek("date") != 2).groupBy("date").agg(rounded(F.avg("close")).alias("m"))
+    return m.join(b.where(F.dayofweek("date") != 6).groupBy("date").agg(rounded(F.max("close") - F.min("close")).alias("dev")), "date", "full_outer")
 
 
 @add("jn16_disclosures", sql("SELECT o_custkey, o_orderstatus, ARG_MIN(day, (est, day, o_orderpriority)) AS day, ARG_MIN(o_orderpriority, (est, day, o_orderpriority)) AS source, MIN(est) AS est, STRING_AGG(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS sources FROM (SELECT *, CAST(o_orderdate AS DATE) AS day, o_orderkey % 2 = 0 AS est FROM orders) GROUP BY ALL"))

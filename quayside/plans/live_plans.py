@@ -114,5 +114,5 @@ def str10(s, d):
     """Closed calls of the stream; the tests compare them with the batch job's."""
     kind = F.col("event_type")
     section = F.when(kind == "view", "arrive").when(kind == "click", "shift").when(kind == "purchase", "depart").otherwise("pass")
-    e = events(s, d).select("event_id", F.col("user_id").alias("ship_key"), "ts", section.alias("section"), (F.col("event_id") % 11).cast("int").alias("place_to"))
+    e = events(s, d).select("event_id", F.col("user_id").alias("ship_key"), "ts", section.alias("section"), (F.col("event_id") % 7).cast("int").alias("place_from"), (F.col("event_id") % 11).cast("int").alias("place_to"))
     return L.replay(L.streaming_calls(e), "append")

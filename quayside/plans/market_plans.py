@@ -153,13 +153,13 @@ add("win29_basket_profit", win29, sql(
 
 
 def agg3(s, d):
-    return M.snapshot(bars(s, d), instruments(s, d)).select("sector", "members", rounded("pe").alias("pe"), rounded("pb").alias("pb"), rounded("roe").alias("roe"), rounded("coverage").alias("coverage"))
+    return M.snapshot(bars(s, d), instruments(s, d)).select("sector", "members", rounded("pe").alias("pe"), rounded("pb").alias("pb"), rounded("forward_pe").alias("forward_pe"), rounded("dividend_yield", 8).alias("dividend_yield"), rounded("roe").alias("roe"), rounded("coverage").alias("coverage"))
 
 
 VAL = {"lastp": "SELECT symbol, MAX_BY(close, date) AS close FROM bars GROUP BY symbol",
-       "val": "SELECT i.symbol, i.sector, i.exchange, p.close * i.shares AS cap, CASE WHEN i.symbol % 9 = 0 THEN NULL ELSE (i.symbol % 13 - 3) * 1e6 END AS earnings, CASE WHEN i.symbol % 8 = 0 THEN NULL ELSE (i.symbol % 11 + 1) * 1e7 END AS book FROM instruments i JOIN lastp p USING (symbol)"}
+       "val": "SELECT i.symbol, i.sector, i.exchange, p.close, p.close * i.shares AS cap, CASE WHEN i.symbol % 5 <> 0 THEN i.symbol % 7 * 1e5 END AS dividends, CASE WHEN i.symbol % 4 <> 0 THEN (i.symbol % 17 - 2) * 1e6 END AS expected, CASE WHEN i.symbol % 9 = 0 THEN NULL ELSE (i.symbol % 13 - 3) * 1e6 END AS earnings, CASE WHEN i.symbol % 8 = 0 THEN NULL ELSE (i.symbol % 11 + 1) * 1e7 END AS book FROM instruments i JOIN lastp p USING (symbol)"}
 add("agg3_snapshot", agg3, sql(
-    f"SELECT sector, COUNT(*) AS members, {rsql('SUM(CASE WHEN earnings IS NOT NULL THEN cap END) / NULLIF(GREATEST(SUM(earnings), 0), 0)')} AS pe, {rsql('SUM(CASE WHEN book IS NOT NULL THEN cap END) / NULLIF(GREATEST(SUM(book), 0), 0)')} AS pb, {rsql('SUM(CASE WHEN book > 0 AND earnings IS NOT NULL THEN earnings / book * cap END) / NULLIF(SUM(CASE WHEN book > 0 AND earnings IS NOT NULL THEN cap END), 0)')} AS roe, {rsql('SUM(CASE WHEN earnings IS NOT NULL THEN cap ELSE 0 END) / SUM(cap)')} AS coverage FROM val GROUP BY sector", **VAL))
+    f"SELECT sector, COUNT(*) AS members, {rsql('SUM(CASE WHEN earnings IS NOT NULL THEN cap END) / NULLIF(GREATEST(SUM(earnings), 0), 0)')} AS pe, {rsql('SUM(CASE WHEN book IS NOT NULL THEN cap END) / NULLIF(GREATEST(SUM(book), 0), 0)')} AS pb, {rsql('SUM(CASE WHEN expected IS NOT NULL THEN cap END) / NULLIF(GREATEST(SUM(expected), 0), 0)')} AS forward_pe, {rsql('SUM(dividends) / NULLIF(SUM(CASE WHEN dividends IS NOT NULL THEN cap END), 0)', 8)} AS dividend_yield, {rsql('SUM(CASE WHEN book > 0 AND earnings IS NOT NULL THEN earnings / book * cap END) / NULLIF(SUM(CASE WHEN book > 0 AND earnings IS NOT NULL THEN cap END), 0)')} AS roe, {rsql('SUM(CASE WHEN earnings IS NOT NULL THEN cap ELSE 0 END) / SUM(cap)')} AS coverage FROM val GROUP BY sector", **VAL))
 
 
 def agg2(s, d):
@@ -171,11 +171,11 @@ add("agg2_aggregate_pe", agg2, sql(
 
 
 def agg4(s, d):
-    return M.ratio_pivot(M.ratios_long(M.valuation(bars(s, d), instruments(s, d)))).select("symbol", *[rounded(c).alias(c) for c in ("pe", "pb", "roe", "earnings_yield")])
+    return M.ratio_pivot(M.ratios_long(M.valuation(bars(s, d), instruments(s, d)))).select("symbol", *[rounded(c).alias(c) for c in ("cap", "close", "pe", "pb", "ln_ttm", "gtss", "roe", "earnings_yield", "eps_index")])
 
 
 add("agg4_ratio_pivot", agg4, sql(
-    f"SELECT symbol, {rsql('cap / NULLIF(earnings, 0)')} AS pe, {rsql('cap / NULLIF(book, 0)')} AS pb, {rsql('(cap / NULLIF(book, 0)) / (cap / NULLIF(earnings, 0))')} AS roe, {rsql('1 / (cap / NULLIF(earnings, 0))')} AS earnings_yield FROM val WHERE earnings <> 0 OR book <> 0", **VAL))
+    f"SELECT symbol, {rsql('cap')} AS cap, {rsql('close')} AS close, {rsql('cap / NULLIF(earnings, 0)')} AS pe, {rsql('cap / NULLIF(book, 0)')} AS pb, {rsql('NULLIF(earnings, 0)')} AS ln_ttm, {rsql('NULLIF(book, 0)')} AS gtss, {rsql('close * NULLIF(earnings, 0) / cap')} AS eps_index, {rsql('(cap / NULLIF(book, 0)) / (cap / NULLIF(earnings, 0))')} AS roe, {rsql('1 / (cap / NULLIF(earnings, 0))')} AS earnings_yield FROM val", **VAL))
 
 
 def agg5(s, d):
@@ -222,7 +222,7 @@ def agg9(s, d):
 
 add("agg9_cap_weighted_returns", agg9, sql(
     f"SELECT sector, horizon, COUNT(*) AS members, {rsql('SUM((p1 / p0 - 1) * p0 * shares) / NULLIF(SUM(p0 * shares), 0)', 6)} AS ret FROM j GROUP BY sector, horizon",
-    h="SELECT * FROM (VALUES ('1M', DATE '1997-12-01'), ('1Y', DATE '1997-01-01'), ('3Y', DATE '1995-01-01'), ('YTD', DATE '1997-12-31')) v(horizon, cutoff)",
+    h="SELECT * FROM (VALUES ('1D', DATE '1997-12-31'), ('1W', DATE '1997-12-25'), ('1M', DATE '1997-12-01'), ('3M', DATE '1997-10-01'), ('6M', DATE '1997-07-01'), ('2Y', DATE '1996-01-01'), ('5Y', DATE '1993-01-01'), ('1Y', DATE '1997-01-01'), ('3Y', DATE '1995-01-01'), ('YTD', DATE '1997-12-31')) v(horizon, cutoff)",
     p0="SELECT symbol, horizon, MAX_BY(close, date) AS p0 FROM bars JOIN h ON date <= cutoff GROUP BY symbol, horizon",
     p1="SELECT symbol, MAX_BY(close, date) AS p1 FROM bars WHERE date <= DATE '1998-01-01' GROUP BY symbol",
     j="SELECT sector, horizon, p0, p1, shares FROM p0 JOIN p1 USING (symbol) JOIN instruments USING (symbol)"))

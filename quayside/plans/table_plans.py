@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import tables as O
-from ..sources.files import scan_parquet, star_publish
+from ..sources.files import csv_with_mark, materialised, scan_csv, scan_parquet, star_publish
 from ..sources.views import bars, facts, flows, port_events, rounded, rsql, sql, table
 
 Q, S = {}, {}
@@ -19,6 +19,21 @@ def add(name, statement):
     return put
 
 
+@add("src1_typed_csv_scan", sql("SELECT CAST(YEAR(day) AS INT) AS year, COUNT(*) AS n, COUNT(close) AS priced, " + rsql("SUM(close)") + " AS total, CAST(MIN(day) AS DATE) AS first FROM (SELECT date AS day, close FROM bars) GROUP BY 1"))
+def src1(s, d):
+    """Bars as spreadsheets write them (a byte order mark, days as day/month/year), read by a schema."""
+    path = csv_with_mark(s, bars(s, d).select("symbol", F.date_format("date", "dd/MM/yyyy").alias("day"), "close"))
+    back = scan_csv(s, path, "symbol long, day string, close double", {"day": "dd/MM/yyyy"})
+    return back.groupBy(F.year("day").alias("year")).agg(F.count("*").alias("n"), F.count("close").alias("priced"), rounded(F.sum("close")).alias("total"), F.min("day").alias("first"))
+
+
+@add("src18_presented_by_year", sql("SELECT year, symbol, sessions, " + rsql("high") + " AS high, " + rsql("turnover") + " AS turnover FROM (SELECT CAST(YEAR(date) AS INT) AS year, symbol, COUNT(*) AS sessions, MAX(close) AS high, SUM(value) AS turnover FROM bars GROUP BY ALL) WHERE year >= 1997"))
+def src18(s, d):
+    """A yearly presentation table, stored by year; a page reads only the folders of its years."""
+    per = bars(s, d).groupBy(F.year("date").alias("year"), "symbol").agg(F.count("*").alias("sessions"), rounded(F.max("close")).alias("high"), rounded(F.sum("value")).alias("turnover"))
+    return materialised(s, per, "year").where("year >= 1997").select("year", "symbol", "sessions", "high", "turnover")
+
+
 @add("src2_filtered_scan", sql("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_suppkey IN (1, 3, 5) AND l_shipdate >= TIMESTAMP '1996-01-01'"))
 def src2(s, d):
     return scan_parquet(s, f"{d}/lineitem.parquet", "l_suppkey", [1, 3, 5], ["l_orderkey", "l_linenumber", "l_quantity"], F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))

@@ -30,10 +30,10 @@ def keywords(s):
 
 
 def fields(s, d):
-    return articles(s, d).select("doc_id", "title", F.substring("text", 121, 400).alias("lead"))
+    return articles(s, d).select("doc_id", "title", F.substr("text", F.lit(121)).alias("lead"))
 
 
-@add("txt1_tagging", sql("SELECT doc_id, STRING_AGG(category, ',' ORDER BY category) AS categories, ARG_MIN(category, (-score, category)) AS main, " + rsql("MAX(score)") + " AS score FROM (SELECT doc_id, category, SUM(w * weight) AS score FROM kept GROUP BY ALL HAVING SUM(w * weight) >= 2) GROUP BY doc_id", kw=f"SELECT * FROM (VALUES {VALUES}) v(keyword, category, weight)", fld=f"SELECT doc_id, 2.0::DOUBLE AS w, ' ' || {KEY.format('SUBSTRING(text, 1, 120)')} || ' ' AS t FROM documents UNION ALL SELECT doc_id, 1.0, ' ' || {KEY.format('SUBSTRING(text, 121, 400)')} || ' ' FROM documents", hit="SELECT doc_id, w, keyword, category, weight FROM fld, kw WHERE CONTAINS(t, ' ' || keyword || ' ')", kept="SELECT * FROM hit a WHERE NOT EXISTS (SELECT 1 FROM hit b WHERE b.doc_id = a.doc_id AND b.w = a.w AND b.keyword <> a.keyword AND CONTAINS(' ' || b.keyword || ' ', ' ' || a.keyword || ' '))"))
+@add("txt1_tagging", sql("SELECT doc_id, STRING_AGG(category, ',' ORDER BY category) AS categories, ARG_MIN(category, (-score, category)) AS main, " + rsql("MAX(score)") + " AS score FROM (SELECT doc_id, category, SUM(w * weight) AS score FROM kept GROUP BY ALL HAVING SUM(w * weight) >= 2) GROUP BY doc_id", kw=f"SELECT * FROM (VALUES {VALUES}) v(keyword, category, weight)", fld=f"SELECT doc_id, 2.0::DOUBLE AS w, ' ' || {KEY.format('SUBSTRING(text, 1, 120)')} || ' ' AS t FROM documents UNION ALL SELECT doc_id, 1.0, ' ' || {KEY.format('SUBSTRING(text, 121)')} || ' ' FROM documents", hit="SELECT doc_id, w, keyword, category, weight FROM fld, kw WHERE CONTAINS(t, ' ' || keyword || ' ')", kept="SELECT * FROM hit a WHERE NOT EXISTS (SELECT 1 FROM hit b WHERE b.doc_id = a.doc_id AND b.w = a.w AND b.keyword <> a.keyword AND CONTAINS(' ' || b.keyword || ' ', ' ' || a.keyword || ' '))"))
 def txt1(s, d):
     return O.tagged(fields(s, d), keywords(s), 2.0).withColumn("score", rounded("score"))
 
@@ -50,7 +50,7 @@ def txt3(s, d):
 
 @add("txt4_near_duplicates")
 def txt4(s, d):
-    """Similar titles within 36 hours; checked against a brute-force version in the tests."""
+    """Similar titles within 36 hours (a text's first 120 characters stand for its title); checked against a brute-force version in the tests."""
     return O.near_duplicates(articles(s, d).withColumn("hour_no", F.floor(F.col("hour_no") / 20)))
 
 
@@ -60,7 +60,7 @@ def txt5(s, d):
     return O.attention(a, "grp").select("doc_id", rounded(F.col("attention").cast("double")).alias("attention"))
 
 
-NG = f"SELECT doc_id, lang AS category, STRING_SPLIT({KEY.format('SUBSTRING(text, 1, 600)')}, ' ') AS ws FROM documents"
+NG = f"SELECT doc_id, lang AS category, STRING_SPLIT({KEY.format('text')}, ' ') AS ws FROM documents"
 GRAM = "SELECT DISTINCT doc_id, category, ARRAY_TO_STRING(ws[i:i + n - 1], ' ') AS phrase, n FROM ng, GENERATE_SERIES(2, 4) k(n), LATERAL (SELECT UNNEST(GENERATE_SERIES(1, LEN(ws) - n + 1)) AS i) WHERE LEN(ws) >= n"
 MINED = {
     "ng": NG,
@@ -72,7 +72,7 @@ MINED = {
 
 
 def words(s, d):
-    return articles(s, d).select("doc_id", F.col("lang").alias("category"), F.split(X.key(F.substring("text", 1, 600)), " ").alias("words"))
+    return articles(s, d).select("doc_id", F.col("lang").alias("category"), F.split(X.key(F.col("text")), " ").alias("words"))
 
 
 @add("txt6_phrases", sql("SELECT phrase, df FROM mined", **MINED))
@@ -91,16 +91,21 @@ def txt7(s, d):
     return O.pattern_events(table(s, d, "documents"), "doc_id", "source", "text", {"secret": "password|secret", "licence": "[Ll]icen[sc]e", "digits": "[0-9]{6}"})
 
 
-@add("txt8_watch_list", sql("SELECT doc_id FROM documents WHERE LIST_HAS_ANY(STRING_SPLIT(" + KEY.format("SUBSTRING(text, 1, 600)") + ", ' '), ['ouon', 'tionre', 'erinea'])"))
+@add("txt8_watch_list", sql("SELECT doc_id FROM documents WHERE LIST_HAS_ANY(STRING_SPLIT(" + KEY.format("text") + ", ' '), ['ouon', 'tionre', 'erinea'])"))
 def txt8(s, d):
     return O.watched(words(s, d), "words", ["ouon", "tionre", "erinea"]).select("doc_id")
 
 
-@add("txt9_digest", sql("SELECT doc_id, topic, score FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY topic ORDER BY score DESC, sources DESC, hour_no DESC, doc_id DESC) AS r FROM (SELECT doc_id, lang AS topic, n_chars % 97 AS score, n_chars % 5 AS sources, doc_id AS hour_no, n_chars % 61 AS grp FROM documents WHERE doc_id BETWEEN 20 AND 110 AND doc_id % 9 <> 0 QUALIFY ROW_NUMBER() OVER (PARTITION BY grp ORDER BY n_chars % 97 DESC, n_chars % 5 DESC, doc_id DESC) = 1)) WHERE r <= 7 ORDER BY score DESC, sources DESC, hour_no DESC, doc_id DESC LIMIT 22"))
+CLOCK = "SELECT doc_id, lang AS topic, n_chars % 97 AS score, n_chars % 5 AS sources, n_chars % 61 AS grp, source, CAST(FLOOR(doc_id * 720 / (SELECT MAX(doc_id) + 1 FROM documents)) AS BIGINT) AS hour_no FROM documents"
+
+
+@add("txt9_digest", sql("SELECT doc_id, topic, score FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY topic ORDER BY score DESC, sources DESC, hour_no DESC, doc_id DESC) AS r FROM (SELECT * FROM clock WHERE hour_no BETWEEN 630 AND 720 AND source <> (SELECT MIN(source) FROM documents) QUALIFY ROW_NUMBER() OVER (PARTITION BY grp ORDER BY score DESC, sources DESC, hour_no DESC, doc_id DESC) = 1)) WHERE r <= 7 ORDER BY score DESC, sources DESC, hour_no DESC, doc_id DESC LIMIT 22", clock=CLOCK))
 def txt9(s, d):
-    n = F.col("n_chars")
-    rows = table(s, d, "documents").select("doc_id", F.col("lang").alias("topic"), (n % 97).alias("score"), (n % 5).alias("sources"), F.col("doc_id").alias("hour_no"), (n % 61).alias("grp"))
-    return O.digest(rows, rows.where("doc_id % 9 = 0").select("doc_id"), 20, 110, 5, 15).select("doc_id", "topic", "score")
+    """All articles lie on a clock of 720 hours; the digest takes the last 90 of them, but for one source that was used up."""
+    n, docs = F.col("n_chars"), table(s, d, "documents")
+    ends = docs.agg((F.max("doc_id") + 1).alias("ids"), F.min("source").alias("used_source"))
+    rows = docs.join(F.broadcast(ends)).select("doc_id", F.col("lang").alias("topic"), (n % 97).alias("score"), (n % 5).alias("sources"), F.floor(F.col("doc_id") * 720 / F.col("ids")).alias("hour_no"), (n % 61).alias("grp"), (F.col("source") == F.col("used_source")).alias("used"))
+    return O.digest(rows.drop("used"), rows.where("used").select("doc_id"), 630, 720, 5, 15).select("doc_id", "topic", "score")
 
 
 def port_sets(s, d):

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder that all executors see; a temporary one only where the session names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="quayside-")
+    """A fresh folder that all executors see. A session that names none gets a temporary one on one machine, else an error."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError("a cluster needs a folder that all executors see: set spark.checkpoint.dir")
+        root = "file://" + tempfile.mkdtemp(prefix="quayside-")
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
@@ -45,3 +49,18 @@ def event_store(spark: SparkSession, events: DataFrame, parts: list[str]) -> Dat
     changed.write.parquet(again)
     spark.read.parquet(again).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
     return spark.read.parquet(path)
+
+
+def csv_with_mark(spark: SparkSession, df: DataFrame) -> str:
+    """A folder of CSV files as spreadsheets write them: a byte order mark before the header of each."""
+    path = shared_path(spark, "marked")
+    first, *others = df.columns
+    df.select(F.col(first).alias(f"\ufeff{first}"), *others).write.csv(path, header=True)
+    return path
+
+
+def materialised(spark: SparkSession, df: DataFrame, by: str) -> DataFrame:
+    """A presentation table, computed once and stored by the values of a column, as the readers of one page ask for it."""
+    path = shared_path(spark, "table")
+    df.repartition(by).write.partitionBy(by).parquet(path)
+    return spark.read.parquet(path)

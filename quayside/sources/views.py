@@ -71,7 +71,10 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, title, text, lang, source, hour_no: one article per hour of a synthetic clock."""
+    """doc_id, title, text, lang, source, hour_no: one article per hour of a synthetic clock.
+
+    The tables have no titles; a text's first 120 characters stand for one.
+    """
     return table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 120).alias("title"), "text", "lang", "source", F.col("doc_id").alias("hour_no"))
 
 

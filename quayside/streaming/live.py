@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.ports import CALL_SCHEMA, MOST_DAYS, Pairing
+from ..operators.ports import CALL_COLUMNS, CALL_SCHEMA, MOST_DAYS, SECTIONS, Pairing
 from ..sources.files import shared_path
 
 #: Types of messages and the fields that each has.
@@ -101,30 +101,36 @@ def once(events: DataFrame, key: str, seen: DataFrame | None = None, late: str =
 
 
 def streaming_calls(events: DataFrame) -> DataFrame:
-    """Port calls of a stream of events: the batch job's state machine with an event-time timer for open calls.
+    """Port calls of a stream of events: the batch job's rule as a state machine, with an event-time timer for open calls.
 
     Within a micro-batch a ship's events are taken in time order; calls still open at the end stay in the state.
     """
 
     def pair(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        stored = state.get if state.exists else None
-        ship = Pairing(int(key[0]), tuple(pd.Timestamp(v) if k in (0, 4) and v is not None else v for k, v in enumerate(stored)) if stored else None)
+        stored = dict(zip(Pairing.FIELDS, state.get)) if state.exists else None
+        if stored:
+            stored["arrival"] = None if stored["arrival"] is None else pd.Timestamp(stored["arrival"])
+            stored["berths"] = [int(b) for b in stored["berths"].split("|")]
+        ship = Pairing(int(key[0]), stored)
         out = []
         if state.hasTimedOut:
-            out.append(ship.close(None))
+            out.append(ship.close())
         else:
-            rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
-            for ts, section, berth in rows[["ts", "section", "place_to"]].itertuples(index=False):
-                out += ship.take(ts, section, int(berth))
-        if ship.open:
-            arrival, berth, shifts, revisions, since = ship.open
-            state.update((None if arrival is None else arrival.to_pydatetime(), int(berth), int(shifts), int(revisions), since.to_pydatetime()))
-            due = int((since + pd.Timedelta(days=MOST_DAYS)).timestamp() * 1000)
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+            rows = pd.concat(list(batches))
+            rows = rows.assign(rank=rows["section"].map(SECTIONS.index)).sort_values(["ts", "rank", "event_id"]).drop_duplicates(["ts", "section", "place_from", "place_to"])
+            for ts, section, place_from, place_to in rows[["ts", "section", "place_from", "place_to"]].itertuples(index=False):
+                out += ship.take(ts, section, int(place_from), int(place_to))
+        if now := ship.open:
+            arrival = None if now["arrival"] is None else now["arrival"].to_pydatetime()
+            state.update((arrival, now["origin"], "|".join(map(str, now["berths"])), now["shifts"], now["revisions"]))
+            if arrival is not None:
+                due = int((now["arrival"] + pd.Timedelta(days=MOST_DAYS + 1)).timestamp() * 1000)
+                state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
         elif state.exists:
             state.remove()
-        yield pd.DataFrame(out, columns=["ship_key", "arrival", "departure", "first_berth", "n_shifts", "status", "n_revisions"])
+        made = pd.DataFrame(out, columns=list(CALL_COLUMNS))
+        yield made.astype({c: "Int64" for c in ("origin", "destination")})
 
-    used = events.where("section <> 'pass'").select("event_id", "ship_key", F.col("ts").cast("timestamp").alias("ts"), "section", "place_to")
-    state_type = "arrival timestamp, berth int, shifts int, revisions int, since timestamp"
+    used = events.where(F.col("section").isin(*SECTIONS)).select("event_id", "ship_key", F.col("ts").cast("timestamp").alias("ts"), "section", "place_from", "place_to")
+    state_type = "arrival timestamp, origin int, berths string, shifts int, revisions int"
     return used.withWatermark("ts", "3 days").groupBy("ship_key").applyInPandasWithState(pair, CALL_SCHEMA, state_type, "append", GroupStateTimeout.EventTimeTimeout)
