@@ -48,8 +48,8 @@ def title_key(title: Column, length: int = 90) -> Column:
     return F.sha1(F.substring(key(title), 1, length))
 
 
-#: Length of the character runs by which similar titles meet.
-RUN = 3
+#: Length of the character runs by which similar titles meet, and how many of them two titles share at most for it.
+RUN, SHARED = 3, 8
 
 
 def near_duplicates(articles: DataFrame, hours: int = 36, least: float = 0.86) -> DataFrame:
@@ -74,20 +74,16 @@ def near_duplicates(articles: DataFrame, hours: int = 36, least: float = 0.86) -
     # The longer of two similar titles has at most n / least characters; rounding may not take an edit away.
     edits = F.floor((1 - least) * F.col("n") / least + 1e-9)
     rank = F.rank().over(Window.partitionBy("node").orderBy("df", "run"))  # a run that is in is so wherever it stands
-    rare = runs.join(rarity, "run").withColumn("edits", edits).withColumn("r", rank).where(F.col("r") <= F.col("edits") * RUN + 1)
-    # Titles meet by the class of the longer one's length; in buckets of places as wide as the edits that class allows.
-    banded = rare.select("node", "slot", "first", "last", "k", "n", "run", "p", "edits", F.floor(F.log2("n")).cast("int").alias("class"))
-    met = F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("meet")
-    a = banded.select("*", met).withColumn("_slot", F.explode(F.array(F.col("slot"), F.col("slot") + 1)))
-    wide = F.greatest(F.ceil((1 - least) * F.pow(F.lit(2.0), F.col("meet") + 1) / least) + 1, F.lit(1))
-    a = a.withColumn("bucket", F.floor(F.col("p") / wide))
-    b = a.select("run", "_slot", "meet", F.col("bucket").alias("b2"), *[F.col(c).alias(f"{c}2") for c in ("node", "slot", "first", "last", "k", "n", "p", "edits", "class")])
-    a = a.withColumn("b2", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)))
-    once = (F.col("meet") == F.greatest("class", "class2")) & (F.col("_slot") == F.greatest("slot", "slot2"))
-    close = once & (F.col("node") < F.col("node2")) & (F.col("k") != F.col("k2")) & (F.abs(F.col("p") - F.col("p2")) <= F.greatest("edits", "edits2")) & (F.abs(F.col("n") - F.col("n2")) <= (1 - least) * F.greatest("n", "n2") + 1e-9)
+    rare = runs.join(rarity, "run").withColumn("edits", edits).withColumn("m", F.least(F.lit(SHARED), F.col("n") - RUN + 1 - F.col("edits") * RUN)).withColumn("r", rank).where(F.col("r") <= F.col("edits") * RUN + F.col("m"))
+    a = rare.select("node", "slot", "first", "last", "n", "run", "p", "edits", "m").withColumn("_slot", F.explode(F.array(F.col("slot"), F.col("slot") + 1)))
+    b = a.select("run", "_slot", *[F.col(c).alias(f"{c}2") for c in ("node", "slot", "first", "last", "n", "p", "edits", "m")])
+    close = (F.col("_slot") == F.greatest("slot", "slot2")) & (F.col("node") < F.col("node2"))
+    close &= (F.abs(F.col("p") - F.col("p2")) <= F.greatest("edits", "edits2")) & (F.abs(F.col("n") - F.col("n2")) <= (1 - least) * F.greatest("n", "n2") + 1e-9)
     reach = (F.col("slot") == F.col("slot2")) | ((F.col("slot2") == F.col("slot") + 1) & (F.col("first2") - F.col("last") <= hours)) | ((F.col("slot") == F.col("slot2") + 1) & (F.col("first") - F.col("last2") <= hours))
-    pairs = a.join(b, ["run", "_slot", "meet", "b2"]).where(close & reach).select("node", F.col("node2").alias("other"), "k", "k2").distinct()
-    similar = pairs.where(similarity(F.col("k"), F.col("k2")) >= least).select("node", "other")
+    met = a.join(b, ["run", "_slot"]).where(close & reach).groupBy("node", F.col("node2").alias("other")).agg(F.countDistinct("p").alias("matches"), F.min(F.least("m", "m2")).alias("m"))
+    titles = nodes.select("node", "k")
+    pairs = met.where("matches >= m").join(titles, "node").join(titles.select(F.col("node").alias("other"), F.col("k").alias("k2")), "other")
+    similar = pairs.where((F.col("k") != F.col("k2")) & (similarity(F.col("k"), F.col("k2")) >= least)).select("node", "other")
     labels = smallest_label(nodes.select("node"), same.unionByName(similar))
     grouped = keyed.join(nodes.select("k", "slot", "node"), ["k", "slot"], "left").join(labels, "node", "left")
     return grouped.select("doc_id", F.coalesce("grp", "doc_id").alias("grp"))
