@@ -236,19 +236,24 @@ def read_lengths(bits: Bits, alphabet: int) -> bytes:
             raise ValueError("too many code lengths")
     symbols, sizes = code.plain()
     data, mask, place, found, before = bits.data, code.mask, bits.at, [], 8
+    ahead, held = 0, 0  # the bits that follow, and how many of them; 12 are looked at, at most
     while len(found) < alphabet and left > 0:
         left -= 1
-        ahead = int.from_bytes(data[place >> 3 : (place >> 3) + 4], "little") >> (place & 7)
-        n = symbols[ahead & mask]
-        place += sizes[ahead & mask]
+        if held < 16:
+            ahead, held = int.from_bytes(data[place >> 3 : (place >> 3) + 32], "little") >> (place & 7), 256 - (place & 7)
+        k = ahead & mask
+        n, size = symbols[k], sizes[k]
+        ahead >>= size
         if n < 16:
             found.append(n)
             before = n or before
         else:
-            ahead >>= sizes[ahead & mask]
             more, least = ((2, 3), (3, 3), (7, 11))[n - 16]
             found += [before if n == 16 else 0] * (least + (ahead & (1 << more) - 1))
-            place += more
+            ahead >>= more
+            size += more
+        place += size
+        held -= size
     bits.at = place
     if len(found) > alphabet or place > bits.end:
         raise ValueError("code lengths overrun")
