@@ -6,14 +6,14 @@ files follow one another, and texts of any length are stored whole. Files are ma
 
 Null text is an empty payload of 576 bytes 255; ids may be null or repeat; repeated texts give equal values; an empty
 table gives an empty table; further input columns are ignored. The work is per row: no shuffle, and a task holds one row's
-bytes and the arrays of `BATCH_PIXELS` pixels at a time.
+bytes, or a slice of shorter ones, and the arrays of `BATCH_PIXELS` pixels at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,42 +25,48 @@ from .common import pick, utf8
 
 UNIT, ROW_PIXELS = 576, 192
 PICTURE_ROWS = webp_batch.MOST_PIXELS // ROW_PIXELS
-#: Pixels, and pictures, that are coded together at most.
-BATCH_PIXELS, BATCH_PICTURES = 500_000, 2000
+#: Pixels, and pictures, that are coded together at most, and bytes of texts from which batches are made.
+BATCH_PIXELS, BATCH_PICTURES, SLICE_BYTES = 500_000, 2000, 8 << 20
 
 
 def padded(data: bytes) -> bytes:
     return data + b"\xff" * (UNIT - len(data) % UNIT if len(data) % UNIT or not data else 0)
 
 
-def batches_of(pictures: list[tuple[int, object]]) -> Iterator[list]:
-    """(pixels, picture) pairs in groups of bounded size, pictures of like size together: they take as many steps."""
-    group, pixels = [], 0
-    for n, picture in pictures:
-        if group and (pixels + n > BATCH_PIXELS or len(group) == BATCH_PICTURES):
-            yield group
-            group, pixels = [], 0
-        group.append(picture)
-        pixels += n
+def in_batches(items: list, pixels: list[int], work: Callable[[list], list]) -> list:
+    """`work` of the items in groups of bounded size. Pictures of like size go together, as they take as many steps."""
+    out: list = [None] * len(items)
+    group, held = [], 0
+
+    def finish() -> None:
+        for k, made in zip(group, work([items[k] for k in group]), strict=True):
+            out[k] = made
+
+    for k in sorted(range(len(items)), key=pixels.__getitem__):
+        if group and (held + pixels[k] > BATCH_PIXELS or len(group) == BATCH_PICTURES):
+            finish()
+            group, held = [], 0
+        group.append(k)
+        held += pixels[k]
     if group:
-        yield group
+        finish()
+    return out
 
 
 def to_media(payloads: list[bytes]) -> list[bytes]:
     """Payloads, whole rows long, as WebP files."""
     rows = [np.frombuffer(p, np.uint8).reshape(-1, ROW_PIXELS, 3) for p in payloads]
     every = [r[y : y + PICTURE_ROWS] for r in rows for y in range(0, len(r), PICTURE_ROWS)]
-    made = iter([file for group in batches_of([(len(p) * ROW_PIXELS, p) for p in every]) for file in webp_batch.encode_many(group)])
+    made = iter(in_batches(every, [len(p) * ROW_PIXELS for p in every], webp_batch.encode_many))
     return [b"".join(next(made) for _ in range(0, len(r), PICTURE_ROWS)) for r in rows]
 
 
 def from_media(media: list[bytes]) -> list[np.ndarray]:
     """The pixel arrays (rows, 192, 3) of stored files."""
-    files = [[webp.wrapped(s) for s in webp.streams(m)] for m in media]
-    # How many pixels a file has is known when it is read; here its bytes tell well enough.
-    every = [(min(PICTURE_ROWS * ROW_PIXELS, 4 * len(f)), f) for own in files for f in own]
-    read = iter([picture for group in batches_of(every) for picture in webp_batch.decode_many(group)])
-    return [np.concatenate([next(read)[:, :, 1:] for _ in own]) for own in files]
+    streams = [webp.streams(m) for m in media]
+    every = [s for own in streams for s in own]
+    read = iter(in_batches(every, [webp.pixels_of(s) for s in every], webp_batch.decode_many))
+    return [np.concatenate([next(read)[:, :, 1:] for _ in own]) for own in streams]
 
 
 def features(pixels: np.ndarray) -> str:
@@ -72,11 +78,11 @@ def features(pixels: np.ndarray) -> str:
 
 
 def groups_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows again, in slices of about as many bytes as one batch of pictures has."""
+    """The rows again, in slices of `SLICE_BYTES` or of one longer text."""
     for batch in batches:
         first, size = 0, 0
         for k, n in enumerate(pa.compute.binary_length(batch.column(1)).fill_null(0).to_pylist()):
-            if k > first and size + n > 3 * BATCH_PIXELS:
+            if k > first and size + n > SLICE_BYTES:
                 yield batch.slice(first, k - first)
                 first, size = k, 0
             size += max(n, UNIT)

@@ -601,6 +601,12 @@ def streams(data: bytes) -> list[bytes]:
     return out
 
 
+def pixels_of(stream: bytes) -> int:
+    """How many pixels a stream says it has."""
+    said = int.from_bytes(stream[1:5], "little")
+    return ((said & 0x3FFF) + 1) * ((said >> 14 & 0x3FFF) + 1)
+
+
 def decode(data: bytes) -> list[np.ndarray]:
     """All pictures of one or more WebP files, one after the other."""
     return [decode_stream(stream) for stream in streams(data)]

@@ -458,9 +458,8 @@ class Parsed:
         self.at, self.end = bits.at, 8 * len(data)
 
 
-def decode_many(files: list[bytes]) -> list[np.ndarray]:
-    """The pictures (height, width, 4) of files with one picture each."""
-    data = [webp.streams(f)[0] for f in files]
+def decode_many(data: list[bytes]) -> list[np.ndarray]:
+    """The pictures (height, width, 4) of lossless streams."""
     parsed = [Parsed(d) for d in data]
     out: list[np.ndarray | None] = [None if p.plain else webp.decode_stream(d) for p, d in zip(parsed, data)]
     some = [k for k, p in enumerate(parsed) if p.plain]
