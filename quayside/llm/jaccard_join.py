@@ -1,7 +1,9 @@
 """N-gram Jaccard join with adaptive multi-match prefixes, resolved to components.
 
-A document is the set of its distinct word shingles, as 64-bit hashes. Documents with the same set are one node. Two
-nodes link when their sets' Jaccard similarity reaches the threshold t.
+A document is the set of its distinct word shingles, as 64-bit hashes. Documents with the same set are one node, told
+apart by a 128-bit hash of it: a node's id is the first half; where sets of unlike second halves share it, which is looked
+up for all of them, their ids are the second halves. Two nodes link when their sets' Jaccard similarity reaches the
+threshold t.
 
 1. In any order of all shingles, the first n - o + l of two linked nodes share at least l, where o = ceil(t n) and n is a
    set's size. With the order of the hashes and l = n / 10, these prefixes (a fifth of all shingles for t = 0.9) go
@@ -27,6 +29,7 @@ shingle. Repeated rows link with each other. An empty table gives an empty resul
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -73,20 +76,58 @@ def shingles(text: bytes, width: int, known: WordHashes) -> np.ndarray:
     return np.unique(mixed.view(np.int64))
 
 
-def node_of(found: np.ndarray) -> int:
-    """The node of a shingle set: a hash of its members."""
-    return xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)
+class Nodes(NamedTuple):
+    """How shingle sets are named: `bits` of the first half of a 128-bit hash (fewer than 64 only to test), or the second
+    half where the first is one of `shared`, which unlike sets have in common."""
 
+    bits: int = 64
+    shared: frozenset[int] = frozenset()
+
+    def halves(self, found: np.ndarray) -> tuple[int, int]:
+        whole = xxhash.xxh3_128_intdigest(found.tobytes())
+        return (whole >> (128 - self.bits)) - (1 << (self.bits - 1)), (whole & ((1 << 64) - 1)) - (1 << 63)
+
+    def of(self, found: np.ndarray) -> int:
+        first, second = self.halves(found)
+        return second if first in self.shared else first
+
+
+def rows_with_nodes(rows: DataFrame, width: int, names: Nodes) -> DataFrame:
+    """`doc_id, n_shingles, node, second` per row: both halves of the set's hash, null without shingles."""
 
-def rows_with_nodes(rows: DataFrame, width: int) -> DataFrame:
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
             sets = [shingles(text, width, known) for text in utf8(batch, "text")]
-            nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), nodes], ["doc_id", "n_shingles", "node"])
+            halves = [names.halves(s) if len(s) else (None, None) for s in sets]
+            columns = [[len(s) for s in sets], [first for first, _ in halves], [second for _, second in halves]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in columns]], ["doc_id", "n_shingles", "node", "second"])
+
+    return rows.mapInArrow(sized, StructType([rows.schema["doc_id"]]).add("n_shingles", "long").add("node", "long").add("second", "long"))
+
+
+def named(rows: DataFrame, width: int, bits: int) -> tuple[DataFrame, DataFrame, Nodes]:
+    """`doc_id, n_shingles, node` per row, `node, n, first_id` per node, and their naming.
+
+    Of d unlike sets about d * d / 2**65 pairs share a first half (three at 10**10 sets, 27,000 at 10**12): these halves,
+    and nothing else, pass through the driver.
+    """
+
+    def per_node(nodes: DataFrame) -> DataFrame:
+        halves = (F.min("second").alias("low"), F.max("second").alias("high"))
+        return nodes.where("node IS NOT NULL").groupBy("node").agg(F.max("n_shingles").alias("n"), F.min("doc_id").alias("first_id"), *halves)
 
-    return rows.mapInArrow(sized, StructType([rows.schema["doc_id"]]).add("n_shingles", "long").add("node", "long"))
+    names = Nodes(bits)
+    nodes = durable(rows_with_nodes(rows, width, names))
+    sized = durable(per_node(nodes))
+    shared = sized.where("low != high").select("node")
+    found = frozenset(row[0] for row in shared.toLocalIterator())
+    if found:
+        names = names._replace(shared=found)
+        marked = nodes.join(shared.withColumn("_shared", F.lit(True)), "node", "left")
+        nodes = durable(marked.select("doc_id", "n_shingles", F.when(F.col("_shared"), F.col("second")).otherwise(F.col("node")).alias("node"), "second"))
+        sized = durable(per_node(nodes))
+    return nodes.drop("second"), sized.drop("low", "high"), names
 
 
 def first_matches(n: int) -> int:
@@ -94,7 +135,7 @@ def first_matches(n: int) -> int:
     return (n + 9) // 10
 
 
-def postings(rows: DataFrame, width: int, percent: int) -> DataFrame:
+def postings(rows: DataFrame, width: int, percent: int, names: Nodes) -> DataFrame:
     """`shingle, node, n` of prefixes in hash order; a task gives a node once, however many copies it sees (of a million)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +144,7 @@ def postings(rows: DataFrame, width: int, percent: int) -> DataFrame:
             sets = []
             for text in utf8(batch, "text"):
                 own = shingles(text, width, known)
-                if len(own) and (node := node_of(own)) not in seen:
+                if len(own) and (node := names.of(own)) not in seen:
                     if len(seen) >= 1_000_000:
                         seen.clear()
                     seen.add(node)
@@ -132,7 +173,7 @@ def overlap_of(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100)
 
 
-def members(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+def members(rows: DataFrame, wanted: DataFrame, width: int, names: Nodes) -> DataFrame:
     """`shingle, node, n` of the wanted nodes (node, first_id), from the text of the row with that id."""
     texts = rows.join(wanted.select("node", F.col("first_id").alias("doc_id")), "doc_id").select("node", "text")
 
@@ -142,7 +183,7 @@ def members(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             sets = []
             for node, text in zip(batch.column(0).to_pylist(), utf8(batch, "text"), strict=True):
                 # An id that repeats may have other texts, which aren't listed, or the same again, listed once (of a million).
-                if node not in seen and node_of(own := shingles(text, width, known)) == node:
+                if node not in seen and names.of(own := shingles(text, width, known)) == node:
                     if len(seen) >= 1_000_000:
                         seen.clear()
                     seen.add(node)
@@ -152,15 +193,15 @@ def members(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(each, "shingle long, node long, n long")
 
 
-def survivors(rows: DataFrame, sized: DataFrame, width: int, percent: int) -> DataFrame:
+def survivors(rows: DataFrame, sized: DataFrame, width: int, percent: int, names: Nodes) -> DataFrame:
     """`node, n, shared: array of (df, shingle) by rarity` of the nodes that can link at all."""
     n_tasks = shuffle_width(rows.sparkSession)
-    dealt = postings(rows, width, percent).repartition(n_tasks, "shingle").dropDuplicates(["shingle", "node", "n"])
+    dealt = postings(rows, width, percent, names).repartition(n_tasks, "shingle").dropDuplicates(["shingle", "node", "n"])
     # A partner may be smaller, and then asks for the fewer matches of its own size.
     least = F.floor((overlap_of(F.col("n"), percent) + 9) / 10)
     matched = of_like_size(dealt, percent).groupBy("node", "n").agg(F.count("*").alias("matches")).where(F.col("matches") >= least)
     wanted = durable(matched.select("node").join(sized.select("node", "first_id"), "node"))
-    whole = members(rows, wanted, width).repartition(n_tasks, "shingle").dropDuplicates(["shingle", "node", "n"])
+    whole = members(rows, wanted, width, names).repartition(n_tasks, "shingle").dropDuplicates(["shingle", "node", "n"])
     counted = of_like_size(whole, percent).withColumn("df", F.count("*").over(Window.partitionBy("shingle")))
     listed = counted.groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
     return durable(listed.where(F.size("shared") >= overlap_of(F.col("n"), percent)))
@@ -228,13 +269,11 @@ def links(kept: DataFrame, percent: int, most: int) -> DataFrame:
     return edges.unionByName(durable(verified(rest, kept, percent)))
 
 
-def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80, most_matches: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80, most_matches: int = 8, node_bits: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`doc_id, n_shingles, component_id` per row: the smallest id that links reach, over similarity percent / 100."""
     rows = pick(docs, doc_id=id_col, text=text_col)
-    nodes = durable(rows_with_nodes(rows, width))
-    sized = nodes.where("node IS NOT NULL").groupBy("node").agg(F.max("n_shingles").alias("n"), F.min("doc_id").alias("first_id"))
-    sized = durable(sized)
-    kept = survivors(rows, sized, width, percent)
+    nodes, sized, names = named(rows, width, node_bits)
+    kept = survivors(rows, sized, width, percent, names)
     linked = components(links(kept, percent, most_matches)).join(sized, "node")
     least = linked.groupBy("component").agg(F.min("first_id").alias("least_id"))
     moved = linked.join(least, "component").select("node", "least_id")

@@ -332,6 +332,13 @@ def test_jaccard_of_copies_that_mostly_do_not_link(spark):
     assert got == expected
 
 
+def test_unlike_sets_that_share_half_a_hash_stay_apart(spark, docs, awkward):
+    """Four bits instead of 64: nearly every node's first half is shared by unlike sets."""
+    table = docs.select("doc_id", "text").unionByName(awkward.select("doc_id", "text"))
+    whole, halved = (Counter(pairs(jaccard_join.jaccard_components(table, width=5, percent=80, node_bits=bits))) for bits in (64, 4))
+    assert whole == halved
+
+
 def test_jaccard_of_an_empty_table(spark, docs):
     assert jaccard_join.jaccard_components(docs.limit(0)).count() == 0
     kept = jaccard_join.one_of_each(spark.createDataFrame([(3, "a b c d e f"), (1, "a b c d e f"), (2, None)], "doc_id long, text string"))
