@@ -121,7 +121,7 @@ def named(rows: DataFrame, width: int, bits: int) -> tuple[DataFrame, DataFrame,
     nodes = durable(rows_with_nodes(rows, width, names))
     sized = durable(per_node(nodes))
     shared = sized.where("low != high").select("node")
-    found = frozenset(row[0] for row in shared.toLocalIterator())
+    found = frozenset(row[0] for row in shared.collect())
     if found:
         names = names._replace(shared=found)
         marked = nodes.join(shared.withColumn("_shared", F.lit(True)), "node", "left")
