@@ -35,11 +35,16 @@ def tagged(articles: DataFrame, keywords: DataFrame, threshold: float, longest:
     return best
 
 
-def mentions(articles: DataFrame, text: str, pattern: str, ambiguous: list[str], context: str) -> DataFrame:
-    """Codes named in a text; ambiguous ones count only if a context word occurs; half weight beyond five codes."""
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-    has_context = F.col(text).rlike(context)
-    kept = F.filter(codes, lambda c: ~c.isin(ambiguous) | has_context)
+def mentions(articles: DataFrame, text: str, code: str, ambiguous: list[str], context: str, reach: int = 14) -> DataFrame:
+    """Codes named in a text as words of their own; half weight beyond five codes.
+
+    `code` and `context` are patterns. An ambiguous code counts only if, before one of its places, a context word ends at
+    most `reach` characters away. Null and empty texts name nothing.
+    """
+    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?:^| )({code})(?: |$)"), F.lit(1)))
+    meant = [F.when(F.col(text).rlike(f"(?s)(?:{context}).{{0,{reach}}}(?:^| )(?:{a})(?: |$)"), F.lit(a)) for a in ambiguous]
+    allowed = F.array_compact(F.array(*meant)) if ambiguous else F.array().cast("array<string>")
+    kept = F.filter(codes, lambda c: ~c.isin(ambiguous) | F.array_contains(allowed, c))
     out = articles.select("doc_id", kept.alias("codes")).where(F.size("codes") > 0)
     return out.select("doc_id", F.explode("codes").alias("code"), F.when(F.size("codes") > 5, 0.5).otherwise(1.0).alias("weight"))
 

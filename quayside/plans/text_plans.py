@@ -38,9 +38,9 @@ def txt1(s, d):
     return O.tagged(fields(s, d), keywords(s), 2.0).withColumn("score", rounded("score"))
 
 
-@add("txt2_mentions", sql("SELECT doc_id, code, CASE WHEN LEN(codes) > 5 THEN 0.5 ELSE 1.0 END AS weight FROM (SELECT doc_id, codes, UNNEST(codes) AS code FROM (SELECT doc_id, LIST_FILTER(LIST_DISTINCT(REGEXP_EXTRACT_ALL(text, '(?:^| )([A-Z][a-z])(?: |$)', 1)), lambda c: c NOT IN ('La', 'Of') OR REGEXP_MATCHES(text, 'tion')) AS codes FROM documents))"))
+@add("txt2_mentions", sql("SELECT doc_id, code, CASE WHEN LEN(codes) > 5 THEN 0.5 ELSE 1.0 END AS weight FROM (SELECT doc_id, codes, UNNEST(codes) AS code FROM (SELECT doc_id, LIST_FILTER(LIST_DISTINCT(REGEXP_EXTRACT_ALL(text, '(?:^| )([A-Z][a-z])(?: |$)', 1)), lambda c: c NOT IN ('La', 'Of') OR (c = 'La' AND REGEXP_MATCHES(text, '(?s)(?:tion).{0,14}(?:^| )(?:La)(?: |$)')) OR (c = 'Of' AND REGEXP_MATCHES(text, '(?s)(?:tion).{0,14}(?:^| )(?:Of)(?: |$)'))) AS codes FROM documents))"))
 def txt2(s, d):
-    return O.mentions(articles(s, d), "text", r"(?:^| )([A-Z][a-z])(?: |$)", ["La", "Of"], "tion")
+    return O.mentions(articles(s, d), "text", "[A-Z][a-z]", ["La", "Of"], "tion")
 
 
 @add("txt3_title_keys", sql("SELECT doc_id, SHA1(SUBSTRING(" + KEY.format("SUBSTRING(text, 1, 120)") + ", 1, 90)) AS title_key FROM documents"))

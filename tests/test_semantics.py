@@ -291,3 +291,11 @@ def test_derived_series_only_where_the_main_input_has_one(spark):
     rows = [("a", days(3)[0], 1.0), ("b", days(3)[1], 5.0), ("a", days(3)[2], 2.0)]
     out = macro.derived(spark.createDataFrame(rows, "series_id string, date date, value double"), {"x": ("a", "a + b")})
     assert one(out, "date", "value") == [(days(3)[2], 7.0)]
+
+
+def test_ambiguous_codes_need_their_context_right_before_them(spark):
+    """A context word elsewhere in the text, too far away or behind the code doesn't count; any place of the code may."""
+    rows = [(1, "share La rose"), (2, "La rose, a share of it"), (3, "share of a company named La rose"), (4, "La share La"), (5, None), (6, ""), (7, "Xy La"), (8, "Ab Cd Ef Gh Ij Kl".replace(" ", " , "))]
+    docs = spark.createDataFrame(rows, "doc_id long, t string")
+    got = one(text.mentions(docs, "t", "[A-Z][a-z]", ["La"], "share"), "doc_id", "code", "weight")
+    assert sorted(got) == [(1, "La", 1.0), (4, "La", 1.0), (7, "Xy", 1.0), *[(8, c, 0.5) for c in ("Ab", "Cd", "Ef", "Gh", "Ij", "Kl")]]
