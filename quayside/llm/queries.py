@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, language_id, media, packing, quality, secret_scan, token_counts, url_filters, warc_zip
+from . import conversations, decontamination, jaccard_join, language_id, media, packing, quality, secret_scan, spelling, token_counts, url_filters, warc_zip
 from .common import table
+from .oracles import OP11_SQL, OP12_SQL
 
 
 def tokenizer_path(name: str) -> str:
@@ -60,6 +61,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 #: Only the pages' own rules decide in the driver's tables, whose html names no alias; the SQL says so much.
 OP2_SQL = r"""
 WITH cut AS (
@@ -88,11 +97,11 @@ FROM sized s LEFT JOIN first f USING (payload_digest)
 
 
 def queries():
-    return {f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_best_fit_packing, op4_decontamination, op5_media_columns, op6_jaccard_join, op7_secret_scan, op8_language_id, op9_warc_packages, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_best_fit_packing, op4_decontamination, op5_media_columns, op6_jaccard_join, op7_secret_scan, op8_language_id, op9_warc_packages, op10_quality_classifier, op11_conversation_repair, op12_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": OP2_SQL, "op9_warc_packages": OP9_SQL}
+    return {"op2_url_filters": OP2_SQL, "op9_warc_packages": OP9_SQL, "op11_conversation_repair": OP11_SQL, "op12_spelling_variants": OP12_SQL}
 
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
