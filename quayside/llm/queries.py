@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, decontamination, jaccard_join, language_id, media, packing, quality, secret_scan, spelling, token_counts, url_filters, warc_zip
+from . import conversations, decontamination, jaccard_join, language_id, media, packing, personal_data, quality, secret_scan, spelling, token_counts, url_filters, warc_zip
 from .common import table
 from .oracles import OP11_SQL, OP12_SQL
 
@@ -69,6 +69,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(personal_data.personal_data(table(spark, sf_dir, "documents")))
+
+
 #: Only the pages' own rules decide in the driver's tables, whose html names no alias; the SQL says so much.
 OP2_SQL = r"""
 WITH cut AS (
@@ -97,7 +101,7 @@ FROM sized s LEFT JOIN first f USING (payload_digest)
 
 
 def queries():
-    return {f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_best_fit_packing, op4_decontamination, op5_media_columns, op6_jaccard_join, op7_secret_scan, op8_language_id, op9_warc_packages, op10_quality_classifier, op11_conversation_repair, op12_spelling_variants)}
+    return {f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_best_fit_packing, op4_decontamination, op5_media_columns, op6_jaccard_join, op7_secret_scan, op8_language_id, op9_warc_packages, op10_quality_classifier, op11_conversation_repair, op12_spelling_variants, op13_personal_data)}
 
 
 def oracle_sql() -> dict[str, str]:
