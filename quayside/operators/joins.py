@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import similarity
+from .text import checkpointed
 
 
 def first_of(sources: list[tuple[str, Column]]) -> Column:
@@ -80,15 +81,45 @@ def step_values(steps: DataFrame, key: str, since: str, value: str, first, last)
     return inside.select(key, months.alias("month"), "_from", "_to", value).where((F.col("month") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("month") < F.col("_to")))).select(key, "month", value)
 
 
-def renamed(facts: DataFrame, entity: str, keys: list[str], value: str, least: int = 8) -> DataFrame:
-    """Pairs of entities with identical values on at least `least` common keys and no differing one among them.
+def renamed(series: DataFrame, files: DataFrame, entity: str, period: str, value: str, least: int = 8, near: float = 0.01) -> DataFrame:
+    """`old, new, common, current`: entities whose series (entity, period, value) agree, so that one was renamed.
 
-    Blocks are the rounded values themselves, so only rows that agree meet.
+    Two series agree if they have at least `least` common periods, all values of these lie less than `near` apart, and not
+    all of them are zero. The new name is that of the newer file (`files`: entity, file_date), then of the longer series,
+    then the one that sorts later; `current` is the last name of a chain of renames (the newest of several; ties: the last in order).
+
+    Entities of equal series are one node, and only its members next to each other in age are compared, so copies aren't
+    paired with each other. Nodes meet where they agree on a value other than zero, by steps of `near`; what meets is then
+    counted over all common periods, agreeing and not.
     """
-    rows = facts.select(F.col(entity).alias("e"), *keys, F.round(value, 2).alias("v")).where("v <> 0")
-    other = rows.withColumnRenamed("e", "e2")
-    pairs = rows.join(other, [*keys, "v"]).where("e < e2").groupBy("e", "e2").agg(F.count("*").alias("same"))
-    return pairs.where(F.col("same") >= least)
+    rows = series.where(F.col(value).isNotNull()).groupBy(F.col(entity).alias("e"), F.col(period).alias("p")).agg(F.max(value).alias("v"))
+    ages = rows.groupBy("e").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "v"))), lambda x: F.concat_ws("=", x["p"], x["v"])), ";"), 256).alias("node"), F.max(F.abs("v")).alias("size"))
+    dated = ages.join(files.select(F.col(entity).alias("e"), F.col("file_date").alias("at")), "e", "left").withColumn("age", F.struct(F.coalesce(F.col("at").cast("string"), F.lit("")), "n", "e"))
+    dated = dated.where(F.col("n") >= least)
+    own = dated.select("e", "node", "n", "size", "age", F.lead("e").over(Window.partitionBy("node").orderBy("age")).alias("next"))
+    equal = own.where(F.col("next").isNotNull() & (F.col("size") > near)).select(F.col("e").alias("old"), F.col("next").alias("new"), F.col("n").alias("common"))
+    # A node is met by its newest member.
+    heads = own.where("next IS NULL").select("e", "age")
+    short = rows.join(heads, "e").select("e", "age", "p", "v")
+    step = F.floor(F.col("v") / near)
+    left = short.where(F.abs("v") > near / 2).select("e", "p", "v", F.explode(F.array(step - 1, step, step + 1)).alias("b"))
+    right = short.where(F.abs("v") > near / 2).select(F.col("e").alias("e2"), "p", F.col("v").alias("v2"), step.alias("b"))
+    met = left.join(right, ["p", "b"]).where((F.col("e") < F.col("e2")) & (F.abs(F.col("v") - F.col("v2")) < near)).select("e", "e2").distinct()
+    both = met.join(short, "e").join(short.select(F.col("e").alias("e2"), F.col("age").alias("age2"), "p", F.col("v").alias("v2")), ["e2", "p"])
+    agree = F.count_if(F.abs(F.col("v") - F.col("v2")) < near)
+    counted = both.groupBy("e", "e2", "age", "age2").agg(F.count("*").alias("common"), agree.alias("agree"), F.max(F.abs("v")).alias("size"))
+    sure = counted.where((F.col("common") >= least) & (F.col("agree") == F.col("common")) & (F.col("size") > near))
+    later = F.col("age2") > F.col("age")
+    pairs = equal.unionByName(sure.select(F.when(later, F.col("e")).otherwise(F.col("e2")).alias("old"), F.when(later, F.col("e2")).otherwise(F.col("e")).alias("new"), "common"))
+    # Names follow the newest of their new names, doubling the steps until none moves.
+    ages_of = dated.select(F.col("e").alias("new"), "age")
+    to = pairs.join(ages_of, "new").groupBy(F.col("old").alias("name")).agg(F.max_by("new", "age").alias("to"))
+    while True:
+        jumped = checkpointed(to.join(to.select(F.col("name").alias("to"), F.col("to").alias("end")), "to", "left").select("name", F.coalesce("end", "to").alias("to"), F.col("end").isNotNull().alias("moved")))
+        to = jumped.select("name", "to")
+        if jumped.where("moved").isEmpty():
+            break
+    return pairs.join(to.select(F.col("name").alias("old"), F.col("to").alias("current")), "old")
 
 
 def merge_disclosures(rows: DataFrame, keys: list[str], date: str, estimated: str, source: str) -> DataFrame:

@@ -17,7 +17,7 @@ def by_symbol():
     return Window.partitionBy("symbol").orderBy("date")
 
 
-def price_grid(bars: DataFrame, limit: int = 20) -> DataFrame:
+def price_grid(bars: DataFrame, limit: int | None = 20) -> DataFrame:
     """Each symbol on each session of its life, with `px`: the close filled forward over at most `limit` sessions."""
     return dense_grid(bars).withColumn("px", filled("close", "symbol", "sess", limit))
 
@@ -84,13 +84,26 @@ def chained_ex_group(bars: DataFrame, instruments: DataFrame, group_sector: str)
     return lagged.select("date", chained.alias("chained"))
 
 
-def back_adjusted(bars: DataFrame, cut: float = 0.95, every: int = 7) -> DataFrame:
-    """Closes times the product of the later event factors. Events here are days whose volume divides by `every`."""
-    event = F.when((F.col("volume") % every == 0) & F.lag("close").over(by_symbol()).isNotNull(), F.lit(cut)).otherwise(F.lit(1.0))
-    later = by_symbol().rowsBetween(1, Window.unboundedFollowing)
-    marked = bars.withColumn("event", event)
-    factor = F.exp(F.coalesce(F.sum(F.log("event")).over(later), F.lit(0.0)))
-    return marked.withColumn("factor", factor).withColumn("adjusted", F.col("close") * F.col("factor"))
+def back_adjusted(source: DataFrame, other: DataFrame, venues: DataFrame, listed: tuple[str, ...], least: float = 0.004) -> DataFrame:
+    """Closes of `source` (symbol, date, close, ref) brought to the level of an adjusted series `other` (symbol, date, close).
+
+    On common days the factor is the ratio of both closes, rounded to four places; it is carried forward, then back, within
+    a symbol, and is 1 where the series never meet. After the other's last day, a reference price more than `least` off the
+    close before it is an event, on the `listed` venues of `venues` (symbol, exchange) only; every close before it is
+    multiplied by it.
+    """
+    ends = other.groupBy("symbol").agg(F.max("date").alias("_end"))
+    met = source.join(other.select("symbol", "date", F.col("close").alias("_other")), ["symbol", "date"], "left").join(ends, "symbol", "left").join(venues.select("symbol", "exchange"), "symbol", "left")
+    upto = by_symbol().rowsBetween(Window.unboundedPreceding, 0)
+    onward = by_symbol().rowsBetween(0, Window.unboundedFollowing)
+    step = F.col("ref") / F.lag("close").over(by_symbol())
+    after = F.col("_end").isNull() | (F.col("date") > F.col("_end"))
+    event = F.when(after & F.col("exchange").isin(*listed) & (F.abs(step - 1) > least), step).otherwise(1.0)
+    marked = met.withColumns({"_ahead": F.last(F.round(F.col("_other") / F.col("close"), 4), ignorenulls=True).over(upto), "_event": event})
+    level = F.coalesce("_ahead", F.first("_ahead", ignorenulls=True).over(onward), F.lit(1.0))
+    later = F.exp(F.coalesce(F.sum(F.log("_event")).over(by_symbol().rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0)))
+    factored = marked.withColumn("factor", level * later)
+    return factored.select(*source.columns, "factor", (F.col("close") * F.col("factor")).alias("adjusted"))
 
 
 def rolling_z(bars: DataFrame, rows: int) -> DataFrame:
@@ -123,21 +136,28 @@ def latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), order).alias("_row")).select("_row.*")
 
 
-def basket_profit(bars: DataFrame, lots: int = 10) -> DataFrame:
-    """Per lot and day: sum of price over entry price of its tranches, and its running peak."""
-    relative = F.col("close") / F.first("close").over(by_symbol())
-    worth = bars.select((F.col("symbol") % lots).alias("lot"), "date", relative.alias("rel")).groupBy("lot", "date").agg(F.sum("rel").alias("worth"))
+def basket_profit(bars: DataFrame, tranches: DataFrame, limit: float = 0.3, tight: float = 0.2, gain: float = 0.2) -> DataFrame:
+    """Profit of lots per day: each tranche (lot, symbol, entry, invested) is worth invested * price / entry price from its entry on.
+
+    The entry price is the last close at or before the entry; a day without a close takes the last one. `stop` is the
+    profit at which the trailing stop cuts the lot: `limit` below the peak, `tight` once the peak profit reaches `gain`.
+    """
+    entered = asof_join(tranches, bars.select("symbol", F.col("date").alias("_day"), F.col("close").alias("entry_close")), "symbol", "entry", "_day", ["entry_close"]).where("entry_close IS NOT NULL")
+    # A lot's days are the sessions of its members from its first entry to the last close of any.
+    priced = price_grid(bars, limit=None).select("symbol", "date", "px")
+    worth = entered.join(priced, "symbol").where(F.col("date") >= F.col("entry")).groupBy("lot", "date").agg(F.sum(F.col("invested") * F.col("px") / F.col("entry_close")).alias("worth"), F.sum("invested").alias("invested"))
+    profit = worth.withColumn("profit", F.col("worth") / F.col("invested") - 1)
     upto = Window.partitionBy("lot").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    return worth.withColumn("peak", F.max("worth").over(upto))
+    peaked = profit.withColumn("peak", F.max("profit").over(upto))
+    allowed = F.when(F.col("peak") >= gain, tight).otherwise(limit)
+    return peaked.withColumn("stop", (1 + F.col("peak")) * (1 - allowed) - 1)
 
 
-def valuation(bars: DataFrame, instruments: DataFrame) -> DataFrame:
-    """symbol, sector, exchange, close, cap at the last close, with earnings, book, dividends and expected earnings (some missing, some losses)."""
+def valuation(bars: DataFrame, instruments: DataFrame, fundamentals: DataFrame) -> DataFrame:
+    """symbol, sector, exchange, close, cap at the last close, with the fundamentals (symbol, earnings, book, dividends, expected; any may be null)."""
     last = bars.groupBy("symbol").agg(F.max_by("close", "date").alias("close"))
-    s = F.col("symbol")
-    earnings = F.when(s % 9 != 0, (s % 13 - 3) * F.lit(1e6))
-    book = F.when(s % 8 != 0, (s % 11 + 1) * F.lit(1e7))
-    return instruments.join(last, "symbol").select("symbol", "sector", "exchange", "close", (F.col("close") * F.col("shares")).alias("cap"), earnings.alias("earnings"), book.alias("book"), F.when(s % 5 != 0, (s % 7) * F.lit(1e5)).alias("dividends"), F.when(s % 4 != 0, (s % 17 - 2) * F.lit(1e6)).alias("expected"))
+    named = ("earnings", "book", "dividends", "expected")
+    return instruments.join(last, "symbol").join(fundamentals, "symbol", "left").select("symbol", "sector", "exchange", "close", (F.col("close") * F.col("shares")).alias("cap"), *named)
 
 
 def same_members(value: str):
@@ -155,13 +175,13 @@ def aggregate_pe(valued: DataFrame) -> DataFrame:
     return sets.agg(level.alias("level"), F.count("*").alias("members"), same_members("earnings").alias("pe"), ex_loss.alias("pe_ex_loss"), same_members("book").alias("pb"))
 
 
-def snapshot(bars: DataFrame, instruments: DataFrame) -> DataFrame:
-    """Per sector: price-earnings, price-book, expected price-earnings, dividend yield, cap-weighted return on equity and coverage."""
+def snapshot(valued: DataFrame) -> DataFrame:
+    """Per sector of `valuation` rows: price-earnings, price-book, expected price-earnings, dividend yield, cap-weighted return on equity and coverage."""
     has = F.col("earnings").isNotNull()
     both = (F.col("book") > 0) & has
     roe = F.sum(F.when(both, F.col("earnings") / F.col("book") * F.col("cap"))) / F.sum(F.when(both, F.col("cap")))
     coverage = F.sum(F.when(has, F.col("cap")).otherwise(0.0)) / F.sum("cap")
-    return valuation(bars, instruments).groupBy("sector").agg(F.count("*").alias("members"), same_members("earnings").alias("pe"), same_members("book").alias("pb"), same_members("expected").alias("forward_pe"), F.try_divide(F.sum("dividends"), F.sum(F.when(F.col("dividends").isNotNull(), F.col("cap")))).alias("dividend_yield"), roe.alias("roe"), coverage.alias("coverage"))
+    return valued.groupBy("sector").agg(F.count("*").alias("members"), same_members("earnings").alias("pe"), same_members("book").alias("pb"), same_members("expected").alias("forward_pe"), F.try_divide(F.sum("dividends"), F.sum(F.when(F.col("dividends").isNotNull(), F.col("cap")))).alias("dividend_yield"), roe.alias("roe"), coverage.alias("coverage"))
 
 
 def ratios_long(valued: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .temporal import carried, carried_sum
+
 REVISION_DAYS, MOST_DAYS = 3, 45
 SECTIONS = ("arrive", "shift", "depart")
 CALL_COLUMNS = ("ship_key", "arrival", "origin", "first_berth", "berths", "last_berth", "n_shifts", "departure", "destination", "hours_in_port", "status", "n_revisions")
@@ -186,6 +188,94 @@ def stops_and_legs(events: DataFrame, gap_days: int) -> tuple[DataFrame, DataFra
     return stops, legs
 
 
+#: Days within which a real stop confirms an inferred one, stops of that many rows away count, and hours that keep two real stops at one port together.
+CONFIRM_DAYS, CONFIRM_ROWS, MERGE_HOURS = 10, 3, 48
+
+
+def stops_of_calls(calls: DataFrame) -> DataFrame:
+    """Stops that calls tell of: the call itself, its origin a minute before the arrival and its destination a minute after the departure, both inferred."""
+    minute = F.expr("INTERVAL 1 MINUTE")
+    none = F.lit(None).cast("timestamp")
+
+    def stop(t: Column, port: str, side: str, arrive: Column = none, depart: Column = none) -> Column:
+        return F.struct(t.alias("t"), F.col(port).alias("port"), F.lit(side).alias("side"), arrive.alias("arrive"), depart.alias("depart"), F.col("port").alias("home"))
+
+    at = F.coalesce("arrival", "departure")
+    arrival, departure = F.col("arrival"), F.col("departure")
+    stops = F.array(
+        F.when(F.col("origin").isNotNull() & arrival.isNotNull(), stop(arrival - minute, "origin", "origin")),
+        F.when(at.isNotNull(), stop(at, "port", "call", arrival, departure)),
+        F.when(F.col("destination").isNotNull() & departure.isNotNull(), stop(departure + minute, "destination", "to")),
+    )
+    each = calls.withColumn("port", F.col("first_berth")).select("ship_key", F.explode(stops).alias("s"))
+    return each.where("s IS NOT NULL").select("ship_key", "s.*")
+
+
+def itinerary(calls: DataFrame, region: Column, piece_days: int = 60) -> DataFrame:
+    """Stops of ships in order: `ship_key, idx, port, start, arrive, depart, inferred, rows`; a port is null where a ship was somewhere unknown.
+
+    An inferred stop goes if one of the next three stops (for an origin: of the three before) is a real one of the same
+    `region` (null: none) within ten days, and no stop at the port that it was inferred from comes first. Then neighbouring stops at one port are one, unless
+    both are real and more than two days lie between them: the ship was elsewhere, and a stop without port stands between.
+    A real stop without a departure counts as left when it arrived.
+
+    A ship's stops are dealt out by pieces of time. Neighbours are looked up in windows of one piece and the ten days on
+    either side of it; what crosses pieces, the last stop, the last real one and the running numbers, is carried.
+    """
+    seconds = piece_days * 86400
+    epoch = F.unix_timestamp("t")
+    raw = stops_of_calls(calls).withColumns({"inferred": F.col("side") != "call", "region": region, "rank": F.array_position(F.array(F.lit("origin"), F.lit("call"), F.lit("to")), F.col("side"))})
+    raw = raw.withColumn("order", F.struct("t", "rank", F.coalesce("port", F.lit(-1)).alias("port"), F.coalesce("home", F.lit(-1)).alias("home")))
+    own = F.floor(epoch / seconds)
+    reach = (CONFIRM_DAYS + 1) * 86400
+    spread = raw.withColumn("own", own).withColumn("piece", F.explode(F.array_distinct(F.array(F.floor((epoch - reach) / seconds), own, F.floor((epoch + reach) / seconds)))))
+    w = Window.partitionBy("ship_key", "piece").orderBy("order")
+
+    def confirmed(step: int) -> Column:
+        """Whether a neighbour on that side confirms a stop, before one at the port that it was inferred from ends the search."""
+        out = F.lit(False)
+        for k in range(CONFIRM_ROWS, 0, -1):
+            see = [F.lag(c, k).over(w) if step < 0 else F.lead(c, k).over(w) for c in ("port", "inferred", "region", "t")]
+            days = F.floor((F.unix_timestamp(see[3]) - epoch) / 86400.0)
+            # The search ends at the home port and at the first real stop of the region, near enough or not.
+            out = F.when(see[0].isNull() & see[3].isNull(), False).when(see[0] == F.col("home"), False).when(~see[1] & (see[2] == F.col("region")), F.abs(days) <= CONFIRM_DAYS).otherwise(out)
+        return out
+
+    drop = F.col("inferred") & F.col("region").isNotNull() & F.when(F.col("side") == "to", confirmed(1)).otherwise(confirmed(-1))
+    kept = spread.withColumn("_drop", F.coalesce(drop, F.lit(False))).where((F.col("piece") == F.col("own")) & ~F.col("_drop")).drop("own", "_drop", "region", "side")
+
+    by, order = ["ship_key"], ["order"]
+    seen = carried(kept, by, "piece", order, {"before": F.struct("port")})
+    turned = carried_sum(seen, by, "piece", order, F.coalesce((F.col("before.port").isNull() | (F.col("before.port") != F.col("port"))).cast("int"), F.lit(1)), "run")
+    left_at = F.coalesce("depart", "arrive", "t")
+    real = carried(turned, by, "piece", order, {"real": F.when(~F.col("inferred"), F.struct("run", left_at.alias("left_at")))})
+    apart = ~F.col("inferred") & (F.col("real.run") == F.col("run")) & (F.unix_timestamp(F.coalesce("arrive", "depart", "t")) - F.unix_timestamp("real.left_at") > MERGE_HOURS * 3600)
+    broken = real.withColumn("gap", F.coalesce(apart, F.lit(False)))
+    fresh = F.coalesce((F.col("before.port").isNull() | (F.col("before.port") != F.col("port"))), F.lit(True))
+    # A gap takes a number of its own, the one before the stop that follows it.
+    numbered = carried_sum(broken, by, "piece", order, F.when(F.col("gap"), 2).otherwise(fresh.cast("int")), "idx")
+    stops = numbered.groupBy("ship_key", "idx").agg(
+        F.first("port").alias("port"), F.coalesce(F.min(F.when(~F.col("inferred"), F.col("t"))), F.min("t")).alias("start"), F.min("arrive").alias("arrive"), F.max("depart").alias("depart"), F.bool_and("inferred").alias("inferred"), F.count("*").alias("rows")
+    )
+    gone = F.col("real.left_at") + F.expr("INTERVAL 1 MINUTE")
+    gaps = numbered.where("gap").select("ship_key", (F.col("idx") - 1).alias("idx"), F.lit(None).cast("int").alias("port"), gone.alias("start"), F.lit(None).cast("timestamp").alias("arrive"), F.lit(None).cast("timestamp").alias("depart"), F.lit(True).alias("inferred"), F.lit(0).cast("long").alias("rows"))
+    return stops.unionByName(gaps)
+
+
+def itinerary_legs(stops: DataFrame) -> DataFrame:
+    """From each stop to the next, with the days between leaving and reaching; the numbers of an itinerary have no holes, so this is a plain join."""
+    to = stops.select("ship_key", (F.col("idx") - 1).alias("idx"), F.col("port").alias("to_place"), F.coalesce("arrive", "start").alias("reached_at"))
+    left_at = F.coalesce("depart", "arrive", "start")
+    legs = stops.join(to, ["ship_key", "idx"]).select("ship_key", "idx", F.col("port").alias("from_place"), "to_place", left_at.alias("left_at"), "reached_at")
+    return legs.withColumn("days", (F.unix_timestamp("reached_at") - F.unix_timestamp("left_at")) / 86400.0)
+
+
+def operator_lanes(legs: DataFrame, ships: DataFrame) -> DataFrame:
+    """Per month, lane and operator (`ships`: ship_key, operator, capacity): legs, ships and the capacity carried; unknown ports are no lanes."""
+    joined = legs.where("from_place IS NOT NULL AND to_place IS NOT NULL").join(ships, "ship_key", "left")
+    return joined.groupBy(F.last_day(F.col("left_at").cast("date")).alias("month"), "from_place", "to_place", "operator").agg(F.count("*").alias("legs"), F.countDistinct("ship_key").alias("ships"), F.sum("capacity").alias("capacity"))
+
+
 def lanes(legs: DataFrame) -> DataFrame:
     return legs.groupBy(F.last_day(F.col("left_at").cast("date")).alias("month"), "from_place", "to_place").agg(F.count("*").alias("legs"), F.countDistinct("ship_key").alias("ships"))
 

@@ -10,18 +10,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof_join(left: DataFrame, right: DataFrame, key: str | list[str], left_time: str, right_time: str, columns: list[str], *, tolerance_days: int | None = None, matched_time: str | None = None) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, key: str | list[str], left_time: str, right_time: str, columns: list[str], *, tolerance_days: int | None = None, matched_time: str | None = None, piece_days: int | None = None) -> DataFrame:
     """The newest right row at or before each left row's time, by key; never a later one. One shuffle on the key.
 
     `tolerance_days` drops matches that are older. The right side must be unique by key and time; its columns replace
-    left columns of the same name.
+    left columns of the same name. With `piece_days` a key's rows are dealt out by pieces of so many days, each a window of
+    its own, and what the newest right row of the pieces before was is carried into each: a hot key is as many tasks as it
+    has pieces, for one more aggregation and a window over pieces.
     """
     keys = [key] if isinstance(key, str) else key
     r = F.struct(F.col(right_time).alias("_at"), *columns)
     events = right.select(*keys, F.col(right_time).alias("_time"), F.lit(0).alias("_side"), r.alias("_right"), F.lit(None).cast(left.select(F.struct("*").alias("s")).schema["s"].dataType).alias("_left"))
     asks = left.select(*keys, F.col(left_time).alias("_time"), F.lit(1).alias("_side"), F.lit(None).cast(events.schema["_right"].dataType).alias("_right"), F.struct("*").alias("_left"))
-    w = Window.partitionBy(*keys).orderBy("_time", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    found = events.unionByName(asks).withColumn("_found", F.last("_right", ignorenulls=True).over(w)).where("_side = 1")
+    both, by = events.unionByName(asks), keys
+    if piece_days:
+        piece = F.floor(F.unix_date(F.col("_time").cast("date")) / piece_days).alias("_piece")
+        both, by = both.select("*", piece), [*keys, "_piece"]
+    w = Window.partitionBy(*by).orderBy("_time", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_found", F.last("_right", ignorenulls=True).over(w)).where("_side = 1")
+    if piece_days:
+        newest = both.groupBy(*by).agg(F.max_by("_right", F.when(F.col("_side") == 0, F.col("_time"))).alias("_newest"))
+        before = F.last("_newest", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1))
+        carried = newest.select(*[F.col(c).alias(f"_by{k}") for k, c in enumerate(by)], before.alias("_before"))
+        same = [F.col(c).eqNullSafe(F.col(f"_by{k}")) for k, c in enumerate(by)]
+        found = found.join(carried, same, "left").withColumn("_found", F.coalesce("_found", "_before"))
     near = F.lit(True) if tolerance_days is None else F.datediff("_time", "_found._at") <= tolerance_days
     picked = [F.when(near, F.col(f"_found.{c}")).alias(c) for c in columns]
     more = [F.when(near, F.col("_found._at")).alias(matched_time)] if matched_time else []
@@ -29,6 +41,38 @@ def asof_join(left: DataFrame, right: DataFrame, key: str | list[str], left_time
     return found.select(*[F.col(f"_left.{c}").alias(c) for c in left.columns if c not in made], *picked, *more)
 
 
+def carried(df: DataFrame, keys: list[str], piece: str, order: list, values: dict[str, Column]) -> DataFrame:
+    """`df` with, per name, the last non-null of a value in the rows before a row, in the order of `piece`, then `order`.
+
+    Rows of a key are windows of one piece each; the last values of a piece go to the later ones by a table of one row per
+    key and piece. So a hot key is as many tasks as it has pieces.
+    """
+    local = Window.partitionBy(*keys, piece).orderBy(*order)
+    inside = local.rowsBetween(Window.unboundedPreceding, -1)
+    marked = df.withColumns({f"_v_{n}": v for n, v in values.items()})
+    # Null only where nothing was there: the value itself is in a struct.
+    boxed = {n: F.when(F.col(f"_v_{n}").isNotNull(), F.struct(F.col(f"_v_{n}").alias("v"))) for n in values}
+    within = marked.withColumns({f"_l_{n}": F.last(b, ignorenulls=True).over(inside) for n, b in boxed.items()})
+    place = F.struct(*order)
+    ends = marked.groupBy(*keys, piece).agg(*[F.max_by(b, F.when(F.col(f"_v_{n}").isNotNull(), place)).alias(f"_e_{n}") for n, b in boxed.items()])
+    earlier = Window.partitionBy(*keys).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select(*[F.col(c).alias(f"_k_{c}") for c in (*keys, piece)], *[F.last(f"_e_{n}", ignorenulls=True).over(earlier).alias(f"_b_{n}") for n in values])
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*keys, piece)]
+    joined = within.join(before, same, "left")
+    return joined.select(*df.columns, *[F.coalesce(f"_l_{n}", f"_b_{n}")["v"].alias(n) for n in values])
+
+
+def carried_sum(df: DataFrame, keys: list[str], piece: str, order: list, value: Column, name: str) -> DataFrame:
+    """`df` with the running sum of a value up to each row, in the order of `piece`, then `order`; see `carried`."""
+    upto = Window.partitionBy(*keys, piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    marked = df.withColumn("_v", value)
+    sums = marked.groupBy(*keys, piece).agg(F.sum("_v").alias("_sum"))
+    earlier = Window.partitionBy(*keys).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(*[F.col(c).alias(f"_k_{c}") for c in (*keys, piece)], F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*keys, piece)]
+    return marked.withColumn("_own", F.sum("_v").over(upto)).join(before, same, "left").select(*df.columns, (F.col("_own") + F.col("_before")).alias(name))
+
+
 def nearest_join(left: DataFrame, right: DataFrame, key: str, left_id: str, left_time: str, right_time: str, columns: list[str], tolerance: float) -> DataFrame:
     """The right row nearest in time within `tolerance` days on either side, one per left row; ties go to the earlier.
 

@@ -38,14 +38,14 @@ def published(s, d):
 @add("jn2_asof_join", sql(f"SELECT symbol, date, {rsql('value')} AS value FROM ({QEND})", q=PUB))
 def jn2(s, d):
     left = bars(s, d).withColumn("ticker", F.col("symbol") % 25)
-    return T.asof_join(left, published(s, d).withColumn("ticker", F.col("ticker").cast("long")), "ticker", "date", "known", ["value"]).select("symbol", "date", rounded("value").alias("value"))
+    return T.asof_join(left, published(s, d).withColumn("ticker", F.col("ticker").cast("long")), "ticker", "date", "known", ["value"], piece_days=366).select("symbol", "date", rounded("value").alias("value"))
 
 
 @add("jn3_asof_tolerance", sql(f"SELECT e.event_id, CASE WHEN DATE_DIFF('day', b.date, e.day) <= 10 THEN {rsql('b.close * e.dwt')} END AS worth FROM (SELECT event_id, ship_key % 10 AS symbol, CAST(ts AS DATE) + 0 AS day, dwt FROM port_events) e ASOF LEFT JOIN (SELECT symbol, CAST(date + 9500 AS DATE) AS date, close FROM bars) b ON e.symbol = b.symbol AND e.day >= b.date"))
 def jn3(s, d):
     e = port_events(s, d).select("event_id", (F.col("ship_key") % 10).alias("symbol"), F.col("ts").cast("date").alias("day"), "dwt")
     b = bars(s, d).select("symbol", F.date_add("date", 9500).alias("date"), "close")
-    return T.asof_join(e, b, "symbol", "day", "date", ["close"], tolerance_days=10).select("event_id", rounded(F.col("close") * F.col("dwt")).alias("worth"))
+    return T.asof_join(e, b, "symbol", "day", "date", ["close"], tolerance_days=10, piece_days=92).select("event_id", rounded(F.col("close") * F.col("dwt")).alias("worth"))
 
 
 @add("jn4_currency", sql("SELECT code, date, " + rsql("total_value / NULLIF(rate, 0)") + " AS usd FROM (SELECT *, CASE code % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE 'P' END AS currency FROM flows) f ASOF LEFT JOIN fx USING (currency, date)"))
@@ -138,10 +138,27 @@ def jn12(s, d):
     return joined.select("lot", "line", rounded(T.interpolated(F.col("pts"), F.col("tenor"))).alias("rate"))
 
 
-@add("jn13_renamed", sql("SELECT a.ticker AS e, b.ticker AS e2, COUNT(*) AS same FROM x a JOIN x b ON a.item = b.item AND a.t = b.t AND ROUND(a.value, 2) = ROUND(b.value, 2) AND a.ticker < b.ticker WHERE a.value <> 0 GROUP BY ALL HAVING COUNT(*) >= 8", x="SELECT ticker, item, t, value FROM facts UNION ALL SELECT ticker + 100, item, t, value FROM facts WHERE ticker % 6 = 0"))
+#: Every sixth ticker has a copy under a new name, shifted by less than a cent; of each such copy there is one of a third name with one other value.
+SERIES = "SELECT ticker, t, SUM(value) AS value FROM facts GROUP BY ALL"
+NAMES = {
+    "ser": SERIES,
+    "alln": "SELECT ticker, t, value FROM ser UNION ALL SELECT ticker + 100, t, value + 0.004 FROM ser WHERE ticker % 6 = 0 UNION ALL SELECT ticker + 200, t, CASE WHEN t = (SELECT MAX(t) FROM ser) THEN value + 1 ELSE value END FROM ser WHERE ticker % 6 = 0 UNION ALL SELECT ticker + 300, t, value + 0.008 FROM ser WHERE ticker % 12 = 0",
+    "met": "SELECT a.ticker AS e, b.ticker AS e2, COUNT(*) AS common, COUNT(*) FILTER (WHERE ABS(a.value - b.value) < 0.01) AS agree, MAX(ABS(a.value)) AS size FROM alln a JOIN alln b ON a.t = b.t AND a.ticker < b.ticker GROUP BY ALL",
+    "prs": "SELECT e AS old, e2 AS new, common FROM met WHERE common >= 8 AND agree = common AND size > 0.01",
+    "chain": "SELECT old AS name, MAX(new) AS nxt FROM prs GROUP BY 1",
+}
+
+
+@add("jn13_renamed", sql("SELECT old, new, common, COALESCE(c2.nxt, c1.nxt) AS current FROM prs JOIN chain c1 ON c1.name = prs.old LEFT JOIN chain c2 ON c2.name = c1.nxt", **NAMES))
 def jn13(s, d):
-    f = facts(s, d).select("ticker", "item", "t", "value")
-    return O.renamed(f.unionByName(f.where("ticker % 6 = 0").withColumn("ticker", F.col("ticker") + 100)), "ticker", ["item", "t"], "value")
+    """Files of higher ticker numbers are newer here."""
+    f = facts(s, d).groupBy("ticker", "t").agg(F.sum("value").alias("value"))
+    sixth, last = f.where("ticker % 6 = 0"), f.agg(F.max("t").alias("last"))
+    other = sixth.join(F.broadcast(last)).select((F.col("ticker") + 200).alias("ticker"), "t", F.when(F.col("t") == F.col("last"), F.col("value") + 1).otherwise(F.col("value")).alias("value"))
+    copies = sixth.select((F.col("ticker") + 100).alias("ticker"), "t", (F.col("value") + 0.004).alias("value")).unionByName(f.where("ticker % 12 = 0").select((F.col("ticker") + 300).alias("ticker"), "t", (F.col("value") + 0.008).alias("value")))
+    every = f.unionByName(copies).unionByName(other)
+    files = every.select("ticker").distinct().withColumn("file_date", F.date_add(F.lit("2024-01-01").cast("date"), F.col("ticker").cast("int")))
+    return O.renamed(every, files, "ticker", "t", "value")
 
 
 @add("jn14_overlay", sql("SELECT item, t, " + rsql("COALESCE(o.v, z.v)") + " AS value, CASE WHEN o.v IS NOT NULL THEN 'official' ELSE 'second' END AS origin FROM (SELECT item, t, SUM(value) AS v FROM facts WHERE quarter IN (2, 4) GROUP BY ALL) o FULL JOIN (SELECT item, t, 2 * SUM(value) AS v FROM facts GROUP BY ALL) z USING (item, t)"))

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import tables as T
-from ..sources.views import bars, instruments, rounded, rsql, sql
+from ..sources.files import shared_path
+from ..sources.views import bars, instruments, port_events, rounded, rsql, sql
 from ..streaming import live as L
+from .port_plans import S as PORT_SQL
 
+CALLS_SQL = PORT_SQL["win22_calls"]
 Q, S = {}, {}
 
 
@@ -109,10 +112,62 @@ def str9(s, d):
     return L.replay(L.once(twice, "event_id", seen, "400 days"), "append").select("event_id")
 
 
-@add("str10_streaming_calls")
+def shuffled_replay(s, d, batches=6, per_batch=1):
+    """The port events as a stream that comes out of order: by time in `batches` files, a third of the events one file late, every tenth again in the next; and a last event of no ship, far ahead, that lets all others pass."""
+    e = port_events(s, d).withColumn("ts", F.col("ts").cast("timestamp"))
+    ends = e.agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"))
+    share = (F.unix_micros("ts") - F.unix_micros("t0")) / (F.unix_micros("t1") - F.unix_micros("t0") + 1)
+    part = F.floor(share * (batches - 1)) + F.when(F.pmod(F.hash("event_id"), F.lit(3)) == 0, 1).otherwise(0)
+    again = F.when(F.col("event_id") % 10 == 0, F.array(F.col("part"), F.least(F.col("part") + 1, F.lit(batches - 1)))).otherwise(F.array("part"))
+    dealt = e.join(F.broadcast(ends)).withColumn("part", part).withColumn("part", F.explode(again)).drop("t0", "t1")
+    path = shared_path(s, "shuffled")
+    for k in range(batches):  # files are taken in the order of their times
+        dealt.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(path)
+    last = ends.select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("ship_key"), (F.col("t1") + F.expr("INTERVAL 1000 DAYS")).alias("ts"), F.lit("arrive").alias("section"), F.lit(0).alias("place_from"), F.lit(0).alias("place_to"), F.lit(0.0).cast("double").alias("dwt"))
+    last.select(*dealt.drop("part").columns).coalesce(1).write.mode("append").parquet(path)
+    return L.file_stream(s, path, per_batch)
+
+
+@add("str10_streaming_calls", CALLS_SQL)
 def str10(s, d):
-    """Closed calls of the stream; the tests compare them with the batch job's."""
-    kind = F.col("event_type")
-    section = F.when(kind == "view", "arrive").when(kind == "click", "shift").when(kind == "purchase", "depart").otherwise("pass")
-    e = events(s, d).select("event_id", F.col("user_id").alias("ship_key"), "ts", section.alias("section"), (F.col("event_id") % 7).cast("int").alias("place_from"), (F.col("event_id") % 11).cast("int").alias("place_to"))
-    return L.replay(L.streaming_calls(e), "append")
+    """A shuffled and repeated stream of events gives the calls of the batch job."""
+    out = L.replayed_calls(shuffled_replay(s, d), "8 days")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("arrival", "departure")})
+
+
+#: Messages of all types from the events: the type by the event's number, quantities and prices by its value.
+KINDS = ["mi", "emi", "t", "te", "q", "b", "bc", "f", "ii", "e", "sd", "s", "hello"]
+
+
+def feed(s, d):
+    id_, v, ts = F.col("event_id"), F.col("value"), F.col("ts")
+    code = F.element_at(F.array(*[F.lit(k) for k in KINDS]), (id_ % len(KINDS) + 1).cast("int"))
+    symbol = F.when(F.col("user_id") % 7 == 0, F.concat(F.lit("VN30F"), F.col("user_id"))).otherwise(F.concat(F.lit("S"), F.col("user_id")))
+    level = F.array(F.struct(v.alias("price"), id_.alias("qtty")), F.struct((v - 1).alias("price"), (id_ + 1).alias("qtty")))
+    limit = F.when(id_ % 2 == 0, F.lit("18446744073686833152")).otherwise(id_.cast("string"))
+    item = F.struct(symbol.alias("symbol"), v.alias("influence"), (v / 10).alias("proportion"), id_.alias("totalVolumeTraded"))
+    body = F.struct(
+        code.alias("T"), symbol.alias("symbol"), F.lit("G1").alias("boardId"), v.alias("matchPrice"), id_.alias("matchQtty"), v.alias("valueIndexes"), F.concat(F.lit("I"), F.col("user_id") % 3).alias("indexName"), id_.alias("totalVolumeTraded"), level.alias("bid"), level.alias("offer"),
+        (F.unix_timestamp(ts) * F.when(id_ % 3 == 0, 1000).otherwise(1)).alias("time"), v.alias("close"), id_.alias("volume"), v.alias("buyTradedAmount"), limit.alias("foreignerOrderLimitQuantity"), F.array(item, item).alias("Data"), v.alias("expectedTradePrice"), F.lit("not a number").alias("expectedTradeQuantity"), v.alias("basicPrice"), F.lit("open").alias("eventId"),
+    )
+    return events(s, d).select(ts.alias("ts_recv"), F.concat(F.lit("c"), F.col("user_id") % 2).alias("conn"), F.to_json(body).alias("msg"))
+
+
+#: Per table, what the check sums and what it counts.
+SUMS = {"market_index": ("value", "index_name"), "estimated_index": ("total_vol", "index_name"), "ticks": ("qty", "symbol"), "quotes": ("bid2_qty", "symbol"), "bars_1m": ("t", "symbol"), "foreign_flow": ("room_limit", "symbol"), "influence": ("proportion", "symbol"), "expected": ("exp_qty", "symbol"), "secdef": ("ref", "symbol"), "sessions": ("event", "event"), "raw_log": ("conn", "conn"), "events": ("conn", "conn")}
+QTY = "event_id * CASE WHEN user_id % 7 = 0 THEN 1 ELSE 10 END"
+FEED_ROWS = {"market_index": ("0", "value", "user_id % 3"), "estimated_index": ("1", "event_id", "user_id % 3"), "ticks": ("2, 3", QTY, "user_id"), "quotes": ("4", QTY.replace("event_id", "(event_id + 1)"), "user_id"), "bars_1m": ("5, 6", "EPOCH(DATE_TRUNC('second', ts))", "user_id"), "foreign_flow": ("7", "CASE WHEN event_id % 2 = 0 THEN -22718464 ELSE event_id END", "user_id"), "expected": ("9", "NULL", "user_id"), "secdef": ("10", "value", "user_id"), "sessions": ("11", "NULL", "1"), "events": ("12", "NULL", "user_id % 2"), "raw_log": (", ".join(map(str, range(13))), "NULL", "user_id % 2")}
+
+
+@add("str1_feed_tables", " UNION ALL ".join([f"SELECT '{t}' AS feed, COUNT(*) AS n, COUNT(DISTINCT {who}) AS names, {rsql(f'CAST(SUM({what}) AS DOUBLE)', 2)} AS total FROM events WHERE event_id % 13 IN ({which})" for t, (which, what, who) in FEED_ROWS.items()] + [f"SELECT 'influence', 2 * COUNT(*), COUNT(DISTINCT user_id), {rsql('CAST(2 * SUM(value / 10) AS DOUBLE)', 2)} FROM events WHERE event_id % 13 = 8"]))
+def str1_feed(s, d):
+    """Twelve tables out of one replay; per table its rows, names and a sum."""
+    stored = L.demultiplexer(feed(s, d))
+    parts = []
+    for name, (what, who) in SUMS.items():
+        total = F.lit(None).cast("double") if what in ("event", "conn") else F.sum(what).cast("double")
+        parts.append(L.feed_table(stored, name).agg(F.lit(name).alias("feed"), F.count("*").alias("n"), F.countDistinct(who).alias("names"), rounded(total, 2).alias("total")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..operators import market as M
 from ..operators import temporal as T
-from ..sources.views import bars, flows, instruments, rounded, rsql, sql
+from ..sources.views import bars, flows, fundamentals, instruments, quoted, rounded, rsql, second_closes, sql, tranches
 from pyspark.sql import functions as F
 
 GRID = {
@@ -94,14 +94,16 @@ add("win15_chained_ex_group", win15, sql(
 
 
 def win16(s, d):
-    out = M.back_adjusted(bars(s, d))
+    """One series is brought to the level of an adjusted one that ends earlier; events after that come from two venues."""
+    out = M.back_adjusted(quoted(s, d), second_closes(s, d), instruments(s, d), ("ASIA", "EUROPE"))
     return out.select("symbol", "date", rounded("factor", 6).alias("factor"), rounded("adjusted").alias("adjusted"))
 
 
 add("win16_back_adjustment", win16, sql(
-    f"SELECT symbol, date, {rsql('factor', 6)} AS factor, {rsql('close * factor')} AS adjusted FROM f",
-    e="SELECT symbol, date, close, CASE WHEN volume % 7 = 0 AND LAG(close) OVER w IS NOT NULL THEN 0.95::DOUBLE ELSE 1.0::DOUBLE END AS event FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date)",
-    f="SELECT *, EXP(COALESCE(SUM(LN(event)) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)) AS factor FROM e",
+    f"SELECT symbol, date, {rsql('factor', 6)} AS factor, {rsql('close * factor')} AS adjusted FROM adj",
+    met="SELECT q.symbol, q.date, q.close, ROUND(o.close / q.close, 4) AS ratio, q.ref / LAG(q.close) OVER (PARTITION BY q.symbol ORDER BY q.date) AS step, i.exchange, e.last FROM quoted q LEFT JOIN second_closes o ON o.symbol = q.symbol AND o.date = q.date LEFT JOIN (SELECT symbol, MAX(date) AS last FROM second_closes GROUP BY 1) e ON e.symbol = q.symbol LEFT JOIN instruments i ON i.symbol = q.symbol",
+    ahead="SELECT *, LAST_VALUE(ratio IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING) AS fwd, CASE WHEN (last IS NULL OR date > last) AND exchange IN ('ASIA', 'EUROPE') AND ABS(step - 1) > 0.004 THEN step ELSE 1.0 END AS event FROM met",
+    adj="SELECT *, COALESCE(fwd, FIRST_VALUE(fwd IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0) * EXP(COALESCE(SUM(LN(event)) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)) AS factor FROM ahead",
 ))
 
 
@@ -142,28 +144,35 @@ add("win20_latest_row", win20, sql(f"SELECT symbol, date, {rsql('close')} AS clo
 
 
 def win29(s, d):
-    return M.basket_profit(bars(s, d)).select("lot", "date", rounded("worth").alias("worth"), rounded("peak").alias("peak"))
+    return M.basket_profit(bars(s, d), tranches(s, d)).select("lot", "date", *[rounded(c).alias(c) for c in ("worth", "profit", "peak", "stop")])
 
 
 add("win29_basket_profit", win29, sql(
-    f"SELECT lot, date, {rsql('worth')} AS worth, {rsql('MAX(worth) OVER (PARTITION BY lot ORDER BY date ROWS UNBOUNDED PRECEDING)')} AS peak FROM w",
-    p="SELECT symbol, symbol % 10 AS lot, date, close / FIRST_VALUE(close) OVER (PARTITION BY symbol ORDER BY date) AS rel FROM bars",
-    w="SELECT lot, date, SUM(rel) AS worth FROM p GROUP BY lot, date",
+    f"SELECT lot, date, {rsql('worth')} AS worth, {rsql('profit')} AS profit, {rsql('peak')} AS peak, {rsql('(1 + peak) * (1 - CASE WHEN peak >= 0.2 THEN 0.2 ELSE 0.3 END) - 1')} AS stop FROM pk",
+    cal="SELECT DISTINCT date FROM bars",
+    grid29="SELECT x.symbol, c.date, LAST_VALUE(b.close IGNORE NULLS) OVER (PARTITION BY x.symbol ORDER BY c.date ROWS UNBOUNDED PRECEDING) AS px FROM (SELECT symbol, MIN(date) AS f, MAX(date) AS l FROM bars GROUP BY 1) x JOIN cal c ON c.date BETWEEN x.f AND x.l LEFT JOIN bars b ON b.symbol = x.symbol AND b.date = c.date",
+    entered="SELECT t.*, b.close AS p0 FROM tranches t ASOF JOIN bars b ON t.symbol = b.symbol AND t.entry >= b.date",
+    w29="SELECT lot, date, SUM(invested * px / p0) AS worth, SUM(invested * px / p0) / SUM(invested) - 1 AS profit FROM entered e JOIN grid29 g ON g.symbol = e.symbol AND g.date >= e.entry GROUP BY lot, date",
+    pk="SELECT *, MAX(profit) OVER (PARTITION BY lot ORDER BY date ROWS UNBOUNDED PRECEDING) AS peak FROM w29",
 ))
 
 
+def valued(s, d):
+    return M.valuation(bars(s, d), instruments(s, d), fundamentals(s, d))
+
+
 def agg3(s, d):
-    return M.snapshot(bars(s, d), instruments(s, d)).select("sector", "members", rounded("pe").alias("pe"), rounded("pb").alias("pb"), rounded("forward_pe").alias("forward_pe"), rounded("dividend_yield", 8).alias("dividend_yield"), rounded("roe").alias("roe"), rounded("coverage").alias("coverage"))
+    return M.snapshot(valued(s, d)).select("sector", "members", rounded("pe").alias("pe"), rounded("pb").alias("pb"), rounded("forward_pe").alias("forward_pe"), rounded("dividend_yield", 8).alias("dividend_yield"), rounded("roe").alias("roe"), rounded("coverage").alias("coverage"))
 
 
 VAL = {"lastp": "SELECT symbol, MAX_BY(close, date) AS close FROM bars GROUP BY symbol",
-       "val": "SELECT i.symbol, i.sector, i.exchange, p.close, p.close * i.shares AS cap, CASE WHEN i.symbol % 5 <> 0 THEN i.symbol % 7 * 1e5 END AS dividends, CASE WHEN i.symbol % 4 <> 0 THEN (i.symbol % 17 - 2) * 1e6 END AS expected, CASE WHEN i.symbol % 9 = 0 THEN NULL ELSE (i.symbol % 13 - 3) * 1e6 END AS earnings, CASE WHEN i.symbol % 8 = 0 THEN NULL ELSE (i.symbol % 11 + 1) * 1e7 END AS book FROM instruments i JOIN lastp p USING (symbol)"}
+       "val": "SELECT i.symbol, i.sector, i.exchange, p.close, p.close * i.shares AS cap, f.dividends, f.expected, f.earnings, f.book FROM instruments i JOIN lastp p USING (symbol) LEFT JOIN fundamentals f USING (symbol)"}
 add("agg3_snapshot", agg3, sql(
     f"SELECT sector, COUNT(*) AS members, {rsql('SUM(CASE WHEN earnings IS NOT NULL THEN cap END) / NULLIF(GREATEST(SUM(earnings), 0), 0)')} AS pe, {rsql('SUM(CASE WHEN book IS NOT NULL THEN cap END) / NULLIF(GREATEST(SUM(book), 0), 0)')} AS pb, {rsql('SUM(CASE WHEN expected IS NOT NULL THEN cap END) / NULLIF(GREATEST(SUM(expected), 0), 0)')} AS forward_pe, {rsql('SUM(dividends) / NULLIF(SUM(CASE WHEN dividends IS NOT NULL THEN cap END), 0)', 8)} AS dividend_yield, {rsql('SUM(CASE WHEN book > 0 AND earnings IS NOT NULL THEN earnings / book * cap END) / NULLIF(SUM(CASE WHEN book > 0 AND earnings IS NOT NULL THEN cap END), 0)')} AS roe, {rsql('SUM(CASE WHEN earnings IS NOT NULL THEN cap ELSE 0 END) / SUM(cap)')} AS coverage FROM val GROUP BY sector", **VAL))
 
 
 def agg2(s, d):
-    return M.aggregate_pe(M.valuation(bars(s, d), instruments(s, d))).select("level", "exchange", "sector", "members", rounded("pe").alias("pe"), rounded("pe_ex_loss").alias("pe_ex_loss"), rounded("pb").alias("pb"))
+    return M.aggregate_pe(valued(s, d)).select("level", "exchange", "sector", "members", rounded("pe").alias("pe"), rounded("pe_ex_loss").alias("pe_ex_loss"), rounded("pb").alias("pb"))
 
 
 add("agg2_aggregate_pe", agg2, sql(
@@ -171,7 +180,7 @@ add("agg2_aggregate_pe", agg2, sql(
 
 
 def agg4(s, d):
-    return M.ratio_pivot(M.ratios_long(M.valuation(bars(s, d), instruments(s, d)))).select("symbol", *[rounded(c).alias(c) for c in ("cap", "close", "pe", "pb", "ln_ttm", "gtss", "roe", "earnings_yield", "eps_index")])
+    return M.ratio_pivot(M.ratios_long(valued(s, d))).select("symbol", *[rounded(c).alias(c) for c in ("cap", "close", "pe", "pb", "ln_ttm", "gtss", "roe", "earnings_yield", "eps_index")])
 
 
 add("agg4_ratio_pivot", agg4, sql(

@@ -123,6 +123,60 @@ def agg38(s, d):
     return O.lanes(stops_legs(s, d)[1])
 
 
+#: Ports 0 to 8 lie in three regions, the others in none.
+REGION = "CASE WHEN {p} < 9 THEN CAST({p} AS INT) // 3 END"
+
+
+def _see(side: str, k: int) -> str:
+    see = f"{'LAG' if side == 'origin' else 'LEAD'}({{c}}, {k}) OVER w"
+    rest = _see(side, k + 1) if k < 3 else "FALSE"
+    p, i, g, t = (see.format(c=c) for c in ("port", "inferred", "region", "t"))
+    return f"CASE WHEN {t} IS NULL THEN FALSE WHEN {p} = home THEN FALSE WHEN NOT {i} AND {g} = region THEN ABS(FLOOR((EPOCH(DATE_TRUNC('second', {t})) - EPOCH(DATE_TRUNC('second', t))) / 86400)) <= 10 ELSE {rest} END"
+
+
+ORDER = "t, rank, COALESCE(port, -1), COALESCE(home, -1)"
+ITINERARY = {
+    **CALLS,
+    "fin": "SELECT ship_key, arrival, departure, origin, destination, first_berth AS home FROM b",
+    "raw": "SELECT ship_key, arrival - INTERVAL 1 MINUTE AS t, origin AS port, 1 AS rank, NULL::TIMESTAMP AS arrive, NULL::TIMESTAMP AS depart, home FROM fin WHERE origin IS NOT NULL AND arrival IS NOT NULL UNION ALL SELECT ship_key, COALESCE(arrival, departure), home, 2, arrival, departure, home FROM fin WHERE COALESCE(arrival, departure) IS NOT NULL UNION ALL SELECT ship_key, departure + INTERVAL 1 MINUTE, destination, 3, NULL, NULL, home FROM fin WHERE destination IS NOT NULL AND departure IS NOT NULL",
+    "reg": f"SELECT *, rank <> 2 AS inferred, {REGION.format(p='port')} AS region FROM raw",
+    "looked": f"SELECT *, inferred AND region IS NOT NULL AND CASE WHEN rank = 3 THEN {_see('to', 1)} ELSE {_see('origin', 1)} END AS gone FROM reg WINDOW w AS (PARTITION BY ship_key ORDER BY {ORDER})",
+    "stay": "SELECT * FROM looked WHERE NOT COALESCE(gone, FALSE)",
+    "turns": f"SELECT *, CASE WHEN LAG(port) OVER w = port THEN 0 ELSE 1 END AS fresh FROM stay WINDOW w AS (PARTITION BY ship_key ORDER BY {ORDER})",
+    "runs": f"SELECT *, SUM(fresh) OVER (PARTITION BY ship_key ORDER BY {ORDER} ROWS UNBOUNDED PRECEDING) AS run FROM turns",
+    "lasts": f"SELECT *, LAST_VALUE(CASE WHEN NOT inferred THEN COALESCE(depart, arrive, t) END IGNORE NULLS) OVER (PARTITION BY ship_key, run ORDER BY {ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS left_at FROM runs",
+    "gapped": "SELECT *, NOT inferred AND left_at IS NOT NULL AND EPOCH(DATE_TRUNC('second', COALESCE(arrive, depart, t))) - EPOCH(DATE_TRUNC('second', left_at)) > 172800 AS gap FROM lasts",
+    "numbered": f"SELECT *, CAST(SUM(CASE WHEN gap THEN 2 ELSE fresh END) OVER (PARTITION BY ship_key ORDER BY {ORDER} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS idx FROM gapped",
+    "itin": "SELECT ship_key, idx, ANY_VALUE(port) AS port, COALESCE(MIN(t) FILTER (WHERE NOT inferred), MIN(t)) AS start, MIN(arrive) AS arrive, MAX(depart) AS depart, BOOL_AND(inferred) AS inferred, COUNT(*) AS \"rows\" FROM numbered GROUP BY ALL UNION ALL SELECT ship_key, idx - 1, NULL, left_at + INTERVAL 1 MINUTE, NULL, NULL, TRUE, 0 FROM numbered WHERE gap",
+    "ilegs": "SELECT a.ship_key, a.idx, a.port AS from_place, b.port AS to_place, COALESCE(a.depart, a.arrive, a.start) AS left_at, COALESCE(b.arrive, b.start) AS reached_at FROM itin a JOIN itin b ON a.ship_key = b.ship_key AND b.idx = a.idx + 1",
+}
+
+
+def itinerary(s, d):
+    region = F.when(F.col("port") < 9, F.floor(F.col("port") / 3))
+    return O.itinerary(O.calls_from_events(port_events(s, d)), region)
+
+
+def ntz(df, *columns):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+@add("win24_itinerary", sql("SELECT * FROM itin", **ITINERARY))
+def win24_itinerary(s, d):
+    return ntz(itinerary(s, d), "start", "arrive", "depart")
+
+
+@add("win24_itinerary_legs", sql(f"SELECT ship_key, idx, from_place, to_place, left_at, reached_at, {rsql('(EPOCH(DATE_TRUNC(' + chr(39) + 'second' + chr(39) + ', reached_at)) - EPOCH(DATE_TRUNC(' + chr(39) + 'second' + chr(39) + ', left_at))) / 86400')} AS days FROM ilegs", **ITINERARY))
+def win24_itinerary_legs(s, d):
+    return ntz(O.itinerary_legs(itinerary(s, d)).withColumn("days", rounded("days")), "left_at", "reached_at")
+
+
+@add("agg38_operator_lanes", sql(f"SELECT CAST(LAST_DAY(CAST(left_at AS DATE)) AS DATE) AS month, from_place, to_place, operator, COUNT(*) AS legs, COUNT(DISTINCT ship_key) AS ships, {rsql('SUM(capacity)')} AS capacity FROM ilegs JOIN (SELECT ship_key, CAST(ship_key % 5 AS VARCHAR) AS operator, MAX(dwt) AS capacity FROM port_events GROUP BY ALL) USING (ship_key) WHERE from_place IS NOT NULL AND to_place IS NOT NULL GROUP BY ALL", **ITINERARY))
+def agg38_operators(s, d):
+    ships = port_events(s, d).groupBy("ship_key", (F.col("ship_key") % 5).cast("string").alias("operator")).agg(F.max("dwt").alias("capacity"))
+    return O.operator_lanes(O.itinerary_legs(itinerary(s, d)), ships).withColumn("capacity", rounded("capacity"))
+
+
 @add("win25_typical_route", sql("WITH_ROUTE", **STOPS))
 def win25(s, d):
     return O.typical_route(stops_legs(s, d)[1], 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,36 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(F.col("s_suppkey").alias("symbol"), F.col("r_name").alias("exchange"), F.col("n_name").alias("sector"), (1000.0 * (F.col("s_suppkey") + 1)).alias("shares"))
 
 
+def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """symbol, earnings, book, dividends, expected: some missing, some losses."""
+    s = F.col("s_suppkey")
+    earnings, book = F.when(s % 9 != 0, (s % 13 - 3) * F.lit(1e6)), F.when(s % 8 != 0, (s % 11 + 1) * F.lit(1e7))
+    return table(spark, sf_dir, "supplier").select(s.alias("symbol"), earnings.alias("earnings"), book.alias("book"), F.when(s % 5 != 0, (s % 7) * F.lit(1e5)).alias("dividends"), F.when(s % 4 != 0, (s % 17 - 2) * F.lit(1e6)).alias("expected"))
+
+
+def quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """symbol, date, close, ref: bars with a reference price where a day has more than two trades: the close before, moved as the plain mean stands to the close."""
+    daily = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("symbol"), F.col("l_shipdate").cast("date").alias("date"))
+    summed = daily.agg(F.sum("l_extendedprice").alias("value"), F.sum("l_quantity").alias("volume"), F.count("*").alias("n"), F.avg(F.col("l_extendedprice") / F.col("l_quantity")).alias("mean"))
+    closed = summed.withColumn("close", F.col("value") / F.col("volume"))
+    before = F.lag("close").over(Window.partitionBy("symbol").orderBy("date"))
+    return closed.select("symbol", "date", "close", F.when(F.col("n") > 2, before * F.col("mean") / F.col("close")).alias("ref"))
+
+
+def second_closes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """symbol, date, close of a second, adjusted source: four symbols in five, up to the end of 1999, halved before 1998, without Januaries."""
+    b, day = bars(spark, sf_dir), F.col("date")
+    kept = b.where((F.col("symbol") % 5 != 0) & (day <= F.lit("1999-12-31").cast("date")) & (F.month(day) != 1))
+    return kept.select("symbol", "date", F.when(F.year(day) < 1998, F.col("close") / 2).otherwise(F.col("close")).alias("close"))
+
+
+def tranches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lot, symbol, entry, invested: ten lots, each member bought in three steps of half a year."""
+    s, k = F.col("s_suppkey"), F.col("k")
+    steps = table(spark, sf_dir, "supplier").select(s, F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"))
+    return steps.select((s % 10).alias("lot"), s.alias("symbol"), F.add_months(F.lit("1995-06-30").cast("date"), 6 * k).alias("entry"), ((k + 1) * 100.0).alias("invested"))
+
+
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """code, date, buy_val, sell_val, total_value."""
     price, flag = F.col("l_extendedprice"), F.col("l_returnflag")
@@ -82,6 +112,10 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = {
     "bars": "SELECT l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, SUM(l_extendedprice) / SUM(l_quantity) AS close, SUM(l_quantity) AS volume, SUM(l_extendedprice) AS value FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)",
     "instruments": "SELECT s.s_suppkey AS symbol, r.r_name AS exchange, n.n_name AS sector, 1000.0::DOUBLE * (s.s_suppkey + 1) AS shares FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey",
+    "fundamentals": "SELECT s_suppkey AS symbol, CASE WHEN s_suppkey % 9 <> 0 THEN (s_suppkey % 13 - 3) * 1e6 END AS earnings, CASE WHEN s_suppkey % 8 <> 0 THEN (s_suppkey % 11 + 1) * 1e7 END AS book, CASE WHEN s_suppkey % 5 <> 0 THEN s_suppkey % 7 * 1e5 END AS dividends, CASE WHEN s_suppkey % 4 <> 0 THEN (s_suppkey % 17 - 2) * 1e6 END AS expected FROM supplier",
+    "quoted": "SELECT l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, SUM(l_extendedprice) / SUM(l_quantity) AS close, CASE WHEN COUNT(*) > 2 THEN LAG(SUM(l_extendedprice) / SUM(l_quantity)) OVER (PARTITION BY l_suppkey ORDER BY CAST(l_shipdate AS DATE)) * AVG(l_extendedprice / l_quantity) / (SUM(l_extendedprice) / SUM(l_quantity)) END AS ref FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)",
+    "second_closes": "SELECT symbol, date, CASE WHEN YEAR(date) < 1998 THEN close / 2 ELSE close END AS close FROM (SELECT l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, SUM(l_extendedprice) / SUM(l_quantity) AS close FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)) WHERE symbol % 5 <> 0 AND date <= DATE '1999-12-31' AND MONTH(date) <> 1",
+    "tranches": "SELECT s_suppkey % 10 AS lot, s_suppkey AS symbol, CAST(DATE '1995-06-30' + TO_MONTHS(CAST(6 * k AS INT)) AS DATE) AS entry, (k + 1) * 100.0::DOUBLE AS invested FROM supplier, RANGE(3) g(k)",
     "flows": "SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS date, SUM(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0 END) AS buy_val, SUM(CASE WHEN l_returnflag = 'A' THEN l_extendedprice ELSE 0 END) AS sell_val, SUM(l_extendedprice) AS total_value FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)",
     "facts": "SELECT c_nationkey AS ticker, o_orderpriority AS item, CAST(YEAR(o_orderdate) AS INT) AS year, CAST(QUARTER(o_orderdate) AS INT) AS quarter, CAST(YEAR(o_orderdate) * 4 + QUARTER(o_orderdate) - 1 AS INT) AS t, SUM(o_totalprice) AS value FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL",
     "fx": "SELECT o_orderstatus AS currency, CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS date, AVG(o_totalprice) / 1000 AS rate FROM orders GROUP BY ALL",

@@ -8,9 +8,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.ports import CALL_COLUMNS, CALL_SCHEMA, MOST_DAYS, SECTIONS, Pairing
 from ..sources.files import shared_path
@@ -100,37 +100,192 @@ def once(events: DataFrame, key: str, seen: DataFrame | None = None, late: str =
     return fresh.withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
 
 
-def streaming_calls(events: DataFrame) -> DataFrame:
-    """Port calls of a stream of events: the batch job's rule as a state machine, with an event-time timer for open calls.
+#: The feed's message types and fields. Table, type codes, then `column type field`; a lot is ten shares.
+FEED = {
+    "market_index": ("mi", "index_name string indexName, value double valueIndexes, prior double priorValueIndexes, high double highestValueIndexes, low double lowestValueIndexes, change double changedValue, change_pct double changedRatio, advances int fluctuationUpIssueCount, declines int fluctuationDownIssueCount, unchanged int fluctuationSteadinessIssueCount, ceiling int fluctuationUpperLimitIssueCount, floor int fluctuationLowerLimitIssueCount, up_vol long fluctuationUpIssueVolume, down_vol long fluctuationDownIssueVolume, flat_vol long fluctuationSteadinessIssueVolume, matched_val double contauctAccTrdVal, matched_vol long contauctAccTrdVol, block_val double blkTrdAccTrdVal, block_vol long blkTrdAccTrdVol, total_val double grossTradeAmount, total_vol long totalVolumeTraded, session_id string tradingSessionId, time string transactTime"),
+    "estimated_index": ("emi", "index_name string indexName, value double valueIndexes, change double changedValue, change_pct double changedRatio, advances int fluctuationUpIssueCount, declines int fluctuationDownIssueCount, unchanged int fluctuationSteadinessIssueCount, total_val double grossTradeAmount, total_vol long totalVolumeTraded, time string time"),
+    "ticks": ("t te", "symbol string symbol, board string boardId, price double matchPrice, qty lots matchQtty, side string side, avg_price double avgPrice, total_vol lots totalVolumeTraded, total_val double grossTradeAmount, high double highestPrice, low double lowestPrice, open double openPrice, session_id string tradingSessionId, time string time"),
+    "quotes": ("q", "symbol string symbol, board string boardId, bid1 double bid.0.price, bid1_qty lots bid.0.qtty, bid2 double bid.1.price, bid2_qty lots bid.1.qtty, bid3 double bid.2.price, bid3_qty lots bid.2.qtty, ask1 double offer.0.price, ask1_qty lots offer.0.qtty, ask2 double offer.1.price, ask2_qty lots offer.1.qtty, ask3 double offer.2.price, ask3_qty lots offer.2.qtty, total_bid lots totalBidQtty, total_ask lots totalOfferQtty, time string time"),
+    "bars_1m": ("b bc", "symbol string symbol, t seconds time, open double open, high double high, low double low, close double close, volume long volume, last_updated long lastUpdated"),
+    "foreign_flow": ("f", "symbol string symbol, board string boardId, buy_vol long buyVolume, buy_val double buyTradedAmount, sell_vol long sellVolume, sell_val double sellTradedAmount, total_buy_vol long totalBuyVolume, total_buy_val double totalBuyTradedAmount, total_sell_vol long totalSellVolume, total_sell_val double totalSellTradedAmount, room_limit long foreignerOrderLimitQuantity, room_left long foreignerBuyPossibleQuantity, time string transactTime"),
+    "influence": ("ii", "index_name string indexName, symbol string Data.symbol, influence double Data.influence, influence_pct double Data.influenceRatio, proportion double Data.proportion, change_pct double Data.changeRatio, change double Data.changeValue, price double Data.price, total_val double Data.grossTradeAmount, total_vol double Data.totalVolumeTraded, time string Data.time"),
+    "expected": ("e", "symbol string symbol, board string boardId, close_price double closePrice, exp_price double expectedTradePrice, exp_qty long expectedTradeQuantity, time string time"),
+    "secdef": ("sd", "symbol string symbol, board string boardId, market string marketId, ref double basicPrice, ceiling double ceilingPrice, floor double floorPrice, status string securityStatus, time string time"),
+    "sessions": ("s", "market string marketId, board string boardId, event string eventId, session_id string tradingSessionId, prod_grp string tscProdGrpId, time string time"),
+}
+FUTURES = "VN30F"
+#: Rows of these tables replace older ones of their keys.
+FEED_KEYS = {"bars_1m": ["symbol", "t"], "influence": ["index_name", "symbol"], "secdef": ["symbol", "board"]}
+
+
+def whole_number(text: Column) -> Column:
+    """A number's whole part as a long; unsigned numbers of 64 bits that wrapped around are turned back, others beyond 64 bits are null."""
+    exact = text.try_cast("decimal(38,4)")
+    whole = F.when(exact >= 0, F.floor(exact)).otherwise(F.ceil(exact)).cast("decimal(38,0)")
+    top = F.lit(9223372036854775807).cast("decimal(38,0)")
+    turned = F.when(whole > top, whole - F.lit("18446744073709551616").cast("decimal(38,0)")).otherwise(whole)
+    return turned.try_cast("long")
+
+
+def typed(row: Column, symbol: Column, kind: str, field: str) -> Column:
+    """One field of a message, whose values are all text, in its type."""
+    text = row
+    for part in field.split("."):
+        text = F.get(text, int(part)) if part.isdigit() else text[part]
+    if kind in ("long", "int"):
+        number = whole_number(text)
+        return number if kind == "long" else number.try_cast("int")
+    if kind == "lots":
+        return F.when(symbol.startswith(FUTURES), whole_number(text)).otherwise(F.try_multiply(whole_number(text), F.lit(10)))
+    if kind == "seconds":
+        number = whole_number(text)
+        return F.when(number > 10**12, F.floor(number / 1000)).otherwise(number)
+    return text.try_cast(kind)
+
+
+def message_schema(fields: str) -> str:
+    """The schema of a message with all values as text."""
+    plain, nested, listed = [], [], []
+    for name in dict.fromkeys(f.split()[2] for f in fields.split(", ")):
+        first, _, rest = name.partition(".")
+        if not rest:
+            plain.append(first)
+        elif rest[0].isdigit():
+            listed.append(first)
+        else:
+            nested.append(rest)
+    each = [f"`{n}` string" for n in plain] + [f"`{n}` array<struct<price:string,qtty:string>>" for n in dict.fromkeys(listed)]
+    return ", ".join(each + ([f"Data array<struct<{','.join(f'{n}:string' for n in nested)}>>"] if nested else []))
+
+
+def parsed(messages: DataFrame) -> DataFrame:
+    """`ts_recv, conn, msg, table` and one struct per table, null in rows of other tables; what has no known type is an event of the connection."""
+    code = F.get_json_object("msg", "$.T")
+    table = F.lit("events")
+    out = messages
+    for name, (codes, fields) in FEED.items():
+        mine = code.isin(*codes.split())
+        table = F.when(mine, name).otherwise(table)
+        # Other rows are parsed as null, so each message is read by one schema only.
+        out = out.withColumn(name, F.from_json(F.when(mine, F.col("msg")), message_schema(fields)))
+    return out.withColumns({"table": table, "code": code})
+
+
+def feed_table(stored: DataFrame, name: str) -> DataFrame:
+    """A table of what `demultiplexer` wrote, typed, with the time of receipt; only its own columns are read."""
+    rows = stored.where(F.col("table") == name)
+    if name in ("raw_log", "events"):
+        return (stored if name == "raw_log" else rows).select("ts_recv", "conn", "msg")
+    specs = [f.split() for f in FEED[name][1].split(", ")]
+    if any(field.startswith("Data.") for _, _, field in specs):
+        rows = rows.select("ts_recv", name, F.explode(f"{name}.Data").alias("_item"))
+    symbol = F.col(f"{name}.symbol") if any(c == "symbol" and not f.startswith("Data.") for c, _, f in specs) else F.lit(None).cast("string")
+    columns = [typed(F.col("_item"), symbol, kind, field[5:]).alias(c) if field.startswith("Data.") else typed(F.col(name), symbol, kind, field).alias(c) for c, kind, field in specs]
+    extra = [F.timestamp_seconds("t").alias("time"), (F.col("code") == "bc").alias("closed")] if name == "bars_1m" else []
+    return rows.select("ts_recv", *(["code"] if extra else []), *columns).select("ts_recv", *[c for c, *_ in specs], *extra)
+
+
+def demultiplexer(messages: DataFrame) -> DataFrame:
+    """A stream of messages (ts_recv, conn, msg) split into the tables of the feed in one pass.
+
+    Each micro-batch is parsed and written once, by table and batch number, so a batch that is run again replaces itself;
+    `feed_table` reads one table out of it. Wrong numbers become null, never an error.
+    """
+    spark = messages.sparkSession
+    path, progress = shared_path(spark, "feed"), shared_path(spark, "progress")
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "table").parquet(path)
+
+    query = parsed(messages).writeStream.trigger(availableNow=True).option("checkpointLocation", progress).foreachBatch(put).start()
+    query.awaitTermination()
+    return spark.read.parquet(path)
+
+
+#: Days without an event after which a call that only shifts told of is given up: what bounds the state of such a ship.
+IDLE_DAYS = 400
+EVENT = "ts timestamp, section string, event_id long, place_from int, place_to int"
+
 
-    Within a micro-batch a ship's events are taken in time order; calls still open at the end stay in the state.
+class CallProcessor(StatefulProcessor):
+    """Port calls of one ship: events wait in a list until the watermark has passed them, and are then taken in order.
+
+    So neither the order in which events come nor repeats within the watermark's delay matter; later ones are dropped as
+    late. The open call is one value; a timer closes it when no event can belong to it any more.
     """
 
-    def pair(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        stored = dict(zip(Pairing.FIELDS, state.get)) if state.exists else None
-        if stored:
-            stored["arrival"] = None if stored["arrival"] is None else pd.Timestamp(stored["arrival"])
-            stored["berths"] = [int(b) for b in stored["berths"].split("|")]
-        ship = Pairing(int(key[0]), stored)
-        out = []
-        if state.hasTimedOut:
-            out.append(ship.close())
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", EVENT)
+        self.call = handle.getValueState("call", "arrival timestamp, origin int, berths string, shifts int, revisions int, last timestamp")
+
+    def _read(self, ship: int) -> tuple[Pairing, pd.Timestamp | None]:
+        if not self.call.exists():
+            return Pairing(ship), None
+        arrival, origin, berths, shifts, revisions, last = self.call.get()
+        stored = {"arrival": None if arrival is None else pd.Timestamp(arrival), "origin": origin, "berths": [int(b) for b in berths.split("|")], "shifts": shifts, "revisions": revisions}
+        return Pairing(ship, stored), pd.Timestamp(last)
+
+    def _release(self, ship: int, watermark_ms: int) -> Iterator[pd.DataFrame]:
+        """Take what the watermark has passed, in order, and close a call that it has outlived."""
+        watermark = pd.Timestamp(watermark_ms, unit="ms")
+        waiting = sorted((pd.Timestamp(ts), SECTIONS.index(section), event_id, section, a, b) for ts, section, event_id, a, b in self.waiting.get())
+        due = [w for w in waiting if w[0] <= watermark]
+        pairing, last = self._read(ship)
+        out, taken = [], set()
+        for ts, _, _, section, a, b in due:
+            if (ts, section, a, b) not in taken:
+                taken.add((ts, section, a, b))
+                out += pairing.take(ts, section, a, b)
+                last = ts
+        if pairing.open:
+            arrival = pairing.open["arrival"]
+            ends = last + pd.Timedelta(days=IDLE_DAYS) if arrival is None else arrival + pd.Timedelta(days=MOST_DAYS + 1)
+            if ends <= watermark:
+                out.append(pairing.close(last=True))
+        if due:
+            rest = [(ts.to_pydatetime(), section, event_id, a, b) for ts, _, event_id, section, a, b in waiting[len(due) :]]
+            self.waiting.put(rest) if rest else self.waiting.clear()
+        timers = [waiting[len(due)][0]] if len(due) < len(waiting) else []
+        if now := pairing.open:
+            self.call.update((None if now["arrival"] is None else now["arrival"].to_pydatetime(), now["origin"], "|".join(map(str, now["berths"])), now["shifts"], now["revisions"], last.to_pydatetime()))
+            timers.append(ends)
         else:
-            rows = pd.concat(list(batches))
-            rows = rows.assign(rank=rows["section"].map(SECTIONS.index)).sort_values(["ts", "rank", "event_id"]).drop_duplicates(["ts", "section", "place_from", "place_to"])
-            for ts, section, place_from, place_to in rows[["ts", "section", "place_from", "place_to"]].itertuples(index=False):
-                out += ship.take(ts, section, int(place_from), int(place_to))
-        if now := ship.open:
-            arrival = None if now["arrival"] is None else now["arrival"].to_pydatetime()
-            state.update((arrival, now["origin"], "|".join(map(str, now["berths"])), now["shifts"], now["revisions"]))
-            if arrival is not None:
-                due = int((now["arrival"] + pd.Timedelta(days=MOST_DAYS + 1)).timestamp() * 1000)
-                state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
+            self.call.clear()
+        for at in timers:
+            self.handle.registerTimer(max(int(at.timestamp() * 1000) + 1, watermark_ms + 1))
         made = pd.DataFrame(out, columns=list(CALL_COLUMNS))
-        yield made.astype({c: "Int64" for c in ("origin", "destination")})
+        yield made.astype({c: "Int32" for c in ("origin", "first_berth", "last_berth", "n_shifts", "destination", "n_revisions")} | {c: "datetime64[us]" for c in ("arrival", "departure")} | {"ship_key": "int64", "hours_in_port": "float64"})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        came = pd.concat(list(rows))
+        self.waiting.appendList([(ts.to_pydatetime(), section, int(e), int(a), int(b)) for ts, section, e, a, b in came[["ts", "section", "event_id", "place_from", "place_to"]].itertuples(index=False)])
+        first = int(came["ts"].min().timestamp() * 1000) + 1
+        self.handle.registerTimer(max(first, timerValues.getCurrentWatermarkInMs() + 1))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._release(int(key[0]), timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
 
+def streaming_calls(events: DataFrame, late: str = "3 days") -> DataFrame:
+    """Port calls of a stream of events: the batch job's calls, whatever the order of events and repeats within `late`."""
     used = events.where(F.col("section").isin(*SECTIONS)).select("event_id", "ship_key", F.col("ts").cast("timestamp").alias("ts"), "section", "place_from", "place_to")
-    state_type = "arrival timestamp, origin int, berths string, shifts int, revisions int"
-    return used.withWatermark("ts", "3 days").groupBy("ship_key").applyInPandasWithState(pair, CALL_SCHEMA, state_type, "append", GroupStateTimeout.EventTimeTimeout)
+    return used.withWatermark("ts", late).groupBy("ship_key").transformWithStateInPandas(CallProcessor(), CALL_SCHEMA, "Append", "EventTime")
+
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def replayed_calls(events: DataFrame, late: str = "3 days") -> DataFrame:
+    """`streaming_calls` run over what is there; list states and timers need the store on disk."""
+    spark = events.sparkSession
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    try:
+        return replay(streaming_calls(events, late), "append")
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
