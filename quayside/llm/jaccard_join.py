@@ -78,7 +78,7 @@ def shingles(text: bytes, width: int, known: WordHashes) -> np.ndarray:
 
 class Nodes(NamedTuple):
     """How shingle sets are named: `bits` of the first half of a 128-bit hash (fewer than 64 only to test), or the second
-    half where the first is one of `shared`, which unlike sets have in common."""
+    half where the first is one of `shared`, which unlike sets have in common, as first halves or as what others took."""
 
     bits: int = 64
     shared: frozenset[int] = frozenset()
@@ -106,28 +106,32 @@ def rows_with_nodes(rows: DataFrame, width: int, names: Nodes) -> DataFrame:
     return rows.mapInArrow(sized, StructType([rows.schema["doc_id"]]).add("n_shingles", "long").add("node", "long").add("second", "long"))
 
 
+#: Shared halves that are told to the tasks; more than this of 64 bits would mean a broken hash.
+MOST_SHARED = 10_000_000
+
+
 def named(rows: DataFrame, width: int, bits: int) -> tuple[DataFrame, DataFrame, Nodes]:
     """`doc_id, n_shingles, node` per row, `node, n, first_id` per node, and their naming.
 
     Of d unlike sets about d * d / 2**65 pairs share a first half (three at 10**10 sets, 27,000 at 10**12): these halves,
-    and nothing else, pass through the driver.
+    and nothing else, pass through the driver. A set that took its second half may meet another's first one; so names are
+    looked at until none is shared.
     """
-
-    def per_node(nodes: DataFrame) -> DataFrame:
-        halves = (F.min("second").alias("low"), F.max("second").alias("high"))
-        return nodes.where("node IS NOT NULL").groupBy("node").agg(F.max("n_shingles").alias("n"), F.min("doc_id").alias("first_id"), *halves)
-
     names = Nodes(bits)
-    nodes = durable(rows_with_nodes(rows, width, names))
-    sized = durable(per_node(nodes))
-    shared = sized.where("low != high").select("node")
-    found = frozenset(row[0] for row in shared.collect())
-    if found:
-        names = names._replace(shared=found)
-        marked = nodes.join(shared.withColumn("_shared", F.lit(True)), "node", "left")
-        nodes = durable(marked.select("doc_id", "n_shingles", F.when(F.col("_shared"), F.col("second")).otherwise(F.col("node")).alias("node"), "second"))
-        sized = durable(per_node(nodes))
-    return nodes.drop("second"), sized.drop("low", "high"), names
+    halves = durable(rows_with_nodes(rows, width, names))
+    nodes = halves
+    while True:
+        per_node = nodes.where("node IS NOT NULL").groupBy("node").agg(F.max("n_shingles").alias("n"), F.min("doc_id").alias("first_id"), F.min("second").alias("low"), F.max("second").alias("high"))
+        sized = durable(per_node)
+        shared = [row[0] for row in sized.where("low != high").select("node").limit(MOST_SHARED + 1).collect()]
+        if not shared:
+            return nodes.drop("second"), sized.drop("low", "high"), names
+        if len(shared) > MOST_SHARED:
+            raise RuntimeError("too many unlike sets share half of a 128-bit hash")
+        names = names._replace(shared=names.shared | frozenset(shared))
+        marked = rows.sparkSession.createDataFrame([(h,) for h in names.shared], "node long").withColumn("_shared", F.lit(True))
+        taken = halves.join(marked, "node", "left")
+        nodes = durable(taken.select("doc_id", "n_shingles", F.when(F.col("_shared"), F.col("second")).otherwise(F.col("node")).alias("node"), "second"))
 
 
 def first_matches(n: int) -> int:
@@ -287,14 +291,15 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     Rows are told apart by id and text, so a row goes by its own text only; those equal in both are aggregated to one.
     Rows without shingles are copies of nothing and stay.
     """
-    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
-    keyed = docs.select(key.alias("_key"), *[docs[c] for c in docs.columns])
-    groups = jaccard_components(keyed, id_col="_key", text_col=text_col, **options).where("n_shingles > 0")
+    key = F.struct(docs[id_col].isNull().alias("none"), docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("hash"))
+    # The caller's columns go in one, so that none can clash with those of this function.
+    keyed = docs.select(key.alias("_key"), docs[text_col].alias("_text"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    groups = jaccard_components(keyed, id_col="_key", text_col="_text", **options).where("n_shingles > 0")
     fates = groups.groupBy(F.col("doc_id").alias("_key")).agg(F.bool_or(F.col("component_id") != F.col("doc_id")).alias("_copy"), F.count("*").alias("_times"))
     fates = durable(fates.where("_copy OR _times > 1"))
-    kept = keyed.join(fates, "_key", "left_anti").select(*docs.columns)
+    kept = keyed.join(fates, "_key", "left_anti").select("_row.*")
     repeated = fates.where("NOT _copy").select("_key")
     if repeated.isEmpty():
         return kept
-    once = keyed.join(repeated, "_key", "left_semi").groupBy("_key").agg(F.first(F.struct(*docs.columns)).alias("row"))
-    return kept.unionByName(once.select("row.*"))
+    once = keyed.join(repeated, "_key", "left_semi").groupBy("_key").agg(F.first("_row").alias("_row"))
+    return kept.unionByName(once.select("_row.*"))

@@ -247,8 +247,8 @@ class Plan:
         return sum(times for _, times in self.rows)
 
 
-def planned(histogram: dict[int, int], capacity: int, *, rounds: int = 200, rate: float = 0.1, most_solves: int = 2, tolerance: float = 0.002) -> Plan:
-    """The plan of a histogram of lengths. It is solved again for what rounding left until that is below `tolerance` of all sequences, at most `most_solves` times."""
+def planned(histogram: dict[int, int], capacity: int, *, rounds: int = 200, rate: float = 0.1, tolerance: float = 0.002) -> Plan:
+    """The plan of a histogram of lengths. It is solved again for what rounding left until that is below `tolerance` of all sequences or a plan rounds to nothing."""
     lengths = np.array(sorted(histogram), np.int64)
     demand = np.array([histogram[int(n)] for n in lengths], np.int64)
     out: list[tuple[dict[int, int], int]] = []
@@ -257,11 +257,11 @@ def planned(histogram: dict[int, int], capacity: int, *, rounds: int = 200, rate
         full = int(demand[-1])
         out.append(({len(lengths) - 1: 1}, full))
         demand[-1] = 0
-    for solve in range(most_solves):
+    while True:
         live = np.flatnonzero(demand)
         if live.size < 2:
             break
-        if solve and (demand * lengths).sum() < tolerance * capacity * (full + bound):
+        if bound and (demand * lengths).sum() < tolerance * capacity * (full + bound):
             break
         rounded = 0
         uses, least = fractional_plan(lengths[live], demand[live], capacity, rounds, rate)

@@ -109,28 +109,49 @@ def oracle_sql() -> dict[str, str]:
 
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a known language; learns from the documents given."""
+    """Drops texts without a known language; learns from the documents given.
+
+    Null, empty and letterless texts go. Each row is judged by its own text, whatever its id; repeated rows share their
+    fate; very long texts are read whole; an empty table stays empty; columns of any name pass through.
+    """
     return language_id.known_language_only(docs, language_id.model_of(docs))
 
 
 def stage_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of near copies: five-word shingles, similarity 0.8."""
+    """Keeps the smallest id of each group of near copies: five-word shingles, similarity 0.8.
+
+    Null, empty and blank texts are copies of nothing and stay. Of repeated rows one stays, of a group one row of its
+    smallest id, a null id only if there is no other. Very long texts are compared whole; an empty table stays empty; columns
+    of any name pass through.
+    """
     return jaccard_join.one_of_each(docs, width=5, percent=80)
 
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which a window of a benchmark item occurs."""
+    """Drops documents in which a window of a benchmark item occurs.
+
+    Null and empty texts stay, as does everything if the benchmark is empty. Each row is judged by its own text; repeated
+    rows share their fate; very long texts are read whole; an empty table stays empty; columns of any name pass through.
+    """
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def stage_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks secrets in the texts; the number of characters follows."""
+    """Masks secrets in the texts; the number of characters follows.
+
+    No row goes. Null texts stay null and keep their number; empty ones stay empty. Repeated rows get equal texts; very long
+    texts are masked throughout; an empty table stays empty; other columns pass through.
+    """
     masked = secret_scan.redacted(docs)
     return masked.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))).select(*docs.columns)
 
 
 def stage_pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of 2048 tokens."""
+    """Packs what is left into sequences of 2048 tokens.
+
+    Null texts count as empty, and an empty text is its end mark alone. Repeated rows are packed again; very long texts are
+    cut into pieces of 2048 tokens; ties of length go by a hash; an empty table gives an empty one; further columns don't count.
+    """
     return packing.pack(packing.token_pieces(docs, tokenizer_path("byte_bpe_50k.json")))
 
 
@@ -138,10 +159,12 @@ def run_stages(stages, spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Each stage's rows are written to the shared folder and read as the next one's documents."""
     import uuid
 
-    from .common import shared_dir
+    from .common import remove, shared_dir
 
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(stages):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:  # what the stage before wrote is read by no one any more
+            remove(spark, f"{folder}/{k - 1}")
     return docs
