@@ -1,38 +1,105 @@
 """News-text operators: dictionary tagging, duplicates, phrase mining, digests, clusters of port sets.
 
-Dictionaries are small rule tables: their phrases meet n-grams of the texts in plain equi-joins, which adaptive
-execution broadcasts if the measured size allows it.
+Dictionaries are rule tables of a stated largest size; all their phrases are looked for at once by one automaton per
+worker, over Arrow batches, so texts are read once and only results are shuffled.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
+from collections.abc import Callable, Iterator
+from itertools import islice
+
+import ahocorasick
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import key, similarity
 
+#: Rules that an automaton takes; it is held by every worker.
+MOST_RULES = 1_000_000
+
+
+def rules_of(table: DataFrame, *columns: str) -> list[tuple]:
+    """The rows of a rule table, of at most `MOST_RULES`."""
+    rows = [tuple(r) for r in table.select(*columns).limit(MOST_RULES + 1).collect()]
+    if len(rows) > MOST_RULES:
+        raise ValueError(f"a rule table has at most {MOST_RULES} rows")
+    return rows
+
+
+def automaton(phrases: list[str]) -> ahocorasick.Automaton | None:
+    """One automaton for all phrases; none if there are no phrases."""
+    made = ahocorasick.Automaton()
+    for phrase in phrases:
+        if phrase:
+            made.add_word(phrase, phrase)
+    if not len(made):
+        return None
+    made.make_automaton()
+    return made
 
-def grams(words: Column, n: int) -> Column:
-    """All runs of n words, joined by blanks."""
-    last = F.size(words) - n + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda k: F.array_join(F.slice(words, k, n), " "))).otherwise(F.array().cast("array<string>"))
 
+def is_word(c: str) -> bool:
+    return c.isalnum() or c == "_"
 
-def tagged(articles: DataFrame, keywords: DataFrame, threshold: float, longest: int = 2) -> DataFrame:
-    """Category scores: each keyword once per field (title 2, lead 1); a keyword inside a longer found one doesn't count.
 
-    `keywords` has (keyword, category, weight), normalised; a category counts from `threshold`, the main one is the
-    largest (ties: name).
+def whole_words(text: str, found: ahocorasick.Automaton | None) -> Iterator[str]:
+    """The phrases in a text that begin and end at words' ends, from left to right, the longest at each place, none within another."""
+    if found is None or not text:
+        return
+    hits = []
+    for last, phrase in found.iter(text):
+        start = last + 1 - len(phrase)
+        if (not start or not is_word(text[start - 1])) and (last + 1 == len(text) or not is_word(text[last + 1])):
+            hits.append((start, -last, phrase))
+    end = 0
+    for start, last, phrase in sorted(hits):
+        if start >= end:
+            end = 1 - last
+            yield phrase
+
+
+def tagged(articles: DataFrame, keywords: DataFrame, threshold: float) -> DataFrame:
+    """Category scores of articles (doc_id, title, lead): each keyword once per field (title 2, lead 1), the longest at each place.
+
+    `keywords` has (keyword, category, weight, exact): exact ones are looked for in the text as it is, the others, normalised,
+    in its normalised form; either as whole words. One inside a longer one doesn't count there, but elsewhere it may. A
+    category counts from `threshold`, the main one is the largest (ties: name). No row is shuffled.
     """
-    fields = F.array(F.struct(F.lit(2.0).alias("w"), F.split(key(F.col("title")), " ").alias("words")), F.struct(F.lit(1.0).alias("w"), F.split(key(F.col("lead")), " ").alias("words")))
-    each = articles.select("doc_id", F.explode(fields).alias("f")).select("doc_id", "f.w", F.explode(F.array_distinct(F.flatten(F.array(*[grams(F.col("f.words"), n) for n in range(1, longest + 1)])))).alias("keyword"))
-    found = each.join(keywords, "keyword")
-    whole = found.groupBy("doc_id", "w").agg(F.collect_set("keyword").alias("all"))
-    inside = F.exists("all", lambda k: (k != F.col("keyword")) & F.contains(F.concat(F.lit(" "), k, F.lit(" ")), F.concat(F.lit(" "), F.col("keyword"), F.lit(" "))))
-    kept = found.join(whole, ["doc_id", "w"]).where(~inside)
-    scores = kept.groupBy("doc_id", "category").agg(F.sum(F.col("w") * F.col("weight")).alias("score")).where(F.col("score") >= threshold)
-    best = scores.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("category")), ",").alias("categories"), F.min_by("category", F.struct(-F.col("score"), "category")).alias("main"), F.max("score").alias("score"))
-    return best
+    rules = rules_of(keywords, "keyword", "category", "weight", "exact")
+    shared = articles.sparkSession.sparkContext.broadcast(rules)
+    bare = [F.regexp_replace(F.col(c), "<[^>]*>", " ") for c in ("title", "lead")]
+    fields = articles.select("doc_id", *[key(F.col(c)).alias(f"{c}_key") for c in ("title", "lead")], *[b.alias(f"{c}_raw") for c, b in zip(("title", "lead"), bare)])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_kind = [{}, {}]
+        for keyword, category, weight, exact in shared.value:
+            by_kind[bool(exact)].setdefault(keyword, []).append((category, weight))
+        automata = [automaton(list(words)) for words in by_kind]
+        for whole in batches:
+            for first in range(0, whole.num_rows, 1000):
+                batch = whole.slice(first, 1000)
+                out: list[list] = [[], [], [], []]
+                columns = [c.to_pylist() for c in batch.columns]
+                for doc_id, title, lead, title_raw, lead_raw in zip(*columns):
+                    scores: dict[str, float] = {}
+                    for weight, texts in ((2.0, (title, title_raw)), (1.0, (lead, lead_raw))):
+                        for exact, text in enumerate(texts):
+                            for phrase in set(whole_words(text or "", automata[exact])):
+                                for category, w in by_kind[exact][phrase]:
+                                    scores[category] = scores.get(category, 0.0) + weight * w
+                    counted = {c: v for c, v in scores.items() if v >= threshold}
+                    if counted:
+                        main = min(counted, key=lambda c: (-counted[c], c))
+                        for column, value in zip(out, (doc_id, ",".join(sorted(counted)), main, counted[main])):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.field(0).type), pa.array(out[1], pa.string()), pa.array(out[2], pa.string()), pa.array(out[3], pa.float64())], ["doc_id", "categories", "main", "score"])
+
+    return fields.mapInArrow(each, f"doc_id {dict(articles.dtypes)['doc_id']}, categories string, main string, score double")
 
 
 def mentions(articles: DataFrame, text: str, code: str, ambiguous: list[str], context: str, reach: int = 14) -> DataFrame:
@@ -134,20 +201,105 @@ def attention(articles: DataFrame, group: str) -> DataFrame:
     return articles.join(sources, group).withColumn("attention", F.col("event") + F.col("has_entity") + F.least(F.col("sources") - 1, F.lit(4)))
 
 
+#: Bits of a sieve, and counts that a task holds before it passes them on.
+SIEVE_BITS, MOST_HELD = 1 << 26, 500_000
+
+
+def once_each(docs: DataFrame) -> DataFrame:
+    """`doc_id, words, ...` without later documents of the same words; only hashes and ids are compared."""
+    hashed = docs.select("doc_id", F.xxhash64("words").alias("h"), F.xxhash64(F.reverse("words")).alias("h2"))
+    firsts = hashed.groupBy("h", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = hashed.join(firsts, ["h", "h2"]).where(F.col("doc_id") != F.col("first")).select("doc_id")
+    return docs.join(later, "doc_id", "left_anti")
+
+
+def sieve(phrases: DataFrame) -> np.ndarray:
+    """A bit per hash of a phrase: what isn't there is no phrase. Its size is fixed; a full one only sifts less."""
+    bit = F.crc32(F.col("phrase").cast("binary")) % SIEVE_BITS
+    words = phrases.select(F.floor(bit / 64).alias("k"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("v")).groupBy("k").agg(F.bit_or("v").alias("v")).toArrow()
+    out = np.zeros(SIEVE_BITS // 64, np.uint64)
+    out[words.column(0).to_numpy()] = words.column(1).to_numpy().view(np.uint64)
+    return out
+
+
+def sifted(runs: list[str], bits: np.ndarray) -> np.ndarray:
+    """Which runs the sieve holds back."""
+    h = np.fromiter((zlib.crc32(r.encode()) for r in runs), np.uint64, len(runs)) % np.uint64(SIEVE_BITS)
+    return (bits[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) == 1
+
+
+def counted(docs: DataFrame, columns: list[str], runs: Callable[[list[str]], Iterator[str]]) -> DataFrame:
+    """Per value of `columns` and phrase, the number of documents with it; tasks add up before the shuffle."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+
+        def emptied() -> pa.RecordBatch:
+            keys = list(zip(*counts)) or [[]] * (len(columns) + 1)
+            batch = pa.RecordBatch.from_arrays([*[pa.array(k, pa.string()) for k in keys], pa.array(counts.values(), pa.int64())], [*columns, "phrase", "n"])
+            counts.clear()
+            return batch
+
+        for batch in batches:
+            for words, *own in zip(*[c.to_pylist() for c in batch.columns]):
+                if words:
+                    counts.update((*own, phrase) for phrase in set(runs(words.split(" "))))
+                if len(counts) >= MOST_HELD:
+                    yield emptied()
+        yield emptied()
+
+    schema = ", ".join(f"{c} string" for c in [*columns, "phrase"]) + ", n long"
+    return docs.select("words", *columns).mapInArrow(each, schema).groupBy(*columns, "phrase").agg(F.sum("n").alias("n"))
+
+
+def joined_runs(words: list[str], n: int) -> list[str]:
+    return list(map(" ".join, zip(*[islice(words, k, None) for k in range(n)])))
+
+
 def phrases(docs: DataFrame, least: int, cut: float = 0.8, longest: int = 4) -> DataFrame:
-    """Document frequency of phrases of two to `longest` words; one inside a longer phrase with `cut` of its df is out."""
-    each = docs.select("doc_id", F.explode(F.array_distinct(F.flatten(F.array(*[grams(F.col("words"), n) for n in range(2, longest + 1)])))).alias("phrase"))
-    df = each.groupBy("phrase").agg(F.count("*").alias("df")).where(F.col("df") >= least)
+    """Document frequency of phrases of two to `longest` words; one inside a longer phrase with `cut` of its df is out.
+
+    `docs` has (doc_id, words: the words joined by blanks), each text once. Longer phrases are counted level by level: only
+    runs whose both shorter runs are frequent are counted at all, which a sieve of fixed size tells the tasks.
+    """
+    spark = docs.sparkSession
+    levels = [checkpointed(counted(docs, [], lambda words: joined_runs(words, 2)).where(F.col("n") >= least))]
+    for n in range(3, longest + 1):
+        bits = spark.sparkContext.broadcast(sieve(levels[-1]))
+
+        def extended(words: list[str], n: int = n) -> Iterator[str]:
+            shorter = joined_runs(words, n - 1)
+            frequent = sifted(shorter, bits.value)
+            for k in np.flatnonzero(frequent[:-1] & frequent[1:]).tolist():
+                yield " ".join(words[k : k + n])
+
+        levels.append(checkpointed(counted(docs, [], extended).where(F.col("n") >= least)))
+    df = levels[0]
+    for more in levels[1:]:
+        df = df.unionByName(more)
+    df = df.withColumnRenamed("n", "df")
     words = F.split("phrase", " ")
     shorter = df.where(F.size(words) > 2).select(F.col("df").alias("long_df"), F.explode(F.array(F.array_join(F.slice(words, 1, F.size(words) - 1), " "), F.array_join(F.slice(words, 2, F.size(words) - 1), " "))).alias("phrase"))
     most = shorter.groupBy("phrase").agg(F.max("long_df").alias("long_df"))
-    return df.join(most, "phrase", "left").where(F.col("long_df").isNull() | (F.col("long_df") < cut * F.col("df"))).select("phrase", "df")
+    return checkpointed(df.join(most, "phrase", "left").where(F.col("long_df").isNull() | (F.col("long_df") < cut * F.col("df"))).select("phrase", "df"))
+
+
+def counts_of(docs: DataFrame, found: DataFrame, columns: list[str], longest: int = 4) -> DataFrame:
+    """How many documents have each found phrase, per value of `columns`, with its df in all."""
+    bits = docs.sparkSession.sparkContext.broadcast(sieve(found))
+
+    def known(words: list[str]) -> Iterator[str]:
+        for n in range(2, longest + 1):
+            if runs := joined_runs(words, n):
+                for k in np.flatnonzero(sifted(runs, bits.value)).tolist():
+                    yield runs[k]
+
+    return counted(docs, columns, known).join(found, "phrase")
 
 
 def lifted(docs: DataFrame, found: DataFrame, least_lift: float, n: int) -> DataFrame:
     """Phrases that are `least_lift` times as frequent in a category as overall, the best n per category."""
-    each = docs.select("doc_id", "category", F.explode(F.array_distinct(F.flatten(F.array(*[grams(F.col("words"), k) for k in (2, 3, 4)])))).alias("phrase"))
-    per = each.join(found, "phrase").groupBy("category", "phrase").agg(F.count("*").alias("n"), F.first("df").alias("df"))
+    per = counts_of(docs, found, ["category"])
     sizes = docs.groupBy("category").agg(F.count("*").alias("docs"))
     total = docs.agg(F.count("*").alias("total"))
     scored = per.join(sizes, "category").join(F.broadcast(total)).withColumn("lift", (F.col("n") / F.col("docs")) / (F.col("df") / F.col("total"))).where(F.col("lift") >= least_lift)
@@ -155,6 +307,11 @@ def lifted(docs: DataFrame, found: DataFrame, least_lift: float, n: int) -> Data
     return scored.withColumn("rank", rank).where(F.col("rank") <= n).select("category", "phrase", "n", "df", "lift", "rank")
 
 
+def gaps(docs: DataFrame, found: DataFrame, tags: DataFrame, least: int = 3) -> DataFrame:
+    """Phrases of at least `least` documents that got no category: what the dictionary lacks."""
+    return counts_of(docs.join(tags.select("doc_id"), "doc_id", "left_anti"), found, []).where(F.col("n") >= least)
+
+
 def pattern_events(rows: DataFrame, id_col: str, owner: str, text: str, patterns: dict[str, str]) -> DataFrame:
     """Labels of all patterns that occur, per row and rolled up per owner."""
     each = F.filter(F.array(*[F.when(F.col(text).rlike(p), F.lit(label)) for label, p in patterns.items()]), lambda x: x.isNotNull())
@@ -180,29 +337,68 @@ def digest(rows: DataFrame, used: DataFrame, first: int, last: int, per_topic: i
     return ranked.orderBy(*order).limit(int(most * scale))
 
 
+def similar_sets(sets: DataFrame, least: float) -> DataFrame:
+    """`a, b, jaccard`: the pairs of distinct sets (id, items) of Jaccard similarity `least` or more, a < b.
+
+    A set's items are ordered by rarity. Two similar sets share one of the first n - ceil(least n) + 1 items of either, so only
+    these meet, and only sets of a like size; what meets is compared exactly. A common item alone brings nothing together.
+    """
+    each = sets.select("id", F.explode("items").alias("item"))
+    rarity = each.groupBy("item").agg(F.count("*").alias("df"))
+    ordered = each.join(rarity, "item").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("o"))
+    n = F.size("o")
+    first = F.slice("o", F.lit(1), (n - F.ceil(n * least - 1e-9) + 1).cast("int"))
+    short = ordered.select("id", n.alias("n"), F.explode(F.transform(first, lambda x: x["item"])).alias("item"))
+    a, b = short.alias("a"), short.alias("b")
+    near = (F.col("a.item") == F.col("b.item")) & (F.col("a.id") < F.col("b.id")) & (F.least("a.n", "b.n") >= least * F.greatest("a.n", "b.n") - 1e-9)
+    met = a.join(b, near).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    left, right = (sets.select(F.col("id").alias(c), F.col("items").alias(f"items_{c}")) for c in "ab")
+    both = F.size(F.array_intersect("items_a", "items_b"))
+    return met.join(left, "a").join(right, "b").select("a", "b", (both / (F.size("items_a") + F.size("items_b") - both)).alias("jaccard")).where(F.col("jaccard") >= least)
+
+
 def port_clusters(sets: DataFrame, least: float) -> DataFrame:
-    """Leader clustering of distinct port sets: in order of frequency, a set joins the first leader it is similar to.
+    """`ports, freq, cluster`: leader clustering of distinct port sets (ports: joined by bars). In order of frequency, then of the text, a set joins the most similar
+    leader before it (ties: the earliest), or leads a cluster, named by its ports, itself.
 
     A set's only possible leaders are similar sets before it. Leaders are found in rounds: a set all of whose earlier
-    similar sets are followers is a leader; one with an earlier leader is a follower. Sets are distinct, so few.
+    similar sets are followers is a leader; one with an earlier leader is a follower.
     """
-    distinct = sets.groupBy("ports").agg(F.count("*").alias("freq")).withColumn("size", F.size(F.split("ports", r"\|")))
-    distinct = distinct.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("freq"), "ports"))).checkpoint()
-    postings = distinct.select("rank", "size", F.explode(F.array_distinct(F.split("ports", r"\|"))).alias("port"))
-    other = postings.toDF("before", "size2", "port")
-    shared = postings.join(other, "port").where("before < rank").groupBy("rank", "before").agg(F.count("*").alias("n"), F.first("size").alias("s1"), F.first("size2").alias("s2"))
-    pairs = shared.where(F.col("n") / (F.col("s1") + F.col("s2") - F.col("n")) >= least).select("rank", "before").checkpoint()
-    state = distinct.select("rank", F.lit(None).cast("boolean").alias("leader"))
+    distinct = checkpointed(sets.groupBy("ports").agg(F.count("*").alias("freq")).withColumn("place", F.struct((-F.col("freq")).alias("f"), "ports")))
+    similar = similar_sets(distinct.select(F.col("ports").alias("id"), F.array_distinct(F.split("ports", r"\|")).alias("items")), least)
+    place = distinct.select("ports", "place")
+    placed = similar.join(place.select(F.col("ports").alias("a"), F.col("place").alias("pa")), "a").join(place.select(F.col("ports").alias("b"), F.col("place").alias("pb")), "b")
+    a_first = F.col("pa") < F.col("pb")
+    pairs = checkpointed(placed.select(F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("ports"), F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("before"), F.least("pa", "pb").alias("place"), "jaccard"))
+    state = distinct.select("ports", F.lit(None).cast("boolean").alias("leader"))
     while True:
-        seen = pairs.join(state.select(F.col("rank").alias("before"), F.col("leader").alias("l")), "before").groupBy("rank").agg(F.bool_or("l").alias("any_leader"), F.count_if(F.col("l").isNull()).alias("open"))
-        joined = state.join(seen, "rank", "left")
-        decided = F.when(F.col("leader").isNotNull(), F.col("leader")).when(F.col("any_leader").isNull() & (F.coalesce("open", F.lit(0)) == 0), True).when(F.col("any_leader"), False).when(F.col("open") == 0, True)
-        state = joined.select("rank", decided.alias("leader")).checkpoint()
+        seen = pairs.join(state.select(F.col("ports").alias("before"), F.col("leader").alias("l")), "before").groupBy("ports").agg(F.bool_or("l").alias("any_leader"), F.count_if(F.col("l").isNull()).alias("open"))
+        joined = state.join(seen, "ports", "left")
+        decided = F.when(F.col("leader").isNotNull(), F.col("leader")).when(F.col("any_leader"), False).when(F.coalesce("open", F.lit(0)) == 0, True)
+        state = checkpointed(joined.select("ports", decided.alias("leader")))
         if state.where("leader IS NULL").isEmpty():
             break
-    leaders = state.where("leader").select(F.col("rank").alias("before"))
-    first = pairs.join(leaders, "before").groupBy("rank").agg(F.min("before").alias("leader_rank"))
-    return distinct.join(state, "rank").join(first, "rank", "left").select("ports", "freq", F.when(F.col("leader"), F.col("rank")).otherwise(F.col("leader_rank")).alias("cluster"))
+    leaders = state.where("leader").select(F.col("ports").alias("before"))
+    best = pairs.join(leaders, "before").groupBy("ports").agg(F.min_by("before", F.struct((-F.col("jaccard")).alias("j"), "place")).alias("best"))
+    joined = distinct.join(state, "ports").join(best, "ports", "left")
+    return joined.select("ports", "freq", F.when(F.col("leader"), F.col("ports")).otherwise(F.col("best")).alias("cluster"))
+
+
+def services(rows: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Per cluster of ships' rows (ship_key, ports, name, operator; names and operators may be null): ships, its name if at least half of the
+    rows bear it, ports of at least half of the rows, and the most common operator with its share of the known ones."""
+    joined = rows.join(clusters.select("ports", "cluster"), "ports")
+    sizes = joined.groupBy("cluster").agg(F.count("*").alias("rows"), F.countDistinct("ship_key").alias("ships"))
+
+    def most(column: str) -> DataFrame:
+        counts = joined.where(F.col(column).isNotNull()).groupBy("cluster", column).agg(F.count("*").alias("n"))
+        return counts.groupBy("cluster").agg(F.min_by(column, F.struct((-F.col("n")).alias("o"), column)).alias(f"_{column}"), F.max("n").alias(f"_n_{column}"), F.sum("n").alias(f"_known_{column}"))
+
+    ports = joined.select("cluster", F.explode(F.array_distinct(F.split("ports", r"\|"))).alias("port")).groupBy("cluster", "port").agg(F.count("*").alias("n"))
+    core = ports.join(sizes, "cluster").where(2 * F.col("n") >= F.col("rows")).groupBy("cluster").agg(F.array_join(F.array_sort(F.collect_list("port")), "|").alias("core_ports"))
+    out = sizes.join(most("name"), "cluster", "left").join(most("operator"), "cluster", "left").join(core, "cluster", "left")
+    named = F.when(2 * F.col("_n_name") >= F.col("rows"), F.col("_name"))
+    return out.select("cluster", "rows", "ships", named.alias("service"), "core_ports", F.col("_operator").alias("operator"), F.try_divide("_n_operator", "_known_operator").alias("operator_share"))
 
 
 def inferred(rows: DataFrame, cluster: str, operator: str, least: float, known: int = 2) -> DataFrame:
