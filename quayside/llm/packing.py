@@ -248,7 +248,11 @@ class Plan:
 
 
 def planned(histogram: dict[int, int], capacity: int, *, rounds: int = 200, rate: float = 0.1, tolerance: float = 0.002) -> Plan:
-    """The plan of a histogram of lengths. It is solved again for what rounding left until that is below `tolerance` of all sequences or a plan rounds to nothing."""
+    """The plan of a histogram of lengths.
+
+    What rounding left is solved again for as long as that, with best fit for the rest, makes fewer sequences in all, until
+    the rest is below `tolerance` of all sequences or a plan rounds to nothing.
+    """
     lengths = np.array(sorted(histogram), np.int64)
     demand = np.array([histogram[int(n)] for n in lengths], np.int64)
     out: list[tuple[dict[int, int], int]] = []
@@ -257,12 +261,17 @@ def planned(histogram: dict[int, int], capacity: int, *, rounds: int = 200, rate
         full = int(demand[-1])
         out.append(({len(lengths) - 1: 1}, full))
         demand[-1] = 0
+    best: tuple[int, list, list] | None = None
     while True:
         live = np.flatnonzero(demand)
-        if live.size < 2:
-            break
-        if bound and (demand * lengths).sum() < tolerance * capacity * (full + bound):
-            break
+        if bound or live.size < 2:
+            rest = [({int(live[i]): n for i, n in counts.items()}, times) for counts, times in best_fit_longest_first(lengths[live], demand[live], capacity)] if live.size else []
+            total = sum(times for _, times in out + rest)
+            if best is not None and total >= best[0]:
+                break
+            best = (total, list(out), rest)
+            if live.size < 2 or (demand * lengths).sum() < tolerance * capacity * (full + bound):
+                break
         rounded = 0
         uses, least = fractional_plan(lengths[live], demand[live], capacity, rounds, rate)
         bound = bound or least
@@ -277,13 +286,11 @@ def planned(histogram: dict[int, int], capacity: int, *, rounds: int = 200, rate
                 out.append((used, whole))
                 for i, n in used.items():
                     demand[i] -= n * whole
-        if not rounded:
+        if not rounded and best is not None:
             break
-    live = np.flatnonzero(demand)
     bound = bound or float((demand * lengths).sum()) / capacity
-    rest = best_fit_longest_first(lengths[live], demand[live], capacity) if live.size else []
-    out += [({int(live[i]): n for i, n in counts.items()}, times) for counts, times in rest]
-    rows = [([(int(lengths[i]), int(n)) for i, n in sorted(counts.items(), reverse=True)], int(times)) for counts, times in out]
+    _, out, rest = best
+    rows = [([(int(lengths[i]), int(n)) for i, n in sorted(counts.items(), reverse=True)], int(times)) for counts, times in out + rest]
     return Plan(rows, full + math.ceil(bound - 1e-6), sum(times for _, times in rest))
 
 
