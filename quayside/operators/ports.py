@@ -362,23 +362,6 @@ def walk_forward(df: DataFrame, key: str, order: str, x1: str, x2: str, y: str,
     return out.withColumns({"naive": naive, "error": F.abs(F.try_divide(F.col("predicted") - c, c)), "naive_error": F.abs(F.try_divide(naive - c, c))}).drop("fit")
 
 
-def backtest(df: DataFrame, key: str, order: str, x1: str, x2: str, y: str) -> DataFrame:
-    """Mean errors of the expanding, the 12- and 6-month models and the naive one per group, and the best of them."""
-    runs = {"expanding": None, "last12": 12, "last6": 6}
-    parts = [walk_forward(df, key, order, x1, x2, y, window=n).where("predicted IS NOT NULL").select(key, F.lit(name).alias("model"), "error", "naive_error") for name, n in runs.items()]
-    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    means = every.groupBy(key).agg(*[F.avg(F.when(F.col("model") == n, F.col("error"))).alias(n) for n in runs], F.avg(F.when(F.col("model") == "expanding", F.col("naive_error"))).alias("naive"))
-    best = F.array_min(F.array(*[F.struct(F.col(n).alias("e"), F.lit(n).alias("n")) for n in (*runs, "naive")]))
-    return means.withColumn("best", best["n"])
-
-
-def pooled(df: DataFrame, group: str, x1: str, x2: str, y: str) -> DataFrame:
-    """One pair of coefficients per class from its summed normal equations."""
-    a, b, c = F.col(x1), F.col(x2), F.col(y)
-    sums = df.groupBy(group).agg(F.sum(a * a).alias("s11"), F.sum(a * b).alias("s12"), F.sum(b * b).alias("s22"), F.sum(a * c).alias("s1y"), F.sum(b * c).alias("s2y"), F.count("*").alias("n"))
-    return sums.withColumn("fit", no_intercept(*[F.col(k) for k in ("s11", "s12", "s22", "s1y", "s2y")])).select(group, "n", "fit.b1", "fit.b2")
-
-
 def sum_of_models(predictions: DataFrame, key: str, month: str) -> DataFrame:
     """Totals of months in which every group has a prediction, and the error of the total."""
     groups = predictions.agg(F.countDistinct(key).alias("_n"))
@@ -387,21 +370,6 @@ def sum_of_models(predictions: DataFrame, key: str, month: str) -> DataFrame:
     return both.withColumn("error", F.try_divide("predicted", "actual") - 1)
 
 
-def ensemble(df: DataFrame, key: str, order: str, y: str, horizon: int) -> DataFrame:
-    """Forecast of the next months: mean of the last three and of the last twelve, with bands that widen with time.
-
-    The band is the 80 % quantile of the past errors of the three-month mean, times the root of the horizon.
-    """
-    w = Window.partitionBy(key).orderBy(order)
-    past = df.withColumn("m3", F.avg(y).over(w.rowsBetween(-3, -1))).withColumn("e", F.abs(F.try_divide(F.col("m3") - F.col(y), F.col(y))))
-    now = past.withColumns({"l3": F.avg(y).over(w.rowsBetween(-2, 0)), "l12": F.avg(y).over(w.rowsBetween(-11, 0))})
-    ends = now.groupBy(key).agg(F.max(order).alias("last"), F.max_by("l3", order).alias("l3"), F.max_by("l12", order).alias("l12"), F.percentile("e", 0.8).alias("q"))
-    each = ends.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
-    point = (F.col("l3") + F.col("l12")) / 2
-    width = point * F.col("q") * F.sqrt("h")
-    return each.select(key, "h", F.last_day(F.add_months("last", F.col("h"))).alias("month"), point.alias("forecast"), (point - width).alias("low"), (point + width).alias("high"))
-
-
 def quarters_of_months(df: DataFrame, key: str, month: str, value: str) -> DataFrame:
     """Quarter sums of complete quarters, with growth against the same quarter a year before."""
     per = df.groupBy(key, (F.year(month) * 4 + F.quarter(month) - 1).alias("t")).agg(F.sum(value).alias("value"), F.count("*").alias("n")).where("n = 3").drop("n")

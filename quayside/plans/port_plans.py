@@ -240,13 +240,6 @@ def win27(s, d):
     return O.allocated(mon.groupBy("symbol", "year").agg(F.sum("v").alias("total")), mon.select("symbol", "year", "m", F.col("x2").alias("weight")), ["symbol", "year"]).select("year", "symbol", "m", rounded("part").alias("part"))
 
 
-@add("mod1_month_features", sql(f"SELECT ship_key, CAST(LAST_DAY(CAST(ts AS DATE)) AS DATE) AS month, COUNT(*) FILTER (WHERE section = 'arrive') AS calls, {rsql('SUM(LEAST(COALESCE(NULLIF(dwt, 0), md), 90))')} AS capacity, COUNT(DISTINCT CAST(ts AS DATE)) AS days FROM port_events JOIN (SELECT ship_key, MEDIAN(NULLIF(dwt, 0)) AS md FROM port_events GROUP BY 1) USING (ship_key) GROUP BY ALL"))
-def mod1(s, d):
-    e = port_events(s, d).withColumn("dwt", F.nullif("dwt", F.lit(0.0)))
-    med = e.groupBy("ship_key").agg(F.median("dwt").alias("md"))
-    return e.join(med, "ship_key").groupBy("ship_key", F.last_day(F.col("ts").cast("date")).alias("month")).agg(F.count_if(F.col("section") == "arrive").alias("calls"), rounded(F.sum(F.least(F.coalesce("dwt", "md"), F.lit(90.0)))).alias("capacity"), F.countDistinct(F.col("ts").cast("date")).alias("days"))
-
-
 def nnls(frame: str) -> str:
     s = {k: f"SUM({e}) OVER {frame}" for k, e in {"a": "x1 * x1", "b": "x1 * x2", "c": "x2 * x2", "d": "x1 * v", "e": "x2 * v"}.items()}
     return f"SELECT *, COUNT(v) OVER {frame} AS n, {', '.join(f'{e} AS s{k}' for k, e in s.items())} FROM mon"
@@ -261,24 +254,6 @@ def mod2(s, d):
     return O.walk_forward(monthly(s, d), "symbol", "month", "x1", "x2", "v").select("symbol", "month", rounded("predicted", 2).alias("predicted"), rounded("naive", 2).alias("naive"))
 
 
-@add("mod2_backtest")
-def mod2_backtest(s, d):
-    """Three windows and the naive model per group; the tests compare it with least squares by hand."""
-    out = O.backtest(monthly(s, d), "symbol", "month", "x1", "x2", "v")
-    return out.select("symbol", *[rounded(c, 6).alias(c) for c in ("expanding", "last12", "last6", "naive")], "best")
-
-
-@add("mod3_ensemble", sql(f"SELECT symbol, CAST(h AS INT) AS h, CAST(LAST_DAY(last + TO_MONTHS(CAST(h AS INT))) AS DATE) AS month, {rsql('(l3 + l12) / 2', 2)} AS forecast, {rsql('(l3 + l12) / 2 * (1 - q * SQRT(h))', 2)} AS low, {rsql('(l3 + l12) / 2 * (1 + q * SQRT(h))', 2)} AS high FROM (SELECT symbol, MAX(month) AS last, MAX_BY(l3, month) AS l3, MAX_BY(l12, month) AS l12, QUANTILE_CONT(e, 0.8) AS q FROM (SELECT *, ABS((AVG(v) OVER (PARTITION BY symbol ORDER BY month ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) - v) / NULLIF(v, 0)) AS e, AVG(v) OVER (PARTITION BY symbol ORDER BY month ROWS 2 PRECEDING) AS l3, AVG(v) OVER (PARTITION BY symbol ORDER BY month ROWS 11 PRECEDING) AS l12 FROM mon) GROUP BY symbol), GENERATE_SERIES(1, 3) g(h)", mon=MON))
-def mod3(s, d):
-    return O.ensemble(monthly(s, d), "symbol", "month", "v", 3).withColumns({c: rounded(c, 2) for c in ("forecast", "low", "high")})
-
-
-@add("mod4_pooled", sql(f"SELECT cls, n, {rsql('b1')} AS b1, {rsql('b2')} AS b2 FROM cf", mon=MON, su="SELECT CAST(symbol % 4 AS INT) AS cls, COUNT(*) AS n, SUM(x1 * x1) AS sa, SUM(x1 * x2) AS sb, SUM(x2 * x2) AS sc, SUM(x1 * v) AS sd, SUM(x2 * v) AS se FROM mon GROUP BY 1", cf=COEF + "su"))
-def mod4(s, d):
-    out = O.pooled(monthly(s, d).withColumn("cls", (F.col("symbol") % 4).cast("int")), "cls", "x1", "x2", "v")
-    return out.withColumns({c: rounded(c) for c in ("b1", "b2")})
-
-
 @add("mod5_sum_of_models", sql(f"SELECT month, n, {rsql('p', 2)} AS predicted, {rsql('a', 2)} AS actual, {rsql('p / NULLIF(a, 0) - 1', 6)} AS error FROM (SELECT month, COUNT(*) AS n, SUM(v0) AS p, SUM(v) AS a FROM (SELECT *, LAG(v) OVER (PARTITION BY symbol ORDER BY month) AS v0 FROM mon) WHERE v0 IS NOT NULL GROUP BY month) WHERE n = (SELECT COUNT(DISTINCT symbol) FROM mon)", mon=MON))
 def mod5(s, d):
     from pyspark.sql import Window

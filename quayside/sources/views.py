@@ -85,6 +85,20 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "purchase")).select(F.col("user_id").alias("symbol"), "ts", F.col("value").alias("price"))
 
 
+def berth_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """terminal, day, teu, dwt, hours: a line is a visit; a fifth of them don't say their capacity."""
+    day = F.col("l_shipdate").cast("date")
+    teu = F.when(F.col("l_discount") >= 0.02, F.col("l_quantity") * 100)
+    return table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("terminal"), day.alias("day"), teu.alias("teu"), F.col("l_extendedprice").alias("dwt"), (F.col("l_tax") * 1200).alias("hours"))
+
+
+def terminal_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """terminal, mno, actual: published volumes up to July 2001."""
+    day = F.col("l_shipdate")
+    months = table(spark, sf_dir, "lineitem").where(day < F.lit("2001-08-01")).groupBy(F.col("l_suppkey").alias("terminal"), (F.year(day) * 12 + F.month(day) - 1).alias("mno"))
+    return months.agg(F.sum(F.col("l_quantity") * (50 + 500 * F.col("l_tax"))).alias("actual"))
+
+
 def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     return table(spark, sf_dir, "orders").select(key.alias("lot"), F.col("o_custkey").alias("issuer"), F.col("o_orderdate").cast("date").alias("issue"), (24 + 12 * (key % 5)).cast("int").alias("months"), (5.0 + key % 6).alias("coupon"), F.col("o_totalprice").alias("amount"))
@@ -121,6 +135,8 @@ SQL = {
     "fx": "SELECT o_orderstatus AS currency, CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS date, AVG(o_totalprice) / 1000 AS rate FROM orders GROUP BY ALL",
     "port_events": "SELECT event_id, user_id AS ship_key, ts, CASE event_type WHEN 'view' THEN 'arrive' WHEN 'click' THEN 'shift' WHEN 'purchase' THEN 'depart' ELSE 'pass' END AS section, CAST(event_id % 7 AS INT) AS place_from, CAST(event_id % 11 AS INT) AS place_to, value AS dwt FROM events",
     "ticks": "SELECT user_id AS symbol, ts, value AS price FROM events WHERE event_type IN ('click', 'purchase')",
+    "berth_visits": "SELECT l_suppkey AS terminal, CAST(l_shipdate AS DATE) AS day, CASE WHEN l_discount >= 0.02 THEN l_quantity * 100 END AS teu, l_extendedprice AS dwt, l_tax * 1200 AS hours FROM lineitem",
+    "terminal_volumes": "SELECT l_suppkey AS terminal, CAST(YEAR(l_shipdate) * 12 + MONTH(l_shipdate) - 1 AS INT) AS mno, SUM(l_quantity * (50 + 500 * l_tax)) AS actual FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-08-01' GROUP BY ALL",
     "lots": "SELECT o_orderkey AS lot, o_custkey AS issuer, CAST(o_orderdate AS DATE) AS issue, CAST(24 + 12 * (o_orderkey % 5) AS INT) AS months, 5.0::DOUBLE + o_orderkey % 6 AS coupon, o_totalprice AS amount FROM orders",
     "trades": "SELECT l_orderkey AS lot, l_linenumber AS line, CAST(l_shipdate AS DATE) AS date, 95.0::DOUBLE + l_quantity / 5.0::DOUBLE AS price, l_extendedprice AS traded FROM lineitem",
     "listings": "SELECT l_orderkey * 10 + l_linenumber AS prid, p.p_brand AS district, l_partkey AS project_id, CAST(l_shipdate AS DATE) AS posted, l_extendedprice / l_quantity AS ppm2, p.p_size AS area, 1 + l_linenumber % 4 AS bed FROM lineitem JOIN part p ON l_partkey = p.p_partkey",
