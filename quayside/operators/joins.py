@@ -6,11 +6,14 @@ adaptive execution broadcasts them only if their measured size allows it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import similarity
-from .text import checkpointed
+from .text import automaton, checkpointed, rules_of
 
 
 def first_of(sources: list[tuple[str, Column]]) -> Column:
@@ -151,15 +154,47 @@ def overridden(rows: DataFrame, manual: DataFrame, key: str, columns: list[str],
 
 
 def canonical_names(names: DataFrame, aliases: DataFrame, least: float = 0.86) -> DataFrame:
-    """Canonical form of each distinct name: an alias contained in it, else the most similar alias.
+    """Canonical form of each distinct name: the longest alias contained in it (ties: the first in order), else the most similar alias.
 
-    `aliases` (alias, canonical) is a rule table; in a few blocks, so no row holds all of them. Every name
-    is looked up in every block: the best of all rules is asked for.
+    `aliases` (alias, canonical) is a rule table. One automaton finds the aliases in a name and, with it, segments of them:
+    an alias that a name is similar to differs by k edits at most, so one of k + 1 segments of it is in the name. Only
+    aliases met so, of a like length, are compared; an alias too short for so many segments is compared with all names.
     """
-    blocks = aliases.groupBy(F.pmod(F.xxhash64("alias"), F.lit(64)).alias("block")).agg(F.collect_list(F.struct("alias", "canonical")).alias("rules"))
-    rows = names.select("name").distinct().crossJoin(blocks)
-    contained = F.filter("rules", lambda r: F.contains("name", r["alias"]))
-    longest = F.array_max(F.transform(contained, lambda r: F.struct(F.length(r["alias"]).alias("n"), r["canonical"].alias("canonical"))))
-    best = F.array_max(F.transform("rules", lambda r: F.struct(similarity(F.col("name"), r["alias"]).alias("score"), r["canonical"].alias("canonical"))))
-    found = rows.select("name", longest.alias("longest"), best.alias("best")).groupBy("name").agg(F.max("longest").alias("longest"), F.max("best").alias("best"))
-    return found.select("name", F.when(F.col("longest").isNotNull(), F.col("longest.canonical")).when(F.col("best.score") >= least, F.col("best.canonical")).alias("canonical"))
+    rules = names.sparkSession.sparkContext.broadcast(rules_of(aliases, "alias", "canonical"))
+
+    def segments(alias: str) -> list[str]:
+        n = len(alias)
+        parts = int((1 - least) * n / max(least, 1e-9) + 1e-9) + 1
+        cuts = [k * n // parts for k in range(parts + 1)]
+        return [alias[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole: dict[str, list[str]] = {}
+        partly: dict[str, set[str]] = {}
+        always = set()
+        for alias, canonical in rules.value:
+            if alias:
+                whole.setdefault(alias, []).append(canonical)
+                for part in segments(alias):
+                    always.add(alias) if not part else partly.setdefault(part, set()).add(alias)
+        contained, met = automaton(list(whole)), automaton(list(partly))
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            for name in batch.column(0).to_pylist():
+                inside = {alias for _, alias in contained.iter(name)} if contained and name else set()
+                if inside:
+                    found = [(True, min(inside, key=lambda a: (-len(a), a)))]
+                else:
+                    near = always.union(*(partly[part] for _, part in met.iter(name))) if met and name else always
+                    found = [(False, a) for a in near if min(len(a), len(name or "")) >= least * max(len(a), len(name or ""))]
+                for is_in, alias in found or [(False, None)]:
+                    for canonical in whole.get(alias, [None]):
+                        for column, value in zip(out, (name, alias, canonical, is_in)):
+                            column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.string(), pa.string(), pa.string(), pa.bool_()))], ["name", "alias", "canonical", "inside"])
+
+    met = names.select("name").distinct().mapInArrow(each, "name string, alias string, canonical string, inside boolean")
+    score = F.when(F.col("inside"), 2.0).otherwise(similarity(F.col("name"), F.col("alias")))
+    scored = met.withColumn("score", score)
+    best = scored.groupBy("name").agg(F.max("score").alias("score"), F.min_by("canonical", F.struct((-F.col("score")).alias("s"), "alias", "canonical")).alias("canonical"))
+    return best.select("name", F.when(F.col("score") >= least, F.col("canonical")).alias("canonical"))

@@ -122,24 +122,37 @@ def title_key(title: Column, length: int = 90) -> Column:
 
 #: Length of the character runs by which similar titles meet, and how many of them two titles share at most for it.
 RUN, SHARED = 3, 8
-
-
-def near_duplicates(articles: DataFrame, hours: int = 36, least: float = 0.86) -> DataFrame:
-    """Group id per article: the smallest id reachable by titles of similarity `least` within `hours`.
-
-    Equal titles of one slot of `hours` are one node with its first and last hour; nodes of a slot are in reach of each
-    other, nodes of neighbouring slots if the last hour of one and the first of the other are. Two titles of at most n
-    characters differ by k = (1 - least) n edits at most, and an edit changes `RUN` of a title's character runs. So of any
-    k RUN + 1 runs of a title one is in the other too, no more than k places off: the rarest are taken, and titles meet by
-    slot, run and place; what meets is compared exactly. No pair is lost. Articles without title are their own group.
+#: Least length of a title that may stand within another, the share of it that must, and the length of runs by which they meet.
+LEAST_INSIDE, INSIDE, INNER = 40, 0.95, 12
+
+
+def edits_inside(short: str, long: str) -> int:
+    """Fewest edits between a text and any part of another, with the columns of the edit table as bits of one number."""
+    n = len(short)
+    full, top = (1 << n) - 1, 1 << (n - 1)
+    places: dict[str, int] = {}
+    for i, c in enumerate(short):
+        places[c] = places.get(c, 0) | 1 << i
+    more, less, here, best = full, 0, n, n
+    for c in long:
+        same = places.get(c, 0)
+        diagonal = same | less
+        level = (((same & more) + more) ^ more) | same
+        up, down = (less | ~(level | more)) & full, more & level
+        here += bool(up & top) - bool(down & top)
+        best = min(best, here)
+        up, down = up << 1 & full, down << 1 & full
+        more, less = (down | ~(diagonal | up)) & full, up & diagonal
+    return best
+
+
+def title_pairs(nodes: DataFrame, least: float) -> DataFrame:
+    """`node, node2` of titles that could be similar, in one slot or the next, both ways.
+
+    Two titles of at most n characters differ by k = (1 - least) n edits at most, and an edit changes `RUN` of a title's
+    character runs. So of any k RUN + 1 runs of a title one is in the other too, no more than k places off: the rarest are
+    taken, and titles meet by slot, run and place. No pair is lost.
     """
-    slot = F.floor(F.col("hour_no") / hours)
-    keyed = articles.select("doc_id", "hour_no", key(F.col("title")).alias("k")).withColumn("slot", slot)
-    nodes = keyed.where(F.length("k") > 0).groupBy("k", "slot").agg(F.min("doc_id").alias("node"), F.min("hour_no").alias("first"), F.max("hour_no").alias("last"))
-    nodes = checkpointed(nodes.withColumn("n", F.length("k")))
-    own = Window.partitionBy("k").orderBy("slot")
-    same = nodes.select("node", F.lag("node").over(own).alias("other"), (F.col("first") - F.lag("last").over(own)).alias("gap")).where(F.col("gap") <= hours).select("node", "other")
-
     places = F.sequence(F.lit(1), F.greatest(F.col("n") - RUN + 1, F.lit(1)))
     runs = nodes.where(F.col("n") >= RUN).withColumn("p", F.explode(places)).withColumn("run", F.substr("k", F.col("p"), F.lit(RUN)))
     rarity = runs.groupBy("run").agg(F.count("*").alias("df"))
@@ -147,18 +160,83 @@ def near_duplicates(articles: DataFrame, hours: int = 36, least: float = 0.86) -
     edits = F.floor((1 - least) * F.col("n") / least + 1e-9)
     rank = F.rank().over(Window.partitionBy("node").orderBy("df", "run"))  # a run that is in is so wherever it stands
     rare = runs.join(rarity, "run").withColumn("edits", edits).withColumn("m", F.least(F.lit(SHARED), F.col("n") - RUN + 1 - F.col("edits") * RUN)).withColumn("r", rank).where(F.col("r") <= F.col("edits") * RUN + F.col("m"))
-    a = rare.select("node", "slot", "first", "last", "n", "run", "p", "edits", "m").withColumn("_slot", F.explode(F.array(F.col("slot"), F.col("slot") + 1)))
-    b = a.select("run", "_slot", *[F.col(c).alias(f"{c}2") for c in ("node", "slot", "first", "last", "n", "p", "edits", "m")])
+    a = rare.select("node", "slot", "n", "run", "p", "edits", "m").withColumn("_slot", F.explode(F.array(F.col("slot"), F.col("slot") + 1)))
+    b = a.select("run", "_slot", *[F.col(c).alias(f"{c}2") for c in ("node", "slot", "n", "p", "edits", "m")])
     close = (F.col("_slot") == F.greatest("slot", "slot2")) & (F.col("node") < F.col("node2"))
     close &= (F.abs(F.col("p") - F.col("p2")) <= F.greatest("edits", "edits2")) & (F.abs(F.col("n") - F.col("n2")) <= (1 - least) * F.greatest("n", "n2") + 1e-9)
-    reach = (F.col("slot") == F.col("slot2")) | ((F.col("slot2") == F.col("slot") + 1) & (F.col("first2") - F.col("last") <= hours)) | ((F.col("slot") == F.col("slot2") + 1) & (F.col("first") - F.col("last2") <= hours))
-    met = a.join(b, ["run", "_slot"]).where(close & reach).groupBy("node", F.col("node2").alias("other")).agg(F.countDistinct("p").alias("matches"), F.min(F.least("m", "m2")).alias("m"))
-    titles = nodes.select("node", "k")
-    pairs = met.where("matches >= m").join(titles, "node").join(titles.select(F.col("node").alias("other"), F.col("k").alias("k2")), "other")
-    similar = pairs.where((F.col("k") != F.col("k2")) & (similarity(F.col("k"), F.col("k2")) >= least)).select("node", "other")
-    labels = smallest_label(nodes.select("node"), same.unionByName(similar))
-    grouped = keyed.join(nodes.select("k", "slot", "node"), ["k", "slot"], "left").join(labels, "node", "left")
-    return grouped.select("doc_id", F.coalesce("grp", "doc_id").alias("grp"))
+    met = a.join(b, ["run", "_slot"]).where(close).groupBy("node", "node2").agg(F.countDistinct("p").alias("matches"), F.min(F.least("m", "m2")).alias("m")).where("matches >= m")
+    return met.select("node", "node2").unionByName(met.select(F.col("node2").alias("node"), F.col("node").alias("node2")))
+
+
+def inner_pairs(nodes: DataFrame) -> DataFrame:
+    """`node, node2` of titles of `LEAST_INSIDE` characters or more, of which one may stand within the other, in one slot or the next, both ways.
+
+    The shorter may differ from a part of the longer by k edits; of k + 1 segments of it one is there unchanged. So the first
+    `INNER` characters of each segment, or all of a shorter one, meet all runs of that length of the longer.
+    """
+    long_enough = nodes.where(F.col("n") >= LEAST_INSIDE).withColumn("parts", F.floor((1 - INSIDE) * F.col("n") + 1e-9).cast("int") + 1)
+    width = F.least(F.lit(INNER), F.floor(F.col("n") / F.col("parts"))).cast("int")
+    slots = F.explode(F.array(F.col("slot"), F.col("slot") + 1))
+    begins = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.floor(k * F.col("n") / F.col("parts")).cast("int") + 1)
+    short = long_enough.withColumn("_slot", slots).withColumn("w", width).withColumn("at", F.explode(begins)).select("node", "slot", "n", "_slot", "w", F.substr("k", F.col("at"), F.col("w")).alias("run"))
+    widths = long_enough.select(width.alias("w")).distinct()
+    longer = long_enough.withColumn("_slot", slots).join(F.broadcast(widths), F.col("w") <= F.col("n")).withColumn("at", F.explode(F.sequence(F.lit(1), F.col("n") - F.col("w") + 1)))
+    longer = longer.select(F.col("node").alias("node2"), F.col("slot").alias("slot2"), F.col("n").alias("n2"), "_slot", "w", F.substr("k", F.col("at"), F.col("w")).alias("run"))
+    met = short.join(longer, ["_slot", "w", "run"]).where((F.col("_slot") == F.greatest("slot", "slot2")) & (F.col("node") != F.col("node2")) & (F.col("n") <= F.col("n2"))).select("node", "node2").distinct()
+    return met.unionByName(met.select(F.col("node2").alias("node"), F.col("node").alias("node2"))).distinct()
+
+
+def inside_of(pairs: DataFrame) -> DataFrame:
+    """The pairs (.., k, k2) of which the shorter stands within the longer, but for the edits allowed."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column("k").to_pylist(), batch.column("k2").to_pylist(), strict=True):
+                short, long = sorted((a, b), key=len)
+                keep.append(edits_inside(short, long) <= (1 - INSIDE) * len(short) + 1e-9)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return pairs.mapInArrow(each, pairs.schema)
+
+
+def near_duplicates(articles: DataFrame, hours: int = 36, least: float = 0.86) -> DataFrame:
+    """Group id per article: each title joins the group of the most similar one (`least` or more) of the `hours` before it, ties to the
+    earliest; without one, of the most similar one that it stands within, or that stands within it; else it has its own.
+    Groups whose first titles have one title key are one, and bear their smallest article's id.
+
+    Equal titles of one slot of `hours` are one node with its first article and last hour. A node's first article decides;
+    the others have an equal title before them. So a node's parent is a node of its slot that began before it, or one of
+    the slot before whose last article is near enough. Articles without title are their own group.
+    """
+    slot = F.floor(F.col("hour_no") / hours)
+    keyed = articles.select("doc_id", "hour_no", key(F.col("title")).alias("k")).withColumn("slot", slot)
+    nodes = keyed.where(F.length("k") > 0).groupBy("k", "slot").agg(F.min(F.struct("hour_no", "doc_id")).alias("f"), F.max("hour_no").alias("last"))
+    nodes = checkpointed(nodes.select(F.col("f.doc_id").alias("node"), "k", "slot", F.col("f.hour_no").alias("first"), "last", F.length("k").alias("n")))
+    other = nodes.select(*[F.col(c).alias(f"{c}2") for c in ("node", "k", "slot", "first", "last")])
+    own_before = nodes.join(nodes.select("k", (F.col("slot") + 1).alias("slot"), F.col("node").alias("node2")), ["k", "slot"]).select("node", "node2")
+    earlier = ((F.col("slot") == F.col("slot2")) & (F.struct("first2", "node2") < F.struct(F.col("first").alias("first2"), F.col("node").alias("node2")))) | ((F.col("slot2") == F.col("slot") - 1) & (F.col("last2") >= F.col("first") - hours))
+
+    def met(pairs: DataFrame) -> DataFrame:
+        return pairs.join(nodes, "node").join(other, "node2").where(earlier)
+
+    def parent(pairs: DataFrame) -> DataFrame:
+        return pairs.groupBy("node").agg(F.min_by("node2", F.struct((-similarity(F.col("k"), F.col("k2"))).alias("s"), "first2", "node2")).alias("to"))
+
+    alike = met(title_pairs(nodes, least).unionByName(own_before).distinct()).where(similarity(F.col("k"), F.col("k2")) >= least)
+    first = checkpointed(parent(alike))
+    rest = met(inner_pairs(nodes)).join(first, "node", "left_anti")
+    within = parent(inside_of(rest.select("node", "node2", "k", "k2", "first2")))
+    to = nodes.select("node").join(first.unionByName(within), "node", "left").select("node", F.coalesce("to", "node").alias("to"))
+    while True:  # parents are earlier, so each chain ends; steps double
+        jumped = checkpointed(to.join(to.select(F.col("node").alias("to"), F.col("to").alias("end")), "to").select("node", F.col("end").alias("to"), (F.col("end") != F.col("to")).alias("moved")))
+        to = jumped.select("node", "to")
+        if jumped.where("moved").isEmpty():
+            break
+    roots = to.join(nodes.select(F.col("node").alias("to"), F.substring("k", 1, 90).alias("root_key")), "to").select("node", "root_key")
+    named = keyed.join(nodes.select("k", "slot", "node"), ["k", "slot"], "left").join(roots, "node", "left")
+    ids = named.where("root_key IS NOT NULL").groupBy("root_key").agg(F.min("doc_id").alias("grp"))
+    return named.join(ids, "root_key", "left").select("doc_id", F.coalesce("grp", "doc_id").alias("grp"))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

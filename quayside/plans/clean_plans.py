@@ -33,9 +33,9 @@ def cln2(s, d):
     return table(s, d, "orders").select("o_orderkey", X.day(form).alias("day"))
 
 
-@add("cln3_text_keys", sql("SELECT doc_id, TRIM(REGEXP_REPLACE(TRANSLATE(LOWER(REGEXP_REPLACE(SUBSTRING(text, 1, 200), '<[^>]*>', ' ', 'g')), '" + X.MARKED + "', '" + X.PLAIN + "'), '[^a-z0-9]+', ' ', 'g')) AS key FROM documents"))
+@add("cln3_text_keys", sql("SELECT doc_id, TRIM(REGEXP_REPLACE(TRANSLATE(LOWER(REGEXP_REPLACE(text, '<[^>]*>', ' ', 'g')), '" + X.MARKED + "', '" + X.PLAIN + "'), '[^a-z0-9]+', ' ', 'g')) AS key FROM documents"))
 def cln3(s, d):
-    return table(s, d, "documents").select("doc_id", X.key(F.substring("text", 1, 200)).alias("key"))
+    return table(s, d, "documents").select("doc_id", X.key(F.col("text")).alias("key"))
 
 
 @add("cln4_unit_scale", sql("SELECT symbol, date, " + rsql("CASE WHEN value / volume > 1500 THEN value / 1e6 ELSE value END") + " AS value FROM bars"))

@@ -8,7 +8,7 @@ from ..functions import text as X
 from ..operators import ports as P
 from ..operators import text as O
 from .port_plans import STOPS as P_STOPS
-from ..sources.views import articles, port_events, rounded, rsql, sql, table
+from ..sources.views import articles, headlines, port_events, rounded, rsql, sql, table
 
 Q, S = {}, {}
 
@@ -57,15 +57,33 @@ def txt2(s, d):
     return O.mentions(articles(s, d), "text", "[A-Z][a-z]", ["La", "Of"], "tion")
 
 
-@add("txt3_title_keys", sql("SELECT doc_id, SHA1(SUBSTRING(" + KEY.format("SUBSTRING(text, 1, 120)") + ", 1, 90)) AS title_key FROM documents"))
+@add("txt3_title_keys", sql("SELECT doc_id, SHA1(SUBSTRING(" + KEY.format("title") + ", 1, 90)) AS title_key FROM headlines"))
 def txt3(s, d):
-    return articles(s, d).select("doc_id", O.title_key(F.col("title")).alias("title_key"))
+    return headlines(s, d).select("doc_id", O.title_key(F.col("title")).alias("title_key"))
+
+
+#: All pairs of titles within the hours, each with its best earlier one; a part of a title is any run of a length that few edits can give.
+PARENTS = {
+    "kt": f"SELECT doc_id, hour_no, {KEY.format('title')} AS k FROM headlines",
+    "pairs": "SELECT a.doc_id, b.doc_id AS other, b.hour_no AS h2, a.k, b.k AS k2, 1 - LEVENSHTEIN(a.k, b.k) / GREATEST(LENGTH(a.k), LENGTH(b.k)) AS sim FROM kt a JOIN kt b ON b.hour_no >= a.hour_no - 36 AND (b.hour_no, b.doc_id) < (a.hour_no, a.doc_id) WHERE LENGTH(a.k) > 0 AND LENGTH(b.k) > 0",
+    "alike": "SELECT doc_id, FIRST(other ORDER BY sim DESC, h2, other) AS parent FROM pairs WHERE sim >= 0.86 GROUP BY 1",
+    "longer": "SELECT *, CASE WHEN LENGTH(k) <= LENGTH(k2) THEN k ELSE k2 END AS sh, CASE WHEN LENGTH(k) <= LENGTH(k2) THEN k2 ELSE k END AS lo FROM pairs WHERE LEAST(LENGTH(k), LENGTH(k2)) >= 40 AND doc_id NOT IN (SELECT doc_id FROM alike)",
+    "inside": "SELECT * FROM longer WHERE LEN(LIST_FILTER(RANGE(1, LENGTH(lo) + 1), lambda p: LEN(LIST_FILTER(RANGE(LENGTH(sh) - 4, LENGTH(sh) + 5), lambda z: LEVENSHTEIN(sh, SUBSTRING(lo, p, z)) <= 0.05 * LENGTH(sh))) > 0)) > 0",
+    "within": "SELECT doc_id, FIRST(other ORDER BY sim DESC, h2, other) AS parent FROM inside GROUP BY 1",
+    "par": "SELECT kt.doc_id, k, COALESCE(a.parent, w.parent) AS parent FROM kt LEFT JOIN alike a USING (doc_id) LEFT JOIN within w USING (doc_id)",
+    "up": "SELECT doc_id, doc_id AS root, parent, k FROM par UNION ALL SELECT u.doc_id, p.doc_id, p.parent, p.k FROM up u JOIN par p ON p.doc_id = u.parent",
+    "tops": "SELECT doc_id, SUBSTRING(k, 1, 90) AS rk FROM up WHERE parent IS NULL",
+}
+
+
+def recursive(body: str, **ctes: str) -> str:
+    return sql(body, **ctes).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-@add("txt4_near_duplicates")
+@add("txt4_near_duplicates", recursive("SELECT doc_id, CASE WHEN rk = '' THEN doc_id ELSE MIN(doc_id) OVER (PARTITION BY rk) END AS grp FROM tops", **PARENTS))
 def txt4(s, d):
-    """Similar titles within 36 hours (a text's first 120 characters stand for its title); checked against a brute-force version in the tests."""
-    return O.near_duplicates(articles(s, d).withColumn("hour_no", F.floor(F.col("hour_no") / 20)))
+    """Similar titles within 36 hours, and titles within others; checked against a plain loop in the tests, too."""
+    return O.near_duplicates(headlines(s, d))
 
 
 @add("txt5_attention", sql("SELECT doc_id, " + rsql("n_chars % 7 + CASE WHEN n_chars % 2 = 0 THEN 1 ELSE 0 END + LEAST(sources - 1, 4)") + " AS attention FROM documents JOIN (SELECT lang, n_chars % 50 AS g, COUNT(DISTINCT source) AS sources FROM documents GROUP BY ALL) x ON x.lang = documents.lang AND x.g = n_chars % 50"))
@@ -155,10 +173,6 @@ JAC = "LEN(LIST_INTERSECT(STRING_SPLIT(l, '|'), ps)) / LEN(LIST_DISTINCT(LIST_CO
 LED = "SELECT 0::BIGINT AS i, []::VARCHAR[] AS leaders, NULL::VARCHAR AS cluster UNION ALL SELECT i, CASE WHEN best IS NULL THEN LIST_APPEND(leaders, ports) ELSE leaders END, COALESCE(best, ports) FROM (SELECT d.i, d.ports, r.leaders, LIST_MAX(LIST_FILTER(LIST_TRANSFORM(r.leaders, lambda l, k: {'j': " + JAC + ", 'k': -k, 'l': l}), lambda x: x.j >= 0.6)).l AS best FROM led r JOIN ds d ON d.i = r.i + 1)"
 
 
-def recursive(body: str, **ctes: str) -> str:
-    return sql(body, **ctes).replace("WITH ", "WITH RECURSIVE ", 1)
-
-
 CLUSTERED = {**SETS, "led": LED, "cl": "SELECT ds.ports, freq, cluster FROM ds JOIN led USING (i)"}
 
 

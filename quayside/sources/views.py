@@ -122,6 +122,12 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 120).alias("title"), "text", "lang", "source", F.col("doc_id").alias("hour_no"))
 
 
+def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, title, hour_no: the titles of web pages; twenty come in an hour."""
+    title = F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1)
+    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), title.alias("title"), F.floor(F.col("page_id") / 20).alias("hour_no"))
+
+
 #: The same views as common table expressions for the checks.
 SQL = {
     "bars": "SELECT l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, SUM(l_extendedprice) / SUM(l_quantity) AS close, SUM(l_quantity) AS volume, SUM(l_extendedprice) AS value FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)",
@@ -140,6 +146,7 @@ SQL = {
     "lots": "SELECT o_orderkey AS lot, o_custkey AS issuer, CAST(o_orderdate AS DATE) AS issue, CAST(24 + 12 * (o_orderkey % 5) AS INT) AS months, 5.0::DOUBLE + o_orderkey % 6 AS coupon, o_totalprice AS amount FROM orders",
     "trades": "SELECT l_orderkey AS lot, l_linenumber AS line, CAST(l_shipdate AS DATE) AS date, 95.0::DOUBLE + l_quantity / 5.0::DOUBLE AS price, l_extendedprice AS traded FROM lineitem",
     "listings": "SELECT l_orderkey * 10 + l_linenumber AS prid, p.p_brand AS district, l_partkey AS project_id, CAST(l_shipdate AS DATE) AS posted, l_extendedprice / l_quantity AS ppm2, p.p_size AS area, 1 + l_linenumber % 4 AS bed FROM lineitem JOIN part p ON l_partkey = p.p_partkey",
+    "headlines": "SELECT page_id AS doc_id, REGEXP_EXTRACT(html, '(?s)<title>(.*?)</title>', 1) AS title, page_id // 20 AS hour_no FROM pages",
     "articles": "SELECT doc_id, SUBSTRING(text, 1, 120) AS title, text, lang, source, doc_id AS hour_no FROM documents",
 }
 
