@@ -42,7 +42,7 @@ def month_features(visits: DataFrame, key: str, last_day: Column, lag_days: int
     ratio = seen.where("teu > 0 AND dwt > 0").groupBy(key).agg(F.median(F.col("dwt") / F.col("teu")).alias("_ratio"))
     missing = F.col("teu").isNull() | (F.col("teu") <= 0)
     filled = seen.join(ratio, key, "left").withColumn("teu", F.when(missing & F.col("_ratio").isNotNull(), F.col("dwt") / F.col("_ratio")).otherwise(F.col("teu")))
-    per = filled.groupBy(key, month_number("day").alias("mno")).agg(F.count("*").alias("calls"), F.coalesce(F.sum("teu"), F.lit(0.0)).alias("teu"), F.coalesce(F.sum(F.least(F.col("hours"), F.lit(most_hours))), F.lit(0.0)).alias("hours"))
+    per = filled.groupBy(key, month_number("day").alias("mno")).agg(F.count("*").alias("calls"), F.coalesce(F.sum("teu"), F.lit(0.0)).alias("teu"), F.coalesce(F.sum(F.when(F.col("hours") > most_hours, most_hours).otherwise(F.col("hours"))), F.lit(0.0)).alias("hours"))
     ends = seen.groupBy(key).agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
     begin, stop = month_number("_first"), month_number("_last")
     begin = F.when((F.dayofmonth("_first") > first_day) & (stop > begin), begin + 1).otherwise(begin)

@@ -248,31 +248,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def smallest_label(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """`node, grp`: the smallest node reachable by pairs, whatever the length of a chain.
-
-    Each round gives every node the smallest of itself and its neighbours, follows these steps to their ends by doubling,
-    and moves the pairs to where their nodes went; pairs within one group go. At least half of the nodes with pairs go
-    in a round.
-    """
-    pairs = pairs.toDF("a", "b")
-    grown = nodes.select("node", F.col("node").alias("grp"))
-    edges = checkpointed(pairs.where("a != b").distinct())
-    while not edges.isEmpty():
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        to = checkpointed(both.groupBy("a").agg(F.least("a", F.min("b")).alias("to")))
-        while True:
-            after = to.select(F.col("a").alias("to"), F.col("to").alias("end"))
-            jumped = checkpointed(to.join(after, "to").select("a", F.col("end").alias("to"), (F.col("end") != F.col("to")).alias("moved")))
-            to = jumped.select("a", "to")
-            if jumped.where("moved").isEmpty():
-                break
-        moved = edges.join(to, "a").select(F.col("to").alias("a"), "b").join(to.select(F.col("a").alias("b"), F.col("to").alias("to_b")), "b").select("a", F.col("to_b").alias("b"))
-        edges = checkpointed(moved.where("a != b").distinct())
-        grown = checkpointed(grown.join(to.select(F.col("a").alias("grp"), "to"), "grp", "left").select("node", F.coalesce("to", "grp").alias("grp")))
-    return grown
-
-
 def attention(articles: DataFrame, group: str) -> DataFrame:
     """Event score, plus one for a named entity, plus the other sources of the group, four at most."""
     sources = articles.groupBy(group).agg(F.countDistinct("source").alias("sources"))

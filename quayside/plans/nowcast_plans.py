@@ -29,7 +29,7 @@ def features(s, d):
 FEATURES = {
     "seen": "SELECT * FROM berth_visits WHERE day <= DATE '2001-10-18'",
     "rat": "SELECT terminal, MEDIAN(dwt / teu) AS r FROM seen WHERE teu > 0 AND dwt > 0 GROUP BY 1",
-    "perm": "SELECT terminal, CAST(YEAR(day) * 12 + MONTH(day) - 1 AS INT) AS mno, COUNT(*) AS calls, SUM(CASE WHEN (teu IS NULL OR teu <= 0) AND r IS NOT NULL THEN dwt / r ELSE teu END) AS teu, SUM(LEAST(hours, 80)) AS hours FROM seen LEFT JOIN rat USING (terminal) GROUP BY ALL",
+    "perm": "SELECT terminal, CAST(YEAR(day) * 12 + MONTH(day) - 1 AS INT) AS mno, COUNT(*) AS calls, SUM(CASE WHEN (teu IS NULL OR teu <= 0) AND r IS NOT NULL THEN dwt / r ELSE teu END) AS teu, SUM(CASE WHEN hours > 80 THEN 80 ELSE hours END) AS hours FROM seen LEFT JOIN rat USING (terminal) GROUP BY ALL",
     "ext": "SELECT terminal, DAY(MIN(day)) AS d0, CAST(YEAR(MIN(day)) * 12 + MONTH(MIN(day)) - 1 AS INT) AS m0, CAST(YEAR(MAX(day)) * 12 + MONTH(MAX(day)) - 1 AS INT) AS m1 FROM seen GROUP BY 1",
     "mons": "SELECT terminal, CAST(UNNEST(RANGE(m0 + CASE WHEN d0 > 5 AND m1 > m0 THEN 1 ELSE 0 END, m1 + 1)) AS INT) AS mno FROM ext",
     "dated": "SELECT *, CAST(DAY(LAST_DAY(MAKE_DATE(mno // 12, mno % 12 + 1, 1))) AS INT) AS days_month FROM mons",

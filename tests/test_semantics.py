@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.operators import bonds, clean, macro, market, ports, statements, tables, temporal, text
+from quayside.operators import bonds, clean, joins, macro, market, ports, statements, tables, temporal, text
 from quayside.plans import port_plans, text_plans
 from quayside.sources.views import port_events
 
@@ -96,7 +96,7 @@ def test_non_negative_least_squares_boundary(spark):
     # The best second coefficient would be negative.
     rows = [("a", k, float(k), 1.0, 2.0 * k - 1) for k in range(1, 9)]
     df = spark.createDataFrame(rows, "k string, t int, x1 double, x2 double, y double")
-    fit = ports.pooled(df, "k", "x1", "x2", "y").first()
+    fit = df.agg(ports.no_intercept(*[F.expr(f"sum({e})") for e in ("x1 * x1", "x1 * x2", "x2 * x2", "x1 * y", "x2 * y")]).alias("f")).select("f.*").first()
     expected = sum(r[2] * r[4] for r in rows) / sum(r[2] ** 2 for r in rows)
     assert fit["b2"] == 0 and fit["b1"] == pytest.approx(expected)
 
@@ -176,29 +176,93 @@ def test_call_pairing_traps(spark):
         assert call_text(out) == call_text(by_ship[ship])
 
 
-def test_calls_match_the_plain_loop_and_the_stream_is_their_closed_part(spark, sf):
-    expected = brute_calls(port_events(spark, sf).toPandas())
+def test_calls_match_the_plain_loop(spark, sf):
     got = [tuple(r) for r in port_plans.Q["win22_calls"](spark, sf).collect()]
-    assert call_text(got) == call_text(expected)
-    from quayside.plans import live_plans
-
-    closed = [tuple(r) for r in live_plans.Q["str10_streaming_calls"](spark, sf).collect()]
-    assert set(call_text(closed)) <= set(call_text(expected)) and len(closed) > 0
-
-
-def test_long_chains_reach_their_smallest_node(spark):
-    chain = [(k, k + 1) for k in range(100)] + [(200 + k, 200) for k in range(1, 50)] + [(300, 300)]
-    nodes = spark.range(0, 310).select(F.col("id").alias("node"))
-    got = {r["node"]: r["grp"] for r in text.smallest_label(nodes, spark.createDataFrame(chain, "a long, b long")).collect()}
-    assert got == {k: 0 if k <= 100 else 200 if 200 <= k < 250 else k for k in range(310)}
+    assert call_text(got) == call_text(brute_calls(port_events(spark, sf).toPandas()))
+
+
+def test_a_shuffled_and_repeated_stream_gives_the_same_calls(spark):
+    """The traps, dealt over six batches with events late by one and repeats, in event-time order again."""
+    from quayside.sources.files import shared_path
+    from quayside.streaming import live
+
+    rows = [(k, ship, day(n), section, a, b) for k, (ship, n, section, a, b) in enumerate(TRAPS)] + [(100 + k, 7, day(k // 3, 8 * (k % 3)), s, 1 + k % 2, 2 + k % 3) for k, s in enumerate(["arrive", "shift", "depart", "depart", "arrive"] * 12)]
+    schema = "event_id long, ship_key long, ts timestamp, section string, place_from int, place_to int"
+    expected = call_text([tuple(r) for r in ports.calls_from_events(spark.createDataFrame(rows, schema)).collect()])
+    path = shared_path(spark, "dealt")
+    span = max(r[2] for r in rows) - day(0)
+    parts = [[] for _ in range(7)]
+    for r in rows:
+        part = int((r[2] - day(0)) / span * 4.99) + (r[0] % 3 == 0)
+        parts[part].append(r)
+        if r[0] % 4 == 0:
+            parts[min(part + 1, 5)].append((r[0] + 10_000, *r[1:]))
+    parts[6] = [(-1, -1, day(2000), "arrive", 0, 0)]
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    got = live.replayed_calls(live.file_stream(spark, path, 1), "60 days")
+    assert call_text([tuple(r) for r in got.collect()]) == expected
 
 
 def test_titles_that_share_no_word_and_chains_of_them(spark):
-    """Errors in every word, and a title that comes again every day for months."""
+    """Errors in every word, a title that comes again every day for months, and one again after a long time."""
     a, b = "abcdefghi jklmnopqr stuvwxyza bcdefghij klmnopqrs tuvwxyzab", "abcdefghx jklmnopqx stuvwxyzx bcdefghix klmnopqrx tuvwxyzax"
     rows = [(1, a, 10), (2, b, 30), (3, "something else", 11), (4, None, 12), (5, "", 12)] + [(100 + k, f"the same again, part {k}", 24 * k) for k in range(100)] + [(300, "far away in time", 0), (301, "far away in time", 90)]
     got = {r["doc_id"]: r["grp"] for r in text.near_duplicates(spark.createDataFrame(rows, "doc_id long, title string, hour_no long")).collect()}
-    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 300: 300, 301: 301} | {100 + k: 100 for k in range(100)}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 300: 300, 301: 300} | {100 + k: 100 for k in range(100)}
+
+
+def distance(a, b):
+    line = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        line, before = [i], line
+        for j, y in enumerate(b, 1):
+            line.append(min(before[j] + 1, line[-1] + 1, before[j - 1] + (x != y)))
+    return line[-1]
+
+
+def inside(short, long):
+    """Fewest edits between a text and any part of another, by the plain table."""
+    line = [0] * (len(long) + 1)
+    for i, x in enumerate(short, 1):
+        line, before = [i], line
+        for j, y in enumerate(long, 1):
+            line.append(min(before[j] + 1, line[-1] + 1, before[j - 1] + (x != y)))
+    return min(line)
+
+
+def test_edits_inside_against_the_plain_table():
+    import random
+
+    rnd = random.Random(7)
+    for _ in range(300):
+        short, long = ("".join(rnd.choice("abc") for _ in range(rnd.randrange(1, n))) for n in (70, 90))
+        assert text.edits_inside(short, long) == inside(short, long)
+
+
+def first_matches(rows):
+    """Groups by the rule, one title after the other: the most similar of the 36 hours before, else one it stands within."""
+    group, seen = {}, []
+    for hour, i, k in sorted(rows):
+        near = [(h, j, m) for h, j, m in seen if hour - h <= 36 and k and m]
+        like = [(-(1 - distance(k, m) / max(len(k), len(m))), h, j) for h, j, m in near]
+        alike = [x for x in like if -x[0] >= 0.86]
+        if not alike:
+            within = {j for h, j, m in near if min(len(k), len(m)) >= 40 and inside(*sorted((k, m), key=len)) <= 0.05 * min(len(k), len(m)) + 1e-9}
+            alike = [x for x in like if x[2] in within]
+        group[i] = group[min(alike)[2]] if alike else (k[:90] if k else i)
+        seen.append((hour, i, k))
+    first = {}
+    for i in sorted(group):
+        first.setdefault(group[i], i)
+    return {i: first[g] for i, g in group.items()}
+
+
+def test_titles_within_others(spark):
+    short = "a title of more than forty letters that stays"
+    rows = [(1, short, 0), (2, short.replace("forty", "fxrty") + " and goes on and on with many more words about it all", 5), (3, "before it all " * 3 + short, 7), (4, "a short one", 8), (5, "a short one that is longer", 9), (6, short, 60), (7, short + " and goes on and on with many more words about it all", 70)]
+    got = {r["doc_id"]: r["grp"] for r in text.near_duplicates(spark.createDataFrame(rows, "doc_id long, title string, hour_no long")).collect()}
+    assert got == first_matches([(h, i, k) for i, k, h in rows]) and got[2] == got[3] == 1 and got[5] == 5
 
 
 def test_nearest_in_time_within_the_tolerance(spark):
@@ -229,62 +293,117 @@ def test_derived_series_of_a_name_among_many(spark):
     assert one(macro.derived(many, {"x": ("s10000", "greatest(s10000, s3) - s9999")}), "value") == [(1.0,)]
 
 
-def test_near_duplicate_titles_against_all_pairs(spark, sf):
+def test_near_duplicate_titles_against_a_loop(spark, sf):
     from quayside.functions.text import key
-    from quayside.sources.views import articles
-
-    got = {r["doc_id"]: r["grp"] for r in text_plans.Q["txt4_near_duplicates"](spark, sf).collect()}
-    rows = [(r["doc_id"], r["doc_id"] // 20, r["k"]) for r in articles(spark, sf).select("doc_id", key(F.col("title")).alias("k")).collect()]
-
-    def distance(a, b):
-        line = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            line, before = [i], line
-            for j, y in enumerate(b, 1):
-                line.append(min(before[j] + 1, line[-1] + 1, before[j - 1] + (x != y)))
-        return line[-1]
-
-    label = {i: i for i, _, _ in rows}
-
-    def find(x):
-        while label[x] != x:
-            x = label[x]
-        return x
+    from quayside.sources.views import headlines
 
-    for n, (i, h, k) in enumerate(rows):
-        for j, g, m in rows[:n]:
-            if abs(h - g) <= 36 and abs(len(k) - len(m)) <= 0.14 * max(len(k), len(m)) and k and m and 1 - distance(k, m) / max(len(k), len(m)) >= 0.86:
-                a, b = sorted((find(i), find(j)))
-                label[b] = a
-    assert got == {i: find(i) for i, _, _ in rows}
+    titles = headlines(spark, sf).unionByName(headlines(spark, sf).withColumns({"doc_id": F.col("doc_id") + 1000, "hour_no": F.col("hour_no") + 30, "title": F.concat(F.substring("title", 1, 25), F.lit("x"), F.substring("title", 26, 99))}))
+    got = {r["doc_id"]: r["grp"] for r in text.near_duplicates(titles).collect()}
+    assert got == first_matches([(r["hour_no"], r["doc_id"], r["k"]) for r in titles.select("doc_id", "hour_no", key(F.col("title")).alias("k")).collect()])
 
 
 def test_port_clusters_against_a_loop(spark, sf):
+    """A set joins the most similar leader, not the first one that is similar enough."""
     rows = text_plans.Q["txt10_port_clusters"](spark, sf).toPandas()
     ordered = sorted(rows.itertuples(), key=lambda r: (-r.freq, r.ports))
     leaders, expected = [], {}
-    for rank, r in enumerate(ordered, 1):
+    for r in ordered:
         own = set(r.ports.split("|"))
-        for at, other in leaders:
-            if len(own & other) / len(own | other) >= 0.6:
-                expected[r.ports] = at
-                break
+        score = [(len(own & other) / len(own | other), -k, name) for k, (name, other) in enumerate(leaders)]
+        if score and max(score)[0] >= 0.6:
+            expected[r.ports] = max(score)[2]
         else:
-            leaders.append((rank, own))
-            expected[r.ports] = rank
+            leaders.append((r.ports, own))
+            expected[r.ports] = r.ports
     assert dict(zip(rows.ports, rows.cluster)) == expected
 
 
-def test_backtest_means(spark):
-    rows = [("a", dt.date(2023, m, 28), float(m), 1.0, 3.0 * m) for m in range(1, 13)]
-    out = ports.backtest(spark.createDataFrame(rows, "k string, m date, x1 double, x2 double, y double"), "k", "m", "x1", "x2", "y").first()
-    assert out["expanding"] == pytest.approx(0, abs=1e-9) and out["best"] in ("expanding", "last12", "last6") and out["naive"] > 0.05
+def test_a_set_joins_the_most_similar_leader(spark):
+    """1|2|3|4|5 and 1|2|3|6|7 lead; 1|2|3|6|7|8 is nearer to the second, though the first is similar enough for a low bound."""
+    rows = [("1|2|3|4|5",)] * 3 + [("1|2|3|6|7",)] * 2 + [("1|2|3|6|7|8",)]
+    got = {r["ports"]: r["cluster"] for r in text.port_clusters(spark.createDataFrame(rows, "ports string"), 0.375).collect()}
+    assert got == {"1|2|3|4|5": "1|2|3|4|5", "1|2|3|6|7": "1|2|3|4|5", "1|2|3|6|7|8": "1|2|3|4|5"}
+    got = {r["ports"]: r["cluster"] for r in text.port_clusters(spark.createDataFrame(rows, "ports string"), 0.43).collect()}
+    assert got == {"1|2|3|4|5": "1|2|3|4|5", "1|2|3|6|7": "1|2|3|6|7", "1|2|3|6|7|8": "1|2|3|6|7"}
 
 
 def test_keyword_counts_once_per_field_longest_first(spark):
-    kw = spark.createDataFrame([("oil", "e", 1.0), ("crude oil", "e", 3.0)], "keyword string, category string, weight double")
-    docs = spark.createDataFrame([(1, "Crude oil, crude oil", "oil oil"), (2, "nothing", "here")], "doc_id int, title string, lead string")
-    assert one(text.tagged(docs, kw, 1.0), "doc_id", "score", "main") == [(1, 7.0, "e")]
+    kw = spark.createDataFrame([("oil", "e", 1.0, False), ("crude oil", "e", 3.0, False), ("Oil", "n", 5.0, True), ("rude", "x", 9.0, False)], "keyword string, category string, weight double, exact boolean")
+    docs = spark.createDataFrame([(1, "Crude oil, crude oil", "oil oil"), (2, "nothing", "here"), (3, "crude oil and oil", None), (4, "", "The Oil, boiling"), (5, None, None)], "doc_id int, title string, lead string")
+    got = {r["doc_id"]: (r["categories"], r["main"], r["score"]) for r in text.tagged(docs, kw, 1.0).collect()}
+    # In 3 the shorter one stands alone elsewhere, so it counts; in 4 once as it is and once normalised.
+    assert got == {1: ("e", "e", 7.0), 3: ("e", "e", 8.0), 4: ("e,n", "n", 5.0)}
+
+
+def test_phrases_against_plain_counts(spark, sf):
+    from collections import Counter
+
+    docs = text_plans.mined(spark, sf)
+    rows = [r["words"].split(" ") for r in docs.collect() if r["words"]]
+    df = Counter(p for w in rows for p in {" ".join(w[i : i + n]) for n in (2, 3, 4) for i in range(len(w) - n + 1)})
+    df = {p: n for p, n in df.items() if n >= 4}
+    longer = {}
+    for p, n in df.items():
+        w = p.split(" ")
+        if len(w) > 2:
+            for part in (" ".join(w[1:]), " ".join(w[:-1])):
+                longer[part] = max(longer.get(part, 0), n)
+    expected = {p: n for p, n in df.items() if longer.get(p, 0) < 0.8 * n}
+    assert {r["phrase"]: r["df"] for r in text.phrases(docs, 4).collect()} == expected
+
+
+def test_names_and_aliases_without_all_pairs(spark):
+    aliases = [("alpha bank", "A"), ("alpha", "S"), ("betaworks", "B"), ("", "none"), ("ab", "short")]
+    names = ["the alpha bank of x", "alpha", "alpah bank", "betawrks", "gamma", "", None, "ac"]
+    got = {r["name"]: r["canonical"] for r in joins.canonical_names(spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame(aliases, "alias string, canonical string"), 0.8).collect()}
+    assert got == {"the alpha bank of x": "A", "alpha": "S", "alpah bank": "A", "betawrks": "B", "gamma": None, "": None, None: None, "ac": None}
+
+
+def series(spark, named):
+    return spark.createDataFrame([(e, t, float(v)) for e, values in named.items() for t, v in enumerate(values) if v is not None], "e string, t int, v double")
+
+
+def test_renames_need_every_common_period(spark):
+    """Eight equal and five unlike periods are no rename; values 0.002 apart are equal wherever rounding puts them."""
+    base = [100.0 * k + 0.0049 for k in range(1, 14)]
+    named = {"a": base, "b": base[:8] + [v + 1 for v in base[8:]], "c": [v + 0.002 for v in base], "d": [0.0] * 13, "e": [0.0] * 13, "f": base[:7] + [None] * 6}
+    files = spark.createDataFrame([(e, dt.date(2024, 1, k)) for k, e in enumerate("cabdef", 1)], "e string, file_date date")
+    got = {(r["old"], r["new"], r["common"], r["current"]) for r in joins.renamed(series(spark, named), files, "e", "t", "v").collect()}
+    assert got == {("c", "a", 13, "a")}
+
+
+def test_renames_form_chains_and_copies_one_line(spark):
+    """Six equal series are a line by age, not fifteen pairs; each ends at the newest."""
+    named = {f"n{k}": [float(3 * t + 1) for t in range(9)] for k in range(6)}
+    files = spark.createDataFrame([(f"n{k}", dt.date(2024, 1, 1 + k)) for k in range(6)], "e string, file_date date")
+    got = sorted((r["old"], r["new"], r["current"]) for r in joins.renamed(series(spark, named), files, "e", "t", "v").collect())
+    assert got == [(f"n{k}", f"n{k + 1}", "n5") for k in range(5)]
+
+
+def test_back_adjustment_by_hand(spark):
+    d = days(6)
+    source = spark.createDataFrame([("x", d[k], c, r) for k, (c, r) in enumerate([(10.0, None), (10.0, 10.0), (8.0, 8.0), (8.0, 8.0), (4.0, 4.0), (4.0, 4.01)])] + [("y", d[0], 5.0, 5.0), ("y", d[1], 5.0, 4.0)], "symbol string, date date, close double, ref double")
+    other = spark.createDataFrame([("x", d[1], 5.0), ("x", d[2], 8.0)], "symbol string, date date, close double")
+    venues = spark.createDataFrame([("x", "main"), ("y", "side")], "symbol string, exchange string")
+    got = {(r["symbol"], r["date"]): r["factor"] for r in market.back_adjusted(source, other, venues, ("main",)).collect()}
+    # 0.5 back and on the first common day, 1.0 from the second; the halving at the fifth day is an event, one of 0.25 % is none; y's venue has no events.
+    expected = {("x", d[0]): 0.25, ("x", d[1]): 0.25, ("x", d[2]): 0.5, ("x", d[3]): 0.5, ("x", d[4]): 1.0, ("x", d[5]): 1.0, ("y", d[0]): 1.0, ("y", d[1]): 1.0}
+    assert got == pytest.approx(expected)
+
+
+def test_asof_by_pieces_spreads_a_hot_key(spark):
+    """A key of most rows is as many windows as it has pieces, and finds the same."""
+    n = 6000
+    left = spark.range(n).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"), F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") * 7 % 5000).cast("int")).alias("d"), "id")
+    right = spark.range(400).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"), F.date_add(F.lit("2000-02-01").cast("date"), (F.col("id") * 11 % 4000).cast("int")).alias("r"), F.col("id").alias("v")).dropDuplicates(["k", "r"])
+    none = spark.createDataFrame([(None, dt.date(2001, 1, 1), -1)], "k string, d date, id long")
+    nothing = spark.createDataFrame([(None, dt.date(2000, 6, 1), -2)], "k string, r date, v long")
+    left, right = left.unionByName(none), right.unionByName(nothing)
+    whole = temporal.asof_join(left, right, "k", "d", "r", ["v"], matched_time="m")
+    dealt = temporal.asof_join(left, right, "k", "d", "r", ["v"], matched_time="m", piece_days=90)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, whole.collect()))
+    sizes = [r["n"] for r in left.groupBy("k", F.floor(F.unix_date("d") / 90)).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < n / 40
 
 
 def test_derived_series_only_where_the_main_input_has_one(spark):
