@@ -7,7 +7,7 @@ before they shuffle. Windows over whole days run on the aggregated day table, wh
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .temporal import asof_join, dense_grid, filled, full_mean, horizon_prices, running_product, with_range, with_running_means
@@ -203,6 +203,65 @@ def ex_group_valuation(bars: DataFrame, instruments: DataFrame, group_sector: st
     return daily_caps(bars, instruments, group_sector).select("date", "cap", rest.alias("cap_ex"), (rest / F.col("cap")).alias("share_ex"))
 
 
+def valuation_without(market: DataFrame, members: DataFrame) -> DataFrame:
+    """The market's valuation without some names, per day: `market` has (date, cap, earnings, book), `members` (code, date, cap, earnings, book).
+
+    A name counts from its first day with a book value. A day on which one of them has a capitalisation but no earnings has
+    no price-earnings ratio without them, and likewise for book values; days before any of them is listed subtract nothing.
+    """
+    live = members.where("book IS NOT NULL").groupBy("code").agg(F.min("date").alias("_live"))
+    rows = members.join(live, "code").where(F.col("date") >= F.col("_live"))
+
+    def summed(c: str) -> Column:
+        lacking = F.count_if(F.col("cap").isNotNull() & F.col(c).isNull())
+        return F.when(lacking == 0, F.coalesce(F.sum(c), F.lit(0.0)))
+
+    out = rows.groupBy("date").agg(F.coalesce(F.sum("cap"), F.lit(0.0)).alias("_cap"), summed("earnings").alias("_earnings"), summed("book").alias("_book"), F.count("cap").alias("names"))
+    joined = market.join(out, "date", "left")
+    none = F.col("names").isNull()
+    cap, earnings, book = (F.col(c) - F.when(none, 0.0).otherwise(F.col(f"_{c}")) for c in ("cap", "earnings", "book"))
+    return joined.select(
+        "date", F.coalesce("names", F.lit(0)).alias("names"), cap.alias("cap_ex"), F.try_divide(cap, earnings).alias("pe_ex"), F.try_divide(cap, book).alias("pb_ex"),
+        F.try_divide("earnings", "book").alias("roe"), F.try_divide(earnings, book).alias("roe_ex"), F.try_divide(F.coalesce("_cap", F.lit(0.0)), "cap").alias("share"),
+    )
+
+
+def market_per_share(valued: DataFrame, market: DataFrame, unit: float = 1.0, limit: int = 20) -> DataFrame:
+    """Earnings and book per share of the market: `valued` has (symbol, date, close, cap), `market` (date, cap, earnings, book).
+
+    A name's shares are its capitalisation over its price; they and the capitalisation are carried over at most `limit`
+    sessions. `cap_check` is the sum of the names' capitalisations over the market's.
+    """
+    shares = valued.where("close > 0 AND cap > 0").select("symbol", "date", (F.col("cap") / (F.col("close") * unit)).alias("shares"), "cap")
+    dense = dense_grid(shares)
+    carried = dense.select("date", filled("shares", "symbol", "sess", limit).alias("shares"), filled("cap", "symbol", "sess", limit).alias("cap"))
+    daily = carried.groupBy("date").agg(F.count("shares").alias("names"), F.sum("shares").alias("shares"), F.sum("cap").alias("_cap"))
+    joined = daily.join(market, "date", "left")
+    return joined.select("date", "names", "shares", F.try_divide("earnings", "shares").alias("eps"), F.try_divide("book", "shares").alias("bvps"), F.try_divide("_cap", "cap").alias("cap_check"))
+
+
+def turnover_by_venue(official: DataFrame, bars: DataFrame, instruments: DataFrame, venues: list[str], main: str) -> DataFrame:
+    """Turnover per day and venue: the official value (exchange, date, value), else price times volume of its bars, with their total,
+    its means over 20 and 50 sessions, and whether the main venue's value is official."""
+    estimated = bars.join(instruments, "symbol").groupBy("exchange", "date").agg(F.sum(F.col("close") * F.col("volume")).alias("est"))
+    both = official.select("exchange", "date", "value").join(estimated, ["exchange", "date"], "full_outer").where(F.col("exchange").isin(venues))
+    cells = [F.sum(F.when(F.col("exchange") == v, F.coalesce("value", "est"))).alias(v) for v in venues]
+    daily = both.groupBy("date").agg(*cells, F.sum(F.coalesce("value", "est")).alias("total"), F.count(F.when(F.col("exchange") == main, F.col("value"))).alias("_n")).where("total IS NOT NULL")
+    days = Window.orderBy("date")
+    return daily.select("date", *venues, "total", full_mean("total", days, 20).alias("ma20"), full_mean("total", days, 50).alias("ma50"), F.when(F.col("_n") > 0, "official").otherwise("estimate").alias("source"))
+
+
+def size_buckets(bars: DataFrame, instruments: DataFrame, since: str, end: str, top: int = 30, middle: int = 100) -> DataFrame:
+    """Capitalisation per day of the `top` largest names by the period's last day, of those up to `middle`, and of the rest."""
+    inside = price_grid(bars).where(F.col("date").between(F.lit(since).cast("date"), F.lit(end).cast("date"))).join(instruments, "symbol").withColumn("cap", F.col("px") * F.col("shares"))
+    last = inside.agg(F.max("date").alias("_last"))
+    # One row per name with a price on that day.
+    ranked = inside.join(F.broadcast(last), F.col("date") == F.col("_last")).where("cap IS NOT NULL").select("symbol", F.rank().over(Window.orderBy(F.desc("cap"))).alias("_rank"))
+    sized = inside.join(ranked, "symbol", "left")
+    size = F.when(F.col("_rank") <= top, "top").when(F.col("_rank") <= middle, "middle").when(F.col("_rank").isNotNull(), "small")
+    return sized.groupBy("date").agg(*[F.coalesce(F.sum(F.when(size == n, F.col("cap"))), F.lit(0.0)).alias(n) for n in ("top", "middle", "small")], F.coalesce(F.sum("cap"), F.lit(0.0)).alias("all"))
+
+
 def market_cap_filled(bars: DataFrame, instruments: DataFrame, limit: int = 20) -> DataFrame:
     priced = price_grid(bars, limit).join(instruments, "symbol")
     return priced.groupBy("date").agg(F.count("px").alias("members"), F.sum(F.col("px") * F.col("shares")).alias("cap"))

@@ -52,6 +52,87 @@ def ratio_set(wide: DataFrame, key: str, t: str, ratios: dict[str, str] = RATIOS
     return base.select(key, t, *[F.expr(e).alias(n) for n, e in ratios.items()])
 
 
+def _some(*columns: str) -> str:
+    """Sum of what is there; null if nothing is."""
+    return f"CASE WHEN COALESCE({', '.join(columns)}) IS NOT NULL THEN {' + '.join(f'COALESCE({c}, 0)' for c in columns)} END"
+
+
+def _percent(top: str, bottom: str) -> str:
+    return f"CASE WHEN ABS({bottom}) > 0 THEN ({top}) / ({bottom}) * 100 END"
+
+
+def _over(top: str, bottom: str) -> str:
+    return f"({top}) / NULLIF({bottom}, 0)"
+
+
+#: Costs come as negative figures.
+COSTS = "fvtpl_loss provision_borrow_cost brokerage_cost op_cost interest_expense selling_exp ga_exp".split()
+#: Figures of a period from its items; amounts are in thousand millions, shares in millions of 10,000 each.
+DERIVED = {
+    "interest_cost": "CASE WHEN interest_expense > 0 THEN interest_expense ELSE provision_borrow_cost END",
+    "net_fvtpl": "COALESCE(fvtpl_gain, 0) - COALESCE(fvtpl_loss, 0)",
+    "borrowings": _some("st_borrow", "st_bonds", "lt_borrow", "lt_bonds"),
+    "margin_book": "CASE WHEN margin_loans > 0 THEN margin_loans ELSE loans END",
+    "invest_book": _some("fvtpl", "afs_st", "htm_st"),
+    "shares_mn": "charter_capital * 1e9 / 1e4 / 1e6",
+    "opex": _some("selling_exp", "ga_exp"),
+    "net_brokerage": "COALESCE(brokerage_rev, 0) - COALESCE(brokerage_cost, 0)",
+    "total_income": _some("op_revenue", "fin_income"),
+    "ib_rev": _some("underwriting_rev", "advisory_rev", "fin_advisory_rev"),
+    "npat_incl_oci": "npat + COALESCE(oci_afs, 0)",
+}
+#: What is summed over four quarters, what is averaged with the year before, and what is compared with earlier periods.
+SUMMED = "npat npat_parent npat_incl_oci pbt op_revenue loan_income interest_cost net_brokerage net_fvtpl brokerage_rev op_cost opex total_income fvtpl_gain ib_rev".split()
+AVERAGED = ["equity", "total_assets", "loans", "borrowings"]
+COMPARED = ["npat", "op_revenue", "margin_book", "equity"]
+#: Ratios over items, derived figures, x_ttm, x_avg, x_year (a year before) and x_last (the period before).
+SECURITIES_RATIOS = {
+    "bvps": _over("equity_parent * 1e9", "shares_mn * 1e6"), "eps_ttm": _over("npat_parent_ttm * 1e9", "shares_mn * 1e6"), "roe": _percent("npat_ttm", "equity_avg"), "roa": _percent("npat_ttm", "total_assets_avg"), "roe_incl_oci": _percent("npat_incl_oci_ttm", "equity_avg"),
+    "net_margin": _percent("npat_ttm", "op_revenue_ttm"), "pbt_margin": _percent("pbt_ttm", "op_revenue_ttm"), "leverage": "CASE WHEN equity > 0 THEN total_assets / equity END", "debt_to_equity": "CASE WHEN equity > 0 THEN borrowings / equity END",
+    "margin_to_equity": _percent("margin_book", "equity"), "margin_to_assets": _percent("margin_book", "total_assets"), "invest_to_assets": _percent("invest_book", "total_assets"), "cash_to_assets": _percent("cash", "total_assets"),
+    "loan_yield": _percent("loan_income_ttm", "loans_avg"), "cost_of_funds": _percent("interest_cost_ttm", "borrowings_avg"), "lending_spread": f"({_percent('loan_income_ttm', 'loans_avg')}) - ({_percent('interest_cost_ttm', 'borrowings_avg')})",
+    "brokerage_margin": _percent("net_brokerage_ttm", "brokerage_rev_ttm"), "cir": _percent("COALESCE(op_cost_ttm, 0) + COALESCE(opex_ttm, 0)", "total_income_ttm"), "opex_to_income": _percent("opex_ttm", "total_income_ttm"), "brokerage_fee_rate": _percent("brokerage_rev", "trading_value_investors"),
+    "mix_brokerage": _percent("brokerage_rev_ttm", "op_revenue_ttm"), "mix_lending": _percent("loan_income_ttm", "op_revenue_ttm"), "mix_fvtpl": _percent("fvtpl_gain_ttm", "op_revenue_ttm"), "mix_ib": _percent("ib_rev_ttm", "op_revenue_ttm"),
+    "g_npat_yoy": _percent("npat - npat_year", "ABS(npat_year)"), "g_revenue_yoy": _percent("op_revenue - op_revenue_year", "ABS(op_revenue_year)"), "g_margin_yoy": _percent("margin_book - margin_book_year", "margin_book_year"), "g_margin_qoq": _percent("margin_book - margin_book_last", "margin_book_last"), "g_equity_yoy": _percent("equity - equity_year", "equity_year"),
+}
+
+
+def securities_ratios(items: DataFrame, names: list[str]) -> DataFrame:
+    """Derived figures, trailing sums and ratios per (ticker, freq, t) of items (ticker, freq, t, item, value); `names` are the items.
+
+    Quarters are summed over four in a row, years are their own sums. A mean of balances takes the one a year before, or
+    only the present one where that is missing; growth needs it. Ratios are percentages, null where the base is zero or missing.
+    """
+    cells = [F.sum(F.when(F.col("item") == n, F.col("value"))).alias(n) for n in names]
+    wide = items.groupBy("ticker", "freq", "t").agg(*cells)
+    base = wide.withColumns({c: F.abs(c) for c in COSTS}).withColumns({n: F.expr(e) for n, e in DERIVED.items()})
+    keys = ["ticker", "freq"]
+    quarterly = F.col("freq") == "Q"
+
+    def year_ago(c: str) -> Column:
+        return F.when(quarterly, guarded_lag(c, keys, "t", 4)).otherwise(guarded_lag(c, keys, "t", 1))
+
+    more = {f"{c}_ttm": F.when(quarterly, trailing_sum(c, keys, "t")).otherwise(F.col(c)) for c in SUMMED}
+    more |= {f"{c}_avg": (F.col(c) + F.coalesce(year_ago(c), F.col(c))) / 2 for c in AVERAGED}
+    more |= {f"{c}_year": year_ago(c) for c in COMPARED} | {"margin_book_last": guarded_lag("margin_book", keys, "t", 1)}
+    out = base.select("*", *[e.alias(n) for n, e in more.items()])
+    return out.select("ticker", "freq", "t", *DERIVED, *[f"{c}_ttm" for c in SUMMED], "equity", "total_assets", *[F.expr(e).alias(n) for n, e in SECURITIES_RATIOS.items()])
+
+
+def securities_summary(ratios: DataFrame) -> DataFrame:
+    """Per frequency and period of `securities_ratios`: companies, summed sizes, median ratios, and the industry's own return on equity, margin lending and net margin."""
+    sums = {c: F.sum(c) for c in ("equity", "total_assets", "margin_book", "npat_ttm", "op_revenue_ttm")}
+    out = ratios.groupBy("freq", "t").agg(F.countDistinct("ticker").alias("companies"), *[e.alias(f"sum_{c}") for c, e in sums.items()], *[F.median(c).alias(f"med_{c}") for c in ("roe", "leverage", "net_margin", "cir")])
+    return out.withColumns({n: F.expr(_percent(a, b)) for n, (a, b) in {"ind_roe_ttm": ("sum_npat_ttm", "sum_equity"), "ind_margin_to_equity": ("sum_margin_book", "sum_equity"), "ind_net_margin_ttm": ("sum_npat_ttm", "sum_op_revenue_ttm")}.items()})
+
+
+def size_classes(ratios: DataFrame) -> DataFrame:
+    """Each company's last quarterly equity and its class: small up to the 33 % quantile of all, medium up to 66 %, else large."""
+    last = ratios.where("freq = 'Q' AND equity IS NOT NULL").groupBy("ticker").agg(F.max("t").alias("t"), F.max_by("equity", "t").alias("equity"))
+    bounds = last.agg(F.percentile("equity", 0.33).alias("_low"), F.percentile("equity", 0.66).alias("_high"))
+    return last.join(F.broadcast(bounds)).select("ticker", "t", "equity", F.when(F.col("equity") <= F.col("_low"), "small").when(F.col("equity") <= F.col("_high"), "medium").otherwise("large").alias("size"))
+
+
 TOKENS = {"ttm": lambda c, k, t: trailing_sum(c, k, t), "avg": lambda c, k, t: mean_of_ends(k, t, c, 4), "lag": lambda c, k, t: guarded_lag(c, k, t, 4)}
 
 
@@ -119,14 +200,21 @@ def group_years(facts: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def industry_summary(ratios: DataFrame) -> DataFrame:
-    """Per period: summed size, median ratios, industry return on equity, and the size classes' bounds."""
+    """Per period: summed size, median ratios and the bounds of the size classes."""
     return ratios.groupBy("t").agg(F.sum("equity").alias("equity"), F.median("leverage").alias("leverage"), F.median("margin").alias("margin"), F.percentile("equity", 0.33).alias("p33"), F.percentile("equity", 0.66).alias("p66"))
 
 
-def statement_feed(facts: DataFrame, quarters: list[int]) -> DataFrame:
-    """Wide feed: one column per quarter of the year, blanks as 0, and the year's sum."""
-    wide = facts.groupBy("ticker", "item", "year").pivot("quarter", quarters).agg(F.sum("value")).na.fill(0.0)
-    return wide.select("ticker", "item", "year", *[F.col(str(q)).alias(f"q{q}") for q in quarters], sum(F.col(str(q)) for q in quarters).alias("total"))
+def statement_feed(facts: DataFrame, quarters: list[int], blank: bool = False) -> DataFrame:
+    """Wide feed: one column per quarter of the year, and the sum of those there; missing quarters are 0, or null with `blank`."""
+    wide = facts.groupBy("ticker", "item", "year").pivot("quarter", quarters).agg(F.sum("value"))
+    total = F.when(F.coalesce(*[F.col(str(q)) for q in quarters]).isNotNull(), sum((F.coalesce(F.col(str(q)), F.lit(0.0)) for q in quarters), F.lit(0.0)))
+    out = wide.select("ticker", "item", "year", *[F.col(str(q)).alias(f"q{q}") for q in quarters], total.alias("total"))
+    return out if blank else out.na.fill(0.0)
+
+
+def ticker_statement(facts: DataFrame, ticker: int, periods: list[int]) -> DataFrame:
+    """One company's statement: a row per item, a column per period asked for, null where nothing was reported."""
+    return facts.where(F.col("ticker") == ticker).groupBy("item").pivot("t", periods).agg(F.sum("value"))
 
 
 def market_drivers(bars: DataFrame, least_sessions: int) -> DataFrame:

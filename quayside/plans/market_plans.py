@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..operators import market as M
 from ..operators import temporal as T
-from ..sources.views import bars, flows, fundamentals, instruments, quoted, rounded, rsql, second_closes, sql, tranches
+from ..sources.views import bars, flows, fundamentals, instruments, official_turnover, quoted, rounded, rsql, second_closes, sql, tranches, valued_bars
 from pyspark.sql import functions as F
 
 GRID = {
@@ -203,6 +203,63 @@ def agg6(s, d):
 add("agg6_market_per_share", agg6, sql(f"SELECT date, COUNT(px) AS members, {rsql('SUM(px * shares) / 1e6')} AS cap FROM filled JOIN instruments USING (symbol) GROUP BY date", **GRID))
 
 
+def market(s, d):
+    return valued_bars(s, d).groupBy("date").agg(F.sum("cap").alias("cap"), F.sum("earnings").alias("earnings"), F.sum("book").alias("book"))
+
+
+MARKET = "SELECT date, SUM(cap) AS cap, SUM(earnings) AS earnings, SUM(book) AS book FROM valued_bars GROUP BY date"
+
+
+def agg5_without(s, d):
+    """The market without the names of two nations, with earnings and book values."""
+    members = valued_bars(s, d).where(F.col("sector").isin("CHINA", "JAPAN")).withColumnRenamed("symbol", "code")
+    out = M.valuation_without(market(s, d), members)
+    return out.select("date", "names", *[rounded(c).alias(c) for c in ("cap_ex", "pe_ex", "pb_ex", "roe", "roe_ex", "share")])
+
+
+add("agg5_valuation_without", agg5_without, sql(
+    "SELECT date, names, " + ", ".join(f"{rsql(e)} AS {n}" for n, e in {"cap_ex": "cap - c", "pe_ex": "(cap - c) / NULLIF(earnings - e, 0)", "pb_ex": "(cap - c) / NULLIF(book - b, 0)", "roe": "earnings / NULLIF(book, 0)", "roe_ex": "(earnings - e) / NULLIF(book - b, 0)", "share": "c / cap"}.items()) + " FROM jx",
+    mk=MARKET, mem="SELECT * FROM valued_bars WHERE sector IN ('CHINA', 'JAPAN')", liv="SELECT symbol, MIN(date) AS f FROM mem WHERE book IS NOT NULL GROUP BY 1",
+    ex="SELECT date, COUNT(*) AS names, SUM(cap) AS c, CASE WHEN COUNT(*) = COUNT(earnings) THEN SUM(earnings) END AS e, CASE WHEN COUNT(*) = COUNT(book) THEN SUM(book) END AS b FROM mem JOIN liv USING (symbol) WHERE date >= f GROUP BY date",
+    jx="SELECT mk.*, COALESCE(names, 0) AS names, COALESCE(c, 0) AS c, CASE WHEN names IS NULL THEN 0 ELSE e END AS e, CASE WHEN names IS NULL THEN 0 ELSE b END AS b FROM mk LEFT JOIN ex USING (date)"))
+
+
+def agg6_per_share(s, d):
+    v = valued_bars(s, d)
+    return M.market_per_share(v, market(s, d)).select("date", "names", rounded("shares").alias("shares"), *[rounded(c, 6).alias(c) for c in ("eps", "bvps", "cap_check")])
+
+
+add("agg6_per_share", agg6_per_share, sql(
+    f"SELECT date, names, {rsql('shares')} AS shares, {rsql('earnings / NULLIF(shares, 0)', 6)} AS eps, {rsql('book / NULLIF(shares, 0)', 6)} AS bvps, {rsql('cp / cap', 6)} AS cap_check FROM (SELECT date, COUNT(sh) AS names, SUM(sh) AS shares, SUM(cp) AS cp FROM fl6 GROUP BY date) JOIN mk USING (date)",
+    mk=MARKET, cal=GRID["cal"], bound=GRID["bound"],
+    g6="SELECT b.symbol, c.date, c.sess, v.cap / v.close AS sh, v.cap AS cp FROM bound b JOIN cal c ON c.date BETWEEN b.f AND b.l LEFT JOIN valued_bars v ON v.symbol = b.symbol AND v.date = c.date",
+    fl6="SELECT date, CASE WHEN sess - LAST_VALUE(CASE WHEN sh IS NOT NULL THEN sess END IGNORE NULLS) OVER w <= 20 THEN LAST_VALUE(sh IGNORE NULLS) OVER w END AS sh, CASE WHEN sess - LAST_VALUE(CASE WHEN cp IS NOT NULL THEN sess END IGNORE NULLS) OVER w <= 20 THEN LAST_VALUE(cp IGNORE NULLS) OVER w END AS cp FROM g6 WINDOW w AS (PARTITION BY symbol ORDER BY sess ROWS UNBOUNDED PRECEDING)"))
+
+VENUES = ["AFRICA", "ASIA", "EUROPE"]
+
+
+def agg7_venues(s, d):
+    out = M.turnover_by_venue(official_turnover(s, d), bars(s, d), instruments(s, d), VENUES, "ASIA")
+    return out.select("date", "source", *[rounded(c).alias(c) for c in (*VENUES, "total", "ma20", "ma50")])
+
+
+add("agg7_turnover_by_venue", agg7_venues, sql(
+    f"SELECT date, CASE WHEN n > 0 THEN 'official' ELSE 'estimate' END AS source, {', '.join(f'{rsql(v)} AS {v}' for v in (*VENUES, 'total'))}, {', '.join(f'{rsql(f'CASE WHEN COUNT(total) OVER m{n} = {n} THEN AVG(total) OVER m{n} END')} AS ma{n}' for n in (20, 50))} FROM dy WINDOW m20 AS (ORDER BY date ROWS 19 PRECEDING), m50 AS (ORDER BY date ROWS 49 PRECEDING)",
+    es="SELECT exchange, date, SUM(close * volume) AS est FROM bars JOIN instruments USING (symbol) GROUP BY ALL",
+    bo="SELECT exchange, date, o.value AS val, COALESCE(o.value, est) AS v FROM official_turnover o FULL JOIN es USING (exchange, date) WHERE exchange IN ('AFRICA', 'ASIA', 'EUROPE')",
+    dy="SELECT date, " + ", ".join(f"SUM(v) FILTER (WHERE exchange = '{v}') AS {v}" for v in VENUES) + ", SUM(v) AS total, COUNT(val) FILTER (WHERE exchange = 'ASIA') AS n FROM bo GROUP BY date"))
+
+
+def agg8_sizes(s, d):
+    return M.size_buckets(bars(s, d), instruments(s, d), "1996-01-01", "1997-12-31", 3, 6).select("date", *[rounded(F.col(c) / 1e6).alias(c) for c in ("top", "middle", "small", "all")])
+
+
+add("agg8_size_buckets", agg8_sizes, sql(
+    "SELECT date, " + ", ".join(f"{rsql(f'COALESCE(SUM(cap) FILTER (WHERE {w}), 0) / 1e6')} AS {n}" for n, w in {"top": "r <= 3", "middle": "r > 3 AND r <= 6", "small": "r > 6", '"all"': "TRUE"}.items()) + " FROM ins LEFT JOIN rk USING (symbol) GROUP BY date",
+    **GRID, ins="SELECT f.symbol, date, px * shares AS cap FROM filled f JOIN instruments USING (symbol) WHERE date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'",
+    rk="SELECT symbol, RANK() OVER (ORDER BY cap DESC) AS r FROM ins WHERE date = (SELECT MAX(date) FROM ins) AND cap IS NOT NULL"))
+
+
 def agg7(s, d):
     return M.turnover(bars(s, d), instruments(s, d)).select("exchange", "date", rounded("turnover").alias("turnover"), rounded("ma20").alias("ma20"))
 

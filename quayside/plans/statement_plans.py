@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import statements as O
 from ..operators import temporal as T
-from ..sources.views import bars, facts, instruments, rounded, rsql, sql
+from ..sources.views import SECURITIES, bars, facts, instruments, rounded, rsql, securities_items, sql
 from .join_plans import PUB, published
 
 Q, S = {}, {}
@@ -70,6 +70,47 @@ def win7(s, d):
     return out.select("ticker", "t", *[rounded(n).alias(n) for n in O.RATIOS])
 
 
+#: The windows are written once more here; formulas of ratios are data of the library.
+PER = "PARTITION BY ticker, freq ORDER BY t"
+
+
+def lag_of(c: str, n: int) -> str:
+    return f"CASE WHEN LAG(t, {n}) OVER w = t - {n} THEN LAG({c}, {n}) OVER w END"
+
+
+def year_of(c: str) -> str:
+    return f"CASE WHEN freq = 'Q' THEN {lag_of(c, 4)} ELSE {lag_of(c, 1)} END"
+
+
+SEC = {
+    "swide": "SELECT ticker, freq, t, " + ", ".join(f"{'ABS(' if n in O.COSTS else '('}SUM(value) FILTER (WHERE item = '{n}')) AS {n}" for n in SECURITIES) + " FROM securities_items GROUP BY ALL",
+    "sder": "SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in O.DERIVED.items()) + " FROM swide",
+    "swin": "SELECT *, " + ", ".join(f"CASE WHEN freq = 'Y' THEN {c} WHEN LAG(t, 3) OVER w = t - 3 AND COUNT({c}) OVER (w ROWS 3 PRECEDING) = 4 THEN SUM({c}) OVER (w ROWS 3 PRECEDING) END AS {c}_ttm".replace("(w ROWS", f"({PER} ROWS") for c in O.SUMMED) + ", " + ", ".join(f"({c} + COALESCE({year_of(c)}, {c})) / 2 AS {c}_avg" for c in O.AVERAGED) + ", " + ", ".join(f"{year_of(c)} AS {c}_year" for c in O.COMPARED) + f", {lag_of('margin_book', 1)} AS margin_book_last FROM sder WINDOW w AS ({PER})",
+    "srat": "SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in O.SECURITIES_RATIOS.items()) + " FROM swin",
+}
+SHOWN = [*O.DERIVED, *[f"{c}_ttm" for c in O.SUMMED], *O.SECURITIES_RATIOS]
+
+
+@add("win7_securities_ratios", sql("SELECT ticker, freq, t, " + ", ".join(f"{rsql(c)} AS {c}" for c in SHOWN) + " FROM srat", **SEC))
+def win7_securities(s, d):
+    """Eleven derived figures, fifteen trailing sums and twenty-nine ratios, of quarters and years."""
+    return O.securities_ratios(securities_items(s, d), SECURITIES).select("ticker", "freq", "t", *[rounded(c).alias(c) for c in SHOWN])
+
+
+SUMMARY = {"sum_equity": "SUM(equity)", "sum_total_assets": "SUM(total_assets)", "sum_margin_book": "SUM(margin_book)", "sum_npat_ttm": "SUM(npat_ttm)", "sum_op_revenue_ttm": "SUM(op_revenue_ttm)", "med_roe": "MEDIAN(roe)", "med_leverage": "MEDIAN(leverage)", "med_net_margin": "MEDIAN(net_margin)", "med_cir": "MEDIAN(cir)", "ind_roe_ttm": "100 * " + div("SUM(npat_ttm)", "SUM(equity)"), "ind_margin_to_equity": "100 * " + div("SUM(margin_book)", "SUM(equity)"), "ind_net_margin_ttm": "100 * " + div("SUM(npat_ttm)", "SUM(op_revenue_ttm)")}
+
+
+@add("agg30_securities_summary", sql("SELECT freq, t, COUNT(DISTINCT ticker) AS companies, " + ", ".join(f"{rsql(e)} AS {n}" for n, e in SUMMARY.items()) + " FROM srat GROUP BY ALL", **SEC))
+def agg30_securities(s, d):
+    out = O.securities_summary(O.securities_ratios(securities_items(s, d), SECURITIES))
+    return out.select("freq", "t", "companies", *[rounded(c).alias(c) for c in SUMMARY])
+
+
+@add("agg30_size_classes", sql(f"SELECT ticker, t, {rsql('equity')} AS equity, CASE WHEN equity <= (SELECT QUANTILE_CONT(equity, 0.33) FROM lst) THEN 'small' WHEN equity <= (SELECT QUANTILE_CONT(equity, 0.66) FROM lst) THEN 'medium' ELSE 'large' END AS size FROM lst", **SEC, lst="SELECT ticker, MAX(t) AS t, MAX_BY(equity, t) AS equity FROM srat WHERE freq = 'Q' AND equity IS NOT NULL GROUP BY 1"))
+def agg30_sizes(s, d):
+    return O.size_classes(O.securities_ratios(securities_items(s, d), SECURITIES)).withColumn("equity", rounded("equity"))
+
+
 @add("mod7_metric_formulas", sql(f"SELECT ticker, t, {rsql('c_ttm - d_ttm')} AS profit, {rsql(div('c_ttm', 'a_mean'))} AS yield, {rsql(div(f'a - {lag_sql(chr(97), 4)}', f'ABS({lag_sql(chr(97), 4)})'))} AS asset_growth FROM base WINDOW w AS ({TICK})", wide=WIDE, base=BASE))
 def mod7(s, d):
     formulas = {"profit": "ttm(c) - ttm(d)", "yield": "try_divide(ttm(c), avg(a))", "asset_growth": "try_divide(a - lag(a), abs(lag(a)))"}
@@ -136,6 +177,18 @@ def agg52(s, d):
     return out.select("ticker", "item", "year", *[rounded(c).alias(c) for c in ("q1", "q2", "q3", "q4", "total")])
 
 
+@add("agg52_blank_feed", sql("SELECT ticker, item, year, " + ", ".join(f"{rsql(f'SUM(value) FILTER (WHERE quarter = {q})')} AS q{q}" for q in (1, 2, 3, 4)) + f", {rsql('SUM(value)')} AS total FROM (SELECT * FROM facts WHERE (ticker + t) % 5 <> 0) GROUP BY ALL"))
+def agg52_blank(s, d):
+    out = O.statement_feed(facts(s, d).where((F.col("ticker") + F.col("t")) % 5 != 0), [1, 2, 3, 4], blank=True)
+    return out.select("ticker", "item", "year", *[rounded(c).alias(c) for c in ("q1", "q2", "q3", "q4", "total")])
+
+
+@add("agg52_ticker_statement", sql("SELECT item, " + ", ".join(f"{rsql(f'SUM(value) FILTER (WHERE t = {t})')} AS p{t}" for t in range(7984, 7992)) + " FROM facts WHERE ticker = 3 GROUP BY item"))
+def agg52_ticker(s, d):
+    periods = list(range(7984, 7992))
+    return O.ticker_statement(facts(s, d), 3, periods).select("item", *[rounded(F.col(str(t))).alias(f"p{t}") for t in periods])
+
+
 @add("agg51_market_drivers", sql(f"SELECT CAST(YEAR(date) * 4 + QUARTER(date) - 1 AS INT) AS t, {rsql('CASE WHEN COUNT(*) >= 40 THEN SUM(v) END')} AS total, {rsql('AVG(v)')} AS mean, COUNT(*) AS sessions, {rsql('MAX_BY(v, date)')} AS last FROM m WHERE v BETWEEN 0.5 * m AND 2 * m GROUP BY 1", m="SELECT date, v, MEDIAN(v) OVER (ORDER BY date ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING) AS m FROM (SELECT date, SUM(value) AS v FROM bars GROUP BY date)"))
 def agg51(s, d):
     out = O.market_drivers(bars(s, d), 40)

@@ -70,6 +70,39 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summed.withColumn("t", F.col("year") * 4 + F.col("quarter") - 1)
 
 
+#: Items of securities statements, as they are numbered in `securities_items`.
+SECURITIES = (
+    "total_assets equity equity_parent charter_capital cash loans margin_loans fvtpl afs_st htm_st st_borrow st_bonds lt_borrow lt_bonds op_revenue fin_income brokerage_rev brokerage_cost "
+    "loan_income fvtpl_gain fvtpl_loss underwriting_rev advisory_rev fin_advisory_rev interest_expense provision_borrow_cost op_cost selling_exp ga_exp pbt npat npat_parent oci_afs trading_value_investors"
+).split()
+
+
+def securities_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ticker, freq (Q or Y), t, item, value: an item is a priority, segment and status of orders; costs are negative, some cells are missing. Years are sums of quarters; t numbers the periods of a frequency."""
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    day, key = F.col("o_orderdate"), F.col("o_orderkey")
+    number = (key % len(SECURITIES)).cast("int")
+    item = F.element_at(F.array(*[F.lit(n) for n in SECURITIES]), number + 1)
+    signed = F.when(item.rlike("cost|loss|exp"), -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
+    placed = orders.join(customer, orders.o_custkey == customer.c_custkey).select(F.col("c_nationkey").alias("ticker"), item.alias("item"), F.year(day).alias("year"), (F.year(day) * 4 + F.quarter(day) - 1).alias("q"), signed.alias("value"))
+    quarters = placed.groupBy("ticker", F.lit("Q").alias("freq"), F.col("q").alias("t"), "item").agg(F.sum("value").alias("value"))
+    return quarters.unionByName(placed.groupBy("ticker", F.lit("Y").alias("freq"), F.col("year").alias("t"), "item").agg(F.sum("value").alias("value")))
+
+
+def valued_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """symbol, sector, date, close, cap, earnings, book: earnings are missing in one year of seven, book values before a symbol's first season."""
+    joined = bars(spark, sf_dir).join(instruments(spark, sf_dir), "symbol").join(fundamentals(spark, sf_dir).select("symbol", F.coalesce("earnings", F.lit(5e5)).alias("e"), F.coalesce("book", F.lit(2e7)).alias("b")), "symbol")
+    year, live = F.year("date"), F.col("date") >= F.date_add(F.lit("1995-01-01").cast("date"), ((F.col("symbol") * 37) % 400).cast("int"))
+    return joined.select("symbol", "sector", "date", "close", (F.col("close") * F.col("shares")).alias("cap"), F.when((F.col("symbol") + year) % 7 != 0, F.col("e") * (year - 1990)).alias("earnings"), F.when(live, F.col("b") * (year - 1990)).alias("book"))
+
+
+def official_turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """exchange, date, value: what the venues say, a little more than their bars; not on the 10th, 20th and 30th, nor by ASIA in a month's first days."""
+    day = F.dayofmonth("date")
+    daily = bars(spark, sf_dir).join(instruments(spark, sf_dir), "symbol").groupBy("exchange", "date").agg((F.sum("value") * 1.02).alias("value"))
+    return daily.where((day % 10 != 0) & ~((F.col("exchange") == "ASIA") & (day <= 3)))
+
+
 def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = F.trunc("o_orderdate", "month")
     return table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("currency"), month.alias("date")).agg((F.avg("o_totalprice") / 1000).alias("rate"))
@@ -138,6 +171,9 @@ SQL = {
     "tranches": "SELECT s_suppkey % 10 AS lot, s_suppkey AS symbol, CAST(DATE '1995-06-30' + TO_MONTHS(CAST(6 * k AS INT)) AS DATE) AS entry, (k + 1) * 100.0::DOUBLE AS invested FROM supplier, RANGE(3) g(k)",
     "flows": "SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS date, SUM(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0 END) AS buy_val, SUM(CASE WHEN l_returnflag = 'A' THEN l_extendedprice ELSE 0 END) AS sell_val, SUM(l_extendedprice) AS total_value FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)",
     "facts": "SELECT c_nationkey AS ticker, o_orderpriority AS item, CAST(YEAR(o_orderdate) AS INT) AS year, CAST(QUARTER(o_orderdate) AS INT) AS quarter, CAST(YEAR(o_orderdate) * 4 + QUARTER(o_orderdate) - 1 AS INT) AS t, SUM(o_totalprice) AS value FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL",
+    "securities_items": "SELECT ticker, 'Q' AS freq, q AS t, item, SUM(value) AS value FROM (SELECT c_nationkey AS ticker, CAST(YEAR(o_orderdate) AS INT) AS y, CAST(YEAR(o_orderdate) * 4 + QUARTER(o_orderdate) - 1 AS INT) AS q, item, CASE WHEN REGEXP_MATCHES(item, 'cost|loss|exp') THEN -o_totalprice ELSE o_totalprice END AS value FROM (SELECT *, ([" + ", ".join(f"'{n}'" for n in SECURITIES) + "])[1 + o_orderkey % " + str(len(SECURITIES)) + "] AS item FROM orders JOIN customer ON o_custkey = c_custkey)) GROUP BY ALL UNION ALL SELECT c_nationkey, 'Y', CAST(YEAR(o_orderdate) AS INT), item, SUM(CASE WHEN REGEXP_MATCHES(item, 'cost|loss|exp') THEN -o_totalprice ELSE o_totalprice END) FROM (SELECT *, ([" + ", ".join(f"'{n}'" for n in SECURITIES) + "])[1 + o_orderkey % " + str(len(SECURITIES)) + "] AS item FROM orders JOIN customer ON o_custkey = c_custkey) GROUP BY ALL",
+    "valued_bars": "SELECT b.symbol, i.sector, b.date, b.close, b.close * i.shares AS cap, CASE WHEN (b.symbol + YEAR(b.date)) % 7 <> 0 THEN COALESCE(f.earnings, 5e5) * (YEAR(b.date) - 1990) END AS earnings, CASE WHEN b.date >= DATE '1995-01-01' + CAST((b.symbol * 37) % 400 AS INT) THEN COALESCE(f.book, 2e7) * (YEAR(b.date) - 1990) END AS book FROM bars b JOIN instruments i ON i.symbol = b.symbol JOIN fundamentals f ON f.symbol = b.symbol",
+    "official_turnover": "SELECT exchange, date, SUM(value) * 1.02 AS value FROM bars JOIN instruments USING (symbol) WHERE DAY(date) % 10 <> 0 AND NOT (exchange = 'ASIA' AND DAY(date) <= 3) GROUP BY ALL",
     "fx": "SELECT o_orderstatus AS currency, CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS date, AVG(o_totalprice) / 1000 AS rate FROM orders GROUP BY ALL",
     "port_events": "SELECT event_id, user_id AS ship_key, ts, CASE event_type WHEN 'view' THEN 'arrive' WHEN 'click' THEN 'shift' WHEN 'purchase' THEN 'depart' ELSE 'pass' END AS section, CAST(event_id % 7 AS INT) AS place_from, CAST(event_id % 11 AS INT) AS place_to, value AS dwt FROM events",
     "ticks": "SELECT user_id AS symbol, ts, value AS price FROM events WHERE event_type IN ('click', 'purchase')",
@@ -156,7 +192,15 @@ def sql(body: str, **ctes: str) -> str:
     import re
 
     text = " ".join([body, *ctes.values()])
-    used = [f"{name} AS ({SQL[name]})" for name in SQL if re.search(rf"\b{name}\b", text)]
+    named: set[str] = set()
+    # Views that a view names come along, before it.
+    while more := {name for name in SQL if name not in named and re.search(rf"\b{name}\b", text)}:
+        named |= more
+        text = " ".join(SQL[name] for name in more)
+    order: list[str] = []
+    while rest := [name for name in SQL if name in named and name not in order]:
+        order += [name for name in rest if not any(o != name and re.search(rf"\b{o}\b", SQL[name]) for o in rest)]
+    used = [f"{name} AS ({SQL[name]})" for name in order]
     parts = used + [f"{name} AS ({q})" for name, q in ctes.items()]
     return (f"WITH {', '.join(parts)} " if parts else "") + body
 
