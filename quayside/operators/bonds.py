@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .clean import trimmed
-from .temporal import interpolated
+from .temporal import asof_join, interpolated
 
 
 def issuers(lots: DataFrame, as_of: str) -> DataFrame:
@@ -90,6 +90,25 @@ def with_yields(lots: DataFrame, trades: DataFrame, steps: int = 60, low: float
     return flows.withColumns({"ytm": solved(F.col("flows.t"), F.col("flows.cf"), F.col("price").cast("double")), "years": years}).drop("flows")
 
 
+def judged_yields(yields: DataFrame, curves: DataFrame, kind: Column, method: Column) -> DataFrame:
+    """Yields with their spread over a curve in basis points, how far they can be trusted, and notes.
+
+    `curves` has (curve_date, pts: sorted (x, y) in years and per cent); a trade takes the last curve up to its day, at its
+    remaining years. Floating and mixed coupons (`kind`) use the first coupon as a proxy; they and unusual ways of payment
+    (`method` other) are trusted fairly only. Yields beyond 0 to 40 per cent and prices beyond 50 to 250 are outliers.
+    """
+    key = F.lit(1).alias("_k")
+    days = yields.select("date").distinct().select("*", key)
+    known = asof_join(days, curves.select("*", key), "_k", "date", "curve_date", ["pts"], piece_days=366).select("date", "pts")
+    joined = yields.join(known, "date", "left")
+    spot = F.when(F.col("pts").isNotNull(), interpolated(F.col("pts"), F.col("years")))
+    percent = 100 * F.col("ytm")
+    proxy = kind.isin("floating", "mixed")
+    outlier = ~percent.between(0.0, 40.0) | ~F.col("price").between(50.0, 250.0)
+    notes = F.concat_ws(";", F.when(F.col("ytm").isNull(), "unsolved").when(outlier, "outlier"), F.when(proxy, "first_coupon_proxy"))
+    return joined.withColumns({"spot": spot, "spread_bps": 100 * (percent - spot), "confidence": F.when(proxy | (method == "other"), "fair").otherwise("high"), "notes": notes}).drop("pts")
+
+
 def tenor_bucket(years: Column) -> Column:
     return F.when(years < 1, "<1").when(years < 2, "1-2").when(years < 3, "2-3").when(years < 5, "3-5").otherwise("5+")
 

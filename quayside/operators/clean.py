@@ -32,16 +32,17 @@ def corrected(df: DataFrame, fixes: DataFrame, keys: list[str], value: str) -> D
     return joined.withColumn("fixed", F.coalesce(same, F.lit(False))).withColumn(value, F.when(F.col("fixed"), F.col("right")).otherwise(F.col(value))).drop("wrong", "right")
 
 
-def unit_errors(facts: DataFrame, keys: list[str], t: str, value: str, low: float = 500, high: float = 5000, flag: float = 30) -> DataFrame:
-    """Values a thousand times the median of both adjacent periods: repaired from `low` to `high`, else flagged.
+def unit_errors(facts: DataFrame, keys: list[str], t: str, value: str, low: float = 500, high: float = 5000, flag: float = 30, least: float = 100, absurd: float = 100_000) -> DataFrame:
+    """Values a thousand times the median of both adjacent periods: repaired from `low` to `high` times, and from 100 times on if they reach
+    the `absurd` level; flagged from `flag` times on. Values below `least` are left alone.
 
     The neighbours must be the periods right before and after; the first and last periods stay untouched.
     """
     w = Window.partitionBy(*keys).orderBy(t)
     adjacent = (F.lag(t).over(w) == F.col(t) - 1) & (F.lead(t).over(w) == F.col(t) + 1)
     base = (F.abs(F.lag(value).over(w)) + F.abs(F.lead(value).over(w))) / 2
-    ratio = F.when(adjacent & (base > 0), F.abs(value) / base)
-    what = F.when(ratio.between(low, high), "fixed").when(ratio >= flag, "review").otherwise("ok")
+    ratio = F.when(adjacent & (base > 0) & (F.abs(value) >= least), F.abs(value) / base)
+    what = F.when(ratio.between(low, high) | ((ratio >= 100) & (F.abs(value) >= absurd)), "fixed").when(ratio >= flag, "review").otherwise("ok")
     return facts.withColumn("ratio", ratio).withColumn("what", what).withColumn("value_fixed", F.when(F.col("what") == "fixed", F.col(value) / 1000).otherwise(F.col(value)))
 
 

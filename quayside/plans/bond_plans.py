@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import bonds as O
+from .join_plans import CURVE, curve
+from ..sources.views import SQL as VIEWS
 from ..sources.views import fx, lots, rounded, rsql, sql, table, trades
 
 Q, S = {}, {}
@@ -67,6 +69,21 @@ def mod6(s, d):
     return O.with_yields(lots(s, d), trades(s, d)).select("lot", "line", "date", rounded("ytm", 6).alias("ytm"), rounded("years", 6).alias("years"))
 
 
+SPREAD = """, fx AS ({fx}), cv AS ({cv}), yl AS (SELECT c.*, (lo + hi) / 2 AS ytm FROM cfs c LEFT JOIN (SELECT * FROM b WHERE i = 60) x ON x.lot = c.lot AND x.line = c.line AND x.date = c.date AND x.price = c.price AND x.traded = c.traded),
+sp AS (SELECT *, LIST_FILTER(pts, lambda p: p.x <= years)[-1] AS a, LIST_FILTER(pts, lambda p: p.x > years)[1] AS z FROM (SELECT yl.*, cv.pts FROM yl ASOF LEFT JOIN cv ON yl.date >= cv.date)),
+st AS (SELECT *, CASE WHEN z.x IS NULL THEN a.y WHEN a.x IS NULL THEN z.y ELSE a.y + (z.y - a.y) * (years - a.x) / (z.x - a.x) END AS spot FROM sp)
+SELECT lot, line, date, {spread} AS spread_bps, CASE WHEN lot % 4 < 2 OR lot % 3 = 0 THEN 'fair' ELSE 'high' END AS confidence, CONCAT_WS(';', CASE WHEN ytm IS NULL THEN 'unsolved' WHEN NOT (ytm * 100 BETWEEN 0 AND 40 AND price BETWEEN 50 AND 250) THEN 'outlier' END, CASE WHEN lot % 4 < 2 THEN 'first_coupon_proxy' END) AS notes FROM st"""
+
+
+@add("mod6_spreads", recursive(SPREAD.format(fx=VIEWS["fx"], cv=CURVE["cv"], spread=rsql("(ytm * 100 - spot) * 100", 2))))
+def mod6_spreads(s, d):
+    """Spreads over the curve of JN12, with what is to be thought of each yield."""
+    kind = F.when(F.col("lot") % 4 == 0, "floating").when(F.col("lot") % 4 == 1, "mixed").otherwise("fixed")
+    method = F.when(F.col("lot") % 3 == 0, "other").otherwise("periodic")
+    out = O.judged_yields(O.with_yields(lots(s, d), trades(s, d)), curve(s, d).withColumnRenamed("date", "curve_date"), kind, method)
+    return out.select("lot", "line", "date", rounded("spread_bps", 2).alias("spread_bps"), "confidence", "notes")
+
+
 def curves(s, d):
     sector = F.concat(F.lit("s"), (F.col("issuer") % 3).cast("string"))
     yields = O.with_yields(lots(s, d), trades(s, d)).withColumn("sector", sector)

@@ -60,14 +60,14 @@ def cln7(s, d):
     return O.corrected(f, fixes, ["ticker", "item", "t"], "value").select("ticker", "item", "t", "fixed", rounded("value").alias("value"))
 
 
-UNIT = {"e": "SELECT ticker, item, t, CASE WHEN (ticker + t) % 17 = 0 THEN value * 1000 WHEN (ticker + t) % 19 = 0 THEN value * 60 ELSE value END AS value FROM facts", "r": "SELECT *, CASE WHEN LAG(t) OVER w = t - 1 AND LEAD(t) OVER w = t + 1 THEN ABS(value) / NULLIF((ABS(LAG(value) OVER w) + ABS(LEAD(value) OVER w)) / 2, 0) END AS ratio FROM e WINDOW w AS (PARTITION BY ticker, item ORDER BY t)"}
+UNIT = {"e": "SELECT ticker, item, t, CASE WHEN (ticker + t) % 17 = 0 THEN value * 1000 WHEN (ticker + t) % 19 = 0 THEN value * 200 WHEN (ticker + t) % 23 = 0 THEN value * 60 ELSE value END AS value FROM facts", "r": "SELECT *, CASE WHEN LAG(t) OVER w = t - 1 AND LEAD(t) OVER w = t + 1 AND ABS(value) >= 100 THEN ABS(value) / NULLIF((ABS(LAG(value) OVER w) + ABS(LEAD(value) OVER w)) / 2, 0) END AS ratio FROM e WINDOW w AS (PARTITION BY ticker, item ORDER BY t)", "f": "SELECT *, ratio BETWEEN 500 AND 5000 OR (ratio >= 100 AND ABS(value) >= 1e8) AS fix FROM r"}
 
 
-@add("cln8_unit_errors", sql("SELECT ticker, item, t, CASE WHEN ratio BETWEEN 500 AND 5000 THEN 'fixed' WHEN ratio >= 30 THEN 'review' ELSE 'ok' END AS what, " + rsql("CASE WHEN ratio BETWEEN 500 AND 5000 THEN value / 1000 ELSE value END") + " AS value_fixed FROM r", **UNIT))
+@add("cln8_unit_errors", sql("SELECT ticker, item, t, CASE WHEN fix THEN 'fixed' WHEN ratio >= 30 THEN 'review' ELSE 'ok' END AS what, " + rsql("CASE WHEN fix THEN value / 1000 ELSE value END") + " AS value_fixed FROM f", **UNIT))
 def cln8(s, d):
     k = F.col("ticker") + F.col("t")
-    e = facts(s, d).withColumn("value", F.when(k % 17 == 0, F.col("value") * 1000).when(k % 19 == 0, F.col("value") * 60).otherwise(F.col("value")))
-    return O.unit_errors(e, ["ticker", "item"], "t", "value").select("ticker", "item", "t", "what", rounded("value_fixed").alias("value_fixed"))
+    e = facts(s, d).withColumn("value", F.when(k % 17 == 0, F.col("value") * 1000).when(k % 19 == 0, F.col("value") * 200).when(k % 23 == 0, F.col("value") * 60).otherwise(F.col("value")))
+    return O.unit_errors(e, ["ticker", "item"], "t", "value", absurd=1e8).select("ticker", "item", "t", "what", rounded("value_fixed").alias("value_fixed"))
 
 
 @add("cln9_holdings_volume", sql("SELECT l_orderkey, l_linenumber, " + rsql("CASE WHEN stated <= 0 OR GREATEST(stated, implied) > 1.01 * LEAST(stated, implied) THEN implied ELSE stated END") + " AS volume FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 3 = 0 THEN l_quantity * 10 ELSE l_quantity END AS stated, ABS((l_extendedprice + l_quantity) - l_extendedprice) AS implied FROM lineitem)"))

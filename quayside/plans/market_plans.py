@@ -214,11 +214,11 @@ def agg5_without(s, d):
     """The market without the names of two nations, with earnings and book values."""
     members = valued_bars(s, d).where(F.col("sector").isin("CHINA", "JAPAN")).withColumnRenamed("symbol", "code")
     out = M.valuation_without(market(s, d), members)
-    return out.select("date", "names", *[rounded(c).alias(c) for c in ("cap_ex", "pe_ex", "pb_ex", "roe", "roe_ex", "share")])
+    return out.select("date", "names", rounded(F.col("cap_ex") / 1e6).alias("cap_ex"), *[rounded(c).alias(c) for c in ("pe_ex", "pb_ex", "roe", "roe_ex", "share")])
 
 
 add("agg5_valuation_without", agg5_without, sql(
-    "SELECT date, names, " + ", ".join(f"{rsql(e)} AS {n}" for n, e in {"cap_ex": "cap - c", "pe_ex": "(cap - c) / NULLIF(earnings - e, 0)", "pb_ex": "(cap - c) / NULLIF(book - b, 0)", "roe": "earnings / NULLIF(book, 0)", "roe_ex": "(earnings - e) / NULLIF(book - b, 0)", "share": "c / cap"}.items()) + " FROM jx",
+    "SELECT date, names, " + ", ".join(f"{rsql(e)} AS {n}" for n, e in {"cap_ex": "(cap - c) / 1e6", "pe_ex": "(cap - c) / NULLIF(earnings - e, 0)", "pb_ex": "(cap - c) / NULLIF(book - b, 0)", "roe": "earnings / NULLIF(book, 0)", "roe_ex": "(earnings - e) / NULLIF(book - b, 0)", "share": "c / cap"}.items()) + " FROM jx",
     mk=MARKET, mem="SELECT * FROM valued_bars WHERE sector IN ('CHINA', 'JAPAN')", liv="SELECT symbol, MIN(date) AS f FROM mem WHERE book IS NOT NULL GROUP BY 1",
     ex="SELECT date, COUNT(*) AS names, SUM(cap) AS c, CASE WHEN COUNT(*) = COUNT(earnings) THEN SUM(earnings) END AS e, CASE WHEN COUNT(*) = COUNT(book) THEN SUM(book) END AS b FROM mem JOIN liv USING (symbol) WHERE date >= f GROUP BY date",
     jx="SELECT mk.*, COALESCE(names, 0) AS names, COALESCE(c, 0) AS c, CASE WHEN names IS NULL THEN 0 ELSE e END AS e, CASE WHEN names IS NULL THEN 0 ELSE b END AS b FROM mk LEFT JOIN ex USING (date)"))
