@@ -117,12 +117,14 @@ def spelled(word: Column, side: Column) -> Column:
 
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Edges `node, label, child, ends` (the word that ends at the child, or null), `next` (the letters that go on there), and where searches begin: `word, side, rest, node`."""
-    read = prefixes(words)
-    letters = read.select("word", "side", F.posexplode("nodes").alias("at", "node"))
-    marked = letters.join(branchings(words), "node", "left_semi").groupBy("word", "side").agg(F.array_sort(F.collect_list(F.struct("at", "node"))).alias("marks"))
+    # Rows per letter carry 128 bits of a word, not the word, so a long one doesn't cost its square.
+    name = ["last", "own", "side"]
+    read = prefixes(words).withColumns({"last": F.element_at("nodes", -1), "own": F.xxhash64("word")})
+    letters = read.select(*name, F.posexplode("nodes").alias("at", "node"))
+    marked = letters.join(branchings(words), "node", "left_semi").groupBy(*name).agg(F.array_sort(F.collect_list(F.struct("at", "node"))).alias("marks"))
     length = F.char_length("word")
-    ends = read.select("word", "side", F.element_at("nodes", -1).alias("last"), F.element_at("nodes", 1).alias("first"))
-    stops = ends.join(marked, ["word", "side"], "left").withColumn("marks", F.coalesce("marks", F.array().cast("array<struct<at:int,node:bigint>>")))
+    ends = read.select("word", *name, F.element_at("nodes", 1).alias("first"))
+    stops = ends.join(marked, name, "left").withColumn("marks", F.coalesce("marks", F.array().cast("array<struct<at:int,node:bigint>>")))
     # The root and a word's own end are stops, branching or not.
     around = F.array_distinct(F.concat(F.array(F.struct(F.lit(0).alias("at"), F.col("first").alias("node"))), "marks", F.array(F.struct(length.cast("int").alias("at"), F.col("last").alias("node")))))
     stops = durable(stops.select("word", "side", spelled(F.col("word"), F.col("side")).alias("text"), around.alias("stops")))
