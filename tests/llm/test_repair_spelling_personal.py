@@ -223,8 +223,8 @@ def test_personal_data_against_the_patterns(spark, sf):
 
 
 ODD = [
-    (1, None), (2, ""), (3, "a@b.c@d.e +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 1.2.3.4.5.6.7.8 999.1.1.1 0001.02.3.4"), (4, "1" * 5000 + " 4111 1111 1111 1111 4111-1111-1111-1112"), (5, "x" * 100_000 + "@" + "y" * 100_000),
-    (6, "+" * 3000 + "1 " * 3000), (7, "caf\u00e9 @ \u00e9a@b.c \u0661\u0662 +\u0661 +49 (30) 1234-5678 😀 8.8.8.8"), (7, "a@b.c"), (7, "a@b.c"), (None, "a@b.c"), (8, "1.1.1." * 30_000),
+    (1, None), (2, ""), (3, "a@b.c@d.e +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 1.2.3.4.5.6.7.8 999.1.1.1 0001.02.3.4"), (4, "1" * 5000 + " 4111 1111 1111 1111 4111-1111-1111-1112"), (5, "x" * 3000 + "@" + "y" * 3000),
+    (6, "+" * 3000 + "1 " * 3000), (7, "caf\u00e9 @ \u00e9a@b.c \u0661\u0662 +\u0661 +49 (30) 1234-5678 😀 8.8.8.8"), (7, "a@b.c"), (7, "a@b.c"), (None, "a@b.c"), (8, "1.1.1." * 3000),
 ]
 
 
