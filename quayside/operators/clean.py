@@ -18,7 +18,7 @@ def repaired(df: DataFrame, key: str, value: str, low: float, high: float) -> Da
     return df.join(medians, key, "left").withColumn("repaired", F.when(good, F.col(value)).otherwise(F.col("_median"))).drop("_median")
 
 
-def despiked(df: DataFrame, key: str, order: str, value: str, tolerance: float) -> DataFrame:
+def despiked(df: DataFrame, key: str | list[str], order: str, value: str, tolerance: float) -> DataFrame:
     """Without the points that deviate by more than `tolerance` from both neighbours."""
     w = Window.partitionBy(key).orderBy(order)
     spike = [F.abs(F.try_divide(F.col(value), f(value).over(w)) - 1) > tolerance for f in (F.lag, F.lead)]

@@ -167,6 +167,26 @@ def period_compare(rows: DataFrame, entity: str, date: str, value: str, as_of: s
     return rows.groupBy(entity).agg(part(F.date_sub(day, n), day).alias("now"), part(F.date_sub(day, 2 * n), F.date_sub(day, n)).alias("before"), part(F.date_sub(year, n), year).alias("year_ago"))
 
 
+def period_kpis(visits: DataFrame, group: str, day: str, measures: list[str], hours: str, ship: str, as_of: str, n: int = 30) -> DataFrame:
+    """Per group: each measure's sum over the last n days, the n before and the same n of 365 days ago, with both changes (null against
+    zero); median hours of the first two with their difference; and the different ships of the last n days.
+
+    A median holds one counter per different value of a group.
+    """
+    end = F.date_add(F.lit(as_of).cast("date"), 1)
+
+    def within(ago: int) -> Column:
+        return (F.col(day) >= F.date_sub(end, ago + n)) & (F.col(day) < F.date_sub(end, ago))
+
+    spans = {"now": within(0), "before": within(n), "year_ago": within(365)}
+    sums = [F.coalesce(F.sum(F.when(w, F.col(m))), F.lit(0.0)).alias(f"{m}_{s}") for m in measures for s, w in spans.items()]
+    medians = [F.median(F.when(spans[s], F.col(hours))).alias(f"hours_{s}") for s in ("now", "before")]
+    ships = F.countDistinct(F.when(spans["now"], F.col(ship))).alias("ships")
+    per = visits.where(spans["now"] | spans["before"] | spans["year_ago"]).groupBy(group).agg(*sums, *medians, ships)
+    changes = {f"{m}_{c}": F.try_divide(F.col(f"{m}_now") - F.col(f"{m}_{s}"), F.col(f"{m}_{s}")) for m in measures for c, s in (("change", "before"), ("yearly", "year_ago"))}
+    return per.withColumns(changes | {"hours_change": F.col("hours_now") - F.col("hours_before")})
+
+
 def running_yoy(rows: DataFrame, date: str, value: str, as_of: str) -> DataFrame:
     """Yearly totals against the year before, the running year against the same number of its days."""
     day = F.lit(as_of).cast("date")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .temporal import asof_join, guarded_lag, trailing_sum
+from .temporal import asof_join, filled, guarded_lag, trailing_sum
 
 
 def wide_items(facts: DataFrame, keys: list[str], items: dict[str, str]) -> DataFrame:
@@ -232,6 +232,40 @@ def market_drivers(bars: DataFrame, least_sessions: int) -> DataFrame:
     return per.withColumn("total", F.when(F.col("sessions") >= least_sessions, F.col("total")))
 
 
+def traded_by_quarter(values: DataFrame) -> DataFrame:
+    """Per venue and quarter of (venue, date, value): turnover, its mean per session, and the sessions; days without any don't count."""
+    quarter = (F.year("date") * 4 + F.quarter("date") - 1).alias("t")
+    return values.where("value > 0").groupBy("venue", quarter).agg(F.sum("value").alias("total"), F.avg("value").alias("mean"), F.count("*").alias("sessions"))
+
+
+def driver_series(flows: DataFrame, rates: DataFrame, caps: DataFrame, known: DataFrame, held: tuple[str, ...], least_sessions: int = 50) -> DataFrame:
+    """Drivers by quarter as (series, t, value).
+
+    `flow_net` sums (date, net), in quarters of `least_sessions` at least; `flow_year` sums four of them. Rates (series, date, source, value) count once
+    a day, by the last source's name, in percent: their mean, or for series in `held` the last one, carried on into quarters
+    without any. `cap` is the last of (date, cap) in a quarter that lies within half and twice the centred median of 21
+    sessions, of which 5 must be there. Fixed history `known` (series, t, value) fills what is missing.
+    """
+    quarter = (F.year("date") * 4 + F.quarter("date") - 1).alias("t")
+    net = flows.groupBy(quarter).agg(F.sum("net").alias("value"), F.count("*").alias("_n")).where(F.col("_n") >= least_sessions).select(F.lit("flow_net").alias("series"), "t", "value")
+    year = net.select(F.lit("flow_year").alias("series"), "t", trailing_sum("value", ["series"], "t").alias("value")).where("value IS NOT NULL")
+    once = rates.where("value IS NOT NULL").groupBy("series", "date").agg((F.max_by("value", "source") / 100).alias("value"))
+    per = once.groupBy("series", quarter).agg(F.avg("value").alias("_mean"), F.max_by("value", "date").alias("_last"))
+    means = per.where(~F.col("series").isin(*held)).select("series", "t", F.col("_mean").alias("value"))
+    lives = per.where(F.col("series").isin(*held)).groupBy("series").agg(F.min("t").alias("_a"), F.max("t").alias("_b"))
+    whole = lives.select("series", F.explode(F.sequence("_a", "_b")).alias("t")).join(per.select("series", "t", "_last"), ["series", "t"], "left")
+    lasts = whole.select("series", "t", filled("_last", "series", "t").alias("value"))
+    # A frame's values are sorted as an array of 21 at most, as a median takes no frame.
+    near = F.array_sort(F.collect_list("cap").over(Window.orderBy("date").rowsBetween(-10, 10)))
+    half = (F.size(near) + 1) / 2
+    median = F.when(F.size(near) >= 5, (F.element_at(near, F.floor(half).cast("int")) + F.element_at(near, F.ceil(half).cast("int"))) / 2)
+    sound = caps.where("cap IS NOT NULL").withColumn("_m", median).where((F.col("cap") > 0.5 * F.col("_m")) & (F.col("cap") < 2 * F.col("_m")))
+    cap = sound.groupBy(quarter).agg(F.max_by("cap", "date").alias("value")).select(F.lit("cap").alias("series"), "t", "value")
+    made = net.unionByName(year).unionByName(means).unionByName(lasts).unionByName(cap)
+    fixed = known.select("series", "t", F.col("value").alias("_fixed"))
+    return made.join(fixed, ["series", "t"], "full_outer").select("series", "t", F.coalesce("value", "_fixed").alias("value"))
+
+
 def report_order(facts: DataFrame, items: list[str]) -> DataFrame:
     """Rows with their place in the report: item order first, then time."""
     place = F.array_position(F.array(*[F.lit(i) for i in items]), F.col("item"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("market_plans", "table_plans", "clean_plans", "join_plans", "statement_plans", "bond_plans", "port_plans", "nowcast_plans", "text_plans", "property_plans", "live_plans")
+MODULES = ("market_plans", "table_plans", "clean_plans", "join_plans", "statement_plans", "bond_plans", "port_plans", "nowcast_plans", "text_plans", "property_plans", "live_plans", "investor_plans", "overlay_plans")
 
 
 def _all(which: str) -> dict:

@@ -61,6 +61,57 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.agg(F.sum(F.when(flag == "R", price).otherwise(0.0)).alias("buy_val"), F.sum(F.when(flag == "A", price).otherwise(0.0)).alias("sell_val"), F.sum(price).alias("total_value"))
 
 
+def foreign_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """code, date, buy_val, sell_val, net_match, total_value, owned: matched trades are those of finished lines; three days in four tell what is owned."""
+    price, flag, day = F.col("l_extendedprice"), F.col("l_returnflag"), F.col("l_shipdate").cast("date")
+    bought, sold = F.when(flag == "R", price).otherwise(0.0), F.when(flag == "A", price).otherwise(0.0)
+    daily = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("code"), day.alias("date"))
+    owned = F.when(F.dayofmonth("date") % 4 != 0, F.col("_owned"))
+    out = daily.agg(F.sum(bought).alias("buy_val"), F.sum(sold).alias("sell_val"), F.sum(F.when(F.col("l_linestatus") == "F", bought - sold)).alias("net_match"), F.sum(price).alias("total_value"), F.avg("l_tax").alias("_owned"))
+    return out.withColumn("owned", owned).drop("_owned")
+
+
+def house_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """code, date, buy_val, sell_val of brokers' own trades; only names they traded have rows."""
+    price, status = F.col("l_extendedprice"), F.col("l_linestatus")
+    own = table(spark, sf_dir, "lineitem").where("l_returnflag = 'N'").groupBy(F.col("l_suppkey").alias("code"), F.col("l_shipdate").cast("date").alias("date"))
+    return own.agg(F.sum(F.when(status == "O", price).otherwise(0.0)).alias("buy_val"), F.sum(F.when(status == "F", price).otherwise(0.0)).alias("sell_val"))
+
+
+def insider_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deals of insiders, one per line: those neither returned nor finished are only registered; a part has no value."""
+    day, volume = F.col("l_shipdate").cast("date"), F.col("l_quantity")
+    open_ = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")
+    buys = F.col("l_tax") >= 0.04
+    signed, plan = F.when(buys, volume).otherwise(-volume), F.ceil(volume / 10) * 10.0
+    number = F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("symbol"), F.concat(F.lit("P"), F.col("l_partkey")).alias("person"), F.when(number == 1, "chair").when(number == 2, "director").otherwise("").alias("role"), F.when(open_, "registered").otherwise("done").alias("kind"),
+        day.alias("announced"), F.date_add(day, 3).alias("from_day"), F.date_add(day, 33).alias("to_day"), F.when(buys, plan).otherwise(0.0).alias("plan_buy"), F.when(buys, 0.0).otherwise(plan).alias("plan_sell"),
+        F.when(~open_, F.date_add(day, 10)).alias("done_on"), F.when(~open_, F.when(buys, volume).otherwise(0.0)).alias("done_buy"), F.when(~open_, F.when(buys, 0.0).otherwise(volume)).alias("done_sell"),
+        F.when(~open_, signed).alias("net_volume"), F.when(~open_ & (F.col("l_discount") > 0), signed * F.col("l_extendedprice") / 1e5).alias("value"),
+    )
+
+
+def quarter_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """symbol, quarter_end, equity, profit: equity is missing in quarters of one trade."""
+    ends = F.last_day(F.add_months(F.trunc(F.col("l_shipdate").cast("date"), "quarter"), 2))
+    per = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("symbol"), ends.alias("quarter_end"))
+    return per.agg(F.when(F.count("*") > 1, 3 * F.sum("l_extendedprice")).alias("equity"), F.sum(F.col("l_extendedprice") * (F.col("l_discount") - 0.05)).alias("profit"))
+
+
+def rate_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """series, date, source, value in percent: one series has no quotes in the second and the fourth quarter."""
+    day = F.col("o_orderdate").cast("date")
+    quoted_ = table(spark, sf_dir, "orders").where((F.col("o_orderpriority") != "5-LOW") | (F.quarter(day) % 2 == 1))
+    return quoted_.groupBy(F.col("o_orderpriority").alias("series"), day.alias("date"), F.col("o_orderstatus").alias("source")).agg((F.avg("o_totalprice") / 1e5).alias("value"))
+
+
+def ship_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """terminal, ship, day, calls, teu, dwt, hours: a line is a visit."""
+    return table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("terminal"), F.col("l_partkey").alias("ship"), F.col("l_shipdate").cast("date").alias("day"), F.lit(1.0).alias("calls"), (F.col("l_quantity") * 100).alias("teu"), F.col("l_extendedprice").alias("dwt"), F.when(F.col("l_discount") > 0, F.col("l_tax") * 1200 + F.col("l_quantity")).alias("hours"))
+
+
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ticker, item, year, quarter, t, value; t numbers quarters without gaps."""
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
@@ -170,6 +221,12 @@ SQL = {
     "second_closes": "SELECT symbol, date, CASE WHEN YEAR(date) < 1998 THEN close / 2 ELSE close END AS close FROM (SELECT l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, SUM(l_extendedprice) / SUM(l_quantity) AS close FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)) WHERE symbol % 5 <> 0 AND date <= DATE '1999-12-31' AND MONTH(date) <> 1",
     "tranches": "SELECT s_suppkey % 10 AS lot, s_suppkey AS symbol, CAST(DATE '1995-06-30' + TO_MONTHS(CAST(6 * k AS INT)) AS DATE) AS entry, (k + 1) * 100.0::DOUBLE AS invested FROM supplier, RANGE(3) g(k)",
     "flows": "SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS date, SUM(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0 END) AS buy_val, SUM(CASE WHEN l_returnflag = 'A' THEN l_extendedprice ELSE 0 END) AS sell_val, SUM(l_extendedprice) AS total_value FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)",
+    "foreign_flows": "SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS date, SUM(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0 END) AS buy_val, SUM(CASE WHEN l_returnflag = 'A' THEN l_extendedprice ELSE 0 END) AS sell_val, SUM(CASE WHEN l_linestatus = 'F' THEN CASE l_returnflag WHEN 'R' THEN l_extendedprice WHEN 'A' THEN -l_extendedprice ELSE 0 END END) AS net_match, SUM(l_extendedprice) AS total_value, CASE WHEN DAY(CAST(l_shipdate AS DATE)) % 4 <> 0 THEN AVG(l_tax) END AS owned FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)",
+    "house_flows": "SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS date, SUM(CASE WHEN l_linestatus = 'O' THEN l_extendedprice ELSE 0 END) AS buy_val, SUM(CASE WHEN l_linestatus = 'F' THEN l_extendedprice ELSE 0 END) AS sell_val FROM lineitem WHERE l_returnflag = 'N' GROUP BY ALL",
+    "insider_deals": "SELECT symbol, person, role, CASE WHEN open THEN 'registered' ELSE 'done' END AS kind, announced, announced + 3 AS from_day, announced + 33 AS to_day, CASE WHEN buys THEN plan ELSE 0 END AS plan_buy, CASE WHEN buys THEN 0 ELSE plan END AS plan_sell, CASE WHEN NOT open THEN announced + 10 END AS done_on, CASE WHEN NOT open THEN CASE WHEN buys THEN q ELSE 0 END END AS done_buy, CASE WHEN NOT open THEN CASE WHEN buys THEN 0 ELSE q END END AS done_sell, CASE WHEN NOT open THEN CASE WHEN buys THEN q ELSE -q END END AS net_volume, CASE WHEN NOT open AND l_discount > 0 THEN CASE WHEN buys THEN q ELSE -q END * l_extendedprice / 1e5 END AS value FROM (SELECT l_suppkey AS symbol, 'P' || l_partkey AS person, CASE l_linenumber WHEN 1 THEN 'chair' WHEN 2 THEN 'director' ELSE '' END AS role, CAST(l_shipdate AS DATE) AS announced, l_quantity AS q, CEIL(l_quantity / 10) * 10 AS plan, l_tax >= 0.04 AS buys, l_returnflag = 'N' AND l_linestatus = 'O' AS open, l_discount, l_extendedprice FROM lineitem)",
+    "quarter_figures": "SELECT l_suppkey AS symbol, LAST_DAY(CAST(DATE_TRUNC('quarter', CAST(l_shipdate AS DATE)) + INTERVAL 2 MONTH AS DATE)) AS quarter_end, CASE WHEN COUNT(*) > 1 THEN 3 * SUM(l_extendedprice) END AS equity, SUM(l_extendedprice * (l_discount - 0.05::DOUBLE)) AS profit FROM lineitem GROUP BY ALL",
+    "rate_quotes": "SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS date, o_orderstatus AS source, AVG(o_totalprice) / 1e5 AS value FROM orders WHERE o_orderpriority <> '5-LOW' OR QUARTER(o_orderdate) % 2 = 1 GROUP BY ALL",
+    "ship_visits": "SELECT l_suppkey AS terminal, l_partkey AS ship, CAST(l_shipdate AS DATE) AS day, 1.0::DOUBLE AS calls, l_quantity * 100 AS teu, l_extendedprice AS dwt, CASE WHEN l_discount > 0 THEN l_tax * 1200 + l_quantity END AS hours FROM lineitem",
     "facts": "SELECT c_nationkey AS ticker, o_orderpriority AS item, CAST(YEAR(o_orderdate) AS INT) AS year, CAST(QUARTER(o_orderdate) AS INT) AS quarter, CAST(YEAR(o_orderdate) * 4 + QUARTER(o_orderdate) - 1 AS INT) AS t, SUM(o_totalprice) AS value FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL",
     "securities_items": "SELECT ticker, 'Q' AS freq, q AS t, item, SUM(value) AS value FROM (SELECT c_nationkey AS ticker, CAST(YEAR(o_orderdate) AS INT) AS y, CAST(YEAR(o_orderdate) * 4 + QUARTER(o_orderdate) - 1 AS INT) AS q, item, CASE WHEN REGEXP_MATCHES(item, 'cost|loss|exp') THEN -o_totalprice ELSE o_totalprice END AS value FROM (SELECT *, ([" + ", ".join(f"'{n}'" for n in SECURITIES) + "])[1 + o_orderkey % " + str(len(SECURITIES)) + "] AS item FROM orders JOIN customer ON o_custkey = c_custkey)) GROUP BY ALL UNION ALL SELECT c_nationkey, 'Y', CAST(YEAR(o_orderdate) AS INT), item, SUM(CASE WHEN REGEXP_MATCHES(item, 'cost|loss|exp') THEN -o_totalprice ELSE o_totalprice END) FROM (SELECT *, ([" + ", ".join(f"'{n}'" for n in SECURITIES) + "])[1 + o_orderkey % " + str(len(SECURITIES)) + "] AS item FROM orders JOIN customer ON o_custkey = c_custkey) GROUP BY ALL",
     "valued_bars": "SELECT b.symbol, i.sector, b.date, b.close, b.close * i.shares AS cap, CASE WHEN (b.symbol + YEAR(b.date)) % 7 <> 0 THEN COALESCE(f.earnings, 5e5) * (YEAR(b.date) - 1990) END AS earnings, CASE WHEN b.date >= DATE '1995-01-01' + CAST((b.symbol * 37) % 400 AS INT) THEN COALESCE(f.book, 2e7) * (YEAR(b.date) - 1990) END AS book FROM bars b JOIN instruments i ON i.symbol = b.symbol JOIN fundamentals f ON f.symbol = b.symbol",
