@@ -15,6 +15,8 @@ from .ports import no_intercept
 #: bounds of season factors, quantile of the bands, days from which a running month counts, strength of a prior.
 MIN_TRAIN, WINDOWS, BIAS_MONTHS, BIAS_BOUNDS, RECENT = 12, {"every": None, "last12": 12, "last6": 6}, 3, (0.7, 1.4), 6
 SEASON_BOUNDS, BAND, LEAST_DAYS, PRIOR = (0.7, 1.35), 0.8, 5, 6.0
+#: After every month.
+LAST_MONTH = 2**31 - 1
 
 
 def month_number(day: Column | str) -> Column:
@@ -59,9 +61,32 @@ def training(features: DataFrame, actual: DataFrame, key: str) -> DataFrame:
     return features.where("NOT partial").join(actual, [key, "mno"]).where("actual > 0 AND teu > 0")
 
 
-def fitted(frame) -> Column:
+def block_rows(features: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
+    """Figures known for several months together (key, months, total) as one row per key: `blocks` of first and last month, number
+    of months, mean features and mean figure. Blocks with a month that isn't whole or has no capacity don't count."""
+    whole = features.where("NOT partial AND teu > 0").select(key, F.col("mno").alias("_m"), "hours", "teu")
+    asked = blocks.where("total > 0").withColumn("_k", F.size("months")).withColumn("_m", F.explode("months"))
+    found = asked.join(whole, [key, "_m"]).groupBy(key, "months", "total", "_k").agg(F.count("*").alias("_n"), F.avg("hours").alias("h"), F.avg("teu").alias("t")).where("_n = _k")
+    each = F.struct(F.array_min("months").alias("first"), F.array_max("months").alias("last"), F.col("_k").cast("double").alias("k"), "h", "t", (F.col("total") / F.col("_k")).alias("y"))
+    return found.groupBy(key).agg(F.collect_list(each).alias("blocks"))
+
+
+def fitted(frame, before: Column | None = None, since: bool = False) -> Column:
+    """Coefficients of a frame's months and, where rows have `blocks`, of those that end before `before` and, with `since`, begin in the frame.
+
+    A block of k months counts as k months of its means.
+    """
     h, t, y = F.col("hours"), F.col("teu"), F.col("actual")
-    return no_intercept(*[F.sum(e).over(frame) for e in (h * h, h * t, t * t, h * y, t * y)])
+    sums = [F.sum(e).over(frame) for e in (h * h, h * t, t * t, h * y, t * y)]
+    if before is not None:
+        begin = F.first("mno").over(frame)
+        used = F.filter(F.coalesce("blocks", F.array()), lambda b: (b["last"] < before) & ((b["first"] >= begin) if since else F.lit(True)))
+
+        def added(one: str, other: str) -> Column:
+            return F.aggregate(used, F.lit(0.0), lambda total, b: total + b["k"] * b[one] * b[other])
+
+        sums = [total + added(*pair) for total, pair in zip(sums, (("h", "h"), ("h", "t"), ("t", "t"), ("h", "y"), ("t", "y")))]
+    return no_intercept(*sums)
 
 
 def bias(coef: Column, at: list[tuple[Column, Column, Column]]) -> Column:
@@ -107,8 +132,8 @@ def histories(train: DataFrame, key: str) -> DataFrame:
     return train.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("mno", "actual"))).alias("history"), F.map_from_entries(share).alias("shares"))
 
 
-def walked(train: DataFrame, features: DataFrame, key: str) -> DataFrame:
-    """Backtest months per key, each told from the months before it only.
+def walked(train: DataFrame, features: DataFrame, key: str, blocks: DataFrame | None = None) -> DataFrame:
+    """Backtest months per key, each told from the months before it only, and from `blocks` (see `block_rows`) that ended before it.
 
     Per window one regression on hours and capacity, times its bias in the last months; the month before (`naive`); the mean
     of the last three times their season (`ma3`); and the mean use of capacity in them, times its season and the month's
@@ -117,8 +142,11 @@ def walked(train: DataFrame, features: DataFrame, key: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy("mno")
     lags = [tuple(F.lag(c, k).over(w) for c in ("hours", "teu", "actual")) for k in range(1, BIAS_MONTHS + 1)]
     out = train.withColumns({"idx": F.row_number().over(w), "rows": F.count("*").over(Window.partitionBy(key)), "naive": lags[0][2]})
+    if blocks is not None:
+        out = out.join(block_rows(features, blocks, key), key, "left")
     for name, n in WINDOWS.items():
-        out = out.withColumn("_fit", fitted(w.rowsBetween(Window.unboundedPreceding if n is None else -n, -1)))
+        frame = w.rowsBetween(Window.unboundedPreceding if n is None else -n, -1)
+        out = out.withColumn("_fit", fitted(frame, None if blocks is None else F.col("mno"), n is not None))
         out = out.withColumn(name, (F.col("_fit.b1") * F.col("hours") + F.col("_fit.b2") * F.col("teu")) * bias(F.col("_fit"), lags)).drop("_fit")
     last3 = w.rowsBetween(-3, -1)
     out = out.withColumns({"_y3": F.avg("actual").over(last3), "_u3": F.avg(F.col("actual") / F.col("teu")).over(last3), "_months": F.collect_list("mno").over(last3)})
@@ -149,7 +177,7 @@ def with_ensemble(walk: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
     return walk.join(chosen.select(key, "best"), key).withColumn("regression", picked).withColumn("ensemble", (F.col("regression") + F.col("ma3") + F.col("use")) / 3)
 
 
-def nowcast(features: DataFrame, actual: DataFrame, scores: DataFrame, key: str) -> DataFrame:
+def nowcast(features: DataFrame, actual: DataFrame, scores: DataFrame, key: str, blocks: DataFrame | None = None) -> DataFrame:
     """Estimates after the last published month: whole months told by their features, the running month, and the months to the end of the next one's quarter.
 
     A whole month is the mean of the regression, the last three published figures times their season, and the use of
@@ -160,8 +188,11 @@ def nowcast(features: DataFrame, actual: DataFrame, scores: DataFrame, key: str)
     train = training(features, actual, key)
     w = Window.partitionBy(key).orderBy("mno")
     sums = train.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("mno"))))
+    if blocks is not None:
+        sums = sums.join(block_rows(features, blocks, key), key, "left")
     for name, n in WINDOWS.items():
-        sums = sums.withColumn(name, fitted(w.rowsBetween(Window.unboundedPreceding if n is None else 1 - n, 0)))
+        frame = w.rowsBetween(Window.unboundedPreceding if n is None else 1 - n, 0)
+        sums = sums.withColumn(name, fitted(frame, None if blocks is None else F.lit(LAST_MONTH), n is not None))
     lags = [tuple(F.col(c) if not k else F.lag(c, k).over(w) for c in ("hours", "teu", "actual")) for k in range(BIAS_MONTHS)]
     sums = sums.join(scores.select(key, "best", "band"), key)
     sums = sums.withColumn("coef", F.coalesce(*[F.when(F.col("best") == n, F.col(n)) for n in WINDOWS]))

@@ -110,6 +110,30 @@ def mod2_backtest(s, d):
     return N.backtest(walk(s, d), "terminal").select("terminal", "months", "best", *[rounded(c, 6).alias(c) for c in COLUMNS])
 
 
+#: Months of 1998 of which only the total is taken as known.
+BLOCK = (1998 * 12 + 7, 1998 * 12 + 11)
+LEFT = {n: f"b.terminal = x.terminal AND b.m1 < x.mno{'' if n == 'every' else ' AND b.m0 >= x.lo'}" for n in FRAMES}
+BLOCKS = {
+    **FEATURES,
+    "trn": f"SELECT f.*, a.actual FROM feat f JOIN terminal_volumes a USING (terminal, mno) WHERE NOT partial AND actual > 0 AND teu > 0 AND mno NOT BETWEEN {BLOCK[0]} AND {BLOCK[1]}",
+    "tot": f"SELECT terminal, LIST(mno) AS months, SUM(actual) AS total FROM terminal_volumes WHERE mno BETWEEN {BLOCK[0]} AND {BLOCK[1]} GROUP BY terminal",
+    "blk": "SELECT terminal, MIN(mno) AS m0, MAX(mno) AS m1, COUNT(*)::DOUBLE AS k, AVG(hours) AS h, AVG(teu) AS t, ANY_VALUE(total) / COUNT(*) AS y FROM (SELECT terminal, total, LEN(months) AS n, UNNEST(months) AS mno FROM tot WHERE total > 0) JOIN feat USING (terminal, mno) WHERE NOT partial AND teu > 0 GROUP BY terminal HAVING COUNT(*) = ANY_VALUE(n)",
+    **{f"s0_{n}": f"SELECT *, MIN(mno) OVER ({W} ROWS BETWEEN {FRAMES[n].format(n=LENGTHS[n])} AND 1 PRECEDING) AS lo FROM ({_sums(n, '1 PRECEDING')})" for n in FRAMES},
+    **{f"su_{n}": "SELECT x.* REPLACE (" + ", ".join(f"x.{c} + COALESCE(b.k * b.{p[0]} * b.{p[1]}, 0) AS {c}" for c, p in {"sa": "hh", "sb": "ht", "sc": "tt", "sd": "hy", "se": "ty"}.items()) + f") FROM s0_{n} x LEFT JOIN blk b ON {LEFT[n]}" for n in FRAMES},
+    **{k: v for k, v in WALK.items() if k not in FEATURES and not k.startswith("su_")},
+}
+
+
+@add("mod2_backtest_blocks", sql("SELECT terminal, months, best, " + ", ".join(f"{rsql(c, 6)} AS {c}" for c in COLUMNS) + " FROM best JOIN ensm USING (terminal)", **BLOCKS))
+def mod2_backtest_blocks(s, d):
+    """The same where five months of 1998 are known by their total only."""
+    f, a = features(s, d), terminal_volumes(s, d)
+    inside = F.col("mno").between(*BLOCK)
+    blocks = a.where(inside).groupBy("terminal").agg(F.collect_list("mno").alias("months"), F.sum("actual").alias("total"))
+    walk_ = N.walked(N.training(f, a.where(~inside), "terminal"), f, "terminal", blocks)
+    return N.backtest(walk_, "terminal").select("terminal", "months", "best", *[rounded(c, 6).alias(c) for c in COLUMNS])
+
+
 PICK = "CASE best WHEN 'every' THEN {e} WHEN 'last12' THEN {a} ELSE {b} END"
 NOW = {
     **WALK,
