@@ -164,17 +164,15 @@ def backtest(walk: DataFrame, key: str) -> DataFrame:
 
     recent = F.col("idx") > F.col("rows") - RECENT
     names = [*WINDOWS, "naive", "use"]
-    means = walk.groupBy(key).agg(*[F.avg(error(F.col(n))).alias(n) for n in names], *[F.avg(F.when(recent, error(F.col(n)))).alias(f"{n}_recent") for n in names], F.count("*").alias("months"))
+    both = [c for n in names for c in (F.avg(error(F.col(n))).alias(n), F.avg(F.when(recent, error(F.col(n)))).alias(f"{n}_recent"))]
+    # The ensemble with each regression, so that the best one's needs no second pass.
+    off = {n: error((F.col(n) + F.col("ma3") + F.col("use")) / 3) for n in WINDOWS}
+    ensembles = [F.struct(F.avg(e).alias("ensemble"), F.avg(F.when(recent, e)).alias("ensemble_recent"), F.percentile(e, BAND).alias("band")).alias(f"_{n}") for n, e in off.items()]
+    means = walk.groupBy(key).agg(*both, *ensembles, F.count("*").alias("months"))
     best = F.array_min(F.array(*[F.struct((F.col(n) / 2 + F.col(f"{n}_recent") / 2).alias("score"), F.lit(k).alias("k"), F.lit(n).alias("n")) for k, n in enumerate(WINDOWS)]))["n"]
     chosen = means.withColumn("best", best)
-    both = with_ensemble(walk, chosen, key).groupBy(key).agg(F.avg(error(F.col("ensemble"))).alias("ensemble"), F.avg(F.when(recent, error(F.col("ensemble")))).alias("ensemble_recent"), F.percentile(error(F.col("ensemble")), BAND).alias("band"))
-    return chosen.join(both, key)
-
-
-def with_ensemble(walk: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
-    """The best regression's value and the mean of it, `ma3` and `use`, per backtest month."""
-    picked = F.coalesce(*[F.when(F.col("best") == n, F.col(n)) for n in WINDOWS])
-    return walk.join(chosen.select(key, "best"), key).withColumn("regression", picked).withColumn("ensemble", (F.col("regression") + F.col("ma3") + F.col("use")) / 3)
+    own = F.coalesce(*[F.when(F.col("best") == n, F.col(f"_{n}")) for n in WINDOWS])
+    return chosen.withColumn("_own", own).select("*", "_own.*").drop("_own", *[f"_{n}" for n in WINDOWS])
 
 
 def nowcast(features: DataFrame, actual: DataFrame, scores: DataFrame, key: str, blocks: DataFrame | None = None) -> DataFrame:
