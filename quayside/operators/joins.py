@@ -47,14 +47,23 @@ def ordered_rules(text: Column, rules: list[tuple[str, str]], default: str) -> C
 def token_match(left: DataFrame, right: DataFrame, block: str, least: float = 0.6, common: int = 2) -> DataFrame:
     """Best right row per left row by token Jaccard within a block; fewer than `common` shared tokens cap it below 0.6.
 
-    `left` and `right` have (id, block, tokens: array of distinct strings). An inverted index on (block, token) gives the
-    candidates; sizes travel with the postings, so no pair is looked at that shares nothing.
+    `left` and `right` have (id, block, tokens: array of distinct strings). Rows of a block with equal tokens are one set, met
+    by the smallest id; a set that stands on both sides is its own best match. Only the other sets look for theirs, by an
+    inverted index on (block, token); sizes travel with the postings, so no pair is looked at that shares nothing.
     """
-    postings = [df.select(block, F.col("id").alias(f"{n}_id"), F.size("tokens").alias(f"{n}_size"), F.explode("tokens").alias("token")) for n, df in (("l", left), ("r", right))]
-    shared = postings[0].join(postings[1], [block, "token"]).groupBy("l_id", "r_id").agg(F.count("*").alias("n"), F.first("l_size").alias("ls"), F.first("r_size").alias("rs"))
-    jaccard = F.col("n") / (F.col("ls") + F.col("rs") - F.col("n"))
+    rows = left.select("id", block, F.sort_array("tokens").alias("set"))
+    sets = rows.select(block, "set").distinct()
+    heads = right.select("id", block, F.sort_array("tokens").alias("set")).groupBy(block, "set").agg(F.min("id").alias("r_id"))
+    whole = (F.size("set") >= max(common, 1)) & ~F.exists("set", lambda x: x.isNull()) & F.lit(least <= 1)
+    equal = sets.where(whole).join(heads, [block, "set"]).select(block, "set", "r_id", F.lit(1.0).alias("score"))
+    other = sets.join(equal.select(block, "set"), [block, "set"], "left_anti")
+    lp = other.select(block, F.col("set").alias("l_set"), F.explode("set").alias("token"))
+    rp = heads.select(block, "r_id", F.size("set").alias("rs"), F.explode("set").alias("token"))
+    shared = lp.join(rp, [block, "token"]).groupBy(block, "l_set", "r_id").agg(F.count("*").alias("n"), F.first("rs").alias("rs"))
+    jaccard = F.col("n") / (F.size("l_set") + F.col("rs") - F.col("n"))
     scored = shared.withColumn("score", F.when(F.col("n") < common, F.least(jaccard, F.lit(0.59))).otherwise(jaccard)).where(F.col("score") >= least)
-    return scored.groupBy("l_id").agg(F.max_by("r_id", F.struct("score", -F.col("r_id"))).alias("r_id"), F.max("score").alias("score"))
+    best = scored.groupBy(block, F.col("l_set").alias("set")).agg(F.max_by("r_id", F.struct("score", -F.col("r_id"))).alias("r_id"), F.max("score").alias("score"))
+    return rows.join(equal.unionByName(best), [block, "set"]).select(F.col("id").alias("l_id"), "r_id", "score")
 
 
 def reference_cascade(rows: DataFrame, value: str, levels: list[list[str]], least: int) -> DataFrame:
