@@ -29,7 +29,7 @@ def events(s, d):
 def messages(s, d):
     """Events as feed messages: clicks and purchases are ticks, views quotes, the rest flows; prices in tenths."""
     kind = F.when(F.col("event_type").isin("click", "purchase"), "tick").when(F.col("event_type") == "view", "quote").otherwise("flow")
-    body = F.struct(kind.alias("T"), F.col("user_id").alias("symbol"), F.col("ts"), (F.col("value") / 10).alias("price"), (F.col("event_id") * F.when(F.col("event_id") % 10 == 0, 9007199254740).otherwise(1)).alias("volume"), (F.col("value") / 10).alias("bid"), (F.col("value") / 5).alias("ask"), F.col("value").alias("net"))
+    body = F.struct(kind.alias("T"), F.col("user_id").alias("symbol"), F.col("ts"), (F.col("value") / 10).alias("price"), (F.col("event_id").cast("decimal(19,0)") * F.when(F.col("event_id") % 10 == 0, 9007199254740).otherwise(1).cast("decimal(18,0)")).alias("volume"), (F.col("value") / 10).alias("bid"), (F.col("value") / 5).alias("ask"), F.col("value").alias("net"))
     return events(s, d).select(F.to_json(body).alias("msg"))
 
 

@@ -54,9 +54,12 @@ def replay(stream: DataFrame, mode: str, keys: list[str] | None = None) -> DataF
 
 def demultiplexed(messages: DataFrame, kind: str) -> DataFrame:
     """The messages of one type with typed fields; prices come in tenths; volumes beyond 53 bits become null."""
-    read = messages.where(F.get_json_object("msg", "$.T") == kind).select(F.from_json("msg", MESSAGES[kind]).alias("m")).select("m.*")
+    # Volumes are read as text: a number beyond 64 bits must not cost the message its other fields.
+    fields = MESSAGES[kind].replace("volume long", "volume string")
+    read = messages.where(F.get_json_object("msg", "$.T") == kind).select(F.from_json("msg", fields).alias("m")).select("m.*")
     scaled = {c: F.col(c) * 10 for c in ("price", "bid", "ask") if c in read.columns}
-    guarded = {"volume": F.when(F.abs("volume") <= LARGEST, F.col("volume"))} if "volume" in read.columns else {}
+    volume = F.col("volume").try_cast("long")
+    guarded = {"volume": F.when(volume.between(-LARGEST, LARGEST), volume)} if "volume" in read.columns else {}
     return read.withColumns(scaled | guarded)
 
 
