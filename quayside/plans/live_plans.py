@@ -112,20 +112,25 @@ def str9(s, d):
     return L.replay(L.once(twice, "event_id", seen, "400 days"), "append").select("event_id")
 
 
-def shuffled_replay(s, d, batches=6, per_batch=1):
-    """The port events as a stream that comes out of order: by time in `batches` files, a third of the events one file late, every tenth again in the next; and a last event of no ship, far ahead, that lets all others pass."""
+#: Events of a stream's file at most, or a few more.
+FILE_EVENTS = 200_000
+
+
+def shuffled_replay(s, d, batches=6):
+    """The port events as a stream that comes out of order: by time in `batches` steps of one or, where they are large, several files, a third of the events one step late, every tenth again in the next; and a last event of no ship, far ahead, that lets all others pass."""
     e = port_events(s, d).withColumn("ts", F.col("ts").cast("timestamp"))
     ends = e.agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"))
     share = (F.unix_micros("ts") - F.unix_micros("t0")) / (F.unix_micros("t1") - F.unix_micros("t0") + 1)
     part = F.floor(share * (batches - 1)) + F.when(F.pmod(F.hash("event_id"), F.lit(3)) == 0, 1).otherwise(0)
     again = F.when(F.col("event_id") % 10 == 0, F.array(F.col("part"), F.least(F.col("part") + 1, F.lit(batches - 1)))).otherwise(F.array("part"))
     dealt = e.join(F.broadcast(ends)).withColumn("part", part).withColumn("part", F.explode(again)).drop("t0", "t1")
-    path = shared_path(s, "shuffled")
-    for k in range(batches):  # files are taken in the order of their times
-        dealt.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(path)
+    path, files = shared_path(s, "shuffled"), -(-e.count() // (batches * FILE_EVENTS)) or 1
+    for k in range(batches):  # files are taken in the order of their times, those of a step together
+        step = dealt.where(F.col("part") == k).drop("part")
+        (step.coalesce(1) if files == 1 else step.repartition(files, "event_id")).write.mode("append").parquet(path)
     last = ends.select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("ship_key"), (F.col("t1") + F.expr("INTERVAL 1000 DAYS")).alias("ts"), F.lit("arrive").alias("section"), F.lit(0).alias("place_from"), F.lit(0).alias("place_to"), F.lit(0.0).cast("double").alias("dwt"))
     last.select(*dealt.drop("part").columns).coalesce(1).write.mode("append").parquet(path)
-    return L.file_stream(s, path, per_batch)
+    return L.file_stream(s, path, files)
 
 
 @add("str10_streaming_calls", CALLS_SQL)

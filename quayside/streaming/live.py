@@ -5,12 +5,14 @@ Messages carry a type code `T`; ticks are (symbol, ts, price). State is bounded
 
 from __future__ import annotations
 
+import json
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.ports import CALL_COLUMNS, CALL_SCHEMA, MOST_DAYS, SECTIONS, Pairing
 from ..sources.files import shared_path
@@ -207,84 +209,94 @@ def demultiplexer(messages: DataFrame) -> DataFrame:
 
 #: Days without an event after which a call that only shifts told of is given up: what bounds the state of such a ship.
 IDLE_DAYS = 400
-EVENT = "ts timestamp, section string, event_id long, place_from int, place_to int"
+DAY_US = 86_400_000_000
 
 
-class CallProcessor(StatefulProcessor):
-    """Port calls of one ship: events wait in a list until the watermark has passed them, and are then taken in order.
+class ShipState:
+    """Port calls of one ship: events wait until the watermark has passed them, and are then taken in order.
 
     So neither the order in which events come nor repeats within the watermark's delay matter; later ones are dropped as
-    late. The open call is one value; a timer closes it when no event can belong to it any more.
+    late. Times are microseconds; a waiting event is (time, place of its section in SECTIONS, event id, from, to).
     """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", EVENT)
-        self.call = handle.getValueState("call", "arrival timestamp, origin int, berths string, shifts int, revisions int, last timestamp")
-
-    def _read(self, ship: int) -> tuple[Pairing, pd.Timestamp | None]:
-        if not self.call.exists():
-            return Pairing(ship), None
-        arrival, origin, berths, shifts, revisions, last = self.call.get()
-        stored = {"arrival": None if arrival is None else pd.Timestamp(arrival), "origin": origin, "berths": [int(b) for b in berths.split("|")], "shifts": shifts, "revisions": revisions}
-        return Pairing(ship, stored), pd.Timestamp(last)
-
-    def _release(self, ship: int, watermark_ms: int) -> Iterator[pd.DataFrame]:
-        """Take what the watermark has passed, in order, and close a call that it has outlived."""
-        watermark = pd.Timestamp(watermark_ms, unit="ms")
-        waiting = sorted((pd.Timestamp(ts), SECTIONS.index(section), event_id, section, a, b) for ts, section, event_id, a, b in self.waiting.get())
-        due = [w for w in waiting if w[0] <= watermark]
-        pairing, last = self._read(ship)
+    def __init__(self, ship: int, waiting: list = (), call: list | None = None):
+        self.ship, self.pairing, self.last, self.waiting = ship, Pairing(ship), None, [tuple(w) for w in waiting]
+        if call:
+            arrival, *rest, self.last = call
+            self.pairing.open = dict(zip(Pairing.FIELDS, (None if arrival is None else pd.Timestamp(arrival, unit="us"), *rest)))
+
+    def ends(self) -> int:
+        arrival = self.pairing.open["arrival"]
+        return self.last + IDLE_DAYS * DAY_US if arrival is None else arrival.value // 1000 + (MOST_DAYS + 1) * DAY_US
+
+    def release(self, watermark: int) -> list[tuple]:
+        """Take what the watermark, in microseconds, has passed, in order, and close a call that it has outlived."""
+        self.waiting.sort()
+        due = bisect_right(self.waiting, watermark, key=lambda w: w[0])
         out, taken = [], set()
-        for ts, _, _, section, a, b in due:
-            if (ts, section, a, b) not in taken:
-                taken.add((ts, section, a, b))
-                out += pairing.take(ts, section, a, b)
-                last = ts
-        if pairing.open:
-            arrival = pairing.open["arrival"]
-            ends = last + pd.Timedelta(days=IDLE_DAYS) if arrival is None else arrival + pd.Timedelta(days=MOST_DAYS + 1)
-            if ends <= watermark:
-                out.append(pairing.close(last=True))
-        if due:
-            rest = [(ts.to_pydatetime(), section, event_id, a, b) for ts, _, event_id, section, a, b in waiting[len(due) :]]
-            self.waiting.put(rest) if rest else self.waiting.clear()
-        timers = [waiting[len(due)][0]] if len(due) < len(waiting) else []
-        if now := pairing.open:
-            self.call.update((None if now["arrival"] is None else now["arrival"].to_pydatetime(), now["origin"], "|".join(map(str, now["berths"])), now["shifts"], now["revisions"], last.to_pydatetime()))
-            timers.append(ends)
-        else:
-            self.call.clear()
-        for at in timers:
-            self.handle.registerTimer(max(int(at.timestamp() * 1000) + 1, watermark_ms + 1))
+        for ts, rank, _, a, b in self.waiting[:due]:
+            if (ts, rank, a, b) not in taken:
+                taken.add((ts, rank, a, b))
+                out += self.pairing.take(pd.Timestamp(ts, unit="us"), SECTIONS[rank], a, b)
+                self.last = ts
+        self.waiting = self.waiting[due:]
+        if self.pairing.open and self.ends() <= watermark:
+            out.append(self.pairing.close(last=True))
+        return out
+
+    def next(self) -> int | None:
+        """When the ship has to be looked at again; nothing if nothing is left of it."""
+        times = [min(self.waiting)[0]] if self.waiting else []
+        return min(times + ([self.ends()] if self.pairing.open else []), default=None)
+
+    def stored(self) -> tuple:
+        if not (now := self.pairing.open):
+            return self.waiting, None
+        return self.waiting, (None if now["arrival"] is None else now["arrival"].value // 1000, *[now[f] for f in Pairing.FIELDS[1:]], self.last)
+
+
+def ship_calls(key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The calls of a group of ships that the watermark has passed; its state is read and written once per batch."""
+    ships = {int(k): ShipState(int(k), *v) for k, v in json.loads(state.get[0]).items()} if state.exists else {}
+    for part in rows:
+        for ship, *event in zip(*(part[c].tolist() for c in ("ship_key", "us", "rank", "event_id", "place_from", "place_to"))):
+            if ship not in ships:
+                ships[ship] = ShipState(ship)
+            ships[ship].waiting.append(tuple(event))
+    watermark, out, times = state.getCurrentWatermarkMs(), [], []
+    for ship, kept in list(ships.items()):
+        at = kept.next()
+        if at <= watermark * 1000:
+            out += kept.release(watermark * 1000)
+            at = kept.next()
+        times.append(at) if at is not None else ships.pop(ship)
+    if times:
+        state.update((json.dumps({k: v.stored() for k, v in ships.items()}),))
+        state.setTimeoutTimestamp(max(min(times) // 1000, watermark) + 1)
+    else:
+        state.remove()
+    if out:
         made = pd.DataFrame(out, columns=list(CALL_COLUMNS))
         yield made.astype({c: "Int32" for c in ("origin", "first_berth", "last_berth", "n_shifts", "destination", "n_revisions")} | {c: "datetime64[us]" for c in ("arrival", "departure")} | {"ship_key": "int64", "hours_in_port": "float64"})
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        came = pd.concat(list(rows))
-        self.waiting.appendList([(ts.to_pydatetime(), section, int(e), int(a), int(b)) for ts, section, e, a, b in came[["ts", "section", "event_id", "place_from", "place_to"]].itertuples(index=False)])
-        first = int(came["ts"].min().timestamp() * 1000) + 1
-        self.handle.registerTimer(max(first, timerValues.getCurrentWatermarkInMs() + 1))
-        return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._release(int(key[0]), timerValues.getCurrentWatermarkInMs())
+def streaming_calls(events: DataFrame, late: str = "3 days", groups: int = 512) -> DataFrame:
+    """Port calls of a stream of events: the batch job's calls, whatever the order of events and repeats within `late`.
 
-    def close(self) -> None:
-        pass
-
-
-def streaming_calls(events: DataFrame, late: str = "3 days") -> DataFrame:
-    """Port calls of a stream of events: the batch job's calls, whatever the order of events and repeats within `late`."""
-    used = events.where(F.col("section").isin(*SECTIONS)).select("event_id", "ship_key", F.col("ts").cast("timestamp").alias("ts"), "section", "place_from", "place_to")
-    return used.withWatermark("ts", late).groupBy("ship_key").transformWithStateInPandas(CallProcessor(), CALL_SCHEMA, "Append", "EventTime")
+    Ships are dealt to `groups` groups of one row of state each, as a call of Python per ship and batch costs far more than
+    its few events; a row holds the open calls and the events not yet passed of its ships.
+    """
+    ts = F.col("ts").cast("timestamp")
+    rank = F.array_position(F.array(*[F.lit(x) for x in SECTIONS]), F.col("section")) - 1
+    used = events.where(F.col("section").isin(*SECTIONS)).select(F.pmod(F.xxhash64("ship_key"), F.lit(groups)).alias("group"), "ship_key", ts.alias("ts"), F.unix_micros(ts).alias("us"), rank.alias("rank"), "event_id", "place_from", "place_to")
+    return used.withWatermark("ts", late).groupBy("group").applyInPandasWithState(ship_calls, CALL_SCHEMA, "ships string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def replayed_calls(events: DataFrame, late: str = "3 days") -> DataFrame:
-    """`streaming_calls` run over what is there; list states and timers need the store on disk."""
+    """`streaming_calls` run over what is there, its state in the store on disk."""
     spark = events.sparkSession
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
