@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from .clean import robust
 
 
-def price_index(listings: DataFrame, keys: list[str], first: str, last: str, window_days: int = 120, least: int = 5) -> DataFrame:
+def price_index(listings: DataFrame, keys: list[str], first: str, last: str, window_days: int = 120, least: int = 5, ties: tuple[str, ...] = ()) -> DataFrame:
     """Per group and month end: quartiles and mean of the last row of each listing in the window, robustly filtered.
 
-    A listing meets the month ends that follow it within the window (four or five), not all of them.
+    A listing meets the month ends that follow it within the window (four or five), not all of them. Of rows of one listing
+    and day the first by the columns `ties` counts.
     """
     last_possible = F.least(F.lit(last).cast("date"), F.last_day(F.date_add("posted", window_days)))
     start = F.greatest(F.trunc(F.lit(first).cast("date"), "month"), F.trunc("posted", "month"))
     usable = listings.where(start <= F.trunc(last_possible, "month"))
     months = F.explode(F.transform(F.sequence(start, F.trunc(last_possible, "month"), F.expr("INTERVAL 1 MONTH")), lambda m: F.last_day(m)))
     each = usable.select("*", months.alias("month")).where((F.col("posted") <= F.col("month")) & (F.col("posted") > F.date_sub("month", window_days)))
-    newest = each.groupBy(*keys, "month", "prid").agg(F.max_by("ppm2", "posted").alias("ppm2"))
+    newest = each.groupBy(*keys, "month", "prid").agg(F.min_by("ppm2", F.struct((-F.unix_date("posted")).alias("_back"), *ties)).alias("ppm2"))
     kept = robust(newest, [*keys, "month"], "ppm2")
     out = kept.groupBy(*keys, "month").agg(F.count("*").alias("n"), *[F.percentile("ppm2", q).alias(f"p{int(q * 100)}") for q in (0.25, 0.5, 0.9)], F.avg("ppm2").alias("mean"))
     return out.where(F.col("n") >= least)

@@ -192,10 +192,13 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("lot"), F.col("l_linenumber").alias("line"), F.col("l_shipdate").cast("date").alias("date"), (95.0 + F.col("l_quantity") / 5.0).alias("price"), F.col("l_extendedprice").alias("traded"))
 
 
-def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listings(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """prid, district, project_id, posted, ppm2, area, bed; with `file` and `row` if asked for, a line's place in the table."""
     lines, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    if more:
+        lines = lines.withColumns({"file": F.col("_metadata.file_path"), "row": F.col("_metadata.row_index")})
     joined = lines.join(part, lines.l_partkey == part.p_partkey)
-    return joined.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("prid"), F.col("p_brand").alias("district"), F.col("l_partkey").alias("project_id"), F.col("l_shipdate").cast("date").alias("posted"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("ppm2"), F.col("p_size").alias("area"), (1 + F.col("l_linenumber") % 4).alias("bed"))
+    return joined.select(*more, (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("prid"), F.col("p_brand").alias("district"), F.col("l_partkey").alias("project_id"), F.col("l_shipdate").cast("date").alias("posted"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("ppm2"), F.col("p_size").alias("area"), (1 + F.col("l_linenumber") % 4).alias("bed"))
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
