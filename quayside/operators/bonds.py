@@ -6,6 +6,9 @@ follows from its own schedule, so a table of trades of any size is one narrow pa
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -48,46 +51,71 @@ def maturity_wall(lots: DataFrame) -> DataFrame:
     return lots.groupBy(F.year(due).alias("year"), F.quarter(due).alias("quarter")).agg(F.sum("amount").alias("due"), F.count("*").alias("lots"), (F.sum(F.col("coupon") * F.col("amount")) / F.sum("amount")).alias("coupon"))
 
 
-def cash_flows(lots_trades: DataFrame, every: int = 6) -> Column:
-    """Array of (t in years after the trade, cash flow per 100 of par) of the coupons left and the principal."""
-    number = F.sequence(F.lit(1), (F.col("months") / every).cast("int"))
-    dates = F.transform(number, lambda k: F.struct(F.add_months(F.col("issue"), k * every).alias("day"), k.alias("k")))
-    left = F.filter(dates, lambda d: d["day"] > F.col("date"))
-    coupon = F.col("coupon") * every / 12
-    last = (F.col("months") / every).cast("int")
-    return F.transform(left, lambda d: F.struct((F.datediff(d["day"], F.col("date")) / 365.0).alias("t"), (coupon + F.when(d["k"] == last, 100.0).otherwise(0.0)).alias("cf")))
+#: Halvings of a bracket that Newton's steps stand for.
+HALVED = 40
 
 
-def with_yields(lots: DataFrame, trades: DataFrame, steps: int = 60, low: float = -0.5, high: float = 2.0) -> DataFrame:
-    """Every trade with its yield to maturity by bisection; null if the bracket holds no root.
+def with_yields(lots: DataFrame, trades: DataFrame, steps: int = 60, low: float = -0.5, high: float = 2.0, every: int = 6) -> DataFrame:
+    """Every trade with its yield to maturity; null if the bracket [low, high] holds no root.
 
-    A batch's schedules are one array, and all its trades are halved together: nested column functions would be
-    interpreted for every flow at every step.
+    A batch's schedules are one array, made from its lots' terms. The logarithm of a bond's worth falls in that of the
+    discount and is nearly straight, so Newton's steps from the low end come up to the root within a few, and only the last of
+    `steps` halvings are made, so that yields are those of bisection to the last bit; what Newton doesn't solve is halved throughout.
     """
 
     @F.pandas_udf("double")
-    def solved(times: pd.Series, amounts: pd.Series, price: pd.Series) -> pd.Series:
-        sizes = times.map(len).to_numpy()
-        inside = np.arange(sizes.max(initial=1))[None, :] < sizes[:, None]
-        t, cf, asked = np.zeros(inside.shape), np.zeros(inside.shape), price.to_numpy(np.float64)
-        if len(times):
-            t[inside], cf[inside] = np.concatenate(times.to_numpy()), np.concatenate(amounts.to_numpy())
-
-        def worth(rate: np.ndarray) -> np.ndarray:
-            return (cf * np.exp(-t * np.log1p(rate)[:, None])).sum(axis=1)
-
-        lo, hi = np.full(len(asked), low), np.full(len(asked), high)
-        rooted = (worth(lo) >= asked) & (worth(hi) <= asked)
-        for _ in range(steps):
-            middle = (lo + hi) / 2
-            above = worth(middle) > asked
-            lo, hi = np.where(above, middle, lo), np.where(above, hi, middle)
-        return pd.Series(np.where(rooted, (lo + hi) / 2, np.nan))  # not a number becomes null
+    def solved(issue: pd.Series, months: pd.Series, coupon: pd.Series, day: pd.Series, price: pd.Series) -> pd.Series:
+        asked, n = price.to_numpy(np.float64), months.to_numpy(np.int64) // every
+        issued, traded = issue.to_numpy(np.int64).astype("datetime64[D]"), day.to_numpy(np.int64)
+        k = np.arange(1, n.max(initial=1) + 1)
+        first = issued.astype("datetime64[M]")
+        due = first[:, None] + every * k
+        starts = due.astype("datetime64[D]")
+        length = ((due + 1).astype("datetime64[D]") - starts).astype(np.int64)
+        days = starts.astype(np.int64) + np.minimum((issued - first.astype("datetime64[D]")).astype(np.int64)[:, None], length - 1)
+        inside = (days > traded[:, None]) & (k <= n[:, None])
+        t = np.where(inside, (days - traded[:, None]) / 365.0, 0.0)
+        cf = np.where(inside, (coupon.to_numpy(np.float64) * every / 12)[:, None] + np.where(k == n[:, None], 100.0, 0.0), 0.0)
+
+        def worth(x: np.ndarray, rows=slice(None)) -> np.ndarray:
+            return (cf[rows] * np.exp(-t[rows] * x[:, None])).sum(axis=1)
+
+        lo, hi = np.full(len(asked), np.log1p(low)), np.full(len(asked), np.log1p(high))
+        at_low = worth(lo)
+        rooted = (at_low >= asked) & (worth(hi) <= asked)
+        x, ok = lo.copy(), np.zeros(len(asked), bool)
+        rows = np.flatnonzero(rooted & (cf >= 0).all(axis=1) & (asked > 0))
+        for _ in range(20):
+            if not len(rows):
+                break
+            parts = cf[rows] * np.exp(-t[rows] * x[rows, None])
+            now = parts.sum(axis=1)
+            with np.errstate(all="ignore"):
+                step = np.log(now / asked[rows]) * now / (t[rows] * parts).sum(axis=1)
+            x[rows] += step
+            done = np.abs(step) < 1e-13
+            ok[rows[done]] = True
+            rows = rows[~done & np.isfinite(step)]
+        out = np.full(len(asked), np.nan)
+        # Halving ends alike from the cell of its 40th step that holds the root as from the whole bracket.
+        near = np.flatnonzero(ok)
+        width = (high - low) / 2.0**HALVED
+        a = low + np.floor((np.expm1(x[near]) - low) / width) * width
+        held = (worth(np.log1p(a), near) > asked[near]) & (worth(np.log1p(a + width), near) <= asked[near])
+        far = np.setdiff1d(np.flatnonzero(rooted), near[held])
+        for left, a, b, n in ((near[held], a[held], a[held] + width, steps - HALVED), (far, np.full(len(far), low), np.full(len(far), high), steps)):
+            for _ in range(n if len(left) else 0):
+                middle = (a + b) / 2
+                above = worth(np.log1p(middle), left) > asked[left]
+                a, b = np.where(above, middle, a), np.where(above, b, middle)
+            out[left] = (a + b) / 2
+        return pd.Series(out)  # not a number becomes null
 
     joined = trades.join(lots, "lot")
-    flows = joined.withColumn("flows", cash_flows(joined)).where(F.size("flows") > 0)
-    years = F.element_at("flows", -1)["t"]
-    return flows.withColumns({"ytm": solved(F.col("flows.t"), F.col("flows.cf"), F.col("price").cast("double")), "years": years}).drop("flows")
+    end = F.add_months("issue", F.floor(F.col("months") / every).cast("int") * every)
+    open_ = joined.where((F.col("months") >= every) & (end > F.col("date")))
+    terms = [F.unix_date("issue").cast("long"), F.col("months").cast("long"), F.col("coupon").cast("double"), F.unix_date("date").cast("long"), F.col("price").cast("double")]
+    return open_.withColumns({"ytm": solved(*terms), "years": F.datediff(end, "date") / 365.0})
 
 
 def judged_yields(yields: DataFrame, curves: DataFrame, kind: Column, method: Column) -> DataFrame:
@@ -116,6 +144,9 @@ def tenor_bucket(years: Column) -> Column:
 def sector_curves(yields: DataFrame, as_of: str, look_backs: dict[str, int], window_days: int = 90, least: int = 3) -> DataFrame:
     """Value-weighted yield by sector, tenor bucket and look-back: last trade per lot in the window, trimmed."""
     spark = yields.sparkSession
+    # Said of the days alone, this is asked before a yield is solved.
+    ranges = [F.col("date").between(F.date_sub(F.lit(as_of).cast("date"), days + window_days - 1), F.date_sub(F.lit(as_of).cast("date"), days)) for days in look_backs.values()]
+    yields = yields.where(reduce(or_, ranges))
     ends = spark.createDataFrame(list(look_backs.items()), "look_back string, days int").withColumn("end", F.date_sub(F.lit(as_of).cast("date"), F.col("days")))
     inside = yields.where("ytm IS NOT NULL").join(F.broadcast(ends), (F.col("date") <= F.col("end")) & (F.col("date") > F.date_sub("end", window_days)))
     last = inside.groupBy("look_back", "lot").agg(F.max_by(F.struct("sector", "years", "ytm", "traded"), F.struct("date", "line", "price", "traded")).alias("r")).select("look_back", "lot", "r.*")
