@@ -51,7 +51,7 @@ def jn3(s, d):
 @add("jn4_currency", sql("SELECT code, date, " + rsql("total_value / NULLIF(rate, 0)") + " AS usd FROM (SELECT *, CASE code % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE 'P' END AS currency FROM flows) f ASOF LEFT JOIN fx USING (currency, date)"))
 def jn4(s, d):
     f = flows(s, d).withColumn("currency", F.when(F.col("code") % 3 == 0, "F").when(F.col("code") % 3 == 1, "O").otherwise("P"))
-    out = T.asof_join(f, fx(s, d).withColumnRenamed("date", "fx_date"), "currency", "date", "fx_date", ["rate"])
+    out = T.asof_join(f, fx(s, d).withColumnRenamed("date", "fx_date"), "currency", "date", "fx_date", ["rate"], piece_days=31)
     return out.select("code", "date", rounded(F.try_divide("total_value", "rate")).alias("usd"))
 
 
