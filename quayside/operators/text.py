@@ -6,14 +6,12 @@ worker, over Arrow batches, so texts are read once and only results are shuffled
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -254,8 +252,10 @@ def attention(articles: DataFrame, group: str) -> DataFrame:
     return articles.join(sources, group).withColumn("attention", F.col("event") + F.col("has_entity") + F.least(F.col("sources") - 1, F.lit(4)))
 
 
-#: Bits of a sieve, and counts that a task holds before it passes them on.
-SIEVE_BITS, MOST_HELD = 1 << 26, 500_000
+#: Bits of a sieve (a power of two), and bytes of text that a task takes at once.
+SIEVE_BITS, MOST_AT_ONCE = 1 << 26, 2 << 20
+#: Odd numbers: the base of hashes of bytes, and one by which they are mixed.
+BASE, MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 
 
 def once_each(docs: DataFrame) -> DataFrame:
@@ -266,71 +266,154 @@ def once_each(docs: DataFrame) -> DataFrame:
     return docs.join(later, "doc_id", "left_anti")
 
 
-def sieve(phrases: DataFrame) -> np.ndarray:
-    """A bit per hash of a phrase: what isn't there is no phrase. Its size is fixed; a full one only sifts less."""
-    bit = F.crc32(F.col("phrase").cast("binary")) % SIEVE_BITS
-    words = phrases.select(F.floor(bit / 64).alias("k"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("v")).groupBy("k").agg(F.bit_or("v").alias("v")).toArrow()
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, and where each begins and the last ends; nulls are empty."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, at, data = texts.buffers()
+    ends = np.frombuffer(at, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    return np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def words_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all words of texts: the number of the text, the first byte and the one after the last."""
+    blanks = np.flatnonzero(data == 32)
+    n = np.bincount(np.searchsorted(ends, blanks, side="right") - 1, minlength=len(ends) - 1) + 1
+    return np.repeat(np.arange(len(n)), n), np.sort(np.concatenate([ends[:-1], blanks + 1]), kind="stable"), np.sort(np.concatenate([blanks, ends[1:]]), kind="stable")
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def hasher(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """64-bit hashes of parts of bytes, by their first byte and the one after the last: sums of powers, moved to the first."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data))[:-1], dtype=np.uint64)])
+    back = powers(pow(BASE, -1, 1 << 64), len(data))
+    return lambda start, end: (sums[end] - sums[start]) * back[start]
+
+
+def places(h: np.ndarray) -> np.ndarray:
+    """The bit of a sieve for each hash."""
+    return (((h ^ (h >> np.uint64(32))) * MIX) >> np.uint64(32)) & np.uint64(SIEVE_BITS - 1)
+
+
+def sieve(of: DataFrame) -> np.ndarray:
+    """A bit per hash (`h`) of a run or of a `phrase`: what isn't there is none. Its size is fixed; a full one only sifts less."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.schema.names == ["h"]:
+                h = batch.column(0).to_numpy().view(np.uint64)
+            else:
+                data, ends = bytes_of(batch.column(0))
+                h = hasher(data)(ends[:-1], ends[1:])
+            bit = places(h)
+            cell, at = np.unique((bit >> np.uint64(6)).astype(np.int64), return_inverse=True)
+            value = np.zeros(len(cell), np.uint64)
+            np.bitwise_or.at(value, at, np.uint64(1) << (bit & np.uint64(63)))
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(value.view(np.int64))], ["k", "v"])
+
+    cells = of.mapInArrow(each, "k long, v long").groupBy("k").agg(F.bit_or("v").alias("v")).toArrow()
     out = np.zeros(SIEVE_BITS // 64, np.uint64)
-    out[words.column(0).to_numpy()] = words.column(1).to_numpy().view(np.uint64)
+    out[cells.column(0).to_numpy()] = cells.column(1).to_numpy().view(np.uint64)
     return out
 
 
-def sifted(runs: list[str], bits: np.ndarray) -> np.ndarray:
-    """Which runs the sieve holds back."""
-    h = np.fromiter((zlib.crc32(r.encode()) for r in runs), np.uint64, len(runs)) % np.uint64(SIEVE_BITS)
-    return (bits[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) == 1
+def sifted(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which hashes of runs the sieve holds back."""
+    bit = places(h)
+    return (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+
+
+def numbered(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Numbers from 0 for values, equal ones for equal values, and the value of each."""
+    found = values.dictionary_encode(null_encoding="encode")
+    return found.indices.to_numpy().astype(np.int64), found.dictionary
 
 
-def counted(docs: DataFrame, columns: list[str], runs: Callable[[list[str]], Iterator[str]]) -> DataFrame:
-    """Per value of `columns` and phrase, the number of documents with it; tasks add up before the shuffle."""
+def in_pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of some `MOST_AT_ONCE` bytes of its first column, of one row at least."""
+    piece = np.cumsum(pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy().astype(np.int64)) // MOST_AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for first, last in zip(cuts, cuts[1:]):
+        if last > first:
+            yield batch.slice(first, last - first)
+
+
+def pair_hashes(docs: DataFrame, least: int) -> DataFrame:
+    """The hashes `h` of the pairs of neighbouring words that occur `least` times: all pairs of so many documents, and some more."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        for whole in batches:
+            for batch in in_pieces(whole):
+                data, ends = bytes_of(batch.column(0))
+                text, start, end = words_of(data, ends)
+                at = np.flatnonzero(text[:-1] == text[1:])
+                cell, found = numbered(pa.array(hasher(data)(start[at], end[at + 1]).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([found, pa.array(np.bincount(cell, minlength=len(found)))], ["h", "n"])
 
-        def emptied() -> pa.RecordBatch:
-            keys = list(zip(*counts)) or [[]] * (len(columns) + 1)
-            batch = pa.RecordBatch.from_arrays([*[pa.array(k, pa.string()) for k in keys], pa.array(counts.values(), pa.int64())], [*columns, "phrase", "n"])
-            counts.clear()
-            return batch
+    return docs.select("words").mapInArrow(each, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
 
-        for batch in batches:
-            for words, *own in zip(*[c.to_pylist() for c in batch.columns]):
-                if words:
-                    counts.update((*own, phrase) for phrase in set(runs(words.split(" "))))
-                if len(counts) >= MOST_HELD:
-                    yield emptied()
-        yield emptied()
 
-    schema = ", ".join(f"{c} string" for c in [*columns, "phrase"]) + ", n long"
-    return docs.select("words", *columns).mapInArrow(each, schema).groupBy(*columns, "phrase").agg(F.sum("n").alias("n"))
+def counted(docs: DataFrame, columns: list[str], lengths: list[int], bits, parts: int | None = None) -> DataFrame:
+    """Per value of `columns` and run of so many words, the number of documents with it; tasks add up before the shuffle.
+
+    Only runs count that a sieve (its broadcast) holds back or, with `parts`, whose runs of that many words it does. What is
+    left is told apart by its text, and only that is made.
+    """
 
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in in_pieces(whole):
+                data, ends = bytes_of(batch.column(0))
+                text, start, end = words_of(data, ends)
+                hashes, starts, sizes = hasher(data), [], []
+                docs_of = []
+                known = {}
+                for n in sorted({*lengths, *([parts] if parts else [])}):
+                    at = np.flatnonzero(text[: max(len(text) - n + 1, 0)] == text[n - 1 :])
+                    if parts and n > parts:
+                        at = at[np.logical_and.reduce([known[parts][at + k] for k in range(n - parts + 1)])]
+                    else:
+                        at = at[sifted(hashes(start[at], end[at + n - 1]), bits.value)]
+                    known[n] = np.zeros(len(text), bool)
+                    known[n][at] = True
+                    if n in lengths:
+                        docs_of.append(text[at])
+                        starts.append(start[at])
+                        sizes.append(end[at + n - 1] - start[at])
+                doc, first, size = (np.concatenate(x) for x in (docs_of, starts, sizes))
+                if not len(doc):
+                    continue
+                until = np.cumsum(size)
+                made = data[np.repeat(first - (until - size), size) + np.arange(until[-1])]
+                run, phrases_ = numbered(pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(np.concatenate([[0], until])), pa.py_buffer(made)))
+                once = pc.unique(pa.array(doc * len(phrases_) + run)).to_numpy()
+                doc, run = once // len(phrases_), once % len(phrases_)
+                group = np.zeros(batch.num_rows, np.int64)
+                for c in batch.columns[1:]:
+                    other, values = numbered(c)
+                    group, _ = numbered(pa.array(group * len(values) + other))
+                cell, cells = numbered(pa.array(group[doc] * len(phrases_) + run))
+                one = np.empty(len(cells), np.int64)
+                one[cell] = np.arange(len(cell))
+                own = [c.take(pa.array(doc[one])) for c in batch.columns[1:]]
+                yield pa.RecordBatch.from_arrays([*own, phrases_.take(pa.array(run[one])).cast(pa.string()), pa.array(np.bincount(cell, minlength=len(cells)))], [*columns, "phrase", "n"])
 
-def joined_runs(words: list[str], n: int) -> list[str]:
-    return list(map(" ".join, zip(*[islice(words, k, None) for k in range(n)])))
+    schema = ", ".join(f"{c} string" for c in [*columns, "phrase"]) + ", n long"
+    return docs.select("words", *columns).mapInArrow(each, schema).groupBy(*columns, "phrase").agg(F.sum("n").alias("n"))
 
 
 def phrases(docs: DataFrame, least: int, cut: float = 0.8, longest: int = 4) -> DataFrame:
     """Document frequency of phrases of two to `longest` words; one inside a longer phrase with `cut` of its df is out.
 
-    `docs` has (doc_id, words: the words joined by blanks), each text once. Longer phrases are counted level by level: only
-    runs whose both shorter runs are frequent are counted at all, which a sieve of fixed size tells the tasks.
+    `docs` has (doc_id, words: the words joined by blanks), each text once. Pairs of words are counted as hashes first; only
+    runs all of whose pairs are frequent are counted as texts at all, which a sieve of fixed size tells the tasks.
     """
-    spark = docs.sparkSession
-    levels = [checkpointed(counted(docs, [], lambda words: joined_runs(words, 2)).where(F.col("n") >= least))]
-    for n in range(3, longest + 1):
-        bits = spark.sparkContext.broadcast(sieve(levels[-1]))
-
-        def extended(words: list[str], n: int = n) -> Iterator[str]:
-            shorter = joined_runs(words, n - 1)
-            frequent = sifted(shorter, bits.value)
-            for k in np.flatnonzero(frequent[:-1] & frequent[1:]).tolist():
-                yield " ".join(words[k : k + n])
-
-        levels.append(checkpointed(counted(docs, [], extended).where(F.col("n") >= least)))
-    df = levels[0]
-    for more in levels[1:]:
-        df = df.unionByName(more)
-    df = df.withColumnRenamed("n", "df")
+    bits = docs.sparkSession.sparkContext.broadcast(sieve(pair_hashes(docs, least)))
+    df = checkpointed(counted(docs, [], list(range(2, longest + 1)), bits, 2).where(F.col("n") >= least)).withColumnRenamed("n", "df")
     words = F.split("phrase", " ")
     shorter = df.where(F.size(words) > 2).select(F.col("df").alias("long_df"), F.explode(F.array(F.array_join(F.slice(words, 1, F.size(words) - 1), " "), F.array_join(F.slice(words, 2, F.size(words) - 1), " "))).alias("phrase"))
     most = shorter.groupBy("phrase").agg(F.max("long_df").alias("long_df"))
@@ -339,15 +422,8 @@ def phrases(docs: DataFrame, least: int, cut: float = 0.8, longest: int = 4) ->
 
 def counts_of(docs: DataFrame, found: DataFrame, columns: list[str], longest: int = 4) -> DataFrame:
     """How many documents have each found phrase, per value of `columns`, with its df in all."""
-    bits = docs.sparkSession.sparkContext.broadcast(sieve(found))
-
-    def known(words: list[str]) -> Iterator[str]:
-        for n in range(2, longest + 1):
-            if runs := joined_runs(words, n):
-                for k in np.flatnonzero(sifted(runs, bits.value)).tolist():
-                    yield runs[k]
-
-    return counted(docs, columns, known).join(found, "phrase")
+    bits = docs.sparkSession.sparkContext.broadcast(sieve(found.select("phrase")))
+    return counted(docs, columns, list(range(2, longest + 1)), bits).join(found, "phrase")
 
 
 def lifted(docs: DataFrame, found: DataFrame, least_lift: float, n: int) -> DataFrame:
