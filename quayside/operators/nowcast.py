@@ -6,6 +6,8 @@ season factors look values up in maps of it. All terminals go through the same w
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +29,14 @@ def month_end(mno: Column) -> Column:
     return F.last_day(F.make_date(F.floor(mno / 12).cast("int"), (mno % 12 + 1).cast("int"), F.lit(1)))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once, however often `use` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def clip(value: Column, bounds: tuple[float, float]) -> Column:
     """Null stays null."""
-    return F.when(value < bounds[0], bounds[0]).when(value > bounds[1], bounds[1]).otherwise(value)
+    return once(value, lambda v: F.when(v < bounds[0], bounds[0]).when(v > bounds[1], bounds[1]).otherwise(v))
 
 
 def month_features(visits: DataFrame, key: str, last_day: Column, lag_days: int = 2, most_hours: float = 80.0, first_day: int = 5) -> DataFrame:
@@ -82,18 +89,19 @@ def fitted(frame, before: Column | None = None, since: bool = False) -> Column:
         begin = F.first("mno").over(frame)
         used = F.filter(F.coalesce("blocks", F.array()), lambda b: (b["last"] < before) & ((b["first"] >= begin) if since else F.lit(True)))
 
-        def added(one: str, other: str) -> Column:
-            return F.aggregate(used, F.lit(0.0), lambda total, b: total + b["k"] * b[one] * b[other])
-
-        sums = [total + added(*pair) for total, pair in zip(sums, (("h", "h"), ("h", "t"), ("t", "t"), ("h", "y"), ("t", "y")))]
+        pairs = (("h", "h"), ("h", "t"), ("t", "t"), ("h", "y"), ("t", "y"))
+        none = F.struct(*[F.lit(0.0).alias(a + b) for a, b in pairs])
+        added = F.aggregate(used, none, lambda total, x: F.struct(*[(total[a + b] + x["k"] * x[a] * x[b]).alias(a + b) for a, b in pairs]))
+        return once(added, lambda more: no_intercept(*[total + more[a + b] for total, (a, b) in zip(sums, pairs)]))
     return no_intercept(*sums)
 
 
 def bias(coef: Column, at: list[tuple[Column, Column, Column]]) -> Column:
     """Mean of published over modelled of some months (hours, teu, actual) with a positive model, within bounds; 1 without any."""
-    ratios = [F.when(coef["b1"] * h + coef["b2"] * t > 0, y / (coef["b1"] * h + coef["b2"] * t)) for h, t, y in at]
-    total, n = sum((F.coalesce(r, F.lit(0.0)) for r in ratios), F.lit(0.0)), sum((r.isNotNull().cast("int") for r in ratios), F.lit(0))
-    return F.coalesce(clip(F.try_divide(total, n), BIAS_BOUNDS), F.lit(1.0))
+    told = F.array(*[F.struct((coef["b1"] * h + coef["b2"] * t).alias("m"), y.alias("y")) for h, t, y in at])
+    ratios = F.filter(F.transform(told, lambda x: F.when(x["m"] > 0, x["y"] / x["m"])), lambda r: r.isNotNull())
+    mean = once(ratios, lambda known: F.try_divide(F.aggregate(known, F.lit(0.0), lambda total, r: total + r), F.size(known)))
+    return F.coalesce(clip(mean, BIAS_BOUNDS), F.lit(1.0))
 
 
 def season_index(features: DataFrame, key: str, least_years: int = 2) -> DataFrame:
@@ -112,18 +120,17 @@ def season_index(features: DataFrame, key: str, least_years: int = 2) -> DataFra
 def year_ago_ratio(history: Column, mno: Column, months: Column) -> Column:
     """Last year's value of a month over the mean of last year's values of others, within bounds; null unless all are known."""
     past = F.transform(months, lambda x: F.try_element_at(history, x - 12))
-    mean = F.aggregate(past, F.lit(0.0), lambda s, x: s + x) / F.size(past)
-    sure = F.forall(past, lambda x: x.isNotNull()) & (mean > 0) & (F.size(months) > 0)
-    return F.when(sure, clip(F.try_element_at(history, mno - 12) / mean, SEASON_BOUNDS))
+    mean = once(past, lambda p: F.aggregate(p, F.lit(0.0), lambda s, x: s + x) / F.size(p))  # null where one isn't known
+    return once(mean, lambda m: F.when(m > 0, clip(F.try_element_at(history, mno - 12) / m, SEASON_BOUNDS)))
 
 
 def season_factor(history: Column, season: Column, mno: Column, months: Column) -> Column:
     """Season of a month against others: mean of last year's ratio and of the capacity's index, as far as known, else 1."""
-    own = year_ago_ratio(history, mno, months)
     of = F.transform(months, lambda x: F.try_element_at(season, x % 12))
-    mean = F.aggregate(of, F.lit(0.0), lambda s, x: s + x) / F.size(of)
-    long = F.when((F.size(months) > 0) & (mean > 0), clip(F.try_element_at(season, mno % 12) / mean, SEASON_BOUNDS))
-    return F.coalesce((own + long) / 2, own, long, F.lit(1.0))
+    mean = once(of, lambda p: F.aggregate(p, F.lit(0.0), lambda s, x: s + x) / F.size(p))
+    long = once(mean, lambda m: F.when(m > 0, clip(F.try_element_at(season, mno % 12) / m, SEASON_BOUNDS)))
+    both = F.struct(year_ago_ratio(history, mno, months).alias("own"), long.alias("long"))
+    return once(both, lambda x: F.coalesce((x["own"] + x["long"]) / 2, x["own"], x["long"], F.lit(1.0)))
 
 
 def histories(train: DataFrame, key: str) -> DataFrame:
@@ -146,8 +153,10 @@ def walked(train: DataFrame, features: DataFrame, key: str, blocks: DataFrame |
         out = out.join(block_rows(features, blocks, key), key, "left")
     for name, n in WINDOWS.items():
         frame = w.rowsBetween(Window.unboundedPreceding if n is None else -n, -1)
-        out = out.withColumn("_fit", fitted(frame, None if blocks is None else F.col("mno"), n is not None))
-        out = out.withColumn(name, (F.col("_fit.b1") * F.col("hours") + F.col("_fit.b2") * F.col("teu")) * bias(F.col("_fit"), lags)).drop("_fit")
+        past = {f"_{c}{k}": value for k, lag in enumerate(lags) for c, value in zip("hty", lag)}
+        out = out.withColumns({"_fit": fitted(frame, None if blocks is None else F.col("mno"), n is not None), **past})
+        at = [tuple(F.col(f"_{c}{k}") for c in "hty") for k in range(len(lags))]
+        out = out.withColumn(name, once(F.col("_fit"), lambda fit: (fit["b1"] * F.col("hours") + fit["b2"] * F.col("teu")) * bias(fit, at))).drop("_fit", *past)
     last3 = w.rowsBetween(-3, -1)
     out = out.withColumns({"_y3": F.avg("actual").over(last3), "_u3": F.avg(F.col("actual") / F.col("teu")).over(last3), "_months": F.collect_list("mno").over(last3)})
     told = out.where((F.col("idx") > MIN_TRAIN) & (F.col("rows") >= MIN_TRAIN + 3)).join(histories(train, key), key).join(season_index(features, key), key, "left")
@@ -195,7 +204,10 @@ def nowcast(features: DataFrame, actual: DataFrame, scores: DataFrame, key: str,
     sums = sums.join(scores.select(key, "best", "band"), key)
     sums = sums.withColumn("coef", F.coalesce(*[F.when(F.col("best") == n, F.col(n)) for n in WINDOWS]))
     last3 = w.rowsBetween(-2, 0)
-    sums = sums.withColumns({"adj": bias(F.col("coef"), lags), "y3": F.avg("actual").over(last3), "u3": F.avg(F.col("actual") / F.col("teu")).over(last3), "A": F.collect_list("mno").over(last3)}).where("_r = 1")
+    past = {f"_{c}{k}": value for k, lag in enumerate(lags) for c, value in zip("hty", lag)}
+    at = [tuple(F.col(f"_{c}{k}") for c in "hty") for k in range(len(lags))]
+    sums = sums.withColumns(past).withColumn("adj", once(F.col("coef"), lambda fit: bias(fit, at)))
+    sums = sums.withColumns({"y3": F.avg("actual").over(last3), "u3": F.avg(F.col("actual") / F.col("teu")).over(last3), "A": F.collect_list("mno").over(last3)}).where("_r = 1")
     whole = features.where("NOT partial").withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("mno")))).where("_r <= 3")
     base = whole.groupBy(key).agg(F.avg("hours").alias("bh"), F.avg("teu").alias("bt"), F.array_sort(F.collect_list("mno")).alias("B"))
     ends = features.groupBy(key).agg(F.max("mno").alias("cur"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import nowcast as N
+from ..operators.text import checkpointed
 from ..sources.views import berth_visits, rounded, rsql, sql, terminal_volumes
 from .port_plans import COEF
 
@@ -26,6 +27,11 @@ def features(s, d):
     return N.month_features(berth_visits(s, d), "terminal", F.lit(LAST_DAY).cast("date"))
 
 
+def inputs(s, d):
+    """Features and published figures, kept: the models read each many times, and it is a row per terminal and month where a visit is one."""
+    return checkpointed(features(s, d)), checkpointed(terminal_volumes(s, d))
+
+
 FEATURES = {
     "seen": "SELECT * FROM berth_visits WHERE day <= DATE '2001-10-18'",
     "rat": "SELECT terminal, MEDIAN(dwt / teu) AS r FROM seen WHERE teu > 0 AND dwt > 0 GROUP BY 1",
@@ -100,7 +106,7 @@ COLUMNS = [*SHOWN, *[f"{c}_recent" for c in SHOWN], "ensemble", "ensemble_recent
 
 
 def walk(s, d):
-    f, a = features(s, d), terminal_volumes(s, d)
+    f, a = inputs(s, d)
     return N.walked(N.training(f, a, "terminal"), f, "terminal")
 
 
@@ -127,7 +133,7 @@ BLOCKS = {
 @add("mod2_backtest_blocks", sql("SELECT terminal, months, best, " + ", ".join(f"{rsql(c, 6)} AS {c}" for c in COLUMNS) + " FROM best JOIN ensm USING (terminal)", **BLOCKS))
 def mod2_backtest_blocks(s, d):
     """The same where five months of 1998 are known by their total only."""
-    f, a = features(s, d), terminal_volumes(s, d)
+    f, a = inputs(s, d)
     inside = F.col("mno").between(*BLOCK)
     blocks = a.where(inside).groupBy("terminal").agg(F.collect_list("mno").alias("months"), F.sum("actual").alias("total"))
     walk_ = N.walked(N.training(f, a.where(~inside), "terminal"), f, "terminal", blocks)
@@ -153,7 +159,7 @@ NOW = {
 
 @add("mod3_ensemble", sql(f"SELECT terminal, CAST(LAST_DAY(MAKE_DATE(mno // 12, mno % 12 + 1, 1)) AS DATE) AS month, kind, {rsql('est', 2)} AS est, {rsql('est * (1 - width)', 2)} AS low, {rsql('est * (1 + width)', 2)} AS high FROM est", **NOW))
 def mod3(s, d):
-    f, a = features(s, d), terminal_volumes(s, d)
+    f, a = inputs(s, d)
     scores = N.backtest(N.walked(N.training(f, a, "terminal"), f, "terminal"), "terminal")
     return N.nowcast(f, a, scores, "terminal").withColumns({c: rounded(c, 2) for c in ("est", "low", "high")})
 
@@ -175,8 +181,8 @@ CLASSES = {
 
 
 def classed(s, d):
-    f = features(s, d)
-    train, classes = N.training(f, terminal_volumes(s, d), "terminal"), N.terminal_classes(f, "terminal", 2600, 18_000)
+    f, a = inputs(s, d)
+    train, classes = N.training(f, a, "terminal"), N.terminal_classes(f, "terminal", 2600, 18_000)
     return train, classes, N.pooled(train, classes, "terminal")
 
 
