@@ -327,9 +327,17 @@ def rotations(stops: DataFrame, least_days: float = 7) -> DataFrame:
 
 
 def weekly_to_months(weeks: DataFrame, key: str, end: str, value: str) -> DataFrame:
-    """Weekly values spread over their seven days and summed by calendar month; months without all days are left out."""
-    days = weeks.select(key, F.explode(F.sequence(F.date_sub(end, 6), F.col(end))).alias("day"), (F.col(value) / 7).alias("v"))
-    months = days.groupBy(key, F.last_day("day").alias("month")).agg(F.sum("v").alias("value"), F.countDistinct("day").alias("days"))
+    """Weekly values spread over their seven days and summed by calendar month; months without all days are left out.
+
+    A week is one row per month that it touches. The days seen of a month are the bits of a number, so that none counts twice.
+    """
+    first, last = F.date_sub(end, 6), F.col(end)
+    months = F.explode(F.array_distinct(F.array(F.last_day(first), F.last_day(last)))).alias("month")
+    parts = weeks.select(key, first.alias("_first"), last.alias("_last"), F.col(value).alias("_v"), months)
+    begin, stop = F.greatest("_first", F.trunc("month", "month")), F.least("_last", "month")
+    n = F.datediff(stop, begin) + 1
+    seen = F.call_function("shiftleft", F.lit(127).cast("long").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), n) - 1), F.dayofmonth(begin) - 1)
+    months = parts.groupBy(key, "month").agg(F.sum(F.col("_v") / 7 * n).alias("value"), F.bit_count(F.bit_or(seen)).alias("days"))
     return months.where(F.col("days") == F.dayofmonth("month")).drop("days")
 
 
