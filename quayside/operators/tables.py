@@ -124,7 +124,8 @@ def put_day(old: DataFrame, new: DataFrame, block: list[str], record: str) -> Da
 def due_days(fetched: DataFrame, entity: str, day: str, fetched_on: str, first, last, now, ttl_days: int) -> DataFrame:
     """Days to fetch again: missing, or fetched before they were final and longer ago than the time to live."""
     wanted = fetched.select(entity).distinct().withColumn(day, F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))))
-    known = fetched.groupBy(entity, day).agg(F.max(fetched_on).alias("_at"))
+    asked = F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    known = fetched.where(asked).groupBy(entity, day).agg(F.max(fetched_on).alias("_at"))
     joined = wanted.join(known, [entity, day], "left")
     not_final = (F.col("_at") < F.date_add(day, 2)) & (F.datediff(F.lit(now).cast("date"), "_at") > ttl_days)
     return joined.where(F.col("_at").isNull() | not_final).select(entity, day, F.col("_at").isNull().alias("missing"))
