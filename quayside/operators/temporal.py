@@ -132,16 +132,18 @@ def with_running_means(df: DataFrame, value: str, key: str, order: str, means: d
 def with_range(df: DataFrame, value: str, key: str, order: str, rows: int, low: str, high: str, count: str) -> DataFrame:
     """Smallest and largest value, and number of values, of the last `rows` rows.
 
-    Rows are cut into blocks of that many: a window is the end of one block and the beginning of the next, so running
-    extremes from both ends of each block give those of every window.
+    Extremes of the last 4, 16, 64, ... rows are those of at most four shorter runs, one ending at the row and the others before
+    it. So rows stand in one order and are sorted once, and the work grows with the logarithm of `rows`.
     """
     w = Window.partitionBy(key).orderBy(order)
-    cut = df.select("*", F.floor((F.row_number().over(w) - 1) / rows).alias("_b"), F.count(value).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_c"))
-    ahead = Window.partitionBy(key, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    back = Window.partitionBy(key, "_b").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
-    both = cut.select("*", F.min(value).over(ahead).alias("_pl"), F.max(value).over(ahead).alias("_ph")).select("*", F.min(value).over(back).alias("_sl"), F.max(value).over(back).alias("_sh"))
-    before = {c: F.lag(c, rows - 1).over(w) for c in ("_sl", "_sh")}
-    return both.select(*df.columns, F.least("_pl", before["_sl"]).alias(low), F.greatest("_ph", before["_sh"]).alias(high), (F.col("_c") - F.coalesce(F.lag("_c", rows).over(w), F.lit(0))).alias(count))
+    out = df.select("*", F.count(value).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_c"), F.col(value).alias("_l"), F.col(value).alias("_h"))
+    n = 1
+    while n < rows:
+        wider = min(4 * n, rows)
+        back = sorted({*[k * n for k in (1, 2, 3) if (k + 1) * n <= wider], wider - n})
+        out = out.withColumns({c: of(c, *[F.lag(c, k).over(w) for k in back]) for c, of in (("_l", F.least), ("_h", F.greatest))})
+        n = wider
+    return out.select(*df.columns, F.col("_l").alias(low), F.col("_h").alias(high), (F.col("_c") - F.coalesce(F.lag("_c", rows).over(w), F.lit(0))).alias(count))
 
 
 def guarded_lag(value: str, keys: list[str], t: str, n: int) -> Column:
