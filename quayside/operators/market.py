@@ -27,9 +27,11 @@ def breadth(bars: DataFrame, means: tuple[int, ...] = (20, 50, 200), year: int =
 
     Moving averages need a full window, and a price above one is so by more than rounding; yearly extremes need `least` prices. The advance-decline line sums over days.
     """
-    before = F.last("close", ignorenulls=True).over(by_symbol().rowsBetween(Window.unboundedPreceding, -1))
-    averaged = with_running_means(price_grid(bars).select("symbol", "date", "close", "px", before.alias("prev")), "px", "symbol", "date", {f"ma{n}": n for n in means})
-    seen = with_range(averaged, "px", "symbol", "date", year, "lo", "hi", "n52")
+    # All windows have the order of `sess`, so cells are sorted once.
+    before = F.last("close", ignorenulls=True).over(Window.partitionBy("symbol").orderBy("sess").rowsBetween(Window.unboundedPreceding, -1))
+    cells = price_grid(bars.select("symbol", "date", "close")).select("symbol", "date", "sess", "close", "px", before.alias("prev"))
+    averaged = with_running_means(cells, "px", "symbol", "sess", {f"ma{n}": n for n in means})
+    seen = with_range(averaged, "px", "symbol", "sess", year, "lo", "hi", "n52")
     enough = F.col("n52") >= least
     daily = seen.groupBy("date").agg(
         F.count_if(F.col("close") > F.col("prev")).alias("adv"),

@@ -94,12 +94,25 @@ def sessions(df: DataFrame, date: str = "date") -> DataFrame:
     return df.select(date).distinct().withColumn("sess", F.row_number().over(Window.orderBy(date)))
 
 
+#: Cells of a grid that one task is given, about; a cell takes some hundred bytes where it is sorted.
+TASK_CELLS = 500_000
+
+
 def dense_grid(df: DataFrame, entity: str = "symbol", date: str = "date") -> DataFrame:
-    """Every entity on every session between its first and last row; values are null where it has none."""
-    bounds = df.groupBy(entity).agg(F.min(date).alias("_first"), F.max(date).alias("_last"))
-    days = sessions(df, date)
-    cells = bounds.join(days, (F.col(date) >= F.col("_first")) & (F.col(date) <= F.col("_last"))).select(entity, date, "sess")
-    return cells.join(df, [entity, date], "left")
+    """Every entity on every session between its first and last row; values are null where it has none.
+
+    A row becomes the cells up to the entity's next one, in the task that has the entity: rows are shuffled by entity, cells
+    never. So many tasks share the entities that none makes more than about TASK_CELLS, whatever the number of entities.
+    """
+    days = F.broadcast(sessions(df, date))  # one row per day
+    size = df.agg(F.approx_count_distinct(entity).alias("n"), F.approx_count_distinct(date).alias("days")).first()
+    numbered = df.join(days, date).repartition(-(-size["n"] * size["days"] // TASK_CELLS) or 1, entity)
+    ahead = F.lead("sess").over(Window.partitionBy(entity).orderBy("sess"))
+    until = F.greatest(F.coalesce(ahead - 1, "sess"), "sess")
+    values = [c for c in df.columns if c not in (entity, date)]
+    spread = numbered.select(entity, F.col("sess").alias("_own"), *values, until.alias("_until")).select(entity, "_own", *values, F.explode(F.sequence("_own", "_until")).alias("sess"))
+    has = (F.col("sess") == F.col("_own")) & F.col(entity).isNotNull()
+    return spread.join(days, "sess").select(entity, date, "sess", *[F.when(has, F.col(c)).alias(c) for c in values])
 
 
 def filled(value: Column | str, key: str, order: str, limit: int | None = None) -> Column:
