@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .text import checkpointed
+
 
 def unit_scale(value: Column, volume: Column, limit: float = 100, scale: float = 1e6) -> Column:
     """Values that are more than `limit` times the volume are in raw currency: divided by `scale`."""
@@ -46,18 +48,56 @@ def unit_errors(facts: DataFrame, keys: list[str], t: str, value: str, low: floa
     return facts.withColumn("ratio", ratio).withColumn("what", what).withColumn("value_fixed", F.when(F.col("what") == "fixed", F.col(value) / 1000).otherwise(F.col(value)))
 
 
+#: Groups whose figures are sent to all tasks, at most; more are joined by shuffles.
+MOST_GROUPS = 200_000
+#: Of a group's rows a sketch of quantiles misplaces one in so many at most.
+SKETCH = 10_000
+
+
+def medians(df: DataFrame, keys: list[str], value: str, name: str, count: str) -> DataFrame:
+    """Per group, kept as a table of one row each: the exact median of its values and their number.
+
+    A sketch gives two bounds that the median lies between; values below are only counted, and only those between, a
+    thousandth or so, are shuffled. Ranks say whether the bounds held: where they did not, all values of the group are taken.
+    """
+    values = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    bounds = values.groupBy(*keys).agg(F.percentile_approx("_v", [0.5 - 3 / SKETCH, 0.5 + 3 / SKETCH], SKETCH).alias("_b"))
+    bounds = checkpointed(bounds)
+    low, high = F.col("_b")[0], F.col("_b")[1]
+    part = F.when(F.col("_v") < low, 0).when(F.col("_v") <= high, 1).otherwise(2)
+    counted = with_figures(values, bounds, keys).groupBy(*keys, part.alias("_part"), F.when(part == 1, F.col("_v")).alias("_at")).agg(F.count("*").alias("_k"))
+    group = Window.partitionBy(*keys)
+    upto = F.sum("_k").over(group.orderBy("_part", "_at").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.select(*keys, "_part", "_at", upto.alias("_upto"), F.sum("_k").over(group).alias("_n"))
+    # The first value whose rank reaches that of each middle row; rows are numbered from 1.
+    row = F.struct("_part", "_at")
+    middle = [F.min(F.when(F.col("_upto") >= F.floor((F.col("_n") + k) / 2), row)) for k in (1, 2)]
+    found = ranked.groupBy(*keys).agg(F.max("_n").alias(count), *[m.alias(f"_m{k}") for k, m in enumerate(middle)])
+    a, b = F.col("_m0._at"), F.col("_m1._at")
+    held = (F.col("_m0._part") == 1) & (F.col("_m1._part") == 1)
+    out = checkpointed(found.select(*keys, F.when(held, F.when(a == b, a).otherwise(0.5 * a + 0.5 * b)).alias(name), count))
+    open_ = out.where(F.col(name).isNull())
+    if open_.isEmpty():
+        return out
+    rest = values.join(open_.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.median("_v").alias(name), F.count("*").alias(count))
+    return checkpointed(out.where(F.col(name).isNotNull()).unionByName(rest))
+
+
+def with_figures(df: DataFrame, figures: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with their group's figures, a kept table of one row per group; rows stay where they are while groups are few."""
+    return df.join(F.broadcast(figures) if figures.count() <= MOST_GROUPS else figures, keys)
+
+
 def robust(df: DataFrame, keys: list[str], value: str, low: float = 0.5, high: float = 2.0, width: float = 3.5, least: int = 4) -> DataFrame:
     """Within [low, high] times the median, then within `width` robust deviations, if at least `least` rows are left.
 
-    Medians per group come from an aggregation joined back, so a group is never held in one task's memory as rows.
+    Medians are made group by group as tables, so rows are not shuffled by group, and a large group is no task of its own.
     """
-    medians = df.groupBy(*keys).agg(F.median(value).alias("_m"))
-    first = df.join(medians, keys).where(F.col(value).between(low * F.col("_m"), high * F.col("_m"))).drop("_m")
-    centre = first.groupBy(*keys).agg(F.median(value).alias("_c"), F.count("*").alias("_n"))
-    centred = first.join(centre, keys).withColumn("_d", F.abs(F.col(value) - F.col("_c")))
-    spread = centred.groupBy(*keys).agg((1.4826 * F.median("_d")).alias("_s"))
-    keep = (F.col("_n") < least) | (F.col("_s") == 0) | (F.col("_d") <= width * F.col("_s"))
-    return centred.join(spread, keys).where(keep).drop("_c", "_n", "_d", "_s")
+    first = with_figures(df, medians(df, keys, value, "_m", "_all"), keys).where(F.col(value).between(low * F.col("_m"), high * F.col("_m"))).drop("_m", "_all")
+    centred = with_figures(first, medians(first, keys, value, "_c", "_n"), keys).withColumn("_d", F.abs(F.col(value) - F.col("_c")))
+    spread = medians(centred, keys, "_d", "_s", "_all")
+    keep = (F.col("_n") < least) | (F.col("_s") == 0) | (F.col("_d") <= width * (1.4826 * F.col("_s")))
+    return with_figures(centred, spread, keys).where(keep).drop("_c", "_n", "_d", "_s", "_all")
 
 
 def trimmed(df: DataFrame, keys: list[str], value: str, width: float = 1.5, least: int = 5, left: int = 2) -> DataFrame:

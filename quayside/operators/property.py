@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .clean import robust
+from .text import checkpointed
 
 
 def price_index(listings: DataFrame, keys: list[str], first: str, last: str, window_days: int = 120, least: int = 5, ties: tuple[str, ...] = ()) -> DataFrame:
@@ -19,7 +20,7 @@ def price_index(listings: DataFrame, keys: list[str], first: str, last: str, win
     usable = listings.where(start <= F.trunc(last_possible, "month"))
     months = F.explode(F.transform(F.sequence(start, F.trunc(last_possible, "month"), F.expr("INTERVAL 1 MONTH")), lambda m: F.last_day(m)))
     each = usable.select("*", months.alias("month")).where((F.col("posted") <= F.col("month")) & (F.col("posted") > F.date_sub("month", window_days)))
-    newest = each.groupBy(*keys, "month", "prid").agg(F.min_by("ppm2", F.struct((-F.unix_date("posted")).alias("_back"), *ties)).alias("ppm2"))
+    newest = checkpointed(each.groupBy(*keys, "month", "prid").agg(F.min_by("ppm2", F.struct((-F.unix_date("posted")).alias("_back"), *ties)).alias("ppm2")))
     kept = robust(newest, [*keys, "month"], "ppm2")
     out = kept.groupBy(*keys, "month").agg(F.count("*").alias("n"), *[F.percentile("ppm2", q).alias(f"p{int(q * 100)}") for q in (0.25, 0.5, 0.9)], F.avg("ppm2").alias("mean"))
     return out.where(F.col("n") >= least)
