@@ -140,6 +140,8 @@ def str10(s, d):
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("arrival", "departure")})
 
 
+#: Messages of the feed that one task writes and reads, about.
+TASK_MESSAGES = 100_000
 #: Messages of all types from the events: the type by the event's number, quantities and prices by its value.
 KINDS = ["mi", "emi", "t", "te", "q", "b", "bc", "f", "ii", "e", "sd", "s", "hello"]
 
@@ -155,7 +157,9 @@ def feed(s, d):
         code.alias("T"), symbol.alias("symbol"), F.lit("G1").alias("boardId"), v.alias("matchPrice"), id_.alias("matchQtty"), v.alias("valueIndexes"), F.concat(F.lit("I"), F.col("user_id") % 3).alias("indexName"), id_.alias("totalVolumeTraded"), level.alias("bid"), level.alias("offer"),
         (F.unix_timestamp(ts) * F.when(id_ % 3 == 0, 1000).otherwise(1)).alias("time"), v.alias("close"), id_.alias("volume"), v.alias("buyTradedAmount"), limit.alias("foreignerOrderLimitQuantity"), F.array(item, item).alias("Data"), v.alias("expectedTradePrice"), F.lit("not a number").alias("expectedTradeQuantity"), v.alias("basicPrice"), F.lit("open").alias("eventId"),
     )
-    return events(s, d).select(ts.alias("ts_recv"), F.concat(F.lit("c"), F.col("user_id") % 2).alias("conn"), F.to_json(body).alias("msg"))
+    # A file's few splits are too few tasks for messages that are written and read as text.
+    tasks = -(-s.read.parquet(f"{d}/events.parquet").count() // TASK_MESSAGES) or 1
+    return events(s, d).repartition(tasks, "event_id").select(ts.alias("ts_recv"), F.concat(F.lit("c"), F.col("user_id") % 2).alias("conn"), F.to_json(body).alias("msg"))
 
 
 #: Per table, what the check sums and what it counts.

@@ -165,15 +165,15 @@ def message_schema(fields: str) -> str:
 
 def parsed(messages: DataFrame) -> DataFrame:
     """`ts_recv, conn, msg, table` and one struct per table, null in rows of other tables; what has no known type is an event of the connection."""
-    code = F.get_json_object("msg", "$.T")
+    code = F.col("code")  # a column of its own: read out of a message once, not for each table
     table = F.lit("events")
-    out = messages
+    out = messages.withColumn("code", F.get_json_object("msg", "$.T"))
     for name, (codes, fields) in FEED.items():
         mine = code.isin(*codes.split())
         table = F.when(mine, name).otherwise(table)
         # Other rows are parsed as null, so each message is read by one schema only.
         out = out.withColumn(name, F.from_json(F.when(mine, F.col("msg")), message_schema(fields)))
-    return out.withColumns({"table": table, "code": code})
+    return out.withColumn("table", table)
 
 
 def feed_table(stored: DataFrame, name: str) -> DataFrame:
