@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .temporal import carried, carried_sum
+from .temporal import carried, carried_sum, stored
 
 REVISION_DAYS, MOST_DAYS = 3, 45
 SECTIONS = ("arrive", "shift", "depart")
@@ -240,7 +240,8 @@ def itinerary(calls: DataFrame, region: Column, piece_days: int = 60) -> DataFra
     A real stop without a departure counts as left when it arrived.
 
     A ship's stops are dealt out by pieces of time. Neighbours are looked up in windows of one piece and the ten days on
-    either side of it; what crosses pieces, the last stop, the last real one and the running numbers, is carried.
+    either side of it; what crosses pieces, the last stop, the last real one and the running numbers, is carried. Each of these
+    steps reads its rows twice, so three of them are stored: calls are found once.
     """
     seconds = piece_days * 86400
     epoch = F.unix_timestamp("t")
@@ -262,18 +263,18 @@ def itinerary(calls: DataFrame, region: Column, piece_days: int = 60) -> DataFra
         return out
 
     drop = F.col("inferred") & F.col("region").isNotNull() & F.when(F.col("side") == "to", confirmed(1)).otherwise(confirmed(-1))
-    kept = spread.withColumn("_drop", F.coalesce(drop, F.lit(False))).where((F.col("piece") == F.col("own")) & ~F.col("_drop")).drop("own", "_drop", "region", "side")
+    kept = stored(spread.withColumn("_drop", F.coalesce(drop, F.lit(False))).where((F.col("piece") == F.col("own")) & ~F.col("_drop")).drop("own", "_drop", "region", "side"))
 
     by, order = ["ship_key"], ["order"]
     seen = carried(kept, by, "piece", order, {"before": F.struct("port")})
     turned = carried_sum(seen, by, "piece", order, F.coalesce((F.col("before.port").isNull() | (F.col("before.port") != F.col("port"))).cast("int"), F.lit(1)), "run")
     left_at = F.coalesce("depart", "arrive", "t")
-    real = carried(turned, by, "piece", order, {"real": F.when(~F.col("inferred"), F.struct("run", left_at.alias("left_at")))})
+    real = carried(stored(turned), by, "piece", order, {"real": F.when(~F.col("inferred"), F.struct("run", left_at.alias("left_at")))})
     apart = ~F.col("inferred") & (F.col("real.run") == F.col("run")) & (F.unix_timestamp(F.coalesce("arrive", "depart", "t")) - F.unix_timestamp("real.left_at") > MERGE_HOURS * 3600)
     broken = real.withColumn("gap", F.coalesce(apart, F.lit(False)))
     fresh = F.coalesce((F.col("before.port").isNull() | (F.col("before.port") != F.col("port"))), F.lit(True))
     # A gap takes a number of its own, the one before the stop that follows it.
-    numbered = carried_sum(broken, by, "piece", order, F.when(F.col("gap"), 2).otherwise(fresh.cast("int")), "idx")
+    numbered = stored(carried_sum(broken, by, "piece", order, F.when(F.col("gap"), 2).otherwise(fresh.cast("int")), "idx").drop("before", "order", "run"))
     stops = numbered.groupBy("ship_key", "idx").agg(
         F.first("port").alias("port"), F.coalesce(F.min(F.when(~F.col("inferred"), F.col("t"))), F.min("t")).alias("start"), F.min("arrive").alias("arrive"), F.max("depart").alias("depart"), F.bool_and("inferred").alias("inferred"), F.count("*").alias("rows")
     )

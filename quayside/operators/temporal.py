@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import shared_path
+
 
 def asof_join(left: DataFrame, right: DataFrame, key: str | list[str], left_time: str, right_time: str, columns: list[str], *, tolerance_days: int | None = None, matched_time: str | None = None, piece_days: int | None = None) -> DataFrame:
     """The newest right row at or before each left row's time, by key; never a later one. One shuffle on the key.
@@ -41,6 +43,13 @@ def asof_join(left: DataFrame, right: DataFrame, key: str | list[str], left_time
     return found.select(*[F.col(f"_left.{c}").alias(c) for c in left.columns if c not in made], *picked, *more)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a table in a folder that all executors see, for what is read more than once and dear to make again."""
+    path = shared_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def carried(df: DataFrame, keys: list[str], piece: str, order: list, values: dict[str, Column]) -> DataFrame:
     """`df` with, per name, the last non-null of a value in the rows before a row, in the order of `piece`, then `order`.
 
