@@ -97,13 +97,15 @@ def back_adjusted(source: DataFrame, other: DataFrame, venues: DataFrame, listed
     ends = other.groupBy("symbol").agg(F.max("date").alias("_end"))
     met = source.join(other.select("symbol", "date", F.col("close").alias("_other")), ["symbol", "date"], "left").join(ends, "symbol", "left").join(venues.select("symbol", "exchange"), "symbol", "left")
     upto = by_symbol().rowsBetween(Window.unboundedPreceding, 0)
-    onward = by_symbol().rowsBetween(0, Window.unboundedFollowing)
+    whole = by_symbol().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     step = F.col("ref") / F.lag("close").over(by_symbol())
     after = F.col("_end").isNull() | (F.col("date") > F.col("_end"))
     event = F.when(after & F.col("exchange").isin(*listed) & (F.abs(step - 1) > least), step).otherwise(1.0)
     marked = met.withColumns({"_ahead": F.last(F.round(F.col("_other") / F.col("close"), 4), ignorenulls=True).over(upto), "_event": event})
-    level = F.coalesce("_ahead", F.first("_ahead", ignorenulls=True).over(onward), F.lit(1.0))
-    later = F.exp(F.coalesce(F.sum(F.log("_event")).over(by_symbol().rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0)))
+    # What follows a row is taken from the whole and what came so far: frames that end with the series cost its length for every row.
+    level = F.coalesce("_ahead", F.first("_ahead", ignorenulls=True).over(whole), F.lit(1.0))
+    total, so_far = (F.coalesce(F.sum(F.log("_event")).over(w), F.lit(0.0)) for w in (whole, upto))
+    later = F.exp(total - so_far)
     factored = marked.withColumn("factor", level * later)
     return factored.select(*source.columns, "factor", (F.col("close") * F.col("factor")).alias("adjusted"))
 
