@@ -7,6 +7,8 @@ worker, over Arrow batches, so texts are read once and only results are shuffled
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import groupby
 
 import ahocorasick
 import numpy as np
@@ -252,18 +254,35 @@ def attention(articles: DataFrame, group: str) -> DataFrame:
     return articles.join(sources, group).withColumn("attention", F.col("event") + F.col("has_entity") + F.least(F.col("sources") - 1, F.lit(4)))
 
 
-#: Bits of a sieve (a power of two), and bytes of text that a task takes at once.
-SIEVE_BITS, MOST_AT_ONCE = 1 << 26, 2 << 20
+#: Bytes of text that a task takes at once, hashes that it holds, runs that are added up at once, and ids that are sent to all tasks, at most.
+MOST_AT_ONCE, MOST_HASHES, MOST_RUNS, MOST_IDS = 4 << 20, 4 << 20, 4 << 20, 1_000_000
+#: Bits of a hash that name its part, bits that are kept below them, and bits that name a part of the counts.
+PART, REST, COUNT_PART = 12, 24, 9
 #: Odd numbers: the base of hashes of bytes, and one by which they are mixed.
 BASE, MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The rows as a compressed table in a folder that all executors see; the files of its shuffles go when it is written."""
+    from ..sources.files import shared_path
+
+    spark, setting = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = shared_path(spark, "kept"), spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        df.select("*").write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def once_each(docs: DataFrame) -> DataFrame:
     """`doc_id, words, ...` without later documents of the same words; only hashes and ids are compared."""
-    hashed = docs.select("doc_id", F.xxhash64("words").alias("h"), F.xxhash64(F.reverse("words")).alias("h2"))
+    hashed = kept(docs.select("doc_id", F.xxhash64("words").alias("h"), F.xxhash64(F.reverse("words")).alias("h2")))
     firsts = hashed.groupBy("h", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = hashed.join(firsts, ["h", "h2"]).where(F.col("doc_id") != F.col("first")).select("doc_id")
-    return docs.join(later, "doc_id", "left_anti")
+    later = kept(hashed.join(firsts, ["h", "h2"]).where(F.col("doc_id") != F.col("first")).select("doc_id"))
+    # Texts stay where they are while the ids are few.
+    return docs.join(F.broadcast(later), "doc_id", "left_anti") if later.count() <= MOST_IDS else kept(docs.join(later, "doc_id", "left_anti"))
 
 
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -294,37 +313,69 @@ def hasher(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
     return lambda start, end: (sums[end] - sums[start]) * back[start]
 
 
-def places(h: np.ndarray) -> np.ndarray:
-    """The bit of a sieve for each hash."""
-    return (((h ^ (h >> np.uint64(32))) * MIX) >> np.uint64(32)) & np.uint64(SIEVE_BITS - 1)
+def first_bits(h: np.ndarray) -> np.ndarray:
+    """Hashes mixed, and of these the first bits: those of the part and of the rest."""
+    return ((h ^ (h >> np.uint64(32))) * MIX) >> np.uint64(64 - PART - REST)
+
+
+def at_most(h: np.ndarray, n: int) -> np.ndarray:
+    """Sorted numbers, each n times at most."""
+    return h[np.concatenate([np.ones(min(n, len(h)), bool), h[n:] != h[:-n]])]
+
+
+def packed(h: np.ndarray) -> pa.RecordBatch:
+    """Sorted cut hashes as a row per part: what is kept of the rest, three bytes each."""
+    low = np.ascontiguousarray(h.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : REST // 8])
+    ends = np.searchsorted(h, np.arange((1 << PART) + 1, dtype=np.uint64) << np.uint64(REST)).astype(np.int32)
+    rests = pa.Array.from_buffers(pa.binary(), 1 << PART, [None, pa.py_buffer(ends * np.int32(REST // 8)), pa.py_buffer(low)])
+    some = pa.array(np.flatnonzero(np.diff(ends)).astype(np.int32))
+    return pa.RecordBatch.from_arrays([some, rests.take(some)], ["part", "rests"])
 
 
-def sieve(of: DataFrame) -> np.ndarray:
-    """A bit per hash (`h`) of a run or of a `phrase`: what isn't there is none. Its size is fixed; a full one only sifts less."""
+def by_group(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, Iterator[list]]]:
+    """Rows in a row whose first `keys` values are equal: these values, and the others of each row."""
+    rows = (r for batch in batches for r in zip(*(c.to_pylist() if k < keys else c for k, c in enumerate(batch.columns))))
+    for key_, group in groupby(rows, lambda r: r[:keys]):
+        yield key_, (r[keys:] for r in group)
+
+
+def often(hashes: DataFrame, least: int) -> DataFrame:
+    """Per part a row of bits for the hashes that occur `least` times, some sixteen bits each: `part, size, bits`."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.schema.names == ["h"]:
-                h = batch.column(0).to_numpy().view(np.uint64)
-            else:
-                data, ends = bytes_of(batch.column(0))
-                h = hasher(data)(ends[:-1], ends[1:])
-            bit = places(h)
-            cell, at = np.unique((bit >> np.uint64(6)).astype(np.int64), return_inverse=True)
-            value = np.zeros(len(cell), np.uint64)
-            np.bitwise_or.at(value, at, np.uint64(1) << (bit & np.uint64(63)))
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(value.view(np.int64))], ["k", "v"])
+        for (part,), rows in by_group(batches, 1):
+            three = np.frombuffer(b"".join(r[0].as_buffer() for r in rows), np.uint8).reshape(-1, REST // 8).astype(np.uint32)
+            rest = np.sort(three[:, 0] | three[:, 1] << np.uint32(8) | three[:, 2] << np.uint32(16))
+            found = np.unique(rest[least - 1 :][rest[least - 1 :] == rest[: max(len(rest) - least + 1, 0)]])
+            if len(found):
+                size = min(max((16 * len(found) - 1).bit_length(), 3), 29 - PART)
+                bits = np.zeros(1 << size, bool)
+                bits[found >> np.uint32(REST - size)] = True
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([size], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()])], ["part", "size", "bits"])
+
+    return hashes.repartition("part").sortWithinPartitions("part").mapInArrow(each, "part int, size int, bits binary")
+
 
-    cells = of.mapInArrow(each, "k long, v long").groupBy("k").agg(F.bit_or("v").alias("v")).toArrow()
-    out = np.zeros(SIEVE_BITS // 64, np.uint64)
-    out[cells.column(0).to_numpy()] = cells.column(1).to_numpy().view(np.uint64)
-    return out
+def sieve(of: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bits of hashes that occur `often`: what isn't there is none. Of each part, where its bits begin and what to shift the rest by.
+
+    It grows with what it holds, to 64 MB at most; a full one only sifts less.
+    """
+    found = kept(of).toArrow()
+    first, shift = np.zeros(1 << PART, np.int64), np.full(1 << PART, REST, np.uint64)
+    part, size = (found.column(k).to_numpy().astype(np.int64) for k in (0, 1))
+    # Parts without a hash look at the first bit, which is not set.
+    first[part], shift[part] = 8 + np.cumsum(1 << size) - (1 << size), (REST - size).astype(np.uint64)
+    return first, shift, np.frombuffer(b"".join([b"\0", *(v.as_buffer() for v in found.column(2))]), np.uint8)
 
 
-def sifted(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+def sifted(h: np.ndarray, bits: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
     """Which hashes of runs the sieve holds back."""
-    bit = places(h)
-    return (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+    first, shift, held = bits
+    h = first_bits(h)
+    part = (h >> np.uint64(REST)).astype(np.int64)
+    bit = first[part] + ((h & np.uint64((1 << REST) - 1)) >> shift[part]).astype(np.int64)
+    return (held[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
 def numbered(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -343,25 +394,49 @@ def in_pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def pair_hashes(docs: DataFrame, least: int) -> DataFrame:
-    """The hashes `h` of the pairs of neighbouring words that occur `least` times: all pairs of so many documents, and some more."""
+    """The bits of the pairs of neighbouring words that `least` documents have, and of some more; three bytes for a pair are shuffled."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for whole in batches:
             for batch in in_pieces(whole):
                 data, ends = bytes_of(batch.column(0))
                 text, start, end = words_of(data, ends)
                 at = np.flatnonzero(text[:-1] == text[1:])
-                cell, found = numbered(pa.array(hasher(data)(start[at], end[at + 1]).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([found, pa.array(np.bincount(cell, minlength=len(found)))], ["h", "n"])
+                below = np.uint64(64 - PART - REST)
+                once = np.sort(first_bits(hasher(data)(start[at], end[at + 1])) << below | text[at].astype(np.uint64))
+                held.append(at_most(at_most(once, 1) >> below, least))
+                if sum(map(len, held)) >= MOST_HASHES:
+                    yield packed(at_most(np.sort(np.concatenate(held)), least))
+                    held = []
+        if held:
+            yield packed(at_most(np.sort(np.concatenate(held)), least))
+
+    return often(docs.select("words").mapInArrow(each, "part int, rests binary"), least)
+
 
-    return docs.select("words").mapInArrow(each, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
+def phrase_hashes(found: DataFrame) -> DataFrame:
+    """The bits of all phrases."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, ends = bytes_of(batch.column(0))
+            yield packed(np.sort(first_bits(hasher(data)(ends[:-1], ends[1:]))))
 
+    return often(found.select("phrase").mapInArrow(each, "part int, rests binary"), 1)
 
-def counted(docs: DataFrame, columns: list[str], lengths: list[int], bits, parts: int | None = None) -> DataFrame:
-    """Per value of `columns` and run of so many words, the number of documents with it; tasks add up before the shuffle.
+
+def texts_of(sizes: np.ndarray, data) -> pa.Array:
+    """Texts of so many bytes each."""
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)), pa.py_buffer(data))
+
+
+def counted(docs: DataFrame, columns: list[str], lengths: list[int], bits, parts: int | None = None, least: int = 1) -> DataFrame:
+    """Per value of `columns` and run of so many words, the number of documents with it, if there are `least`.
 
     Only runs count that a sieve (its broadcast) holds back or, with `parts`, whose runs of that many words it does. What is
-    left is told apart by its text, and only that is made.
+    left is told apart by its text, and only that is made. Tasks add up what they take at once, and shuffle it packed: texts
+    and counts, compressed, in a row per part of the runs.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,8 +463,10 @@ def counted(docs: DataFrame, columns: list[str], lengths: list[int], bits, parts
                 if not len(doc):
                     continue
                 until = np.cumsum(size)
-                made = data[np.repeat(first - (until - size), size) + np.arange(until[-1])]
-                run, phrases_ = numbered(pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(np.concatenate([[0], until])), pa.py_buffer(made)))
+                run, phrases_ = numbered(texts_of(size, data[np.repeat(first - (until - size), size) + np.arange(until[-1])]))
+                some = np.empty(len(phrases_), np.int64)
+                some[run] = np.arange(len(run))
+                part = (first_bits(hashes(first[some], (first + size)[some])) >> np.uint64(PART + REST - COUNT_PART)).astype(np.int64)
                 once = pc.unique(pa.array(doc * len(phrases_) + run)).to_numpy()
                 doc, run = once // len(phrases_), once % len(phrases_)
                 group = np.zeros(batch.num_rows, np.int64)
@@ -399,30 +476,73 @@ def counted(docs: DataFrame, columns: list[str], lengths: list[int], bits, parts
                 cell, cells = numbered(pa.array(group[doc] * len(phrases_) + run))
                 one = np.empty(len(cells), np.int64)
                 one[cell] = np.arange(len(cell))
-                own = [c.take(pa.array(doc[one])) for c in batch.columns[1:]]
-                yield pa.RecordBatch.from_arrays([*own, phrases_.take(pa.array(run[one])).cast(pa.string()), pa.array(np.bincount(cell, minlength=len(cells)))], [*columns, "phrase", "n"])
-
-    schema = ", ".join(f"{c} string" for c in [*columns, "phrase"]) + ", n long"
-    return docs.select("words", *columns).mapInArrow(each, schema).groupBy(*columns, "phrase").agg(F.sum("n").alias("n"))
+                row = (group[doc[one]] << COUNT_PART) + part[run[one]]
+                order = np.argsort(row, kind="stable")
+                row, one, n = row[order], one[order], np.bincount(cell, minlength=len(cells))[order]
+                made, until = bytes_of(phrases_.take(pa.array(run[one])))
+                begin = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+                stop = np.append(begin[1:], len(row))
+                own = [c.take(pa.array(doc[one[begin]])) for c in batch.columns[1:]]
+                numbers = [pa.compress(np.concatenate([np.diff(until[a : b + 1]), n[a:b]]).astype("<u4").tobytes(), "zstd", asbytes=True) for a, b in zip(begin, stop)]
+                texts = [pa.compress(made[until[a] : until[b]].tobytes(), "zstd", asbytes=True) for a, b in zip(begin, stop)]
+                yield pa.RecordBatch.from_arrays([pa.array(row[begin].astype(np.int32) & np.int32((1 << COUNT_PART) - 1)), *own, pa.array((stop - begin).astype(np.int32)), pa.array((until[stop] - until[begin]).astype(np.int32)), pa.array(numbers, pa.binary()), pa.array(texts, pa.binary())], names)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, *own), rows in by_group(batches, 1 + len(columns)):
+            phrases_, sums = texts_of(np.zeros(0, np.int64), b""), np.zeros(0, np.int64)
+            more, counts = [], []
+            for last, (k, size, numbers, texts) in marked_last(rows):
+                k, size = k.as_py(), size.as_py()
+                numbers = np.frombuffer(pa.decompress(numbers.as_buffer(), 8 * k, "zstd"), "<u4")
+                more.append(texts_of(numbers[:k], pa.decompress(texts.as_buffer(), size, "zstd") if size else b""))
+                counts.append(numbers[k:])
+                if last or sum(map(len, counts)) >= MOST_RUNS:
+                    run, phrases_ = numbered(pa.concat_arrays([phrases_, *more]))
+                    sums = np.bincount(run, np.concatenate([sums, *counts]), len(phrases_)).astype(np.int64)
+                    more, counts = [], []
+            keep = np.flatnonzero(sums >= least)
+            for a in range(0, len(keep), 100_000):
+                at = keep[a : a + 100_000]
+                yield pa.RecordBatch.from_arrays([*(pa.array([v] * len(at), pa.string()) for v in own), phrases_.take(pa.array(at)).cast(pa.string()), pa.array(sums[at])], [*columns, "phrase", "n"])
+
+    names = ["_part", *columns, "_rows", "_size", "_numbers", "_texts"]
+    own_schema = [f"{c} string" for c in columns]
+    rows = docs.select("words", *columns).mapInArrow(each, ", ".join(["_part int", *own_schema, "_rows int, _size int, _numbers binary, _texts binary"]))
+    return rows.repartition("_part").sortWithinPartitions("_part", *columns).mapInArrow(added, ", ".join([*own_schema, "phrase string", "n long"]))
+
+
+def marked_last(rows: Iterator) -> Iterator[tuple[bool, object]]:
+    """Each row, and whether it is the last."""
+    rows = iter(rows)
+    held = next(rows, None)
+    while held is not None:
+        following = next(rows, None)
+        yield following is None, held
+        held = following
 
 
 def phrases(docs: DataFrame, least: int, cut: float = 0.8, longest: int = 4) -> DataFrame:
     """Document frequency of phrases of two to `longest` words; one inside a longer phrase with `cut` of its df is out.
 
     `docs` has (doc_id, words: the words joined by blanks), each text once. Pairs of words are counted as hashes first; only
-    runs all of whose pairs are frequent are counted as texts at all, which a sieve of fixed size tells the tasks.
+    runs all of whose pairs are frequent are counted as texts at all, which a sieve tells the tasks.
     """
     bits = docs.sparkSession.sparkContext.broadcast(sieve(pair_hashes(docs, least)))
-    df = checkpointed(counted(docs, [], list(range(2, longest + 1)), bits, 2).where(F.col("n") >= least)).withColumnRenamed("n", "df")
+    df = by_length(longest, lambda n: counted(docs, [], [n], bits, 2, least)).withColumnRenamed("n", "df")
     words = F.split("phrase", " ")
     shorter = df.where(F.size(words) > 2).select(F.col("df").alias("long_df"), F.explode(F.array(F.array_join(F.slice(words, 1, F.size(words) - 1), " "), F.array_join(F.slice(words, 2, F.size(words) - 1), " "))).alias("phrase"))
     most = shorter.groupBy("phrase").agg(F.max("long_df").alias("long_df"))
-    return checkpointed(df.join(most, "phrase", "left").where(F.col("long_df").isNull() | (F.col("long_df") < cut * F.col("df"))).select("phrase", "df"))
+    return kept(df.join(most, "phrase", "left").where(F.col("long_df").isNull() | (F.col("long_df") < cut * F.col("df"))).select("phrase", "df"))
+
+
+def by_length(longest: int, counts: Callable[[int], DataFrame]) -> DataFrame:
+    """Counts of runs of two to `longest` words, made and kept one length after the other: the shuffle of one is on disk at a time."""
+    return reduce(DataFrame.unionByName, [kept(counts(n)) for n in range(2, longest + 1)])
 
 
 def counts_of(docs: DataFrame, found: DataFrame, columns: list[str], longest: int = 4) -> DataFrame:
     """How many documents have each found phrase, per value of `columns`, with its df in all."""
-    bits = docs.sparkSession.sparkContext.broadcast(sieve(found.select("phrase")))
+    bits = docs.sparkSession.sparkContext.broadcast(sieve(phrase_hashes(found)))
     return counted(docs, columns, list(range(2, longest + 1)), bits).join(found, "phrase")
 
 

@@ -108,9 +108,9 @@ def words(s, d):
 
 
 def mined(s, d):
-    """Documents of words joined by blanks, each text once, dealt out evenly: what is counted is many times what is read."""
-    once = O.once_each(O.checkpointed(articles(s, d).select("doc_id", F.col("lang").alias("category"), X.key(F.col("text")).alias("words"))))
-    return O.checkpointed(once.repartition(int(s.conf.get("spark.sql.shuffle.partitions"))))
+    """Documents of words joined by blanks, each text once, dealt out evenly and kept: what is counted is many times what is read."""
+    texts = articles(s, d).select("doc_id", F.col("lang").alias("category"), X.key(F.col("text")).alias("words"))
+    return O.once_each(O.kept(texts.repartition(int(s.conf.get("spark.sql.shuffle.partitions")))))
 
 
 @add("txt6_phrases", sql("SELECT phrase, df FROM mined", **MINED))
