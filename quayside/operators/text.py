@@ -543,7 +543,7 @@ def by_length(longest: int, counts: Callable[[int], DataFrame]) -> DataFrame:
 def counts_of(docs: DataFrame, found: DataFrame, columns: list[str], longest: int = 4) -> DataFrame:
     """How many documents have each found phrase, per value of `columns`, with its df in all."""
     bits = docs.sparkSession.sparkContext.broadcast(sieve(phrase_hashes(found)))
-    return counted(docs, columns, list(range(2, longest + 1)), bits).join(found, "phrase")
+    return by_length(longest, lambda n: counted(docs, columns, [n], bits)).join(found, "phrase")
 
 
 def lifted(docs: DataFrame, found: DataFrame, least_lift: float, n: int) -> DataFrame:
