@@ -558,7 +558,7 @@ def lifted(docs: DataFrame, found: DataFrame, least_lift: float, n: int) -> Data
 
 def gaps(docs: DataFrame, found: DataFrame, tags: DataFrame, least: int = 3) -> DataFrame:
     """Phrases of at least `least` documents that got no category: what the dictionary lacks."""
-    return counts_of(docs.join(tags.select("doc_id"), "doc_id", "left_anti"), found, []).where(F.col("n") >= least)
+    return counts_of(kept(docs.join(tags.select("doc_id"), "doc_id", "left_anti")), found, []).where(F.col("n") >= least)
 
 
 def pattern_events(rows: DataFrame, id_col: str, owner: str, text: str, patterns: dict[str, str]) -> DataFrame:
