@@ -549,7 +549,9 @@ def counts_of(docs: DataFrame, found: DataFrame, columns: list[str], longest: in
 def lifted(docs: DataFrame, found: DataFrame, least_lift: float, n: int) -> DataFrame:
     """Phrases that are `least_lift` times as frequent in a category as overall, the best n per category."""
     per = counts_of(docs, found, ["category"])
-    sizes = docs.groupBy("category").agg(F.count("*").alias("docs"))
+    sizes = kept(docs.groupBy("category").agg(F.count("*").alias("docs")))
+    # Counts stay where they are while the categories are few: only each task's best are shuffled by category.
+    sizes = F.broadcast(sizes) if sizes.count() <= MOST_IDS else sizes
     total = docs.agg(F.count("*").alias("total"))
     scored = per.join(sizes, "category").join(F.broadcast(total)).withColumn("lift", (F.col("n") / F.col("docs")) / (F.col("df") / F.col("total"))).where(F.col("lift") >= least_lift)
     rank = F.row_number().over(Window.partitionBy("category").orderBy(F.desc("lift"), F.desc("n"), "phrase"))
